@@ -32,45 +32,49 @@ FCT_COMMITS_COLUMNS = [
 
 def dim_repos(stg_repo: DataFrame) -> DataFrame:
     latest = latest_by_fetch(stg_repo, ["repo_full_name"])
-    return latest.select(
+    return latest.selectExpr(
         "repo_full_name", "repo_name", "owner_login", "description", "stargazers_count", "forks_count",
         "open_issues_count", "watchers_count", "default_branch", "language", "license_spdx", "archived",
-        "disabled",
-        F.col("fork").alias("is_fork"),
-        F.col("created_at").alias("repo_created_at"),
-        F.col("updated_at").alias("repo_updated_at"),
-        F.col("pushed_at").alias("last_pushed_at"),
-        F.col("fetched_at").alias("snapshot_at"),
+        "disabled", "fork AS is_fork", "created_at AS repo_created_at", "updated_at AS repo_updated_at",
+        "pushed_at AS last_pushed_at", "fetched_at AS snapshot_at",
     )
 
 
+def issue_or_pr_latest(stg_issue_or_pr: DataFrame) -> DataFrame:
+    """Latest version per (repo, number) *within each kind*, both kinds in one pass.
+
+    Keying the window by ``is_pull_request`` as well is the same as filtering
+    first and deduplicating each kind (the reference's plan), but needs one
+    scan and one shuffle for both facts. Rows with a NULL flag form their own
+    group and belong to neither fact.
+    """
+    return latest_by_fetch(stg_issue_or_pr, ["repo_full_name", "number", "is_pull_request"])
+
+
 def _issue_like(stg: DataFrame, is_pr: bool) -> DataFrame:
-    rows = stg.filter(F.col("is_pull_request") == F.lit(is_pr))
-    return latest_by_fetch(rows, ["repo_full_name", "number"])
+    # a predicate on a window partition key: Catalyst evaluates it below the window
+    return issue_or_pr_latest(stg).where(f"is_pull_request = {str(is_pr).lower()}")
 
 
 def fct_issues(stg_issue_or_pr: DataFrame) -> DataFrame:
-    return _issue_like(stg_issue_or_pr, False).select(
-        "repo_full_name", F.col("number").alias("issue_number"), "state", "title",
-        F.col("user_login").alias("author_login"), "locked", "labels", "assignees", "comments",
-        "created_at", "updated_at", "closed_at", "fetched_at",
+    return _issue_like(stg_issue_or_pr, False).selectExpr(
+        "repo_full_name", "number AS issue_number", "state", "title", "user_login AS author_login", "locked",
+        "labels", "assignees", "comments", "created_at", "updated_at", "closed_at", "fetched_at",
     )
 
 
 def fct_pull_requests(stg_issue_or_pr: DataFrame) -> DataFrame:
-    return _issue_like(stg_issue_or_pr, True).select(
-        "repo_full_name", F.col("number").alias("pr_number"), "state", "title",
-        F.col("user_login").alias("author_login"), "labels", "assignees", "comments",
-        "created_at", "updated_at", "closed_at", "fetched_at",
+    return _issue_like(stg_issue_or_pr, True).selectExpr(
+        "repo_full_name", "number AS pr_number", "state", "title", "user_login AS author_login",
+        "labels", "assignees", "comments", "created_at", "updated_at", "closed_at", "fetched_at",
     )
 
 
 def fct_commits(stg_commit: DataFrame) -> DataFrame:
     latest = latest_by_fetch(stg_commit, ["repo_full_name", "sha"])
-    return latest.select(
+    return latest.selectExpr(
         "repo_full_name", "sha", "message", "author_login", "author_email", "authored_date",
-        "committer_login", "committer_email", "committed_date",
-        F.cardinality("parents").alias("parent_count"),
+        "committer_login", "committer_email", "committed_date", "cardinality(parents) AS parent_count",
         "fetched_at",
     )
 

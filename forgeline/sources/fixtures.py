@@ -4,8 +4,9 @@ The driver only provides generic tables, so the activity the models consume is
 a deterministic projection of ``events``: each event becomes one landed record
 (a repository snapshot, an issue/PR version or a commit version). Many events
 map to the same key, so deduplication and aggregation do real work. Every
-expression is a plain built-in so the same projection can be written in SQL
-for the DuckDB oracle (see ``forgeline.oracle``).
+expression is a plain SQL built-in (given as ``selectExpr`` text: one call to
+the JVM per frame instead of one per column function), so the same projection
+can be written for the DuckDB oracle (see ``forgeline.oracle``).
 
 Projection (fixed values):
   k                = props.k (0..99)
@@ -18,10 +19,9 @@ Projection (fixed values):
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from forgeline.functions.columns import iso_utc
+from forgeline.functions.columns import ISO_UTC_PATTERN
 
 # Which event types land as which record kind.
 REPO_EVENT_TYPES = ("view",)
@@ -30,112 +30,117 @@ PR_EVENT_TYPES = ("signup", "purchase")
 COMMIT_EVENT_TYPES = ("error",)
 
 
-def _s(c: Column) -> Column:
-    return c.cast("string")
+def _in(types: tuple[str, ...]) -> str:
+    return "(" + ", ".join(f"'{t}'" for t in types) + ")"
 
 
-def _base(events: DataFrame, types: tuple[str, ...]) -> DataFrame:
-    u = F.col("user_id")
-    return (
-        events.filter(F.col("event_type").isin(*types))
-        .select(
-            "event_id", "ts", "user_id", "event_type", "value",
-            F.get_json_object("props", "$.k").cast("int").alias("k"),
-            F.concat(F.lit("org"), _s(u % 3), F.lit("/repo"), _s(u % 12)).alias("repo"),
-        )
-    )
+def _iso(x: str) -> str:
+    return f"date_format({x}, \"{ISO_UTC_PATTERN}\")"
+
+
+def _hours(n: str) -> str:
+    return f"make_dt_interval(0, {n}, 0, 0)"
+
+
+_BASE = [
+    "event_id", "ts", "user_id", "event_type", "value",
+    "CAST(get_json_object(props, '$.k') AS INT) AS k",
+    "concat('org', CAST(user_id % 3 AS STRING), '/repo', CAST(user_id % 12 AS STRING)) AS repo",
+]
 
 
-def _hours(n: Column) -> Column:
-    return F.make_dt_interval(F.lit(0), n, F.lit(0), F.lit(0))
+def _base(events: DataFrame, types: tuple[str, ...]) -> DataFrame:
+    return events.where(f"event_type IN {_in(types)}").selectExpr(*_BASE)
+
+
+_REPO_COLUMNS = [
+    "repo AS full_name",
+    "concat('repo', CAST(user_id % 12 AS STRING)) AS name",
+    "concat('org', CAST(user_id % 3 AS STRING)) AS owner_login",
+    "CASE WHEN k % 10 = 0 THEN CAST(NULL AS STRING) "
+    "ELSE concat('Project repo', CAST(user_id % 12 AS STRING), ' rev ', CAST(k AS STRING)) END AS description",
+    "CAST(k * 10 AS BIGINT) AS stargazers_count",
+    "CAST(k AS BIGINT) AS forks_count",
+    "CAST(k % 17 AS BIGINT) AS open_issues_count",
+    "CAST(k * 10 AS BIGINT) AS watchers_count",
+    "CAST(user_id % 50 AS BIGINT) AS subscribers_count",
+    "CAST(k + user_id % 50 AS BIGINT) AS network_count",
+    "CASE WHEN k % 5 = 0 THEN 'master' ELSE 'main' END AS default_branch",
+    "CASE WHEN k % 4 = 0 THEN 'Python' WHEN k % 4 = 1 THEN 'Rust' WHEN k % 4 = 2 THEN 'Go' END AS language",
+    "CASE WHEN k % 3 = 1 THEN 'MIT' WHEN k % 3 = 2 THEN 'Apache-2.0' END AS license_spdx",
+    "(k % 13 = 0) AS archived",
+    "false AS disabled",
+    "(k % 9 = 0) AS fork",
+    "concat('2019-0', CAST(user_id % 9 + 1 AS STRING), '-15T08:00:00Z') AS created_at",
+    f"{_iso('ts')} AS updated_at",
+    f"CASE WHEN k % 8 = 0 THEN CAST(NULL AS STRING) ELSE {_iso('ts - ' + _hours('k % 5'))} END AS pushed_at",
+    f"{_iso('ts')} AS fetched_at",
+    "concat('{\"id\":', CAST(event_id AS STRING), ',\"full_name\":\"', repo, "
+    "'\",\"stargazers_count\":', CAST(k * 10 AS STRING), '}') AS raw_payload",
+    "event_id AS ingest_seq",
+]
+
+_ISSUE_COLUMNS = [
+    "repo AS repo_full_name",
+    "CAST(k AS BIGINT) AS number",
+    "CASE WHEN value >= 100 THEN 'closed' ELSE 'open' END AS state",
+    "concat('Item ', CAST(k AS STRING), ' of ', repo) AS title",
+    "CASE WHEN user_id % 10 = 0 THEN CAST(NULL AS STRING) ELSE concat('user', CAST(user_id AS STRING)) END "
+    "AS user_login",
+    f"event_type IN {_in(PR_EVENT_TYPES)} AS is_pull_request",
+    "(k % 19 = 0) AS locked",
+    "CASE WHEN k % 3 = 0 THEN CAST(array() AS ARRAY<STRING>) WHEN k % 3 = 1 THEN array('bug') "
+    "ELSE array('bug', 'enhancement') END AS labels",
+    "CASE WHEN k % 4 = 0 THEN array(concat('user', CAST(user_id AS STRING))) "
+    "ELSE CAST(array() AS ARRAY<STRING>) END AS assignees",
+    "CAST(k % 23 AS BIGINT) AS comments",
+    f"{_iso('ts')} AS created_at",
+    f"{_iso('ts + ' + _hours('k % 6'))} AS updated_at",
+    f"CASE WHEN value >= 100 THEN {_iso('ts + ' + _hours('12'))} END AS closed_at",
+    f"{_iso('ts')} AS fetched_at",
+    "concat('{\"id\":', CAST(event_id AS STRING), ',\"number\":', CAST(k AS STRING), "
+    "',\"type\":\"', event_type, '\"}') AS raw_payload",
+    "event_id AS ingest_seq",
+]
+
+_COMMIT_COLUMNS = [
+    "repo AS repo_full_name",
+    "md5(CAST(k AS STRING)) AS sha",
+    "concat('Change ', CAST(k AS STRING), ' in ', repo) AS message",
+    "CASE WHEN k % 7 = 0 THEN CAST(NULL AS STRING) ELSE concat('user', CAST(user_id AS STRING)) END "
+    "AS author_login",
+    "concat('user', CAST(user_id AS STRING), '@example.com') AS author_email",
+    f"{_iso('ts - ' + _hours('1'))} AS authored_date",
+    "CASE WHEN k % 2 = 0 THEN 'web-flow' ELSE concat('user', CAST(user_id AS STRING)) END AS committer_login",
+    "CASE WHEN k % 2 = 0 THEN 'noreply@example.com' "
+    "ELSE concat('user', CAST(user_id AS STRING), '@example.com') END AS committer_email",
+    f"CASE WHEN k % 11 = 0 THEN CAST(NULL AS STRING) ELSE {_iso('ts')} END AS committed_date",
+    "CASE WHEN k % 10 = 0 THEN array(md5(CAST(k + 100 AS STRING)), md5(CAST(k + 200 AS STRING))) "
+    "ELSE array(md5(CAST(k + 100 AS STRING))) END AS parents",
+    f"{_iso('ts')} AS fetched_at",
+    "concat('{\"id\":', CAST(event_id AS STRING), ',\"sha\":\"', md5(CAST(k AS STRING)), '\"}') AS raw_payload",
+    "event_id AS ingest_seq",
+]
 
 
 def bronze_repo_metadata(events: DataFrame) -> DataFrame:
-    b = _base(events, REPO_EVENT_TYPES)
-    k, u = F.col("k"), F.col("user_id")
-    return b.select(
-        F.col("repo").alias("full_name"),
-        F.concat(F.lit("repo"), _s(u % 12)).alias("name"),
-        F.concat(F.lit("org"), _s(u % 3)).alias("owner_login"),
-        F.when(k % 10 == 0, F.lit(None).cast("string"))
-        .otherwise(F.concat(F.lit("Project repo"), _s(u % 12), F.lit(" rev "), _s(k))).alias("description"),
-        (k * 10).cast("bigint").alias("stargazers_count"),
-        k.cast("bigint").alias("forks_count"),
-        (k % 17).cast("bigint").alias("open_issues_count"),
-        (k * 10).cast("bigint").alias("watchers_count"),
-        (u % 50).cast("bigint").alias("subscribers_count"),
-        (k + u % 50).cast("bigint").alias("network_count"),
-        F.when(k % 5 == 0, "master").otherwise("main").alias("default_branch"),
-        F.when(k % 4 == 0, "Python").when(k % 4 == 1, "Rust").when(k % 4 == 2, "Go").alias("language"),
-        F.when(k % 3 == 1, "MIT").when(k % 3 == 2, "Apache-2.0").alias("license_spdx"),
-        (k % 13 == 0).alias("archived"),
-        F.lit(False).alias("disabled"),
-        (k % 9 == 0).alias("fork"),
-        F.concat(F.lit("2019-0"), _s(u % 9 + 1), F.lit("-15T08:00:00Z")).alias("created_at"),
-        iso_utc("ts").alias("updated_at"),
-        F.when(k % 8 == 0, F.lit(None).cast("string"))
-        .otherwise(iso_utc(F.col("ts") - _hours(k % 5))).alias("pushed_at"),
-        iso_utc("ts").alias("fetched_at"),
-        F.concat(F.lit('{"id":'), _s(F.col("event_id")), F.lit(',"full_name":"'), F.col("repo"),
-                 F.lit('","stargazers_count":'), _s(k * 10), F.lit("}")).alias("raw_payload"),
-        F.col("event_id").alias("ingest_seq"),
-    )
+    return _base(events, REPO_EVENT_TYPES).selectExpr(*_REPO_COLUMNS)
 
 
 def bronze_issue_or_pr(events: DataFrame) -> DataFrame:
-    b = _base(events, ISSUE_EVENT_TYPES)
-    k, u = F.col("k"), F.col("user_id")
-    closed = F.col("value") >= 100
-    empty = F.array().cast("array<string>")
-    return b.select(
-        F.col("repo").alias("repo_full_name"),
-        k.cast("bigint").alias("number"),
-        F.when(closed, "closed").otherwise("open").alias("state"),
-        F.concat(F.lit("Item "), _s(k), F.lit(" of "), F.col("repo")).alias("title"),
-        F.when(u % 10 == 0, F.lit(None).cast("string")).otherwise(F.concat(F.lit("user"), _s(u))).alias("user_login"),
-        F.col("event_type").isin(*PR_EVENT_TYPES).alias("is_pull_request"),
-        (k % 19 == 0).alias("locked"),
-        F.when(k % 3 == 0, empty).when(k % 3 == 1, F.array(F.lit("bug")))
-        .otherwise(F.array(F.lit("bug"), F.lit("enhancement"))).alias("labels"),
-        F.when(k % 4 == 0, F.array(F.concat(F.lit("user"), _s(u)))).otherwise(empty).alias("assignees"),
-        (k % 23).cast("bigint").alias("comments"),
-        iso_utc("ts").alias("created_at"),
-        iso_utc(F.col("ts") + _hours(k % 6)).alias("updated_at"),
-        F.when(closed, iso_utc(F.col("ts") + _hours(F.lit(12)))).alias("closed_at"),
-        iso_utc("ts").alias("fetched_at"),
-        F.concat(F.lit('{"id":'), _s(F.col("event_id")), F.lit(',"number":'), _s(k),
-                 F.lit(',"type":"'), F.col("event_type"), F.lit('"}')).alias("raw_payload"),
-        F.col("event_id").alias("ingest_seq"),
-    )
+    return _base(events, ISSUE_EVENT_TYPES).selectExpr(*_ISSUE_COLUMNS)
 
 
 def bronze_commit(events: DataFrame) -> DataFrame:
-    b = _base(events, COMMIT_EVENT_TYPES)
-    k, u = F.col("k"), F.col("user_id")
-    login = F.concat(F.lit("user"), _s(u))
-    email = F.concat(F.lit("user"), _s(u), F.lit("@example.com"))
-    sha = F.md5(_s(k))
-    return b.select(
-        F.col("repo").alias("repo_full_name"),
-        sha.alias("sha"),
-        F.concat(F.lit("Change "), _s(k), F.lit(" in "), F.col("repo")).alias("message"),
-        F.when(k % 7 == 0, F.lit(None).cast("string")).otherwise(login).alias("author_login"),
-        email.alias("author_email"),
-        iso_utc(F.col("ts") - _hours(F.lit(1))).alias("authored_date"),
-        F.when(k % 2 == 0, "web-flow").otherwise(login).alias("committer_login"),
-        F.when(k % 2 == 0, "noreply@example.com").otherwise(email).alias("committer_email"),
-        F.when(k % 11 == 0, F.lit(None).cast("string")).otherwise(iso_utc("ts")).alias("committed_date"),
-        F.when(k % 10 == 0, F.array(F.md5(_s(k + 100)), F.md5(_s(k + 200))))
-        .otherwise(F.array(F.md5(_s(k + 100)))).alias("parents"),
-        iso_utc("ts").alias("fetched_at"),
-        F.concat(F.lit('{"id":'), _s(F.col("event_id")), F.lit(',"sha":"'), sha, F.lit('"}')).alias("raw_payload"),
-        F.col("event_id").alias("ingest_seq"),
-    )
+    return _base(events, COMMIT_EVENT_TYPES).selectExpr(*_COMMIT_COLUMNS)
+
+
+_KIND_FN = {"repo_metadata": bronze_repo_metadata, "issue_or_pr": bronze_issue_or_pr, "commit": bronze_commit}
+
+
+def bronze_from_events_kind(events: DataFrame, kind: str) -> DataFrame:
+    return _KIND_FN[kind](events)
 
 
 def bronze_from_events(events: DataFrame) -> dict[str, DataFrame]:
-    return {
-        "repo_metadata": bronze_repo_metadata(events),
-        "issue_or_pr": bronze_issue_or_pr(events),
-        "commit": bronze_commit(events),
-    }
+    return {kind: fn(events) for kind, fn in _KIND_FN.items()}
