@@ -42,3 +42,122 @@ for _name in ("stg_repo_metadata", "stg_issue_or_pr", "stg_commit",
               "repo_daily_metrics", "repo_daily_metrics_joined", "activity_spine",
               "repo_health_snapshot"):
     register(_name, _MODEL_SQL[_name])(_model_query(_name))
+
+
+# ------------------------------------------------------------------ serving
+from forgeline.plans import serving  # noqa: E402
+from forgeline.operators import quality as dq  # noqa: E402
+
+_SERVING_SQL = oracle.serving_sql()
+
+
+@register("dashboard_kpis", _SERVING_SQL["dashboard_kpis"])
+def q_dashboard_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return serving.dashboard_kpis(Models.from_events(spark, sf_dir).repo_health_snapshot())
+
+
+@register("top_repos", _SERVING_SQL["top_repos"])
+def q_top_repos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return serving.top_repos(Models.from_events(spark, sf_dir).repo_health_snapshot(), 5)
+
+
+@register("activity_series", _SERVING_SQL["activity_series"])
+def q_activity_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = Models.from_events(spark, sf_dir)
+    return serving.default_activity_series(m.repo_daily_metrics(), m.repo_health_snapshot(), 5)
+
+
+@register("target_repo_filter", _SERVING_SQL["target_repo_filter"])
+def q_target_repo_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = Models.from_events(spark, sf_dir)
+    return serving.activity_series(m.repo_daily_metrics(), oracle.TARGET_REPOS_TEXT)
+
+
+@register("since_filter", _SERVING_SQL["since_filter"])
+def q_since_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stg = Models.from_events(spark, sf_dir).stg("stg_issue_or_pr")
+    return serving.updated_since(stg, oracle.SINCE).select(
+        "repo_full_name", "number", "state", "is_pull_request", "updated_at", "ingest_seq")
+
+
+@register("json_field_extract", _SERVING_SQL["json_field_extract"])
+def q_json_field_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from forgeline.functions.json import payload_fields
+    stg = Models.from_events(spark, sf_dir).stg("stg_repo_metadata")
+    return payload_fields(stg, {"payload_stars": ("$.stargazers_count", "bigint"),
+                                "payload_id": ("$.id", "bigint"),
+                                "payload_missing": ("$.missing.key", "string")}).select(
+        "repo_full_name", "ingest_seq", "stargazers_count", "payload_stars", "payload_id", "payload_missing")
+
+
+# ------------------------------------------------------------------ data quality
+def _model_tables(m: Models) -> dict[str, DataFrame]:
+    out = {kind: m.bronze(kind) for kind in ("repo_metadata", "issue_or_pr", "commit")}
+    for name in ("stg_repo_metadata", "stg_issue_or_pr", "stg_commit", "dim_repos", "fct_issues",
+                 "fct_pull_requests", "fct_commits", "repo_daily_metrics", "repo_health_snapshot"):
+        out[name] = m.table(name)
+    return out
+
+
+def _extra_checks() -> list[dq.Check]:
+    return [
+        dq.row_count_between("fct_commits", 1),
+        dq.fresh_within("stg_commit", "fetched_at", "2024-01-31 00:00:00", 48),
+        dq.missing_share_at_most("stg_commit", "author_login", 0.1),
+        dq.missing_share_at_most("stg_commit", "committed_date", 0.5),
+        dq.value_between("repo_daily_metrics", "commits", 0, 1000),
+        dq.value_between("repo_health_snapshot", "stargazers_count", 0, 500),
+        dq.matches_pattern("fct_commits", "sha", "^[0-9a-f]+$"),
+        dq.matches_pattern("stg_issue_or_pr", "title", "^Item [0-9]+ of org"),
+    ]
+
+
+@register("dq_report", oracle.report_sql(dq.declared_checks() + dq.added_checks()))
+def q_dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = Models.from_events(spark, sf_dir)
+    return dq.quality_report(_model_tables(m), dq.declared_checks() + dq.added_checks())
+
+
+@register("dq_extras_report", oracle.report_sql(_extra_checks()))
+def q_dq_extras_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dq.quality_report(_model_tables(Models.from_events(spark, sf_dir)), _extra_checks())
+
+
+# planted failures: each check must fail on rows Spark derives from the driver tables
+_PLANTED_STATE = ("CASE WHEN ingest_seq % 97 = 0 THEN 'merged' WHEN ingest_seq % 89 = 0 THEN NULL "
+                  "ELSE state END")
+
+
+@register("dq_accepted_values_failures", oracle.with_models(f"""
+SELECT repo_full_name, number, ingest_seq, state FROM (
+    SELECT repo_full_name, number, ingest_seq, {_PLANTED_STATE} AS state FROM stg_issue_or_pr) p
+WHERE state IS NOT NULL AND state NOT IN ('open', 'closed')"""))
+def q_dq_accepted_values_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stg = Models.from_events(spark, sf_dir).stg("stg_issue_or_pr")
+    planted = stg.selectExpr("repo_full_name", "number", "ingest_seq", f"{_PLANTED_STATE} AS state")
+    return dq.failing_rows(planted, dq.accepted_values("stg_issue_or_pr", "state", ["open", "closed"]))
+
+
+@register("dq_not_null_failures", oracle.with_models(
+    "SELECT repo_full_name, sha, ingest_seq, author_login FROM stg_commit WHERE author_login IS NULL"))
+def q_dq_not_null_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stg = Models.from_events(spark, sf_dir).stg("stg_commit").select(
+        "repo_full_name", "sha", "ingest_seq", "author_login")
+    return dq.failing_rows(stg, dq.not_null("stg_commit", "author_login"))
+
+
+@register("dq_unique_failures", oracle.with_models("""
+SELECT repo_full_name, count(*) AS n_records FROM stg_repo_metadata
+WHERE repo_full_name IS NOT NULL GROUP BY repo_full_name HAVING count(*) > 1"""))
+def q_dq_unique_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stg = Models.from_events(spark, sf_dir).stg("stg_repo_metadata")
+    return dq.failing_rows(stg, dq.unique("stg_repo_metadata", "repo_full_name"))
+
+
+@register("dq_unique_combination_failures", """
+SELECT l_orderkey, l_linenumber, count(*) AS n_records FROM lineitem
+GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""")
+def q_dq_unique_combination_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from forgeline.sources.tables import read_table
+    li = read_table(spark, sf_dir, "lineitem")
+    return dq.failing_rows(li, dq.unique_combination("lineitem", ["l_orderkey", "l_linenumber"]))

@@ -243,3 +243,98 @@ def model_sql() -> dict[str, str]:
     q["repo_daily_metrics_joined"] = q["repo_daily_metrics"]
     q["activity_spine"] = with_models("SELECT * FROM spine")
     return q
+
+
+# --------------------------------------------------------------------------- serving
+TARGET_REPOS_TEXT = " org0/repo0, ,org1/repo1 ,  org2/repo5,"
+SINCE = "2024-01-24 00:00:00"
+
+
+def serving_sql() -> dict[str, str]:
+    top5 = """top5 AS (
+    SELECT repo_full_name, stargazers_count,
+           row_number() OVER (ORDER BY stargazers_count DESC NULLS LAST, repo_full_name) AS star_rank
+    FROM repo_health_snapshot ORDER BY star_rank LIMIT 5
+)"""
+    series = """
+SELECT repo_full_name, day, 'commits' AS metric, commits AS count FROM sel
+UNION ALL SELECT repo_full_name, day, 'prs_opened', prs_opened FROM sel
+UNION ALL SELECT repo_full_name, day, 'issues_opened', issues_opened FROM sel"""
+    targets = ", ".join(f"'{t.strip()}'" for t in TARGET_REPOS_TEXT.split(",") if t.strip())
+    return {
+        "dashboard_kpis": with_models("""
+SELECT CAST(count(*) AS BIGINT) AS repos_tracked, CAST(sum(stargazers_count) AS BIGINT) AS total_stars,
+       CAST(sum(recent_commits_28d) AS BIGINT) AS recent_commits_28d,
+       CAST(sum(recent_prs_28d) AS BIGINT) AS recent_prs_28d
+FROM repo_health_snapshot"""),
+        "top_repos": with_models("SELECT * FROM top5", top5),
+        "activity_series": with_models(series, top5 + """,
+sel AS (SELECT repo_full_name, day, commits, prs_opened, issues_opened FROM repo_daily_metrics
+        WHERE repo_full_name IN (SELECT repo_full_name FROM top5))"""),
+        "target_repo_filter": with_models(series, f"""
+sel AS (SELECT repo_full_name, day, commits, prs_opened, issues_opened FROM repo_daily_metrics
+        WHERE repo_full_name IN ({targets}))"""),
+        "since_filter": with_models(f"""
+SELECT repo_full_name, number, state, is_pull_request, updated_at, ingest_seq
+FROM stg_issue_or_pr WHERE updated_at >= TIMESTAMP '{SINCE}'"""),
+        "json_field_extract": with_models("""
+SELECT repo_full_name, ingest_seq, stargazers_count,
+       CAST(json_extract_string(raw_payload, '$.stargazers_count') AS BIGINT) AS payload_stars,
+       CAST(json_extract_string(raw_payload, '$.id') AS BIGINT) AS payload_id,
+       json_extract_string(raw_payload, '$.missing.key') AS payload_missing
+FROM stg_repo_metadata"""),
+    }
+
+
+# --------------------------------------------------------------------------- quality
+_BRONZE_CTE = {"repo_metadata": "bronze_repo_metadata", "issue_or_pr": "bronze_issue_or_pr",
+               "commit": "bronze_commit"}
+
+
+def _sql_lit(v) -> str:
+    if isinstance(v, str):
+        return "'" + v.replace("'", "''") + "'"
+    return str(v)
+
+
+def check_sql(ch) -> str:
+    """DuckDB form of one check, as one report row."""
+    t = _BRONZE_CTE.get(ch.table, ch.table)
+    head = f"SELECT '{ch.kind}' AS check_name, '{ch.table}' AS table_name, '{ch.column_label}' AS column_name"
+    c = ch.columns[0] if ch.columns else None
+    if ch.kind == "not_null":
+        return f"{head}, CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS failures FROM {t}"
+    if ch.kind == "accepted_values":
+        vals = ", ".join(_sql_lit(v) for v in ch.values)
+        return (f"{head}, CAST(count(DISTINCT CASE WHEN {c} IS NOT NULL AND {c} NOT IN ({vals}) THEN {c} END)"
+                f" AS BIGINT) AS failures FROM {t}")
+    if ch.kind in ("unique", "unique_combination"):
+        cols = ", ".join(ch.columns)
+        where = f"WHERE {c} IS NOT NULL" if ch.kind == "unique" else ""
+        return (f"{head}, CAST(count(*) AS BIGINT) AS failures FROM "
+                f"(SELECT {cols} FROM {t} {where} GROUP BY {cols} HAVING count(*) > 1) d")
+    if ch.kind == "value_between":
+        lo, hi = ch.params
+        return (f"{head}, CAST(count(*) FILTER (WHERE {c} IS NOT NULL AND ({c} < {_sql_lit(lo)} OR {c} > "
+                f"{_sql_lit(hi)})) AS BIGINT) AS failures FROM {t}")
+    if ch.kind == "matches_pattern":
+        return (f"{head}, CAST(count(*) FILTER (WHERE {c} IS NOT NULL AND NOT regexp_matches({c}, "
+                f"{_sql_lit(ch.params[0])})) AS BIGINT) AS failures FROM {t}")
+    if ch.kind == "row_count_between":
+        lo, hi = ch.params
+        cond = f"count(*) >= {lo}" + (f" AND count(*) <= {hi}" if hi is not None else "")
+        return f"{head}, CAST(CASE WHEN {cond} THEN 0 ELSE 1 END AS BIGINT) AS failures FROM {t}"
+    if ch.kind == "missing_share_at_most":
+        nulls = f"count(*) FILTER (WHERE {c} IS NULL)"
+        share = f"CASE WHEN count(*) = 0 THEN 0.0 ELSE {nulls} / count(*) END"
+        return (f"{head}, CAST(CASE WHEN {share} <= {ch.params[0]} THEN 0 ELSE {nulls} END AS BIGINT)"
+                f" AS failures FROM {t}")
+    if ch.kind == "fresh_within":
+        as_of, hours = ch.params
+        return (f"{head}, CAST(CASE WHEN max({c}) IS NOT NULL AND max({c}) >= TIMESTAMP '{as_of}' - "
+                f"to_hours({int(hours)}) THEN 0 ELSE 1 END AS BIGINT) AS failures FROM {t}")
+    raise ValueError(ch.kind)
+
+
+def report_sql(checks) -> str:
+    return with_models("\nUNION ALL\n".join(check_sql(ch) for ch in checks))
