@@ -161,3 +161,40 @@ def q_dq_unique_combination_failures(spark: SparkSession, sf_dir: str) -> DataFr
     from forgeline.sources.tables import read_table
     li = read_table(spark, sf_dir, "lineitem")
     return dq.failing_rows(li, dq.unique_combination("lineitem", ["l_orderkey", "l_linenumber"]))
+
+
+# ------------------------------------------------------------------ landing
+from forgeline.sources import fixtures as _fx  # noqa: E402
+from forgeline.sources import landing  # noqa: E402
+from forgeline.sources.tables import events as _events  # noqa: E402
+
+_LANDING_SQL = oracle.landing_sql()
+
+
+def _landed(spark: SparkSession, sf_dir: str, kind: str):
+    return landing.land(_fx.landed_pages(_events(spark, sf_dir), kind), kind)
+
+
+@register("landing_parse_issue", _LANDING_SQL["landing_parse_issue"])
+def q_landing_parse_issue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _landed(spark, sf_dir, "issue_or_pr")[0].drop("ingest_seq")
+
+
+@register("landing_parse_commit", _LANDING_SQL["landing_parse_commit"])
+def q_landing_parse_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _landed(spark, sf_dir, "commit")[0].drop("ingest_seq")
+
+
+@register("landing_parse_repo", _LANDING_SQL["landing_parse_repo"])
+def q_landing_parse_repo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _landed(spark, sf_dir, "repo_metadata")[0].drop("ingest_seq")
+
+
+@register("landing_rejects", _LANDING_SQL["landing_rejects"])
+def q_landing_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+    parts = []
+    for kind in ("issue_or_pr", "commit", "repo_metadata"):
+        rej = _landed(spark, sf_dir, kind)[1]
+        parts.append(rej.select(F.lit(kind).alias("kind"), "repo_full_name", "raw_payload", "reason"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])

@@ -338,3 +338,87 @@ def check_sql(ch) -> str:
 
 def report_sql(checks) -> str:
     return with_models("\nUNION ALL\n".join(check_sql(ch) for ch in checks))
+
+
+# --------------------------------------------------------------------------- landing
+def _landing_ctes(kind: str) -> str:
+    from forgeline.sources.fixtures import ITEM_SQL, KIND_EVENT_TYPES, PAGE_SIZE
+    types = ", ".join(f"'{t}'" for t in KIND_EVENT_TYPES[kind])
+    return f"""WITH {_BASE.strip()},
+lb AS (
+    SELECT *, {_iso('ts')} AS iso_ts, {_iso('ts + to_hours(k % 6)')} AS iso_upd,
+           {_iso('ts + to_hours(12)')} AS iso_closed, {_iso('ts - to_hours(1)')} AS iso_auth,
+           {_iso('ts - to_hours(k % 5)')} AS iso_push,
+           {_iso(f'max(ts) OVER (PARTITION BY repo, event_id // {PAGE_SIZE})')} AS page_fetched_at
+    FROM ev_base WHERE event_type IN ({types})
+),
+items AS (SELECT *, {ITEM_SQL[kind]} AS item FROM lb)
+"""
+
+
+def landing_sql() -> dict[str, str]:
+    issue = _landing_ctes("issue_or_pr") + """
+SELECT repo AS repo_full_name, CAST(k AS BIGINT) AS number,
+       CASE WHEN value >= 100 THEN 'closed' ELSE 'open' END AS state,
+       'Item ' || CAST(k AS VARCHAR) || ' of ' || repo AS title,
+       CASE WHEN user_id % 10 = 0 THEN NULL ELSE 'user' || CAST(user_id AS VARCHAR) END AS user_login,
+       event_type IN ('signup', 'purchase') AS is_pull_request,
+       CASE WHEN k % 5 = 1 THEN false ELSE k % 19 = 0 END AS locked,
+       CASE WHEN k % 3 = 0 THEN []::VARCHAR[] WHEN k % 3 = 1 THEN ['bug'] ELSE ['bug', 'enhancement'] END AS labels,
+       CASE WHEN k % 4 = 0 THEN ['user' || CAST(user_id AS VARCHAR)] ELSE []::VARCHAR[] END AS assignees,
+       CAST(k % 23 AS BIGINT) AS comments,
+       iso_ts AS created_at, iso_upd AS updated_at,
+       CASE WHEN value >= 100 THEN iso_closed END AS closed_at,
+       page_fetched_at AS fetched_at, item AS raw_payload
+FROM items WHERE NOT (event_id % 41 = 0 OR event_id % 53 = 0)"""
+    commit = _landing_ctes("commit") + """
+SELECT repo AS repo_full_name, md5(CAST(k AS VARCHAR)) AS sha,
+       'Change ' || CAST(k AS VARCHAR) || ' in ' || repo || ' — fix' AS message,
+       CASE WHEN k % 7 = 0 THEN NULL ELSE 'user' || CAST(user_id AS VARCHAR) END AS author_login,
+       'user' || CAST(user_id AS VARCHAR) || '@example.com' AS author_email,
+       iso_auth AS authored_date,
+       CASE WHEN k % 2 = 0 THEN 'web-flow' ELSE 'user' || CAST(user_id AS VARCHAR) END AS committer_login,
+       CASE WHEN k % 11 = 0 THEN NULL WHEN k % 2 = 0 THEN 'noreply@example.com'
+            ELSE 'user' || CAST(user_id AS VARCHAR) || '@example.com' END AS committer_email,
+       CASE WHEN k % 11 = 0 THEN NULL ELSE iso_ts END AS committed_date,
+       CASE WHEN k % 10 = 0 THEN [md5(CAST(k + 100 AS VARCHAR)), md5(CAST(k + 200 AS VARCHAR))]
+            WHEN k % 10 = 5 THEN []::VARCHAR[] ELSE [md5(CAST(k + 100 AS VARCHAR))] END AS parents,
+       page_fetched_at AS fetched_at, item AS raw_payload
+FROM items WHERE NOT (event_id % 37 = 0 OR event_id % 31 = 0)"""
+    repo = _landing_ctes("repo_metadata") + """
+SELECT repo AS full_name, 'repo' || CAST(user_id % 12 AS VARCHAR) AS name,
+       'org' || CAST(user_id % 3 AS VARCHAR) AS owner_login,
+       CASE WHEN k % 6 = 0 OR k % 10 = 0 THEN NULL
+            ELSE 'Dépôt repo' || CAST(user_id % 12 AS VARCHAR) || ' rév ' || CAST(k AS VARCHAR) END AS description,
+       CAST(CASE WHEN k % 6 = 0 THEN 0 ELSE k * 10 END AS BIGINT) AS stargazers_count,
+       CAST(CASE WHEN k % 6 = 0 THEN 0 ELSE k END AS BIGINT) AS forks_count,
+       CAST(CASE WHEN k % 6 = 0 THEN 0 ELSE k % 17 END AS BIGINT) AS open_issues_count,
+       CAST(CASE WHEN k % 6 = 0 THEN 0 ELSE k * 10 END AS BIGINT) AS watchers_count,
+       CAST(CASE WHEN k % 6 = 0 THEN 0 ELSE user_id % 50 END AS BIGINT) AS subscribers_count,
+       CAST(CASE WHEN k % 6 = 0 THEN 0 ELSE k + user_id % 50 END AS BIGINT) AS network_count,
+       CASE WHEN k % 6 <> 0 AND k % 5 = 0 THEN 'master' ELSE 'main' END AS default_branch,
+       CASE WHEN k % 6 = 0 THEN NULL WHEN k % 4 = 0 THEN 'Python' WHEN k % 4 = 1 THEN 'Rust'
+            WHEN k % 4 = 2 THEN 'Go' END AS language,
+       CASE WHEN k % 6 = 0 OR k % 3 = 0 THEN NULL WHEN k % 3 = 1 THEN 'MIT' ELSE 'Apache-2.0' END AS license_spdx,
+       (k % 6 <> 0 AND k % 13 = 0) AS archived, false AS disabled, (k % 6 <> 0 AND k % 9 = 0) AS fork,
+       CASE WHEN k % 6 = 0 THEN NULL ELSE '2019-0' || CAST(user_id % 9 + 1 AS VARCHAR) || '-15T08:00:00Z' END
+           AS created_at,
+       CASE WHEN k % 6 = 0 THEN NULL ELSE iso_ts END AS updated_at,
+       CASE WHEN k % 6 = 0 OR k % 8 = 0 THEN NULL ELSE iso_push END AS pushed_at,
+       page_fetched_at AS fetched_at, item AS raw_payload
+FROM items WHERE NOT (event_id % 43 = 0 OR (k % 6 <> 0 AND event_id % 47 = 0))"""
+    rejects = []
+    for kind, reasons in (
+        ("issue_or_pr", "CASE WHEN event_id % 41 = 0 THEN 'missing:title' END, "
+                        "CASE WHEN event_id % 53 = 0 THEN 'null:comments' END"),
+        ("commit", "CASE WHEN event_id % 37 = 0 THEN 'missing:sha' END, "
+                   "CASE WHEN event_id % 31 = 0 THEN 'null:commit.message' END"),
+        ("repo_metadata", "CASE WHEN event_id % 43 = 0 THEN 'missing:owner' END, "
+                          "CASE WHEN k % 6 <> 0 AND event_id % 47 = 0 THEN 'null:stargazers_count' END"),
+    ):
+        rejects.append(f"""SELECT * FROM (
+{_landing_ctes(kind)}
+SELECT '{kind}' AS kind, repo AS repo_full_name, item AS raw_payload, concat_ws(';', {reasons}) AS reason
+FROM items) r{len(rejects)} WHERE reason <> ''""")
+    return {"landing_parse_issue": issue, "landing_parse_commit": commit, "landing_parse_repo": repo,
+            "landing_rejects": "\nUNION ALL\n".join(rejects)}

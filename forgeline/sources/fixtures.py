@@ -20,6 +20,7 @@ Projection (fixed values):
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from forgeline.functions.columns import ISO_UTC_PATTERN
 
@@ -144,3 +145,101 @@ def bronze_from_events_kind(events: DataFrame, kind: str) -> DataFrame:
 
 def bronze_from_events(events: DataFrame) -> dict[str, DataFrame]:
     return {kind: fn(events) for kind, fn in _KIND_FN.items()}
+
+
+# ---------------------------------------------------------------------------- landed JSON
+# GitHub-shaped item texts, written as engine-neutral SQL over the columns of
+# ``landing_base`` (k, repo, user_id, event_id, event_type, value and the ISO
+# strings iso_ts, iso_upd, iso_closed, iso_auth, iso_push). Compact JSON, no
+# whitespace, some non-ASCII text. Planted defects (by event_id) must land in
+# the quarantine: a missing title, a null comment count, a null owner, a null
+# star count, a null sha, a null commit message.
+ITEM_SQL = {
+    "issue_or_pr": """'{"number":' || CAST(k AS STRING)
+ || ',"state":"' || (CASE WHEN value >= 100 THEN 'closed' ELSE 'open' END) || '"'
+ || (CASE WHEN event_id % 41 = 0 THEN '' ELSE ',"title":"Item ' || CAST(k AS STRING) || ' of ' || repo || '"' END)
+ || ',"user":' || (CASE WHEN user_id % 10 = 0 THEN 'null' ELSE '{"login":"user' || CAST(user_id AS STRING) || '"}' END)
+ || (CASE WHEN event_type = 'signup' THEN ',"pull_request":{"url":"https://example.com/pr/' || CAST(k AS STRING) || '"}'
+          WHEN event_type = 'purchase' THEN ',"pull_request":null' ELSE '' END)
+ || (CASE WHEN k % 5 = 1 THEN '' ELSE ',"locked":' || (CASE WHEN k % 19 = 0 THEN 'true' ELSE 'false' END) END)
+ || ',"labels":' || (CASE WHEN k % 3 = 0 THEN '[]' WHEN k % 3 = 1 THEN '[{"name":"bug"}]'
+                         ELSE '[{"name":"bug","color":"d73a4a"},{"name":"enhancement"}]' END)
+ || (CASE WHEN k % 4 = 0 THEN ',"assignees":[{"login":"user' || CAST(user_id AS STRING) || '"}]'
+          WHEN k % 4 = 1 THEN '' ELSE ',"assignees":[]' END)
+ || ',"comments":' || (CASE WHEN event_id % 53 = 0 THEN 'null' ELSE CAST(k % 23 AS STRING) END)
+ || ',"created_at":"' || iso_ts || '","updated_at":"' || iso_upd || '"'
+ || ',"closed_at":' || (CASE WHEN value >= 100 THEN '"' || iso_closed || '"' ELSE 'null' END)
+ || '}'""",
+    "commit": """'{"sha":' || (CASE WHEN event_id % 37 = 0 THEN 'null' ELSE '"' || md5(CAST(k AS STRING)) || '"' END)
+ || ',"commit":{"message":' || (CASE WHEN event_id % 31 = 0 THEN 'null'
+                                      ELSE '"Change ' || CAST(k AS STRING) || ' in ' || repo || ' — fix"' END)
+ || ',"author":{"email":"user' || CAST(user_id AS STRING) || '@example.com","date":"' || iso_auth || '"}'
+ || ',"committer":' || (CASE WHEN k % 11 = 0 THEN 'null'
+                             ELSE '{"email":"' || (CASE WHEN k % 2 = 0 THEN 'noreply@example.com'
+                                                        ELSE 'user' || CAST(user_id AS STRING) || '@example.com' END)
+                                  || '","date":"' || iso_ts || '"}' END)
+ || '}'
+ || ',"author":' || (CASE WHEN k % 7 = 0 THEN 'null' ELSE '{"login":"user' || CAST(user_id AS STRING) || '"}' END)
+ || ',"committer":{"login":"' || (CASE WHEN k % 2 = 0 THEN 'web-flow' ELSE 'user' || CAST(user_id AS STRING) END) || '"}'
+ || ',"parents":' || (CASE WHEN k % 10 = 0 THEN '[{"sha":"' || md5(CAST(k + 100 AS STRING)) || '"},{"sha":"'
+                                                || md5(CAST(k + 200 AS STRING)) || '"}]'
+                           WHEN k % 10 = 5 THEN '[]'
+                           ELSE '[{"sha":"' || md5(CAST(k + 100 AS STRING)) || '","url":"u"}]' END)
+ || '}'""",
+    "repo_metadata": """'{"full_name":"' || repo || '","name":"repo' || CAST(user_id % 12 AS STRING) || '"'
+ || ',"owner":' || (CASE WHEN event_id % 43 = 0 THEN 'null' ELSE '{"login":"org' || CAST(user_id % 3 AS STRING) || '"}' END)
+ || (CASE WHEN k % 6 = 0 THEN '' ELSE
+        ',"description":' || (CASE WHEN k % 10 = 0 THEN 'null'
+                                   ELSE '"Dépôt repo' || CAST(user_id % 12 AS STRING) || ' rév ' || CAST(k AS STRING) || '"' END)
+     || ',"stargazers_count":' || (CASE WHEN event_id % 47 = 0 THEN 'null' ELSE CAST(k * 10 AS STRING) END)
+     || ',"forks_count":' || CAST(k AS STRING) || ',"open_issues_count":' || CAST(k % 17 AS STRING)
+     || ',"watchers_count":' || CAST(k * 10 AS STRING) || ',"subscribers_count":' || CAST(user_id % 50 AS STRING)
+     || ',"network_count":' || CAST(k + user_id % 50 AS STRING)
+     || ',"default_branch":"' || (CASE WHEN k % 5 = 0 THEN 'master' ELSE 'main' END) || '"'
+     || ',"language":' || (CASE WHEN k % 4 = 3 THEN 'null'
+                                ELSE '"' || (CASE WHEN k % 4 = 0 THEN 'Python' WHEN k % 4 = 1 THEN 'Rust' ELSE 'Go' END) || '"' END)
+     || ',"license":' || (CASE WHEN k % 3 = 0 THEN 'null'
+                               ELSE '{"key":"x","spdx_id":"' || (CASE WHEN k % 3 = 1 THEN 'MIT' ELSE 'Apache-2.0' END) || '"}' END)
+     || ',"archived":' || (CASE WHEN k % 13 = 0 THEN 'true' ELSE 'false' END)
+     || ',"disabled":false,"fork":' || (CASE WHEN k % 9 = 0 THEN 'true' ELSE 'false' END)
+     || ',"created_at":"2019-0' || CAST(user_id % 9 + 1 AS STRING) || '-15T08:00:00Z"'
+     || ',"updated_at":"' || iso_ts || '"'
+     || ',"pushed_at":' || (CASE WHEN k % 8 = 0 THEN 'null' ELSE '"' || iso_push || '"' END)
+   END)
+ || '}'""",
+}
+
+KIND_EVENT_TYPES = {"repo_metadata": REPO_EVENT_TYPES, "issue_or_pr": ISSUE_EVENT_TYPES,
+                    "commit": COMMIT_EVENT_TYPES}
+
+# Fixed value: items per landed page (the listing page size of the collector).
+PAGE_SIZE = 100
+
+
+def landing_base(events: DataFrame, kind: str) -> DataFrame:
+    return _base(events, KIND_EVENT_TYPES[kind]).selectExpr(
+        "*",
+        f"{_iso('ts')} AS iso_ts",
+        f"{_iso('ts + ' + _hours('k % 6'))} AS iso_upd",
+        f"{_iso('ts + ' + _hours('12'))} AS iso_closed",
+        f"{_iso('ts - ' + _hours('1'))} AS iso_auth",
+        f"{_iso('ts - ' + _hours('k % 5'))} AS iso_push",
+    )
+
+
+def landed_items(events: DataFrame, kind: str) -> DataFrame:
+    """One landed item per event: ``(repo_full_name, event_id, ts, payload)``."""
+    return landing_base(events, kind).selectExpr(
+        "repo AS repo_full_name", "event_id", "ts", f"{ITEM_SQL[kind]} AS payload")
+
+
+def landed_pages(events: DataFrame, kind: str) -> DataFrame:
+    """Items grouped into response pages of at most ``PAGE_SIZE`` items.
+
+    A page is one (repo, event_id block) group, so its size is bounded by
+    construction; the page is stamped with the landing time of its last item.
+    """
+    items = landed_items(events, kind)
+    return (items.groupBy("repo_full_name", (items.event_id / PAGE_SIZE).cast("bigint").alias("page_no"))
+            .agg(F.expr("'[' || array_join(collect_list(payload), ',') || ']'").alias("page"),
+                 F.max("ts").alias("fetched_at")))
