@@ -198,3 +198,21 @@ def q_landing_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
         rej = _landed(spark, sf_dir, kind)[1]
         parts.append(rej.select(F.lit(kind).alias("kind"), "repo_full_name", "raw_payload", "reason"))
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+# ------------------------------------------------------------------ Bronze storage
+from forgeline.session import work_path  # noqa: E402
+from forgeline.sources import bronze as _bronze  # noqa: E402
+
+BRONZE_RUN_ID = "run-0001"
+
+
+@register("bronze_roundtrip", oracle.bronze_roundtrip_sql(BRONZE_RUN_ID))
+def q_bronze_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the issue/PR records partitioned by landing date, read them back."""
+    from pyspark.sql import functions as F
+    root = work_path(spark, "bronze")
+    src = _fx.bronze_issue_or_pr(_events(spark, sf_dir))
+    _bronze.write_bronze(src, root, "issue_or_pr", partition_date=F.to_date(F.col("fetched_at")),
+                         run_id=BRONZE_RUN_ID)
+    return _bronze.read_bronze(spark, root, "issue_or_pr")

@@ -422,3 +422,13 @@ SELECT '{kind}' AS kind, repo AS repo_full_name, item AS raw_payload, concat_ws(
 FROM items) r{len(rejects)} WHERE reason <> ''""")
     return {"landing_parse_issue": issue, "landing_parse_commit": commit, "landing_parse_repo": repo,
             "landing_rejects": "\nUNION ALL\n".join(rejects)}
+
+
+def bronze_roundtrip_sql(run_id: str) -> str:
+    return f"""WITH {_BASE.strip()}, {_BRONZE_ISSUE.strip()}
+SELECT *, '{run_id}' AS run_id, split_part(repo_full_name, '/', 1) AS owner,
+       split_part(repo_full_name, '/', 2) AS repo,
+       CAST(year(CAST(fetched_at AS TIMESTAMP)) AS INTEGER) AS year,
+       CAST(month(CAST(fetched_at AS TIMESTAMP)) AS INTEGER) AS month,
+       CAST(day(CAST(fetched_at AS TIMESTAMP)) AS INTEGER) AS day
+FROM bronze_issue_or_pr"""

@@ -16,6 +16,7 @@ import datetime as _dt
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from forgeline import schemas
 
@@ -75,8 +76,8 @@ def read_bronze(spark: SparkSession, root: str, kind: str, fmt: str = "parquet")
     """Our layout: declared schema (no inference), partitions discovered from paths."""
     path = f"{root.rstrip('/')}/{kind}"
     schema = schemas.nullable(schemas.BRONZE_SCHEMAS[kind])
-    for name, dtype in (("run_id", "string"), ("owner", "string"), ("repo", "string"),
-                        ("year", "int"), ("month", "int"), ("day", "int")):
+    for name, dtype in (("run_id", T.StringType()), ("owner", T.StringType()), ("repo", T.StringType()),
+                        ("year", T.IntegerType()), ("month", T.IntegerType()), ("day", T.IntegerType())):
         schema = schema.add(name, dtype, True)
     return spark.read.schema(schema).option("basePath", path).format(fmt).load(path)
 
