@@ -21,6 +21,8 @@ from pyspark.sql import types as T
 from forgeline import schemas
 
 PARTITION_COLUMNS = ["owner", "repo", "year", "month", "day"]
+# Bulk loads: landing date only (owner/repo levels multiply small files at scale).
+DATE_PARTITIONS = ["year", "month", "day"]
 
 
 def with_partition_columns(df: DataFrame, kind: str, partition_date: Column | _dt.date | None = None,
@@ -48,7 +50,8 @@ def with_partition_columns(df: DataFrame, kind: str, partition_date: Column | _d
 
 
 def write_bronze(df: DataFrame, root: str, kind: str, partition_date: Column | _dt.date | None = None,
-                 run_id: str | None = None, mode: str = "append", fmt: str = "parquet") -> int:
+                 run_id: str | None = None, mode: str = "append", fmt: str = "parquet",
+                 partition_by: list[str] | None = None) -> int:
     """Append typed records of one kind; returns the number of rows written.
 
     An empty input writes no data file (a partitioned write creates no
@@ -62,23 +65,28 @@ def write_bronze(df: DataFrame, root: str, kind: str, partition_date: Column | _
     framed = with_partition_columns(df.select(*cols), kind, partition_date, run_id)
     obs = Observation(f"bronze_{kind}")
     counted = framed.observe(obs, F.count(F.lit(1)).alias("rows"))
-    (counted.hint("rebalance", *PARTITION_COLUMNS)
+    parts = partition_by or PARTITION_COLUMNS
+    (counted.hint("rebalance", *parts)
      .write.mode(mode)
      .format(fmt)
      .option("compression", "zstd")
      .option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*PARTITION_COLUMNS)
+     .partitionBy(*parts)
      .save(f"{root.rstrip('/')}/{kind}"))
     return int(obs.get.get("rows", 0) or 0)
 
 
-def read_bronze(spark: SparkSession, root: str, kind: str, fmt: str = "parquet") -> DataFrame:
+def read_bronze(spark: SparkSession, root: str, kind: str, fmt: str = "parquet",
+                partition_by: list[str] | None = None) -> DataFrame:
     """Our layout: declared schema (no inference), partitions discovered from paths."""
     path = f"{root.rstrip('/')}/{kind}"
     schema = schemas.nullable(schemas.BRONZE_SCHEMAS[kind])
-    for name, dtype in (("run_id", T.StringType()), ("owner", T.StringType()), ("repo", T.StringType()),
-                        ("year", T.IntegerType()), ("month", T.IntegerType()), ("day", T.IntegerType())):
-        schema = schema.add(name, dtype, True)
+    types = {"owner": T.StringType(), "repo": T.StringType(), "year": T.IntegerType(),
+             "month": T.IntegerType(), "day": T.IntegerType()}
+    parts = partition_by or PARTITION_COLUMNS
+    data_cols = [c for c in PARTITION_COLUMNS if c not in parts]
+    for name in ["run_id", *data_cols, *parts]:
+        schema = schema.add(name, types.get(name, T.StringType()), True)
     return spark.read.schema(schema).option("basePath", path).format(fmt).load(path)
 
 
