@@ -254,3 +254,24 @@ def q_backfill_daily_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = Models({kind: _bronze.read_bronze(spark, root, kind, partition_by=_bronze.DATE_PARTITIONS)
                 for kind in ("repo_metadata", "issue_or_pr", "commit")})
     return m.repo_daily_metrics()
+
+
+# ------------------------------------------------------------------ mart upsert
+from forgeline.operators import upsert as _upsert  # noqa: E402
+
+# The previous mart was built from records landed before this
+# instant, as of this date; the fresh rows are today's full snapshot.
+MART_PREVIOUS_CUT = "2024-01-15 00:00:00"
+MART_PREVIOUS_AS_OF = "2024-01-15"
+
+
+@register("upsert_repo_health", oracle.upsert_sql(MART_PREVIOUS_CUT, MART_PREVIOUS_AS_OF))
+def q_upsert_repo_health(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Previous mart version on disk, fresh health snapshot, merged with change flags."""
+    before = f"CAST(fetched_at AS TIMESTAMP_NTZ) < TIMESTAMP_NTZ '{MART_PREVIOUS_CUT}'"
+    previous_bronze = {k: f.where(before) for k, f in _fx.bronze_from_events(_events(spark, sf_dir)).items()}
+    previous = Models(previous_bronze, as_of=MART_PREVIOUS_AS_OF).repo_health_snapshot()
+    root = work_path(spark, "mart")
+    previous.write.mode("overwrite").parquet(f"{root}/v0")
+    fresh = Models.from_events(spark, sf_dir).repo_health_snapshot()
+    return _upsert.upsert_frame(spark.read.parquet(f"{root}/v0"), fresh, ["repo_full_name"])

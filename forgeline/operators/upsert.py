@@ -36,7 +36,6 @@ def _all_equal(cols: Sequence[str]) -> Column:
 def upsert_frame(current: DataFrame, fresh: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Merged table with a ``change_op`` column (see module doc)."""
     value_cols = [c for c in fresh.columns if c not in keys]
-    joined = fresh.alias("_new").join(current.alias("_old"), list(keys), "full_outer")
     new_present = F.col("_new_present").isNotNull()
     old_present = F.col("_old_present").isNotNull()
     joined = (fresh.withColumn("_new_present", F.lit(1)).alias("_new")

@@ -432,3 +432,39 @@ SELECT *, '{run_id}' AS run_id, split_part(repo_full_name, '/', 1) AS owner,
        CAST(month(CAST(fetched_at AS TIMESTAMP)) AS INTEGER) AS month,
        CAST(day(CAST(fetched_at AS TIMESTAMP)) AS INTEGER) AS day
 FROM bronze_issue_or_pr"""
+
+
+# --------------------------------------------------------------------------- upsert
+def upsert_sql(cut: str, as_of: str) -> str:
+    """Previous mart = health over records landed before ``cut`` as of ``as_of``."""
+    prev_models = []
+    for src, name in (("bronze_repo_metadata", "p_bronze_repo"), ("bronze_issue_or_pr", "p_bronze_issue"),
+                      ("bronze_commit", "p_bronze_commit")):
+        prev_models.append(f"{name} AS (SELECT * FROM {src} WHERE CAST(fetched_at AS TIMESTAMP) < TIMESTAMP '{cut}')")
+    prev = ",\n".join(prev_models)
+    stg = (_STAGING.replace("FROM bronze_repo_metadata", "FROM p_bronze_repo")
+           .replace("FROM bronze_issue_or_pr", "FROM p_bronze_issue")
+           .replace("FROM bronze_commit", "FROM p_bronze_commit"))
+    for t in ("stg_repo_metadata", "stg_issue_or_pr", "stg_commit"):
+        stg = stg.replace(f"{t} AS (", f"p_{t} AS (")
+    silver = _SILVER
+    for t in ("stg_repo_metadata", "stg_issue_or_pr", "stg_commit"):
+        silver = silver.replace(f"FROM {t}", f"FROM p_{t}")
+    for t in ("dim_repos", "fct_issues", "fct_pull_requests", "fct_commits"):
+        silver = silver.replace(f"{t} AS (", f"p_{t} AS (")
+    health = _gold_health(as_of, name="p_health", dim="p_dim_repos", issues="p_fct_issues",
+                          prs="p_fct_pull_requests", commits="p_fct_commits")
+    cols = ["repo_name", "owner_login", "description", "language", "license_spdx", "stargazers_count",
+            "forks_count", "open_issues_count", "watchers_count", "last_pushed_at", "recent_commits_28d",
+            "recent_prs_28d", "recent_issues_28d", "recent_authors_28d", "snapshot_at"]
+    picked = ",\n       ".join(f"CASE WHEN n.repo_full_name IS NOT NULL THEN n.{c} ELSE o.{c} END AS {c}"
+                               for c in cols)
+    same = " AND ".join(f"n.{c} IS NOT DISTINCT FROM o.{c}" for c in cols)
+    extra = f"{prev},\n{stg.strip()},\n{silver.strip()},\n{health.strip()}"
+    return with_models(f"""
+SELECT coalesce(n.repo_full_name, o.repo_full_name) AS repo_full_name,
+       {picked},
+       CASE WHEN o.repo_full_name IS NULL THEN 'insert'
+            WHEN n.repo_full_name IS NULL THEN 'retained'
+            WHEN {same} THEN 'unchanged' ELSE 'update' END AS change_op
+FROM repo_health_snapshot n FULL OUTER JOIN p_health o ON n.repo_full_name = o.repo_full_name""", extra)
