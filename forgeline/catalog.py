@@ -275,3 +275,55 @@ def q_upsert_repo_health(spark: SparkSession, sf_dir: str) -> DataFrame:
     previous.write.mode("overwrite").parquet(f"{root}/v0")
     fresh = Models.from_events(spark, sf_dir).repo_health_snapshot()
     return _upsert.upsert_frame(spark.read.parquet(f"{root}/v0"), fresh, ["repo_full_name"])
+
+
+# ------------------------------------------------------------------ streaming
+from forgeline.streaming import jobs as _stream  # noqa: E402
+
+STREAM_DELAY = "1 hour"
+_STREAM_KIND = ("CASE WHEN event_type = 'view' THEN 'repo_metadata' WHEN event_type = 'error' THEN 'commit' "
+                "ELSE 'issue_or_pr' END AS kind")
+
+
+def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The driver's ``events`` table read as a file stream (new files = new micro-batches)."""
+    schema = _events(spark, sf_dir).schema
+    return (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+            .option("maxFilesPerTrigger", 1).parquet(sf_dir))
+
+
+@register("stream_parse", _LANDING_SQL["landing_parse_issue"])
+def q_stream_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages landed as files by the collector, parsed by a checkpointed stream."""
+    root = work_path(spark, "stream-parse")
+    pages = _fx.landed_pages(_events(spark, sf_dir), "issue_or_pr")
+    pages.repartition(4, "repo_full_name").write.parquet(f"{root}/landing")
+    stream = spark.readStream.schema(spark.read.parquet(f"{root}/landing").schema) \
+        .option("maxFilesPerTrigger", 2).parquet(f"{root}/landing")
+    _stream.await_all(_stream.parse_stream(stream, "issue_or_pr", f"{root}/out", f"{root}/checkpoint"))
+    return spark.read.parquet(f"{root}/out/records").drop("batch_id", "ingest_seq")
+
+
+@register("stream_daily_counts", oracle.stream_counts_sql(STREAM_DELAY))
+def q_stream_daily_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = work_path(spark, "stream-counts")
+    records = _events_stream(spark, sf_dir).selectExpr(
+        "concat('org', CAST(user_id % 3 AS STRING), '/repo', CAST(user_id % 12 AS STRING)) AS repo_full_name",
+        _STREAM_KIND, "ts")
+    q = _stream.daily_counts_stream(records, "ts", ["repo_full_name", "kind"], f"{root}/out",
+                                    f"{root}/checkpoint", delay=STREAM_DELAY)
+    _stream.await_all(q)
+    return spark.read.parquet(f"{root}/out")
+
+
+@register("stream_latest_state", oracle.stream_latest_sql())
+def q_stream_latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = work_path(spark, "stream-latest")
+    stg = _staging.stg_issue_or_pr(_fx.bronze_issue_or_pr(_events_stream(spark, sf_dir))).select(
+        "repo_full_name", "number", "is_pull_request", "state", "title", "user_login", "created_at",
+        "closed_at", "fetched_at", "ingest_seq")
+    q = _stream.latest_state_stream(stg, ["repo_full_name", "number", "is_pull_request"],
+                                    ["fetched_at", "ingest_seq"], f"{root}/out", f"{root}/checkpoint",
+                                    redelivery_key=["ingest_seq"])
+    _stream.await_all(q)
+    return _stream.serving_view(spark, f"{root}/out", ["repo_full_name", "number", "is_pull_request"])

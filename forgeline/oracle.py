@@ -468,3 +468,32 @@ SELECT coalesce(n.repo_full_name, o.repo_full_name) AS repo_full_name,
             WHEN n.repo_full_name IS NULL THEN 'retained'
             WHEN {same} THEN 'unchanged' ELSE 'update' END AS change_op
 FROM repo_health_snapshot n FULL OUTER JOIN p_health o ON n.repo_full_name = o.repo_full_name""", extra)
+
+
+# --------------------------------------------------------------------------- streaming
+def stream_counts_sql(delay: str) -> str:
+    """Closed windows only: a day is emitted once ``day + 1 day <= max(ts) - delay``."""
+    n, unit = delay.split()
+    return f"""WITH {_BASE.strip()},
+r AS (SELECT repo AS repo_full_name,
+             CASE WHEN event_type = 'view' THEN 'repo_metadata' WHEN event_type = 'error' THEN 'commit'
+                  ELSE 'issue_or_pr' END AS kind,
+             ts FROM ev_base),
+wm AS (SELECT max(ts) - INTERVAL {n} {unit} AS watermark FROM r)
+SELECT repo_full_name, kind, CAST(ts AS DATE) AS day,
+       CAST(CAST(ts AS DATE) AS TIMESTAMP) AS window_start,
+       CAST(CAST(ts AS DATE) AS TIMESTAMP) + INTERVAL 1 DAY AS window_end,
+       CAST(count(*) AS BIGINT) AS records
+FROM r, wm
+WHERE CAST(CAST(ts AS DATE) AS TIMESTAMP) + INTERVAL 1 DAY <= wm.watermark
+GROUP BY ALL"""
+
+
+def stream_latest_sql() -> str:
+    return with_models("""
+SELECT repo_full_name, number, is_pull_request, state, title, user_login, created_at, closed_at, fetched_at,
+       ingest_seq
+FROM (SELECT *, row_number() OVER (PARTITION BY repo_full_name, number, is_pull_request
+                                   ORDER BY fetched_at DESC, ingest_seq DESC) AS rn
+      FROM stg_issue_or_pr) s
+WHERE rn = 1""")
