@@ -327,3 +327,27 @@ def q_stream_latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     redelivery_key=["ingest_seq"])
     _stream.await_all(q)
     return _stream.serving_view(spark, f"{root}/out", ["repo_full_name", "number", "is_pull_request"])
+
+
+# ------------------------------------------------------------------ features
+from forgeline.operators import anomaly as _anomaly  # noqa: E402
+from forgeline.operators import text_features as _text  # noqa: E402
+
+
+@register("anomaly_scores", oracle.anomaly_sql())
+def q_anomaly_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _anomaly.anomaly_scores(Models.from_events(spark, sf_dir).repo_daily_metrics())
+
+
+@register("title_term_weights", oracle.term_weights_sql())
+def q_title_term_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = Models.from_events(spark, sf_dir)
+    return _text.term_weights(_text.documents(*m.facts()))
+
+
+@register("title_vectors")
+def q_title_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sparse TF-IDF vectors (pyspark.ml); rows-only check (hashed feature indices)."""
+    m = Models.from_events(spark, sf_dir)
+    vec = _text.text_vectors(_text.documents(*m.facts()))
+    return vec.select("doc_kind", "repo_full_name", "doc_key", "features")

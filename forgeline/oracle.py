@@ -497,3 +497,48 @@ FROM (SELECT *, row_number() OVER (PARTITION BY repo_full_name, number, is_pull_
                                    ORDER BY fetched_at DESC, ingest_seq DESC) AS rn
       FROM stg_issue_or_pr) s
 WHERE rn = 1""")
+
+
+# --------------------------------------------------------------------------- features
+def anomaly_sql(window: int = 28, min_history: int = 7, threshold: float = 3.0) -> str:
+    metrics = ("commits", "prs_opened", "issues_opened")
+    longs = "\nUNION ALL ".join(f"SELECT repo_full_name, day, '{m}' AS metric, {m} AS value FROM filled"
+                                for m in metrics)
+    frame = f"(PARTITION BY repo_full_name, metric ORDER BY day ROWS BETWEEN {window} PRECEDING AND 1 PRECEDING)"
+    return with_models(f"""
+SELECT repo_full_name, day, metric, value, history_days,
+       round(mean, 6) AS baseline_mean, round(std, 6) AS baseline_std,
+       round(CASE WHEN history_days >= {min_history} AND std > 0 THEN (value - mean) / std END, 6) AS z_score,
+       coalesce(abs(CASE WHEN history_days >= {min_history} AND std > 0 THEN (value - mean) / std END)
+                >= {threshold}, false) AS is_anomaly
+FROM (SELECT *, CAST(count(value) OVER w AS BIGINT) AS history_days, avg(value) OVER w AS mean,
+             stddev_samp(value) OVER w AS std
+      FROM long WINDOW w AS {frame}) s""", f"""
+span AS (SELECT repo_full_name, min(day) AS lo, max(day) AS hi FROM repo_daily_metrics GROUP BY 1),
+days AS (SELECT repo_full_name, CAST(unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP),
+                                                           INTERVAL 1 DAY)) AS DATE) AS day FROM span),
+filled AS (SELECT d.repo_full_name, d.day,
+                  CAST(coalesce(m.commits, 0) AS BIGINT) AS commits,
+                  CAST(coalesce(m.prs_opened, 0) AS BIGINT) AS prs_opened,
+                  CAST(coalesce(m.issues_opened, 0) AS BIGINT) AS issues_opened
+           FROM days d LEFT JOIN repo_daily_metrics m USING (repo_full_name, day)),
+long AS ({longs})""")
+
+
+def term_weights_sql() -> str:
+    return with_models("""
+SELECT doc_kind, repo_full_name, doc_key, term, tf, df,
+       round(CASE WHEN norm > 0 THEN w / norm ELSE 0.0 END, 6) AS weight
+FROM (SELECT *, sqrt(sum(w * w) OVER (PARTITION BY doc_kind, repo_full_name, doc_key)) AS norm
+      FROM (SELECT t.*, d.df, t.tf * ln((n.n_docs + 1) / (d.df + 1)) AS w
+            FROM tf t JOIN dfreq d USING (term), (SELECT count(*) AS n_docs FROM docs) n) x) y""", """
+docs AS (
+    SELECT 'issue' AS doc_kind, repo_full_name, CAST(issue_number AS VARCHAR) AS doc_key, title AS text FROM fct_issues
+    UNION ALL SELECT 'pr', repo_full_name, CAST(pr_number AS VARCHAR), title FROM fct_pull_requests
+    UNION ALL SELECT 'commit', repo_full_name, sha, message FROM fct_commits
+),
+toks AS (SELECT doc_kind, repo_full_name, doc_key, unnest(string_split_regex(lower(text), '[^a-z0-9]+')) AS term
+         FROM docs),
+tf AS (SELECT doc_kind, repo_full_name, doc_key, term, CAST(count(*) AS BIGINT) AS tf FROM toks
+       WHERE term <> '' GROUP BY ALL),
+dfreq AS (SELECT term, CAST(count(*) AS BIGINT) AS df FROM tf GROUP BY term)""")
