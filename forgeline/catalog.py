@@ -351,3 +351,15 @@ def q_title_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = Models.from_events(spark, sf_dir)
     vec = _text.text_vectors(_text.documents(*m.facts()))
     return vec.select("doc_kind", "repo_full_name", "doc_key", "features")
+
+
+# ------------------------------------------------------------------ materialised build + serving read
+from forgeline.plans import materialize as _mat  # noqa: E402
+
+
+@register("materialized_health_by_stars", _MODEL_SQL["repo_health_snapshot"])
+def q_materialized_health_by_stars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Build all tables to the shared folder, then serve the overview list from the written gold table."""
+    root = work_path(spark, "build")
+    _mat.build(spark, Models.from_events(spark, sf_dir), root)
+    return serving.health_by_stars(_mat.read_model(spark, root, "repo_health_snapshot"))
