@@ -73,7 +73,11 @@ def write_bronze(df: DataFrame, root: str, kind: str, partition_date: Column | _
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(*parts)
      .save(f"{root.rstrip('/')}/{kind}"))
-    return int(obs.get.get("rows", 0) or 0)
+    try:
+        rows = obs.get.get("rows")
+    except Exception:  # noqa: BLE001 - an input Catalyst proves empty is pruned with its metrics
+        rows = None
+    return int(rows or 0)
 
 
 def read_bronze(spark: SparkSession, root: str, kind: str, fmt: str = "parquet",
