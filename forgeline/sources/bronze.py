@@ -40,9 +40,10 @@ def with_partition_columns(df: DataFrame, kind: str, partition_date: Column | _d
     out = df.withColumns({
         "owner": parts.getItem(0),
         "repo": parts.getItem(1),
-        "year": F.year(d),
-        "month": F.month(d),
-        "day": F.dayofmonth(d),
+        # zero-padded directory values: year=2024/month=01/day=05
+        "year": F.lpad(F.year(d).cast("string"), 4, "0"),
+        "month": F.lpad(F.month(d).cast("string"), 2, "0"),
+        "day": F.lpad(F.dayofmonth(d).cast("string"), 2, "0"),
     })
     if run_id is not None:
         out = out.withColumn("run_id", F.lit(run_id))

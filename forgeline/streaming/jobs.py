@@ -25,7 +25,16 @@ from pyspark.sql.streaming import StreamingQuery
 from forgeline.sources import landing
 
 
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def _start(df: DataFrame, checkpoint: str, trigger_once: bool, **kw) -> StreamingQuery:
+    # Keyed state (latest version per key) grows with the number of keys: keep it
+    # in RocksDB off the JVM heap unless the cluster already chose a provider.
+    spark = df.sparkSession
+    if not spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) or \
+            "HDFSBackedStateStoreProvider" in spark.conf.get("spark.sql.streaming.stateStore.providerClass"):
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     w = df.writeStream.option("checkpointLocation", checkpoint)
     for k, v in kw.items():
         w = getattr(w, k)(*v) if isinstance(v, tuple) else getattr(w, k)(v)
