@@ -80,3 +80,28 @@ def count_where(cond: Column) -> Column:
 
 def desc_all(cols: Iterable[str | Column]) -> list[Column]:
     return [col_(c).desc_nulls_last() for c in cols]
+
+
+def session_tz(spark) -> str:
+    return spark.conf.get("spark.sql.session.timeZone", "UTC") or "UTC"
+
+
+def utc_instant(c: str | Column, spark) -> Column:
+    """Naive UTC wall clock (``timestamp_ntz``) -> instant (``timestamp``), whatever the session zone.
+
+    A plain cast would read the wall clock in the session zone.
+    """
+    tz = session_tz(spark)
+    return F.convert_timezone(F.lit("UTC"), F.lit(tz), col_(c)).cast("timestamp")
+
+
+def utc_wall_clock(c: str | Column, spark) -> Column:
+    """Instant (``timestamp``) -> naive UTC wall clock (``timestamp_ntz``)."""
+    tz = session_tz(spark)
+    return F.convert_timezone(F.lit(tz), F.lit("UTC"), col_(c).cast("timestamp_ntz"))
+
+
+def ntz_literal(value) -> Column:
+    """A ``timestamp_ntz`` literal from text or a naive datetime (no zone conversion on the way)."""
+    text = value.isoformat(sep=" ") if hasattr(value, "isoformat") else str(value)
+    return F.lit(text).cast("timestamp_ntz")

@@ -19,13 +19,14 @@ grows with the data.
 
 from __future__ import annotations
 
-import datetime as _dt
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from forgeline.functions.columns import ntz_literal
+
 REPORT_COLUMNS = ["check_name", "table_name", "column_name", "failures"]
 
 
@@ -149,9 +150,7 @@ def _table_pass(df: DataFrame, checks: list[Check]) -> DataFrame:
             failures = F.when(share <= F.lit(ch.params[0]), 0).otherwise(F.col(f"_c{i}"))
         elif ch.kind == "fresh_within":
             as_of, max_age_hours = ch.params
-            if isinstance(as_of, str):
-                as_of = _dt.datetime.fromisoformat(as_of)
-            limit = F.lit(as_of).cast("timestamp_ntz") - F.make_dt_interval(
+            limit = ntz_literal(as_of) - F.make_dt_interval(
                 F.lit(0), F.lit(int(max_age_hours)), F.lit(0), F.lit(0))
             failures = F.when(F.col(f"_c{i}").isNotNull() & (F.col(f"_c{i}") >= limit), 0).otherwise(1)
         else:

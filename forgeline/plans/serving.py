@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from forgeline.functions.columns import parse_target_list
+from forgeline.functions.columns import ntz_literal, parse_target_list
 from forgeline.operators.joins import semi_join_keys
 
 SERIES_METRICS = ("commits", "prs_opened", "issues_opened")
@@ -70,9 +70,7 @@ def default_activity_series(daily: DataFrame, health: DataFrame, k: int = 5) ->
 
 def updated_since(df: DataFrame, since, column: str = "updated_at") -> DataFrame:
     """Rows changed at or after ``since`` (a UTC instant; default look-back applied by the caller)."""
-    if isinstance(since, str):
-        since = _dt.datetime.fromisoformat(since)
-    return df.filter(F.col(column) >= F.lit(since).cast("timestamp_ntz"))
+    return df.filter(F.col(column) >= ntz_literal(since))
 
 
 def look_back_start(as_of, days: int = 7) -> _dt.datetime:

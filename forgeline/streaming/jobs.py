@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from forgeline.functions.columns import utc_instant, utc_wall_clock
 from forgeline.sources import landing
 
 
@@ -58,15 +59,16 @@ def parse_stream(pages: DataFrame, kind: str, out: str, checkpoint: str,
 def daily_counts(events: DataFrame, time_col: str, keys: list[str], delay: str = "1 hour",
                  window: str = "1 day", slide: str | None = None) -> DataFrame:
     """Event-time window counts; the watermark column must be ``timestamp``
-    (not ``timestamp_ntz``), so naive UTC times are cast under the UTC session."""
-    ts = events.withColumn("_event_time", F.col(time_col).cast("timestamp")).withWatermark("_event_time", delay)
+    (not ``timestamp_ntz``), so naive UTC times become instants explicitly."""
+    spark = events.sparkSession
+    ts = events.withColumn("_event_time", utc_instant(time_col, spark)).withWatermark("_event_time", delay)
     win = F.window("_event_time", window, slide) if slide else F.window("_event_time", window)
     counted = ts.groupBy(win.alias("w"), *keys).agg(F.count(F.lit(1)).alias("records"))
     return counted.select(
         *keys,
-        F.to_date(F.col("w.start")).alias("day"),
-        F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-        F.col("w.end").cast("timestamp_ntz").alias("window_end"),
+        F.to_date(utc_wall_clock("w.start", spark)).alias("day"),
+        utc_wall_clock("w.start", spark).alias("window_start"),
+        utc_wall_clock("w.end", spark).alias("window_end"),
         F.col("records").cast("bigint").alias("records"),
     )
 
@@ -81,7 +83,8 @@ def daily_counts_stream(events: DataFrame, time_col: str, keys: list[str], out:
 def latest_state(records: DataFrame, keys: list[str], order: list[str], delay: str = "1 day",
                  redelivery_key: list[str] | None = None, time_col: str = "fetched_at") -> DataFrame:
     """Latest row per key as a streaming aggregation (update mode)."""
-    r = records.withColumn("_event_time", F.col(time_col).cast("timestamp")).withWatermark("_event_time", delay)
+    r = records.withColumn("_event_time", utc_instant(time_col, records.sparkSession)).withWatermark(
+        "_event_time", delay)
     if redelivery_key:
         r = r.dropDuplicatesWithinWatermark(redelivery_key)
     value_cols = [c for c in records.columns if c not in keys]
