@@ -118,6 +118,16 @@ def q_dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dq.quality_report(_model_tables(m), dq.declared_checks() + dq.added_checks())
 
 
+@register("dq_build_gate", oracle.report_sql(dq.declared_checks() + dq.added_checks()))
+def q_dq_build_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The build with its checks in DAG order (the declared checks all pass here,
+    so the fail-fast gate lets the build finish); the report of every layer."""
+    from forgeline.plans import materialize as mat
+    root = work_path(spark, "gated-build")
+    return mat.build_and_check(spark, Models.from_events(spark, sf_dir), root,
+                               dq.declared_checks() + dq.added_checks())
+
+
 @register("dq_extras_report", oracle.report_sql(_extra_checks()))
 def q_dq_extras_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dq.quality_report(_model_tables(Models.from_events(spark, sf_dir)), _extra_checks())

@@ -10,39 +10,103 @@ format whose package is installed plugs in by name).
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
+from forgeline.operators import quality as dq
 from forgeline.plans import gold
-from forgeline.plans.medallion import SILVER_MODELS, Models
+from forgeline.plans.medallion import SILVER_MODELS, STAGING_MODELS, Models
 
 # gold daily partitioned by day: serving filters on dates prune files
 PARTITIONING = {"repo_daily_metrics": ["day"]}
+# rows clustered by repo inside each file: Parquet min/max statistics then let a
+# repo filter skip row groups (the reference's "order by repo, day", kept for storage)
+CLUSTERING = {"repo_daily_metrics": ["repo_full_name"], "repo_health_snapshot": ["repo_full_name"]}
 
 
-def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> None:
+def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None,
+                cluster_by: list[str] | None = None) -> None:
+    if cluster_by:
+        df = df.sortWithinPartitions(*cluster_by)
     w = df.write.mode("overwrite").format(fmt).option("compression", "zstd")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)
 
 
+def register_views(models: Models, names: Sequence[str] = STAGING_MODELS) -> None:
+    """Staging models as temporary views (the reference materialises staging as views),
+    so SQL users can query ``stg_*`` by name; nothing is computed until queried."""
+    for name in names:
+        models.table(name).createOrReplaceTempView(name)
+
+
 def read_model(spark: SparkSession, root: str, name: str, fmt: str = "parquet") -> DataFrame:
     return spark.read.format(fmt).load(f"{root}/{name}")
 
 
-def build(spark: SparkSession, models: Models, root: str, fmt: str = "parquet", as_of=None) -> dict[str, str]:
-    """Write silver, then gold from the written silver. Returns name -> path."""
+def build_silver(models: Models, root: str, fmt: str = "parquet") -> dict[str, str]:
     paths = {}
     for name in SILVER_MODELS:
         paths[name] = f"{root}/{name}"
         write_table(models.silver(name), paths[name], fmt)
+    return paths
+
+
+def build_gold(spark: SparkSession, root: str, as_of, fmt: str = "parquet") -> dict[str, str]:
+    """Gold from the *written* silver tables (dedup windows are not re-run)."""
     s = {name: read_model(spark, root, name, fmt) for name in SILVER_MODELS}
     facts = (s["fct_issues"], s["fct_pull_requests"], s["fct_commits"])
     gold_frames = {
         "repo_daily_metrics": gold.repo_daily_metrics(*facts),
-        "repo_health_snapshot": gold.repo_health_snapshot(s["dim_repos"], *facts, as_of=as_of or models.as_of),
+        "repo_health_snapshot": gold.repo_health_snapshot(s["dim_repos"], *facts, as_of=as_of),
     }
+    paths = {}
     for name, df in gold_frames.items():
         paths[name] = f"{root}/{name}"
-        write_table(df, paths[name], fmt, PARTITIONING.get(name))
+        write_table(df, paths[name], fmt, PARTITIONING.get(name), CLUSTERING.get(name))
     return paths
+
+
+def build(spark: SparkSession, models: Models, root: str, fmt: str = "parquet", as_of=None) -> dict[str, str]:
+    """Write silver, then gold from the written silver. Returns name -> path."""
+    paths = build_silver(models, root, fmt)
+    paths.update(build_gold(spark, root, as_of or models.as_of, fmt))
+    return paths
+
+
+def build_and_check(spark: SparkSession, models: Models, root: str, checks: Sequence[dq.Check],
+                    fmt: str = "parquet", as_of=None, fail_fast: bool = True) -> DataFrame:
+    """``build`` with the data tests in DAG order: source and staging checks run
+    first (on the lazy inputs), silver checks run on the written silver tables
+    before gold is built, gold checks on the written gold tables. With
+    ``fail_fast`` the first failing layer stops the build (``QualityGateError``).
+    Returns the combined report (one row per check)."""
+    layers = [
+        ("input", ("repo_metadata", "issue_or_pr", "commit", *STAGING_MODELS)),
+        ("silver", SILVER_MODELS),
+        ("gold", ("repo_daily_metrics", "repo_health_snapshot")),
+    ]
+    reports: list[DataFrame] = []
+
+    def run(layer_tables: dict[str, DataFrame], names) -> None:
+        chosen = [c for c in checks if c.table in names]
+        if not chosen:
+            return
+        rep = dq.quality_report(layer_tables, chosen)
+        if fail_fast:
+            dq.enforce(rep)
+        reports.append(rep)
+
+    inputs = {k: models.bronze(k) for k in ("repo_metadata", "issue_or_pr", "commit")}
+    inputs.update({n: models.stg(n) for n in STAGING_MODELS})
+    run(inputs, layers[0][1])
+    silver_paths = build_silver(models, root, fmt)
+    run({n: read_model(spark, root, n, fmt) for n in silver_paths}, layers[1][1])
+    gold_paths = build_gold(spark, root, as_of or models.as_of, fmt)
+    run({n: read_model(spark, root, n, fmt) for n in gold_paths}, layers[2][1])
+    out = reports[0]
+    for r in reports[1:]:
+        out = out.unionByName(r)
+    return out

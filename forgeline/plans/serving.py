@@ -57,10 +57,12 @@ def select_repos(df: DataFrame, repos: str | Sequence[str] | DataFrame, column:
     return df.filter(F.col(column).isin(names))
 
 
-def activity_series(daily: DataFrame, repos: str | Sequence[str] | DataFrame) -> DataFrame:
-    """Daily counts of the selected repos, melted to ``(repo, day, metric, count)``."""
+def activity_series(daily: DataFrame, repos: str | Sequence[str] | DataFrame, ordered: bool = True) -> DataFrame:
+    """Daily counts of the selected repos, melted to ``(repo, day, metric, count)``,
+    in day order for the chart (the order is presentation; the selection is small)."""
     picked = select_repos(daily, repos).select("repo_full_name", "day", *SERIES_METRICS)
-    return picked.unpivot(["repo_full_name", "day"], list(SERIES_METRICS), "metric", "count")
+    melted = picked.unpivot(["repo_full_name", "day"], list(SERIES_METRICS), "metric", "count")
+    return melted.orderBy("day", "repo_full_name", "metric") if ordered else melted
 
 
 def default_activity_series(daily: DataFrame, health: DataFrame, k: int = 5) -> DataFrame:

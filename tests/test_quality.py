@@ -37,3 +37,29 @@ def test_gate_raises(frames):
     with pytest.raises(dq.QualityGateError):
         dq.enforce(rep)
     assert dq.enforce(dq.quality_report(frames, [dq.not_null("good", "k")])) == []
+
+
+def test_gate_stops_build_before_gold(spark, tmp_dir):
+    import os
+
+    from forgeline.plans import materialize
+    from forgeline.plans.medallion import Models
+    from tests.conftest import SF_SMALL
+
+    m = Models.from_events(spark, SF_SMALL)
+    checks = dq.declared_checks() + [dq.value_between("fct_commits", "parent_count", 5, 10)]
+    with pytest.raises(dq.QualityGateError):
+        materialize.build_and_check(spark, m, os.path.join(tmp_dir, "b"), checks)
+    # silver was built and checked; the failing silver check stopped the gold layer
+    assert os.path.isdir(os.path.join(tmp_dir, "b", "fct_commits"))
+    assert not os.path.isdir(os.path.join(tmp_dir, "b", "repo_daily_metrics"))
+
+
+def test_staging_views_are_queryable(spark):
+    from forgeline.plans import materialize
+    from forgeline.plans.medallion import Models
+    from tests.conftest import SF_SMALL
+
+    materialize.register_views(Models.from_events(spark, SF_SMALL))
+    n = spark.sql("SELECT count(*) AS n FROM stg_commit WHERE sha IS NOT NULL").collect()[0]["n"]
+    assert n > 0
