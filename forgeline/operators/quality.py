@@ -118,6 +118,10 @@ def _lit_row(check: Check, failures: Column) -> list[Column]:
             F.lit(check.column_label).alias("column_name"), failures.cast("bigint").alias("failures")]
 
 
+def _report_struct(check: Check, failures: Column) -> Column:
+    return F.struct(*_lit_row(check, failures))
+
+
 def _table_pass(df: DataFrame, checks: list[Check]) -> DataFrame:
     """All row-level and table-level checks of one table in one aggregation."""
     aggs: list[Column] = [F.count(F.lit(1)).alias("_n")]
@@ -137,7 +141,7 @@ def _table_pass(df: DataFrame, checks: list[Check]) -> DataFrame:
         else:
             raise ValueError(ch.kind)
     one = df.agg(*aggs)
-    rows = []
+    rows: list[Column] = []
     for i, ch in enumerate(checks):
         if ch.kind == "row_count_between":
             lo, hi = ch.params
@@ -155,11 +159,9 @@ def _table_pass(df: DataFrame, checks: list[Check]) -> DataFrame:
             failures = F.when(F.col(f"_c{i}").isNotNull() & (F.col(f"_c{i}") >= limit), 0).otherwise(1)
         else:
             failures = F.col(f"_c{i}")
-        rows.append(one.select(*_lit_row(ch, failures)))
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+        rows.append(_report_struct(ch, failures))
+    # one aggregate row fanned out into one report row per check (no re-aggregation per check)
+    return one.select(F.inline(F.array(*rows)))
 
 
 def _group_check(df: DataFrame, check: Check) -> DataFrame:
