@@ -344,6 +344,12 @@ from forgeline.operators import anomaly as _anomaly  # noqa: E402
 from forgeline.operators import text_features as _text  # noqa: E402
 
 
+def _title_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from forgeline.plans import silver as _silver
+    m = Models.from_events(spark, sf_dir)
+    return _text.documents_combined(_silver.issue_or_pr_latest(m.stg("stg_issue_or_pr")), m.silver("fct_commits"))
+
+
 @register("anomaly_scores", oracle.anomaly_sql())
 def q_anomaly_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _anomaly.anomaly_scores(Models.from_events(spark, sf_dir).repo_daily_metrics())
@@ -351,15 +357,13 @@ def q_anomaly_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("title_term_weights", oracle.term_weights_sql())
 def q_title_term_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = Models.from_events(spark, sf_dir)
-    return _text.term_weights(_text.documents(*m.facts()))
+    return _text.term_weights(_title_documents(spark, sf_dir))
 
 
 @register("title_vectors")
 def q_title_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sparse TF-IDF vectors (pyspark.ml); rows-only check (hashed feature indices)."""
-    m = Models.from_events(spark, sf_dir)
-    vec = _text.text_vectors(_text.documents(*m.facts()))
+    vec = _text.text_vectors(_title_documents(spark, sf_dir))
     return vec.select("doc_kind", "repo_full_name", "doc_key", "features")
 
 

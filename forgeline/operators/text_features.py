@@ -38,6 +38,15 @@ def documents(fct_issues: DataFrame, fct_prs: DataFrame, fct_commits: DataFrame)
                                                 "message AS text")))
 
 
+def documents_combined(issue_or_pr_latest: DataFrame, fct_commits: DataFrame) -> DataFrame:
+    """:func:`documents` from the one-pass issue/PR dedup (one scan and one shuffle for both kinds)."""
+    ip = issue_or_pr_latest.where("is_pull_request IS NOT NULL").selectExpr(
+        "CASE WHEN is_pull_request THEN 'pr' ELSE 'issue' END AS doc_kind", "repo_full_name",
+        "CAST(number AS STRING) AS doc_key", "title AS text")
+    return ip.unionByName(fct_commits.selectExpr("'commit' AS doc_kind", "repo_full_name", "sha AS doc_key",
+                                                 "message AS text"))
+
+
 def tokens(docs: DataFrame, doc_cols: Sequence[str], text_col: str = "text") -> DataFrame:
     words = F.explode(F.split(F.lower(F.col(text_col)), TOKEN_SPLIT)).alias("term")
     return docs.select(*doc_cols, words).filter(F.col("term") != "")
