@@ -118,3 +118,56 @@ def read_foreign_bronze(spark: SparkSession, root: str, kind: str) -> DataFrame:
         "day": F.regexp_extract(fp, _FOREIGN_PATH, 5).cast("int"),
         "run_id": F.regexp_extract(fp, _FOREIGN_PATH, 6),
     })
+
+
+class session_conf:
+    """Temporarily override SQL settings for the actions run inside the block.
+
+    Spark reads most settings when a query *executes*, so the override must
+    cover the action (write / collect), not only the DataFrame definition.
+    """
+
+    def __init__(self, spark: SparkSession, settings: dict[str, str]):
+        self.spark, self.settings, self.saved = spark, settings, {}
+
+    def __enter__(self):
+        for k, v in self.settings.items():
+            self.saved[k] = self.spark.conf.get(k, None)
+            self.spark.conf.set(k, v)
+        return self
+
+    def __exit__(self, *exc):
+        for k, v in self.saved.items():
+            if v is None:
+                self.spark.conf.unset(k)
+            else:
+                self.spark.conf.set(k, v)
+        return False
+
+
+def normalize_foreign_bronze(spark: SparkSession, src_root: str, kind: str, dst_root: str,
+                             partition_by: list[str] | None = None) -> int:
+    """One-off conversion of the collector's Bronze into our typed, Hive-partitioned layout.
+
+    The collector infers each file's schema from its values, so a file in which a
+    column was always null (``closed_at``) or always empty (``labels``) carries
+    a null-typed column; the vectorized Parquet reader refuses to read it under
+    the declared type. The row-based reader accepts it, so this job (and only
+    this job) runs with the vectorized reader off. The run id and landing date
+    come from each file's path. Returns the number of rows written.
+    """
+    cols = [f.name for f in schemas.BRONZE_SCHEMAS[kind].fields]
+    parts = partition_by or PARTITION_COLUMNS
+    with session_conf(spark, {"spark.sql.parquet.enableVectorizedReader": "false"}):
+        foreign = read_foreign_bronze(spark, src_root, kind).withColumn(
+            "_landing_date", F.make_date(F.col("year"), F.col("month"), F.col("day")))
+        framed = with_partition_columns(foreign.select(*cols, "run_id", "_landing_date"), kind,
+                                        F.col("_landing_date")).drop("_landing_date")
+        obs = Observation(f"normalize_{kind}")
+        (framed.observe(obs, F.count(F.lit(1)).alias("rows")).hint("rebalance", *parts)
+         .write.mode("append").option("compression", "zstd").partitionBy(*parts)
+         .parquet(f"{dst_root.rstrip('/')}/{kind}"))
+        try:
+            return int(obs.get.get("rows") or 0)
+        except Exception:  # noqa: BLE001 - an input proven empty is pruned with its metrics
+            return 0

@@ -117,3 +117,16 @@ def await_all(*queries: StreamingQuery) -> None:
         q.awaitTermination()
         if q.exception() is not None:
             raise RuntimeError(str(q.exception()))
+
+
+def rows_dropped_by_watermark(query: StreamingQuery) -> int:
+    """Late rows: input rows dropped by a stateful operator because they were older
+    than the watermark (summed over recent progress). Spark compares incoming rows
+    with the watermark of the *previous* micro-batch, so a row arriving in the very
+    batch where the watermark passes its window is still counted in that window."""
+    total = 0
+    for p in query.recentProgress:
+        for op in p.get("stateOperators", []) if isinstance(p, dict) else p.stateOperators:
+            total += int((op.get("numRowsDroppedByWatermark") if isinstance(op, dict)
+                          else op.numRowsDroppedByWatermark) or 0)
+    return total

@@ -111,3 +111,26 @@ def test_foreign_layout_reader(spark, tmp_dir):
     df = bronze.read_foreign_bronze(spark, tmp_dir, "commit")
     row = df.select("sha", "owner", "repo", "year", "month", "day", "run_id").collect()[0]
     assert tuple(row) == ("abc", "octo", "hello", 2024, 1, 5, "run42")
+
+
+def test_normalize_foreign_null_typed_columns(spark, tmp_dir):
+    """A collector file whose closed_at is always null and labels always empty (null-typed
+    Arrow columns) is read under the declared schema and landed in our layout."""
+    src = os.path.join(tmp_dir, "src", "issue_or_pr", "octo", "hello", "year=2024", "month=01", "day=05")
+    os.makedirs(src)
+    table = pa.table({
+        "repo_full_name": ["octo/hello"], "number": [1], "state": ["open"], "title": ["t"], "user_login": ["u"],
+        "is_pull_request": [False], "locked": [False], "labels": pa.array([[]], type=pa.list_(pa.null())),
+        "assignees": pa.array([[]], type=pa.list_(pa.null())), "comments": [0],
+        "created_at": ["2024-01-05T00:00:00Z"], "updated_at": ["2024-01-05T00:00:00Z"],
+        "closed_at": pa.array([None], type=pa.null()), "fetched_at": ["2024-01-05T01:00:00Z"],
+        "raw_payload": ["{}"],
+    })
+    pq.write_table(table, os.path.join(src, "run7.parquet"), compression="zstd")
+    dst = os.path.join(tmp_dir, "dst")
+    n = bronze.normalize_foreign_bronze(spark, os.path.join(tmp_dir, "src"), "issue_or_pr", dst)
+    assert n == 1
+    row = bronze.read_bronze(spark, dst, "issue_or_pr").collect()[0]
+    assert row["closed_at"] is None and row["labels"] == [] and row["run_id"] == "run7"
+    assert (row["owner"], row["repo"], row["year"], row["month"], row["day"]) == ("octo", "hello", 2024, 1, 5)
+    assert spark.conf.get("spark.sql.parquet.enableVectorizedReader") in ("true", None)

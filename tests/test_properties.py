@@ -90,3 +90,28 @@ def test_stream_restart_adds_nothing(spark, tmp_dir):
     expected, _ = __import__("forgeline.sources.landing", fromlist=["land"]).land(pages, "commit")
     assert got.count() == expected.count()
     assert got.exceptAll(expected.select(*got.columns)).count() == 0
+
+
+def test_late_rows_are_dropped_and_counted(spark, tmp_dir):
+    import datetime as dt
+
+    from forgeline.streaming import jobs
+
+    src = os.path.join(tmp_dir, "events")
+    schema = "repo_full_name string, kind string, ts timestamp_ntz"
+    on_time = [("o/a", "commit", dt.datetime(2024, 1, d, 12)) for d in range(1, 11)]
+    spark.createDataFrame(on_time, schema).coalesce(1).write.parquet(os.path.join(src, "f1"))
+    # Spark filters late rows against the *previous* batch's watermark: the row
+    # arriving one batch after the watermark moved is still merged, the next one is dropped
+    more = [("o/a", "commit", dt.datetime(2024, 1, 11, 12))]
+    spark.createDataFrame(more, schema).coalesce(1).write.parquet(os.path.join(src, "f2"))
+    late = [("o/a", "commit", dt.datetime(2024, 1, 1, 13))]
+    spark.createDataFrame(late, schema).coalesce(1).write.parquet(os.path.join(src, "f3"))
+    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+              .option("recursiveFileLookup", "true").parquet(src))
+    q = jobs.daily_counts_stream(stream, "ts", ["repo_full_name", "kind"], os.path.join(tmp_dir, "out"),
+                                 os.path.join(tmp_dir, "ck"), delay="1 hour")
+    jobs.await_all(q)
+    assert jobs.rows_dropped_by_watermark(q) == 1
+    days = {r["day"]: r["records"] for r in spark.read.parquet(os.path.join(tmp_dir, "out")).collect()}
+    assert days[dt.date(2024, 1, 1)] == 1          # the late row did not change a closed window
