@@ -43,34 +43,51 @@ def flatten_pages(pages: DataFrame, page_col: str = "page") -> DataFrame:
 
 
 # ------------------------------------------------------------------ rule helpers
-# Each item is parsed twice in total: once into the typed struct ``_j`` and once
-# into ``_m``, a map of its top-level keys to their raw JSON text (JSON null ->
-# NULL). Presence and null tests are map lookups, not further parses.
+# Two stages, both produced by generators (``inline`` of a one-element array) so
+# the optimizer can neither push the reject filter beneath a parse nor inline a
+# parse into each of the ~30 rule expressions:
+#
+# 1. every item: one typed parse ``_j`` and its top-level keys ``_k``
+#    (``json_object_keys`` skips nested values). A cheap *coarse* test over
+#    them, a superset of every reject rule, flags the items that may be bad;
+# 2. flagged items only: ``_m``, a map of top-level keys to raw JSON text, from
+#    which the exact reasons are named. Rejects are rare, so this parse is too.
 _MAP = "_m"
+_KEYS = "_k"
+_BAD = "_maybe_bad"
 
 
-def _with_parsed(landed: DataFrame, ddl: str) -> DataFrame:
-    """Parse once per item. The two parses are produced by a generator
-    (``inline`` of a one-element array): the optimizer cannot push the reject
-    filter beneath it or inline the parse into each of the ~30 rule
-    expressions, which would re-parse the JSON once per rule."""
+def _stage1(landed: DataFrame, ddl: str) -> DataFrame:
     parsed = F.struct(F.from_json(F.col(PAYLOAD), ddl).alias("_j"),
-                      F.from_json(F.col(PAYLOAD), "map<string,string>").alias(_MAP))
+                      F.json_object_keys(F.col(PAYLOAD)).alias(_KEYS))
     return landed.select("*", F.inline(F.array(parsed)))
 
 
+def _stage2(parsed: DataFrame, coarse: Column) -> DataFrame:
+    flagged = F.struct(coarse.alias(_BAD),
+                       F.when(coarse, F.from_json(F.col(PAYLOAD), "map<string,string>")).alias(_MAP))
+    return parsed.select("*", F.inline(F.array(flagged)))
+
+
 def _raw(key: str) -> Column:
-    """Top-level value of ``key`` as JSON text; NULL when absent *or* JSON null."""
+    """Top-level value of ``key`` as JSON text; NULL when absent *or* JSON null (stage 2)."""
     return F.col(_MAP)[key]
 
 
 def _present(key: str) -> Column:
-    return F.coalesce(F.map_contains_key(F.col(_MAP), F.lit(key)), F.lit(False))
+    return F.coalesce(F.array_contains(F.col(_KEYS), F.lit(key)), F.lit(False))
+
+
+def _any(conds: Sequence[Column]) -> Column:
+    out = F.lit(False)
+    for c in conds:
+        out = out | F.coalesce(c, F.lit(False))
+    return out
 
 
 def _reasons(*conds: tuple[Column, str]) -> Column:
     parts = [F.when(c, F.lit(r)) for c, r in conds]
-    return F.array_compact(F.array(*parts))
+    return F.when(F.col(_BAD), F.array_compact(F.array(*parts))).otherwise(F.array().cast("array<string>"))
 
 
 def _required(keys: Sequence[str]) -> list[tuple[Column, str]]:
@@ -86,9 +103,12 @@ def _typed(j: str, keys: Sequence[str]) -> list[tuple[Column, str]]:
     return [(_raw(k).isNotNull() & F.col(f"{j}.{k}").isNull(), f"type:{k}") for k in keys]
 
 
+def _bad_timestamp(c: Column) -> Column:
+    return c.isNotNull() & F.try_to_timestamp(c).isNull()
+
+
 def _timestamps(j: str, keys: Sequence[str]) -> list[tuple[Column, str]]:
-    return [(F.col(f"{j}.{k}").isNotNull() & F.try_to_timestamp(F.col(f"{j}.{k}")).isNull(), f"type:{k}")
-            for k in keys]
+    return [(_bad_timestamp(F.col(f"{j}.{k}")), f"type:{k}") for k in keys]
 
 
 def _list_items(j: str, key: str, field: str) -> tuple[Column, str]:
@@ -100,6 +120,16 @@ def _is_object() -> tuple[Column, str]:
     return (F.col(_MAP).isNull(), "malformed")
 
 
+def _coarse(j: str, required: Sequence[str], defaulted: Sequence[str], extra: Sequence[Column]) -> Column:
+    """Superset of the reject rules over stage-1 columns only: not an object, a
+    required field NULL after parsing (absent, JSON null or wrong type), a
+    present defaulted field NULL after parsing (JSON null or wrong type)."""
+    return _any([F.col(_KEYS).isNull(),
+                 *[F.col(f"{j}.{k}").isNull() for k in required],
+                 *[_present(k) & F.col(f"{j}.{k}").isNull() for k in defaulted],
+                 *extra])
+
+
 def _split(parsed: DataFrame, reasons: Column, good_cols: list[Column], keep: list[str]) -> tuple[DataFrame, DataFrame]:
     tagged = parsed.withColumn("_reasons", reasons)
     good = tagged.filter(F.size("_reasons") == 0).select(*good_cols)
@@ -125,16 +155,19 @@ def _default(c: Column, value) -> Column:
 def parse_repo_metadata(landed: DataFrame, fetched_col: str = "fetched_at") -> tuple[DataFrame, DataFrame]:
     """Repository payloads -> ``REPO_METADATA`` records and rejects."""
     j = "_j"
-    parsed = _with_parsed(landed, schemas.RAW_REPO_DDL)
     d = schemas.REPO_DEFAULTS
     defaulted = list(d)
+    stamps = ["created_at", "updated_at", "pushed_at"]
+    coarse = _coarse(j, ["full_name", "name", "owner.login"], defaulted,
+                     [_bad_timestamp(F.col(f"{j}.{k}")) for k in stamps])
+    parsed = _stage2(_stage1(landed, schemas.RAW_REPO_DDL), coarse)
     reasons = _reasons(
         _is_object(),
         *_required(["full_name", "name", "owner"]),
         (_raw("owner").isNotNull() & F.col(f"{j}.owner.login").isNull(), "missing:owner.login"),
         *_not_null_if_present(defaulted),
         *_typed(j, [k for k in defaulted]),
-        *_timestamps(j, ["created_at", "updated_at", "pushed_at"]),
+        *_timestamps(j, stamps),
     )
     good_cols = [
         F.col(f"{j}.full_name").alias("full_name"),
@@ -160,15 +193,20 @@ def parse_issue_or_pr(landed: DataFrame, repo_col: str = "repo_full_name",
                       fetched_col: str = "fetched_at") -> tuple[DataFrame, DataFrame]:
     """Issue / pull request payloads of one repo -> ``ISSUE_OR_PR`` records and rejects."""
     j = "_j"
-    parsed = _with_parsed(landed, schemas.RAW_ISSUE_DDL)
+    required = ["number", "state", "title", "created_at", "updated_at"]
+    defaulted = ["locked", "labels", "assignees", "comments"]
+    stamps = ["created_at", "updated_at", "closed_at"]
+    lists = [_list_items(j, "labels", "name"), _list_items(j, "assignees", "login")]
+    coarse = _coarse(j, required, defaulted,
+                     [c for c, _ in lists] + [_bad_timestamp(F.col(f"{j}.{k}")) for k in stamps])
+    parsed = _stage2(_stage1(landed, schemas.RAW_ISSUE_DDL), coarse)
     reasons = _reasons(
         _is_object(),
-        *_required(["number", "state", "title", "created_at", "updated_at"]),
-        *_not_null_if_present(["locked", "labels", "assignees", "comments"]),
-        *_typed(j, ["number", "locked", "comments"]),
-        _list_items(j, "labels", "name"),
-        _list_items(j, "assignees", "login"),
-        *_timestamps(j, ["created_at", "updated_at", "closed_at"]),
+        *_required(required),
+        *_not_null_if_present(defaulted),
+        *_typed(j, ["number", "locked", "labels", "assignees", "comments"]),
+        *lists,
+        *_timestamps(j, stamps),
     )
     empty = F.array().cast("array<string>")
     good_cols = [
@@ -195,7 +233,12 @@ def parse_commit(landed: DataFrame, repo_col: str = "repo_full_name",
                  fetched_col: str = "fetched_at") -> tuple[DataFrame, DataFrame]:
     """Commit payloads of one repo -> ``COMMIT`` records and rejects."""
     j = "_j"
-    parsed = _with_parsed(landed, schemas.RAW_COMMIT_DDL)
+    dates = [F.col(f"{j}.commit.author.date"), F.col(f"{j}.commit.committer.date")]
+    # coarse: a commit object whose message parsed to NULL (absent is fine, so stage 2 decides)
+    msg_maybe_null = F.col(f"{j}.commit").isNotNull() & F.col(f"{j}.commit.message").isNull()
+    coarse = _coarse(j, ["sha"], ["parents"],
+                     [msg_maybe_null, _list_items(j, "parents", "sha")[0], *[_bad_timestamp(c) for c in dates]])
+    parsed = _stage2(_stage1(landed, schemas.RAW_COMMIT_DDL), coarse)
     # "commit" may be absent or null (then {}), but a present "message" must not be null
     commit_present_null_msg = (_raw("commit").isNotNull()
                                & F.coalesce(F.array_contains(
@@ -206,11 +249,10 @@ def parse_commit(landed: DataFrame, repo_col: str = "repo_full_name",
         *_required(["sha"]),
         (commit_present_null_msg, "null:commit.message"),
         *_not_null_if_present(["parents"]),
+        *_typed(j, ["parents"]),
         _list_items(j, "parents", "sha"),
-        (F.col(f"{j}.commit.author.date").isNotNull()
-         & F.try_to_timestamp(F.col(f"{j}.commit.author.date")).isNull(), "type:commit.author.date"),
-        (F.col(f"{j}.commit.committer.date").isNotNull()
-         & F.try_to_timestamp(F.col(f"{j}.commit.committer.date")).isNull(), "type:commit.committer.date"),
+        (_bad_timestamp(dates[0]), "type:commit.author.date"),
+        (_bad_timestamp(dates[1]), "type:commit.committer.date"),
     )
     good_cols = [
         F.col(repo_col).alias("repo_full_name"),
