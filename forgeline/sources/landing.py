@@ -131,7 +131,10 @@ def _coarse(j: str, required: Sequence[str], defaulted: Sequence[str], extra: Se
 
 
 def _split(parsed: DataFrame, reasons: Column, good_cols: list[Column], keep: list[str]) -> tuple[DataFrame, DataFrame]:
-    tagged = parsed.withColumn("_reasons", reasons)
+    return split_tagged(parsed.withColumn("_reasons", reasons), good_cols, keep)
+
+
+def split_tagged(tagged: DataFrame, good_cols: list[Column], keep: list[str]) -> tuple[DataFrame, DataFrame]:
     good = tagged.filter(F.size("_reasons") == 0).select(*good_cols)
     rejected = tagged.filter(F.size("_reasons") > 0).select(
         *keep, F.col(PAYLOAD).alias("raw_payload"), F.array_join("_reasons", ";").alias("reason"))
@@ -152,7 +155,7 @@ def _default(c: Column, value) -> Column:
 
 
 # ------------------------------------------------------------------ mappers
-def parse_repo_metadata(landed: DataFrame, fetched_col: str = "fetched_at") -> tuple[DataFrame, DataFrame]:
+def parse_repo_metadata(landed: DataFrame, fetched_col: str = "fetched_at", pieces: bool = False):
     """Repository payloads -> ``REPO_METADATA`` records and rejects."""
     j = "_j"
     d = schemas.REPO_DEFAULTS
@@ -186,11 +189,13 @@ def parse_repo_metadata(landed: DataFrame, fetched_col: str = "fetched_at") -> t
         *_landing_cols(fetched_col),
     ]
     keep = [c for c in landed.columns if c != PAYLOAD]
+    if pieces:
+        return parsed.withColumn("_reasons", reasons), good_cols, keep
     return _split(parsed, reasons, good_cols, keep)
 
 
 def parse_issue_or_pr(landed: DataFrame, repo_col: str = "repo_full_name",
-                      fetched_col: str = "fetched_at") -> tuple[DataFrame, DataFrame]:
+                      fetched_col: str = "fetched_at", pieces: bool = False):
     """Issue / pull request payloads of one repo -> ``ISSUE_OR_PR`` records and rejects."""
     j = "_j"
     required = ["number", "state", "title", "created_at", "updated_at"]
@@ -226,11 +231,13 @@ def parse_issue_or_pr(landed: DataFrame, repo_col: str = "repo_full_name",
         *_landing_cols(fetched_col),
     ]
     keep = [c for c in landed.columns if c != PAYLOAD]
+    if pieces:
+        return parsed.withColumn("_reasons", reasons), good_cols, keep
     return _split(parsed, reasons, good_cols, keep)
 
 
 def parse_commit(landed: DataFrame, repo_col: str = "repo_full_name",
-                 fetched_col: str = "fetched_at") -> tuple[DataFrame, DataFrame]:
+                 fetched_col: str = "fetched_at", pieces: bool = False):
     """Commit payloads of one repo -> ``COMMIT`` records and rejects."""
     j = "_j"
     dates = [F.col(f"{j}.commit.author.date"), F.col(f"{j}.commit.committer.date")]
@@ -269,16 +276,28 @@ def parse_commit(landed: DataFrame, repo_col: str = "repo_full_name",
         *_landing_cols(fetched_col),
     ]
     keep = [c for c in landed.columns if c != PAYLOAD]
+    if pieces:
+        return parsed.withColumn("_reasons", reasons), good_cols, keep
     return _split(parsed, reasons, good_cols, keep)
 
 
 PARSERS = {
-    "repo_metadata": lambda df: parse_repo_metadata(df),
-    "issue_or_pr": lambda df: parse_issue_or_pr(df),
-    "commit": lambda df: parse_commit(df),
+    "repo_metadata": parse_repo_metadata,
+    "issue_or_pr": parse_issue_or_pr,
+    "commit": parse_commit,
 }
 
 
 def land(pages: DataFrame, kind: str) -> tuple[DataFrame, DataFrame]:
-    """Pages of one record kind -> (typed records, rejects)."""
+    """Pages of one record kind -> (typed records, rejects).
+
+    Each output is its own plan over the pages: writing both re-parses the
+    input. To write both from one parse, use :func:`land_tagged`, persist the
+    tagged frame and split it with :func:`split_tagged`.
+    """
     return PARSERS[kind](flatten_pages(pages))
+
+
+def land_tagged(pages: DataFrame, kind: str) -> tuple[DataFrame, list[Column], list[str]]:
+    """Parsed items with their reject reasons, plus what :func:`split_tagged` needs."""
+    return PARSERS[kind](flatten_pages(pages), pieces=True)

@@ -18,6 +18,7 @@ column), write through checkpointed sinks, and run either continuously or as
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -47,11 +48,19 @@ def _start(df: DataFrame, checkpoint: str, trigger_once: bool, **kw) -> Streamin
 # ------------------------------------------------------------------ B1: parse
 def parse_stream(pages: DataFrame, kind: str, out: str, checkpoint: str,
                  trigger_once: bool = True) -> StreamingQuery:
-    """Streaming landing: ``pages`` is a streaming frame of landed pages."""
+    """Streaming landing: ``pages`` is a streaming frame of landed pages.
+
+    Each micro-batch is parsed once: the tagged items are persisted (memory,
+    spilling to disk) for the two writes, then released."""
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        good, rejected = landing.land(batch, kind)
-        good.write.mode("overwrite").parquet(f"{out}/records/batch_id={batch_id}")
-        rejected.write.mode("overwrite").parquet(f"{out}/rejects/batch_id={batch_id}")
+        tagged, good_cols, keep = landing.land_tagged(batch, kind)
+        tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            good, rejected = landing.split_tagged(tagged, good_cols, keep)
+            good.write.mode("overwrite").parquet(f"{out}/records/batch_id={batch_id}")
+            rejected.write.mode("overwrite").parquet(f"{out}/rejects/batch_id={batch_id}")
+        finally:
+            tagged.unpersist()
     return _start(pages, checkpoint, trigger_once, foreachBatch=per_batch)
 
 
