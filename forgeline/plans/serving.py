@@ -41,7 +41,7 @@ def top_repos(health: DataFrame, k: int = 5) -> DataFrame:
     """
     top = health_by_stars(health).limit(k).select("repo_full_name", "stargazers_count")
     w = Window.orderBy(F.col("stargazers_count").desc_nulls_last(), F.col("repo_full_name").asc())
-    return top.withColumn("star_rank", F.row_number().over(w))
+    return top.withColumn("star_rank", F.row_number().over(w).cast("bigint"))
 
 
 def select_repos(df: DataFrame, repos: str | Sequence[str] | DataFrame, column: str = "repo_full_name") -> DataFrame:

@@ -63,3 +63,31 @@ def test_staging_views_are_queryable(spark):
     materialize.register_views(Models.from_events(spark, SF_SMALL))
     n = spark.sql("SELECT count(*) AS n FROM stg_commit WHERE sha IS NOT NULL").collect()[0]["n"]
     assert n > 0
+
+
+def _planted(spark, check):
+    """A tiny frame for ``check.table`` holding one row that must fail the check."""
+    cols = list(check.columns)
+    if check.kind == "not_null":
+        rows = [("x",), (None,)]
+    elif check.kind == "unique":
+        rows = [("x",), ("x",)]
+    elif check.kind == "accepted_values":
+        rows = [("open",), ("merged",)]
+    elif check.kind == "unique_combination":
+        rows = [tuple("x" for _ in cols)] * 2
+    else:
+        raise AssertionError(check.kind)
+    schema = ", ".join(f"{c} string" for c in cols)
+    return spark.createDataFrame(rows, schema)
+
+
+@pytest.mark.parametrize("check", dq.declared_checks() + dq.added_checks(), ids=lambda c: c.name)
+def test_every_declared_check_fails_on_planted_row(spark, check):
+    report = dq.quality_report({check.table: _planted(spark, check)}, [check]).collect()
+    assert len(report) == 1 and report[0]["failures"] >= 1
+    assert (report[0]["check_name"], report[0]["table_name"]) == (check.kind, check.table)
+
+
+def test_declared_check_count():
+    assert len(dq.declared_checks()) == 29
