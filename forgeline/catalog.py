@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from forgeline import oracle
-from forgeline.plans.medallion import Models
+from forgeline.plans.medallion import DEFAULT_AS_OF, Models
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -76,7 +76,9 @@ def q_target_repo_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("since_filter", _SERVING_SQL["since_filter"])
 def q_since_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     stg = Models.from_events(spark, sf_dir).stg("stg_issue_or_pr")
-    return serving.updated_since(stg, oracle.SINCE).select(
+    # the collector's default look-back: seven days before the run date
+    since = serving.look_back_start(DEFAULT_AS_OF, days=7)
+    return serving.updated_since(stg, since).select(
         "repo_full_name", "number", "state", "is_pull_request", "updated_at", "ingest_seq")
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,18 +13,6 @@ def col_(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def iso_utc(c: str | Column) -> Column:
-    """Naive UTC timestamp -> ISO string with ``Z`` as landed in Bronze."""
-    return F.date_format(col_(c), ISO_UTC_PATTERN)
-
-
-def to_ts(c: str | Column) -> Column:
-    """``cast(x as timestamp)`` of the staging models.
-
-    Bronze timestamps are naive UTC; ``timestamp_ntz`` keeps the wall-clock value
-    regardless of the session zone (a zoned ``timestamp`` would shift offsets).
-    """
-    return col_(c).cast("timestamp_ntz")
 
 
 def day_of(c: str | Column) -> Column:
@@ -43,13 +29,6 @@ def trailing_start(as_of, days: int = 28) -> Column:
     return F.date_sub(F.lit(as_of).cast("date"), days).cast("timestamp_ntz")
 
 
-def owner_of(full_name: str | Column) -> Column:
-    """Owner part of ``owner/repo`` (split once, on the first slash)."""
-    return F.split(col_(full_name), "/", 2).getItem(0)
-
-
-def repo_of(full_name: str | Column) -> Column:
-    return F.split(col_(full_name), "/", 2).getItem(1)
 
 
 def zero_if_null(c: str | Column) -> Column:
@@ -78,9 +57,6 @@ def count_where(cond: Column) -> Column:
     return F.count_if(cond).cast("bigint")
 
 
-def desc_all(cols: Iterable[str | Column]) -> list[Column]:
-    return [col_(c).desc_nulls_last() for c in cols]
-
 
 def session_tz(spark) -> str:
     return spark.conf.get("spark.sql.session.timeZone", "UTC") or "UTC"

@@ -16,11 +16,3 @@ def payload_fields(df: DataFrame, fields: dict[str, tuple[str, str]], payload: s
         name: F.get_json_object(F.col(payload), path).cast(dtype) for name, (path, dtype) in fields.items()
     })
 
-
-def json_keys(c: str) -> F.Column:
-    """Top-level keys of a JSON object text (present even when the value is null)."""
-    return F.json_object_keys(F.col(c))
-
-
-def has_key(c: str, key: str) -> F.Column:
-    return F.coalesce(F.array_contains(F.json_object_keys(F.col(c)), F.lit(key)), F.lit(False))

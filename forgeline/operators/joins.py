@@ -13,14 +13,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-def estimated_size_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of the optimized plan (None when unknown)."""
-    try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(str(stats.sizeInBytes()))
-    except Exception:  # noqa: BLE001 - statistics are advisory
-        return None
-
 
 def bounded_rows(df: DataFrame) -> int | None:
     """A row bound proven by the plan (e.g. ``limit``), if Catalyst knows one."""

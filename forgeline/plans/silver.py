@@ -10,7 +10,6 @@ and it does not ride through the shuffle.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from forgeline.operators.dedup import latest_by_fetch
 

@@ -99,3 +99,26 @@ def test_parent_count_null_array(spark):
     m = _models(spark, commits=[_commit("o/a", "s", parents=None), _commit("o/a", "t", parents=(), seq=2)])
     counts = {r["sha"]: r["parent_count"] for r in m.silver("fct_commits").collect()}
     assert counts == {"s": None, "t": 0}
+
+
+def test_published_column_order(spark):
+    """Silver and gold columns, in the order the reference models select them."""
+    from forgeline.plans import silver
+    from forgeline.plans.medallion import Models
+    from tests.conftest import SF_SMALL
+
+    m = Models.from_events(spark, SF_SMALL)
+    assert m.silver("dim_repos").columns == silver.DIM_REPOS_COLUMNS
+    assert m.silver("fct_issues").columns == silver.FCT_ISSUES_COLUMNS
+    assert m.silver("fct_pull_requests").columns == silver.FCT_PRS_COLUMNS
+    assert m.silver("fct_commits").columns == silver.FCT_COMMITS_COLUMNS
+    assert m.repo_daily_metrics().columns == gold.DAILY_COLUMNS
+    assert m.repo_daily_metrics_joined().columns == gold.DAILY_COLUMNS
+    assert m.repo_health_snapshot().columns == gold.HEALTH_COLUMNS
+
+
+def test_report_columns(spark):
+    from forgeline.operators import quality as dq
+
+    df = spark.createDataFrame([("a",)], "k string")
+    assert dq.quality_report({"t": df}, [dq.not_null("t", "k")]).columns == dq.REPORT_COLUMNS
