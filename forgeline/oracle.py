@@ -484,8 +484,8 @@ SELECT repo_full_name, kind, CAST(ts AS DATE) AS day,
        CAST(CAST(ts AS DATE) AS TIMESTAMP) AS window_start,
        CAST(CAST(ts AS DATE) AS TIMESTAMP) + INTERVAL 1 DAY AS window_end,
        CAST(count(*) AS BIGINT) AS records
-FROM r, wm
-WHERE CAST(CAST(ts AS DATE) AS TIMESTAMP) + INTERVAL 1 DAY <= wm.watermark
+FROM r
+WHERE CAST(CAST(ts AS DATE) AS TIMESTAMP) + INTERVAL 1 DAY <= (SELECT watermark FROM wm)
 GROUP BY ALL"""
 
 
@@ -530,8 +530,8 @@ def term_weights_sql() -> str:
 SELECT doc_kind, repo_full_name, doc_key, term, tf, df,
        round(CASE WHEN norm > 0 THEN w / norm ELSE 0.0 END, 6) AS weight
 FROM (SELECT *, sqrt(sum(w * w) OVER (PARTITION BY doc_kind, repo_full_name, doc_key)) AS norm
-      FROM (SELECT t.*, d.df, t.tf * ln((n.n_docs + 1) / (d.df + 1)) AS w
-            FROM tf t JOIN dfreq d USING (term), (SELECT count(*) AS n_docs FROM docs) n) x) y""", """
+      FROM (SELECT t.*, d.df, t.tf * ln(((SELECT count(*) FROM docs) + 1) / (d.df + 1)) AS w
+            FROM tf t JOIN dfreq d USING (term)) x) y""", """
 docs AS (
     SELECT 'issue' AS doc_kind, repo_full_name, CAST(issue_number AS VARCHAR) AS doc_key, title AS text FROM fct_issues
     UNION ALL SELECT 'pr', repo_full_name, CAST(pr_number AS VARCHAR), title FROM fct_pull_requests
