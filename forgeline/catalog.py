@@ -10,9 +10,26 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from forgeline import oracle
+from forgeline.functions.json import payload_fields
+from forgeline.operators import anomaly as _anomaly
+from forgeline.operators import quality as dq
+from forgeline.operators import text_features as _text
+from forgeline.operators import upsert as _upsert
+from forgeline.plans import incremental as _inc
+from forgeline.plans import materialize as _mat
+from forgeline.plans import serving, silver
+from forgeline.plans import staging as _staging
 from forgeline.plans.medallion import DEFAULT_AS_OF, Models
+from forgeline.session import work_path
+from forgeline.sources import bronze as _bronze
+from forgeline.sources import fixtures as _fx
+from forgeline.sources import landing
+from forgeline.sources.tables import events as _events
+from forgeline.sources.tables import read_table
+from forgeline.streaming import jobs as _stream
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -45,8 +62,6 @@ for _name in ("stg_repo_metadata", "stg_issue_or_pr", "stg_commit",
 
 
 # ------------------------------------------------------------------ serving
-from forgeline.plans import serving  # noqa: E402
-from forgeline.operators import quality as dq  # noqa: E402
 
 _SERVING_SQL = oracle.serving_sql()
 
@@ -84,7 +99,6 @@ def q_since_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("json_field_extract", _SERVING_SQL["json_field_extract"])
 def q_json_field_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from forgeline.functions.json import payload_fields
     stg = Models.from_events(spark, sf_dir).stg("stg_repo_metadata")
     return payload_fields(stg, {"payload_stars": ("$.stargazers_count", "bigint"),
                                 "payload_id": ("$.id", "bigint"),
@@ -124,9 +138,8 @@ def q_dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_dq_build_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The build with its checks in DAG order (the declared checks all pass here,
     so the fail-fast gate lets the build finish); the report of every layer."""
-    from forgeline.plans import materialize as mat
     root = work_path(spark, "gated-build")
-    return mat.build_and_check(spark, Models.from_events(spark, sf_dir), root,
+    return _mat.build_and_check(spark, Models.from_events(spark, sf_dir), root,
                                dq.declared_checks() + dq.added_checks())
 
 
@@ -170,15 +183,11 @@ def q_dq_unique_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT l_orderkey, l_linenumber, count(*) AS n_records FROM lineitem
 GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""")
 def q_dq_unique_combination_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from forgeline.sources.tables import read_table
     li = read_table(spark, sf_dir, "lineitem")
     return dq.failing_rows(li, dq.unique_combination("lineitem", ["l_orderkey", "l_linenumber"]))
 
 
 # ------------------------------------------------------------------ landing
-from forgeline.sources import fixtures as _fx  # noqa: E402
-from forgeline.sources import landing  # noqa: E402
-from forgeline.sources.tables import events as _events  # noqa: E402
 
 _LANDING_SQL = oracle.landing_sql()
 
@@ -204,7 +213,6 @@ def q_landing_parse_repo(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("landing_rejects", _LANDING_SQL["landing_rejects"])
 def q_landing_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import functions as F
     parts = []
     for kind in ("issue_or_pr", "commit", "repo_metadata"):
         rej = _landed(spark, sf_dir, kind)[1]
@@ -213,8 +221,6 @@ def q_landing_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ Bronze storage
-from forgeline.session import work_path  # noqa: E402
-from forgeline.sources import bronze as _bronze  # noqa: E402
 
 BRONZE_RUN_ID = "run-0001"
 
@@ -222,7 +228,6 @@ BRONZE_RUN_ID = "run-0001"
 @register("bronze_roundtrip", oracle.bronze_roundtrip_sql(BRONZE_RUN_ID))
 def q_bronze_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the issue/PR records partitioned by landing date, read them back."""
-    from pyspark.sql import functions as F
     root = work_path(spark, "bronze")
     src = _fx.bronze_issue_or_pr(_events(spark, sf_dir))
     _bronze.write_bronze(src, root, "issue_or_pr", partition_date=F.to_date(F.col("fetched_at")),
@@ -231,8 +236,6 @@ def q_bronze_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ incremental, backfill
-from forgeline.plans import incremental as _inc  # noqa: E402
-from forgeline.plans import staging as _staging  # noqa: E402
 
 # Fixed value: the landing cut between the initial build and the incremental batch.
 INCREMENTAL_CUTOFF = "2024-01-20 00:00:00"
@@ -256,7 +259,6 @@ def q_incremental_daily_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_backfill_daily_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Backfill all landed records into Bronze (partitioned by landing day) twice:
     dynamic partition overwrite makes the re-run idempotent. Gold from the result."""
-    from pyspark.sql import functions as F
     ev = _events(spark, sf_dir)
     root = work_path(spark, "backfill")
     for _ in range(2):
@@ -269,7 +271,6 @@ def q_backfill_daily_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ mart upsert
-from forgeline.operators import upsert as _upsert  # noqa: E402
 
 # The previous mart was built from records landed before this
 # instant, as of this date; the fresh rows are today's full snapshot.
@@ -290,7 +291,6 @@ def q_upsert_repo_health(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ streaming
-from forgeline.streaming import jobs as _stream  # noqa: E402
 
 STREAM_DELAY = "1 hour"
 _STREAM_KIND = ("CASE WHEN event_type = 'view' THEN 'repo_metadata' WHEN event_type = 'error' THEN 'commit' "
@@ -342,14 +342,11 @@ def q_stream_latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ features
-from forgeline.operators import anomaly as _anomaly  # noqa: E402
-from forgeline.operators import text_features as _text  # noqa: E402
 
 
 def _title_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from forgeline.plans import silver as _silver
     m = Models.from_events(spark, sf_dir)
-    return _text.documents_combined(_silver.issue_or_pr_latest(m.stg("stg_issue_or_pr")), m.silver("fct_commits"))
+    return _text.documents_combined(silver.issue_or_pr_latest(m.stg("stg_issue_or_pr")), m.silver("fct_commits"))
 
 
 @register("anomaly_scores", oracle.anomaly_sql())
@@ -370,7 +367,6 @@ def q_title_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ materialised build + serving read
-from forgeline.plans import materialize as _mat  # noqa: E402
 
 
 @register("materialized_health_by_stars", _MODEL_SQL["repo_health_snapshot"])
