@@ -341,6 +341,19 @@ def q_stream_latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stream.serving_view(spark, f"{root}/out", ["repo_full_name", "number", "is_pull_request"])
 
 
+@register("stream_upsert_latest", oracle.stream_latest_sql())
+def q_stream_upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events stream upserted into a versioned mart of the latest issue/PR state, batch by batch."""
+    root = work_path(spark, "stream-upsert")
+    stg = _staging.stg_issue_or_pr(_fx.bronze_issue_or_pr(_events_stream(spark, sf_dir))).select(
+        "repo_full_name", "number", "is_pull_request", "state", "title", "user_login", "created_at",
+        "closed_at", "fetched_at", "ingest_seq")
+    q = _stream.upsert_stream(stg, ["repo_full_name", "number", "is_pull_request"], ["fetched_at", "ingest_seq"],
+                              f"{root}/mart", f"{root}/checkpoint")
+    _stream.await_all(q)
+    return _stream.read_mart(spark, f"{root}/mart")
+
+
 # ------------------------------------------------------------------ features
 
 

@@ -115,3 +115,26 @@ def test_late_rows_are_dropped_and_counted(spark, tmp_dir):
     assert jobs.rows_dropped_by_watermark(q) == 1
     days = {r["day"]: r["records"] for r in spark.read.parquet(os.path.join(tmp_dir, "out")).collect()}
     assert days[dt.date(2024, 1, 1)] == 1          # the late row did not change a closed window
+
+
+def test_stream_upsert_keeps_newest_across_batches(spark, tmp_dir):
+    import datetime as dt
+
+    from forgeline.streaming import jobs
+
+    src = os.path.join(tmp_dir, "in")
+    schema = "k string, v string, fetched_at timestamp_ntz, seq bigint"
+    batches = [
+        [("a", "a1", dt.datetime(2024, 1, 1), 1), ("b", "b1", dt.datetime(2024, 1, 1), 2)],
+        [("a", "a2", dt.datetime(2024, 1, 2), 3), ("a", "a0", dt.datetime(2023, 12, 31), 4)],   # newer + stale
+        [("b", "b0", dt.datetime(2023, 12, 1), 5), ("c", "c1", dt.datetime(2024, 1, 3), 6)],    # stale + new key
+    ]
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(os.path.join(src, f"f{i}"))
+    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+              .option("recursiveFileLookup", "true").parquet(src))
+    mart = os.path.join(tmp_dir, "mart")
+    jobs.await_all(jobs.upsert_stream(stream, ["k"], ["fetched_at", "seq"], mart, os.path.join(tmp_dir, "ck")))
+    got = {r["k"]: r["v"] for r in jobs.read_mart(spark, mart).collect()}
+    assert got == {"a": "a2", "b": "b1", "c": "c1"}
+    assert jobs._versions(spark, mart) == [0, 1, 2]
