@@ -13,6 +13,7 @@ recursively and recovers the levels from each file's path.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -64,7 +65,7 @@ def write_bronze(df: DataFrame, root: str, kind: str, partition_date: Column | _
     """
     cols = [f.name for f in schemas.BRONZE_SCHEMAS[kind].fields]
     framed = with_partition_columns(df.select(*cols), kind, partition_date, run_id)
-    obs = Observation(f"bronze_{kind}")
+    obs = Observation(f"bronze_{kind}_{uuid.uuid4().hex[:8]}")
     counted = framed.observe(obs, F.count(F.lit(1)).alias("rows"))
     parts = partition_by or PARTITION_COLUMNS
     (counted.hint("rebalance", *parts)
@@ -163,7 +164,7 @@ def normalize_foreign_bronze(spark: SparkSession, src_root: str, kind: str, dst_
             "_landing_date", F.make_date(F.col("year"), F.col("month"), F.col("day")))
         framed = with_partition_columns(foreign.select(*cols, "run_id", "_landing_date"), kind,
                                         F.col("_landing_date")).drop("_landing_date")
-        obs = Observation(f"normalize_{kind}")
+        obs = Observation(f"normalize_{kind}_{uuid.uuid4().hex[:8]}")
         (framed.observe(obs, F.count(F.lit(1)).alias("rows")).hint("rebalance", *parts)
          .write.mode("append").option("compression", "zstd").partitionBy(*parts)
          .parquet(f"{dst_root.rstrip('/')}/{kind}"))
