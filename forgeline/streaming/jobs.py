@@ -37,6 +37,9 @@ def _start(df: DataFrame, checkpoint: str, trigger_once: bool, **kw) -> Streamin
     if not spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) or \
             "HDFSBackedStateStoreProvider" in spark.conf.get("spark.sql.streaming.stateStore.providerClass"):
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+        # commit a small changelog per batch instead of uploading a snapshot each time
+        if spark.conf.get("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", None) is None:
+            spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     w = df.writeStream.option("checkpointLocation", checkpoint)
     for k, v in kw.items():
         w = getattr(w, k)(*v) if isinstance(v, tuple) else getattr(w, k)(v)
