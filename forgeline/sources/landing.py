@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forgeline import schemas
-from forgeline.functions.columns import ISO_UTC_PATTERN
+from forgeline.functions.columns import ISO_UTC_PATTERN, utc_wall_clock
 
 PAYLOAD = "payload"
 
@@ -301,3 +301,25 @@ def land(pages: DataFrame, kind: str) -> tuple[DataFrame, DataFrame]:
 def land_tagged(pages: DataFrame, kind: str) -> tuple[DataFrame, list[Column], list[str]]:
     """Parsed items with their reject reasons, plus what :func:`split_tagged` needs."""
     return PARSERS[kind](flatten_pages(pages), pieces=True)
+
+
+_REPO_FROM_PATH = r"owner=([^/]+)/repo=([^/]+)/"
+
+
+def read_landed_jsonl(spark, path: str, page_per_line: bool = False) -> DataFrame:
+    """Landed JSON-lines files -> ``(repo_full_name, fetched_at, payload|page)``.
+
+    One item (or one response page) per line under ``.../owner=<o>/repo=<r>/...``.
+    The repository comes from the file's path and the landing time from the
+    file's modification time (``_metadata``), so nothing is read twice and the
+    text of each line is kept as is. Splittable: large files are read by many
+    tasks.
+    """
+    raw = spark.read.text(path, recursiveFileLookup=True)
+    fp = F.col("_metadata.file_path")
+    return raw.select(
+        F.concat_ws("/", F.regexp_extract(fp, _REPO_FROM_PATH, 1),
+                    F.regexp_extract(fp, _REPO_FROM_PATH, 2)).alias("repo_full_name"),
+        utc_wall_clock(F.col("_metadata.file_modification_time"), spark).alias("fetched_at"),
+        F.col("value").alias("page" if page_per_line else PAYLOAD),
+    )

@@ -134,3 +134,16 @@ def test_normalize_foreign_null_typed_columns(spark, tmp_dir):
     assert row["closed_at"] is None and row["labels"] == [] and row["run_id"] == "run7"
     assert (row["owner"], row["repo"], row["year"], row["month"], row["day"]) == ("octo", "hello", 2024, 1, 5)
     assert spark.conf.get("spark.sql.parquet.enableVectorizedReader") in ("true", None)
+
+
+def test_read_landed_jsonl(spark, tmp_dir):
+    items = [_issue(number=i) for i in range(4)] + [_issue(title=...)]
+    root = os.path.join(tmp_dir, "landing", "issue_or_pr")
+    spark.createDataFrame([(p,) for p in items], "value string").coalesce(1).write.text(
+        os.path.join(root, "owner=octo", "repo=hello", "run=1"))
+    landed = landing.read_landed_jsonl(spark, root)
+    good, rejected = landing.parse_issue_or_pr(landed)
+    assert good.count() == 4 and rejected.count() == 1
+    row = good.select("repo_full_name", "fetched_at").first()
+    assert row["repo_full_name"] == "octo/hello" and row["fetched_at"] is not None
+    assert sorted(r["raw_payload"] for r in good.collect()) == sorted(items[:4])
