@@ -68,7 +68,14 @@ def write_bronze(df: DataFrame, root: str, kind: str, partition_date: Column | _
     obs = Observation(f"bronze_{kind}_{uuid.uuid4().hex[:8]}")
     counted = framed.observe(obs, F.count(F.lit(1)).alias("rows"))
     parts = partition_by or PARTITION_COLUMNS
-    (counted.hint("rebalance", *parts)
+    out = counted.hint("rebalance", *parts)
+    if "repo" not in parts:
+        # date-only layout: cluster rows by repository inside each file, so Parquet
+        # row-group statistics let a repository filter skip most of a day's data.
+        # The partition columns lead the sort, which is the order the partitioned
+        # writer needs anyway (it would otherwise add its own sort and drop ours).
+        out = out.sortWithinPartitions(*parts, schemas.REPO_KEY[kind])
+    (out
      .write.mode(mode)
      .format(fmt)
      .option("compression", "zstd")
