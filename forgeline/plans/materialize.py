@@ -28,7 +28,9 @@ CLUSTERING = {"repo_daily_metrics": ["repo_full_name"], "repo_health_snapshot":
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None,
                 cluster_by: list[str] | None = None) -> None:
     if cluster_by:
-        df = df.sortWithinPartitions(*cluster_by)
+        # partition columns lead: the partitioned writer needs that order and would
+        # otherwise add its own sort, dropping the clustering
+        df = df.sortWithinPartitions(*(partition_by or []), *cluster_by)
     w = df.write.mode("overwrite").format(fmt).option("compression", "zstd")
     if partition_by:
         w = w.partitionBy(*partition_by)
