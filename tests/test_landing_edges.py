@@ -147,3 +147,20 @@ def test_read_landed_jsonl(spark, tmp_dir):
     row = good.select("repo_full_name", "fetched_at").first()
     assert row["repo_full_name"] == "octo/hello" and row["fetched_at"] is not None
     assert sorted(r["raw_payload"] for r in good.collect()) == sorted(items[:4])
+
+
+def test_date_partitioned_bronze_is_clustered_by_repo(spark, tmp_dir):
+    import glob
+
+    from pyspark.sql import functions as F
+
+    from forgeline.sources import fixtures, tables
+    from tests.conftest import SF_SMALL
+
+    src = fixtures.bronze_issue_or_pr(tables.events(spark, SF_SMALL))
+    n = bronze.write_bronze(src, tmp_dir, "issue_or_pr", partition_date=F.to_date(F.col("fetched_at")),
+                            partition_by=bronze.DATE_PARTITIONS)
+    assert n == src.count()
+    for path in glob.glob(os.path.join(tmp_dir, "issue_or_pr", "year=*", "month=*", "day=*", "*.parquet"))[:5]:
+        repos = pq.read_table(path, columns=["repo_full_name"]).column(0).to_pylist()
+        assert repos == sorted(repos)
