@@ -6,7 +6,10 @@ copies of those columns, so other columns of the input never clash with its own.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import os
+import shutil
+import tempfile
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +35,28 @@ def id_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return df.selectExpr(f"`{id_col}` as doc_id", f"cast(`{text_col}` as string) as text")
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, so they need not have it installed."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        with tempfile.TemporaryDirectory() as folder:
+            copy = os.path.join(folder, "copy")
+            shutil.copytree(package, os.path.join(copy, os.path.basename(package)), ignore=shutil.ignore_patterns("__pycache__"))
+            archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="forgeline-code-"), "forgeline"), "zip", copy)
+        context.addPyFile(archive)
+        _shipped.add(context.applicationId)
+
+
+def arrow_map(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """`mapInArrow` with this package at hand in the workers."""
+    ship(df.sparkSession)
+    return df.mapInArrow(function, schema)
+
+
 def binary_column(batch: pa.RecordBatch, name: str) -> list[bytes | None]:
     """One column of a batch as UTF-8 bytes."""
     return batch.column(batch.schema.get_field_index(name)).cast(pa.binary()).to_pylist()

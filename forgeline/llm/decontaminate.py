@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from forgeline.llm.common import binary_column
+from forgeline.llm.common import arrow_map, binary_column
 
 WINDOW = 13
 BLOCK_WORDS = 200_000
@@ -235,7 +235,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                 pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
             ], names=["doc_id", "n_words", "n_hit", "items", "spans"])
 
-    return rows.mapInArrow(scan, schema)
+    return arrow_map(rows, scan, schema)
 
 
 def _without(text: bytes, spans: list[tuple[int, int]]) -> bytes:
@@ -280,7 +280,7 @@ def removed(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", chars
                     columns[chars_at] = pa.array([changed.get(i, v) for i, v in enumerate(old.to_pylist())], old.type)
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema).filter(pa.array(keep, pa.bool_()))
 
-    return plain.mapInArrow(cut, plain.schema).toDF(*names)
+    return arrow_map(plain, cut, plain.schema).toDF(*names)
 
 
 def digest(result: DataFrame, coverage_one_in: int = COVERAGE_ONE_IN) -> DataFrame:

@@ -32,7 +32,7 @@ j AS (
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
        n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed,
        NOT base_failed AND word_chars BETWEEN 2 * n_words AND 15 * n_words AND 10 * n_symbols <= n_words
-         AND 10 * n_dup_lines <= 3 * n_lines AND 10 * n_upper <= 6 * word_chars AS kept
+         AND 2 * n_dup_lines <= n_lines AND 10 * n_upper <= 6 * word_chars AS kept
 FROM j
 """
 

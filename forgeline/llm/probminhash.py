@@ -34,8 +34,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forgeline.llm.common import binary_column, id_text, materialized, slices
+from forgeline.llm.common import arrow_map, binary_column, id_text, materialized, slices
 from forgeline.llm.components import components
+from forgeline.llm.hashing import U64, WordHasher, joined, mix
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
@@ -47,101 +48,46 @@ BUCKET_BLOCK = 4096
 COMPONENT_BLOCK = 512
 SLICE_BYTES = 1_000_000
 
-_U = np.uint64
-_FOLD = np.array([b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 0
-                  for b in range(256)], np.uint8)
-
-
-def mix(x: np.ndarray) -> np.ndarray:
-    """A bijective 64-bit mixer (two multiply-xorshift steps)."""
-    x = (x ^ (x >> _U(31))) * _U(0x9E3779B97F4A7C15)
-    x = (x ^ (x >> _U(29))) * _U(0xD6E8FEB86659FD93)
-    return x ^ (x >> _U(32))
-
-
-_BYTE = mix(np.arange(1, 257, dtype=np.uint64) * _U(0x632BE59BD9B4E019))
-_BASE = 0x5851F42D4C957F2D
-_BASE_INVERSE = pow(_BASE, -1, 2**64)
-
-
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[:1] = 1
-    return np.multiply.accumulate(out)
-
-
-class Words:
-    """Hashes of the words of many texts at once."""
-
-    block = 1 << 20
-
-    def __init__(self):
-        self.up, self.down = _powers(_BASE, self.block), _powers(_BASE_INVERSE, self.block)
-
-    def hashes(self, buffer: bytes) -> tuple[np.ndarray, np.ndarray]:
-        """(start, hash) of each word; the buffer ends with a byte that is in no word."""
-        folded = _FOLD[np.frombuffer(buffer, np.uint8)]
-        inside = folded != 0
-        edge = np.flatnonzero(inside[1:] != inside[:-1]) + 1
-        if inside.size and inside[0]:
-            edge = np.concatenate([[0], edge])
-        starts, ends = edge[0::2], edge[1::2]
-        out = np.empty(len(starts), np.uint64)
-        at = 0
-        while at < len(starts):
-            base = starts[at]
-            to = max(at + 1, int(np.searchsorted(ends, base + self.block - 1)))
-            span = int(ends[to - 1] - base)
-            if span >= len(self.up):
-                self.up, self.down = _powers(_BASE, span + 1), _powers(_BASE_INVERSE, span + 1)
-            part = folded[base:base + span]
-            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[part] * self.up[:span])])
-            s, e = starts[at:to] - base, ends[at:to] - base
-            out[at:to] = (sums[e] - sums[s]) * self.down[s]
-            at = to
-        return starts, mix(out)
-
-
-def shingles(texts: list[bytes], words: Words, n: int = SHINGLE_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def shingles(texts: list[bytes], words: WordHasher, n: int = SHINGLE_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text number, shingle hash, count) of all distinct shingles, ascending; at most 65,536 texts."""
-    lengths = np.array([len(t) + 1 for t in texts], np.int64)
-    starts, hashed = words.hashes(b"\0".join(texts) + b"\0")
-    doc = np.searchsorted(np.cumsum(lengths), starts, side="right")
+    buffer, text_ends = joined(texts)
+    starts, hashed = words.hashes(buffer)
+    doc = np.searchsorted(text_ends, starts, side="right")
     total = len(doc)
     padded_doc = np.concatenate([doc, np.full(n - 1, -1)])
     padded = np.concatenate([hashed, np.zeros(n - 1, np.uint64)])
     code = np.zeros(total, np.uint64)
     for j in range(n):
         same = padded_doc[j:j + total] == doc
-        code = (code + np.where(same, padded[j:j + total], _U(j + 1))) * _U(0xDA942042E4DD58B5)
+        code = (code + np.where(same, padded[j:j + total], U64(j + 1))) * U64(0xDA942042E4DD58B5)
     first = np.ones(total, bool)
     first[1:] = doc[1:] != doc[:-1]
     code = mix(code)[first | same]
     doc = doc[first | same]
     # a text shorter than a shingle keeps only its first word's window, which holds all its words
-    packed = np.sort((doc.astype(np.uint64) << _U(48)) | (code >> _U(16)))
+    packed = np.sort((doc.astype(np.uint64) << U64(48)) | (code >> U64(16)))
     new = np.ones(len(packed), bool)
     new[1:] = packed[1:] != packed[:-1]
     at = np.flatnonzero(new)
     counts = np.diff(np.concatenate([at, [len(packed)]]))
     packed = packed[at]
-    return (packed >> _U(48)).astype(np.int64), packed & _U(2**48 - 1), counts.astype(np.float64)
+    return (packed >> U64(48)).astype(np.int64), packed & U64(2**48 - 1), counts.astype(np.float64)
 
 
 def registers(n_texts: int, doc: np.ndarray, element: np.ndarray, weight: np.ndarray, m: int = REGISTERS) -> np.ndarray:
     """ProbMinHash registers, (texts, m) 16-bit hashes of the winning elements."""
     earliest = np.full(n_texts * m, np.inf)
     winner = np.zeros(n_texts * m, np.uint64)
-    ident = mix(element + _U(0x2545F4914F6CDD1D))
+    ident = mix(element + U64(0x2545F4914F6CDD1D))
     live, time = np.arange(len(doc)), np.zeros(len(doc))
     drawn, step = 0, 1
     while len(live):
         # the next `step` arrivals of every live element
-        number = np.arange(drawn + 1, drawn + step + 1, dtype=np.uint64) * _U(0xA24BAED4963EE407)
+        number = np.arange(drawn + 1, drawn + step + 1, dtype=np.uint64) * U64(0xA24BAED4963EE407)
         random = mix(ident[live][:, None] + number[None, :])
-        gap = -np.log(((random >> _U(11)).astype(np.float64) + 0.5) * 2.0**-53)
+        gap = -np.log(((random >> U64(11)).astype(np.float64) + 0.5) * 2.0**-53)
         times = time[live][:, None] + np.cumsum(gap, axis=1) / weight[live][:, None]
-        register = (mix(random ^ _U(0x8CB92BA72F3D8DD7)) % _U(m)).astype(np.int64)
+        register = (mix(random ^ U64(0x8CB92BA72F3D8DD7)) % U64(m)).astype(np.int64)
         at = (doc[live][:, None] * m + register).ravel()
         flat = times.ravel()
         sooner = np.flatnonzero(flat < earliest[at])
@@ -154,12 +100,12 @@ def registers(n_texts: int, doc: np.ndarray, element: np.ndarray, weight: np.nda
         live = live[time[live] < latest[doc[live]]]
         drawn += step
         step = min(2 * step, 256)
-    return (winner >> _U(48)).astype(np.uint16).reshape(n_texts, m)
+    return (winner >> U64(48)).astype(np.uint16).reshape(n_texts, m)
 
 
-def sketch(texts: list[bytes | None], words: Words | None = None) -> list[bytes | None]:
+def sketch(texts: list[bytes | None], words: WordHasher | None = None) -> list[bytes | None]:
     """Registers of each text as bytes; None for a text without words."""
-    words = words or Words()
+    words = words or WordHasher()
     out: list[bytes | None] = []
     plain = [t or b"" for t in texts]
     for a, b in slices(np.array([len(t) for t in plain]), SLICE_BYTES):
@@ -209,7 +155,7 @@ def loose_links(tables: list[bytes], least: float = LOOSE) -> list[tuple[int, in
     return search(len(tables), lambda i, others: np.count_nonzero(table[others] == table[i], axis=1) >= needed)
 
 
-def exact_links(texts: list[bytes], words: Words, least: float = SIMILARITY) -> list[tuple[int, int]]:
+def exact_links(texts: list[bytes], words: WordHasher, least: float = SIMILARITY) -> list[tuple[int, int]]:
     """Links between texts of probability Jaccard `least` or more."""
     doc, element, weight = shingles(texts, words)
     _, local = np.unique(element, return_inverse=True)
@@ -244,13 +190,13 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words()
+        words = WordHasher()
         for batch in batches:
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:2], pa.array(sketch(binary_column(batch, "text"), words), pa.binary())],
                 names=["doc_id", "k", "sketch"])
 
-    return rows.mapInArrow(take, f"doc_id {kind}, k binary, sketch binary")
+    return arrow_map(rows, take, f"doc_id {kind}, k binary, sketch binary")
 
 
 def _in_blocks(members: DataFrame, group: str, sizes: DataFrame, block: int) -> DataFrame:
@@ -292,7 +238,7 @@ def _per_task(members: DataFrame, value: str, link: Callable[[list[bytes]], list
         yield batch_of(out + found(parts))
 
     dealt = members.select("task", "k", F.col(value).cast("binary")).repartition("task").sortWithinPartitions("task")
-    return dealt.mapInArrow(edges, "a binary, b binary")
+    return arrow_map(dealt, edges, "a binary, b binary")
 
 
 def key_groups(docs: DataFrame, sketched: DataFrame, text_col: str = "text", similarity: float = SIMILARITY,
@@ -311,7 +257,7 @@ def key_groups(docs: DataFrame, sketched: DataFrame, text_col: str = "text", sim
     content = wanted.join(named, "k").dropDuplicates(["k"])
 
     def link(values: list[bytes]) -> list[tuple[int, int]]:
-        return exact_links(values, Words(), similarity)
+        return exact_links(values, WordHasher(), similarity)
 
     return components(_per_task(_in_blocks(content, "root", sizes, component_block), "text", link), "near-links")
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from forgeline.llm.common import binary_column, id_text
+from forgeline.llm.common import arrow_map, binary_column, id_text
 
 SAMPLE_ROWS = 2_000
 _CONTINUATION = bytes(range(0x80, 0xC0))
@@ -91,7 +91,7 @@ BASE_RULES = (
 DEFAULT_RULES = BASE_RULES + (
     Rule("mean_word_length", lambda m: m.word_chars < 2 * m.n_words or m.word_chars > 15 * m.n_words),
     Rule("symbols", lambda m: 10 * m.n_symbols > m.n_words),
-    Rule("duplicate_lines", lambda m: 10 * m.n_dup_lines > 3 * len(m.lines)),
+    Rule("duplicate_lines", lambda m: 2 * m.n_dup_lines > len(m.lines)),
     Rule("capitals", lambda m: 10 * m.n_upper > 6 * m.word_chars),
 )
 
@@ -123,7 +123,7 @@ def ordered_rules(docs: DataFrame, rules: tuple[Rule, ...] = DEFAULT_RULES, samp
                                          names=["rule", "spent", "rejected"])
 
     # one row per rule reaches the driver
-    tried = chosen.mapInArrow(trial, "rule long, spent double, rejected long").groupBy("rule").sum("spent", "rejected").collect()
+    tried = arrow_map(chosen, trial, "rule long, spent double, rejected long").groupBy("rule").sum("spent", "rejected").collect()
     gain = {r[0]: r[2] / max(r[1], 1e-9) for r in tried}
     return tuple(rules[i] for i in sorted(range(len(rules)), key=lambda i: -gain.get(i, 0)))
 
@@ -150,7 +150,7 @@ def judged(docs: DataFrame, rules: tuple[Rule, ...] = DEFAULT_RULES, measures: t
                 [batch.column(0), *(pa.array(v, pa.int64()) for v in taken), pa.array(failed, pa.bool_()), pa.array(kept, pa.bool_())],
                 names=schema.names)
 
-    return rows.mapInArrow(judge, schema)
+    return arrow_map(rows, judge, schema)
 
 
 def kept_rows(docs: DataFrame, rules: tuple[Rule, ...] = DEFAULT_RULES, text_col: str = "text",
@@ -165,4 +165,4 @@ def kept_rows(docs: DataFrame, rules: tuple[Rule, ...] = DEFAULT_RULES, text_col
         for batch in batches:
             yield batch.filter(pa.array([passes(Measures(t), order) for t in binary_column(batch, text_at)], pa.bool_()))
 
-    return plain.mapInArrow(keep, plain.schema).toDF(*names)
+    return arrow_map(plain, keep, plain.schema).toDF(*names)

@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from forgeline.llm.common import id_text
+from forgeline.llm.common import arrow_map, id_text
 from forgeline.session import work_path
 
 END_ID = 2
@@ -123,7 +123,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer_path: str | None = None, end
                 written += int(ends[-1])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    encoded = ranged.mapInArrow(encode, f"part int, doc_id {kind}, part_start long, ids array<int>")
+    encoded = arrow_map(ranged, encode, f"part int, doc_id {kind}, part_start long, ids array<int>")
     encoded.write.options(**ORC_OPTIONS).orc(path)
 
 
@@ -155,8 +155,8 @@ def index(written: DataFrame) -> DataFrame:
                  pa.array(np.diff(ends), pa.int64()), pa.array(crc, pa.int64())],
                 names=["part", "doc_id", "part_start", "n_tokens", "ids_crc32"])
 
-    rows = written.select("part", "doc_id", "part_start", "ids").mapInArrow(
-        sums, f"part int, doc_id {kind}, part_start long, n_tokens long, ids_crc32 long")
+    rows = arrow_map(
+        written.select("part", "doc_id", "part_start", "ids"), sums, f"part int, doc_id {kind}, part_start long, n_tokens long, ids_crc32 long")
     totals = written.selectExpr("part as p", "part_start + size(ids) as n").groupBy("p").max("n").toDF("p", "total")
     before = totals.selectExpr(
         "p", "coalesce(sum(total) over (order by p rows between unbounded preceding and 1 preceding), 0) as before")

@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from forgeline.llm.common import arrow_map
 from forgeline.session import work_path
 
 LEAST_BYTES = 100
@@ -153,7 +154,7 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["record"])
 
     # a cut may fall within a character; the writer passes bytes through as they are
-    typed.mapInArrow(records, "record binary").selectExpr("cast(record as string) as value").write.option(
+    arrow_map(typed, records, "record binary").selectExpr("cast(record as string) as value").write.option(
         "lineSep", _END).option("maxRecordsPerFile", records_per_file).text(path)
 
 
@@ -181,7 +182,7 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*out), schema)], schema=schema)
 
-    return files.mapInArrow(rows, PARSED)
+    return arrow_map(files, rows, PARSED)
 
 
 def reassembled(records: DataFrame) -> DataFrame:
@@ -217,7 +218,7 @@ def payloads(responses: DataFrame) -> DataFrame:
                 out.append(payload)
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(out, pa.binary())], names=["page_id", "payload"])
 
-    return responses.select("record_id", "page_id", "digest", "block").mapInArrow(decode, "page_id long, payload binary")
+    return arrow_map(responses.select("record_id", "page_id", "digest", "block"), decode, "page_id long, payload binary")
 
 
 def page_index(pages: DataFrame, path: str | None = None, **options) -> DataFrame:
