@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from forgeline.llm import decontaminate, language_mix, mixing, probminhash, quality_rules, token_orc, warc
+from forgeline.llm import decontaminate, language_mix, mixing, probminhash, quality_rules, token_orc, toxicity_crf, warc
 from forgeline.llm.common import documents
 from forgeline.sources.tables import read_table
 
@@ -15,6 +15,11 @@ def op1_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return probminhash.groups(documents(spark, sf_dir))
 
 
+def op3_toxicity_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_crf.scored(documents(spark, sf_dir), read_table(spark, sf_dir, "labels")).selectExpr(
+        "doc_id", "held_out", "score", "predicted", "size(spans) as n_spans")
+
+
 def op4_language_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_mix.identified(documents(spark, sf_dir)).select("doc_id", "held_out", "lang_pred", "score")
 
@@ -43,5 +48,5 @@ def op10_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_probminhash, op4_language_mix, op5_quality_rules, op6_mix, op7_warc, op8_decontaminate, op10_token_orc)
+    f.__name__: f for f in (op1_probminhash, op3_toxicity_crf, op4_language_mix, op5_quality_rules, op6_mix, op7_warc, op8_decontaminate, op10_token_orc)
 }
