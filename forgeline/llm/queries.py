@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from forgeline.llm import decontaminate, language_mix, mixing, probminhash, quality_rules, token_orc, toxicity_crf, warc
+from forgeline.llm import (
+    decontaminate, language_mix, license_scan, mixing, ordinal_quality, probminhash, quality_rules, token_orc, toxicity_crf, warc,
+)
 from forgeline.llm.common import documents
 from forgeline.sources.tables import read_table
 
@@ -15,6 +17,12 @@ def op1_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return probminhash.groups(documents(spark, sf_dir))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.licensed(documents(spark, sf_dir)).selectExpr(
+        "doc_id", "cast(size(matches) as bigint) as n_matches", "array_join(array_sort(array_distinct(matches.license)), ',') as licenses",
+        "array_max(matches.coverage) as best_coverage", "cast(matches as string) as spans")
+
+
 def op3_toxicity_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_crf.scored(documents(spark, sf_dir), read_table(spark, sf_dir, "labels")).selectExpr(
         "doc_id", "held_out", "score", "predicted", "size(spans) as n_spans")
@@ -43,10 +51,17 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark")))
 
 
+def op9_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ordinal_quality.graded(documents(spark, sf_dir), read_table(spark, sf_dir, "labels")).selectExpr(
+        "doc_id", "held_out", "expected_grade", "tails[0] as tail_1", "tails[1] as tail_2", "selected")
+
+
 def op10_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_orc.token_index(documents(spark, sf_dir))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_probminhash, op3_toxicity_crf, op4_language_mix, op5_quality_rules, op6_mix, op7_warc, op8_decontaminate, op10_token_orc)
+    f.__name__: f for f in (
+        op1_probminhash, op2_license_scan, op3_toxicity_crf, op4_language_mix, op5_quality_rules, op6_mix, op7_warc,
+        op8_decontaminate, op9_ordinal_quality, op10_token_orc)
 }
