@@ -20,17 +20,24 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from forgeline.llm.common import arrow_map, id_text
 from forgeline.session import work_path
 
 END_ID = 2
-REMEMBERED = 400_000
+REMEMBERED = 1_200_000
+#: A run of these after letters, before a space or the end, is a pre-token of its own.
+_MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+#: The byte-level alphabet: bytes that print stand for themselves, the others for code points from 256 on.
+_PRINTING = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_ALPHABET = {b: b if b in _PRINTING else 256 + sum(x not in _PRINTING for x in range(b)) for b in range(256)}
 MOST_VOCABULARY_BYTES = 32_000_000
 ORC_OPTIONS = {
     "orc.stripe.size": str(16 * 2**20),
@@ -58,45 +65,92 @@ class PieceEncoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_str(vocabulary)
         self.end = np.uint32(end_id).astype("<u4").tobytes()
-        self.remembered = remembered
-        self.known: dict[str, bytes] = {}
+        # ids of " " + piece: those met of late, and before; what is met again moves on, the rest is dropped
+        self.generation = remembered // 2
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
+        self.tokenize = self.tokenizer.model.tokenize
         # special tokens are found in the text before it is cut into pieces, so texts with one are encoded whole
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _letters(self, word: str) -> bytes:
+        """Ids of " " + word for a word of letters: one pre-token, so the model alone is asked."""
+        mapped = "\u0120" + word if word.isascii() else (" " + word).encode().decode("latin-1").translate(_ALPHABET)
+        return array("I", [t.id for t in self.tokenize(mapped)]).tobytes()
+
+    def _learn(self, pieces: set[str]) -> set[str]:
+        """Have the ids of these pieces at hand; returns those that stand by more than a lone space."""
+        if len(self.young) + len(pieces) > self.generation:
+            self.old, self.young = self.young, {}
+        young, old = self.young, self.old
+        need = pieces.difference(young)
+        again = [p for p in need if p in old]
+        young.update(zip(again, map(old.__getitem__, again)))
+        need.difference_update(again)
+        other, odd = [], set()
+        for p in need:
+            if p.isalpha():
+                young[p] = self._letters(p)
+                continue
+            # marks after letters are a pre-token of their own
+            stem = p.rstrip(_MARKS)
+            if stem.isalpha():
+                ids = young.get(stem) or old.get(stem) or self._letters(stem)
+                marks = p[len(stem):]
+                if marks not in self.marks:
+                    self.marks[marks] = self._ids([marks])[0]
+                young[stem] = ids
+                young[p] = ids + self.marks[marks]
+            elif not p or p[0].isspace() or p[-1].isspace():
+                odd.add(p)
+            else:
+                other.append(p)
+        for at in range(0, len(other), 10_000):
+            some = other[at:at + 10_000]
+            young.update(zip(some, self._ids([" " + p for p in some])))
+        if len(self.marks) > 10_000:
+            self.marks.clear()
+        return odd
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        known = self.known
         parts = [t.split(" ") if t else [] for t in texts]
-        new = {p for words in parts for p in words[1:] if p not in known}
-        if len(known) + len(new) > self.remembered:
-            known.clear()
-            new = {p for words in parts for p in words[1:]}
-        # a part that is empty or has white space at an end stands by more than a lone space
-        clean = [p for p in new if p and not p[0].isspace() and not p[-1].isspace()]
-        for at in range(0, len(clean), 10_000):
-            some = clean[at:at + 10_000]
-            known.update(zip(some, self._ids([" " + p for p in some])))
-        odd = new.difference(clean)
+        odd = self._learn({p for words in parts for p in words[1:]})
+        known = self.young.__getitem__
+        heads = self._ids([words[0] if words else "" for words in parts])
         out = []
-        for text, words in zip(texts, parts):
+        for text, words, head in zip(texts, parts, heads):
             if not text:
                 ids = b""
             elif (not words[0] or words[0][-1].isspace() or (odd and not odd.isdisjoint(words[1:]))
                   or any(s in text for s in self.special)):
                 ids = self._ids([text])[0]
             else:
-                ids = self._ids(words[:1])[0] + b"".join(map(known.__getitem__, words[1:]))
+                ids = head + b"".join(map(known, words[1:]))
             out.append(ids + self.end)
         return out
 
 
+_encoders: dict[tuple, PieceEncoder] = {}
+
+
+def encoder_of(vocabulary: str, end_id: int) -> PieceEncoder:
+    """One encoder per worker process, so that tasks go on with the pieces of those before."""
+    key = (hash(vocabulary), len(vocabulary), end_id)
+    if key not in _encoders:
+        _encoders.clear()
+        _encoders[key] = PieceEncoder(vocabulary, end_id)
+    return _encoders[key]
+
+
 def write_ids(docs: DataFrame, path: str, tokenizer_path: str | None = None, end_id: int = END_ID,
               id_col: str = "doc_id", text_col: str = "text") -> None:
-    """Encode every text and write (part, doc_id, part_start, ids) as ORC files in ascending order of id.
+    """Encode every text and write (part, doc_id, part_start, part_end, ids) as ORC files in ascending order of id.
 
-    part numbers the ranges (one file each), part_start counts the ids before the document in its range.
+    part numbers the ranges (one file each), part_start and part_end count the ids of its range before and after the document.
     """
     tokenizer_path = tokenizer_path or vocabulary_path()
     size = os.path.getsize(tokenizer_path)
@@ -104,26 +158,27 @@ def write_ids(docs: DataFrame, path: str, tokenizer_path: str | None = None, end
         raise ValueError(f"{tokenizer_path} has {size} bytes; {MOST_VOCABULARY_BYTES} may be sent to every worker")
     with open(tokenizer_path, encoding="utf-8") as f:
         vocabulary = docs.sparkSession.sparkContext.broadcast(f.read())
-    ranged = id_text(docs, id_col, text_col).selectExpr("doc_id", "text", "xxhash64(text) as tie").repartitionByRange(
-        "doc_id", "tie").sortWithinPartitions("doc_id", "tie").selectExpr("spark_partition_id() as part", "doc_id", "text")
+    ranged = id_text(docs, id_col, text_col).repartitionByRange("doc_id").withColumn("tie", F.expr("xxhash64(text)")
+                                                                ).sortWithinPartitions("doc_id", "tie")
+    ranged = ranged.selectExpr("spark_partition_id() as part", "doc_id", "text")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PieceEncoder(vocabulary.value, end_id)
+        encoder = encoder_of(vocabulary.value, end_id)
         written = 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                some = batch.slice(at, 500)
+            for at in range(0, batch.num_rows, 1000):
+                some = batch.slice(at, 1000)
                 ids = encoder.encode(some.column(2).to_pylist())
                 ends = np.cumsum([0] + [len(x) // 4 for x in ids])
                 flat = pa.array(np.frombuffer(b"".join(ids), "<i4"))
                 yield pa.RecordBatch.from_arrays(
                     [some.column(0), some.column(1), pa.array(written + ends[:-1], pa.int64()),
-                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)],
-                    names=["part", "doc_id", "part_start", "ids"])
+                     pa.array(written + ends[1:], pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)],
+                    names=["part", "doc_id", "part_start", "part_end", "ids"])
                 written += int(ends[-1])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    encoded = arrow_map(ranged, encode, f"part int, doc_id {kind}, part_start long, ids array<int>")
+    encoded = arrow_map(ranged, encode, f"part int, doc_id {kind}, part_start long, part_end long, ids array<int>")
     encoded.write.options(**ORC_OPTIONS).orc(path)
 
 
@@ -157,7 +212,7 @@ def index(written: DataFrame) -> DataFrame:
 
     rows = arrow_map(
         written.select("part", "doc_id", "part_start", "ids"), sums, f"part int, doc_id {kind}, part_start long, n_tokens long, ids_crc32 long")
-    totals = written.selectExpr("part as p", "part_start + size(ids) as n").groupBy("p").max("n").toDF("p", "total")
+    totals = written.selectExpr("part as p", "part_end").groupBy("p").max("part_end").toDF("p", "total")
     before = totals.selectExpr(
         "p", "coalesce(sum(total) over (order by p rows between unbounded preceding and 1 preceding), 0) as before")
     return rows.join(before, rows.part == before.p).selectExpr(
