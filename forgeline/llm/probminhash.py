@@ -237,7 +237,9 @@ def _per_task(members: DataFrame, value: str, link: Callable[[list[bytes]], list
                 out = []
         yield batch_of(out + found(parts))
 
-    dealt = members.select("task", "k", F.col(value).cast("binary")).repartition("task").sortWithinPartitions("task")
+    # a fixed number of partitions: comparing costs far more than the few bytes that partitions are merged by
+    parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = members.select("task", "k", F.col(value).cast("binary")).repartition(parts, "task").sortWithinPartitions("task")
     return arrow_map(dealt, edges, "a binary, b binary")
 
 
@@ -254,7 +256,8 @@ def key_groups(docs: DataFrame, sketched: DataFrame, text_col: str = "text", sim
     sizes = loose.groupBy("root").count().selectExpr("root", "count as n")
     named = loose.selectExpr("node as k", "root")
     wanted = docs.selectExpr(f"cast(`{text_col}` as string) as text").selectExpr("unhex(md5(text)) as k", "text")
-    content = wanted.join(named, "k").dropDuplicates(["k"])
+    # shuffled at any size: the number of linked texts grows with the corpus
+    content = wanted.join(named.hint("merge"), "k").dropDuplicates(["k"])
 
     def link(values: list[bytes]) -> list[tuple[int, int]]:
         return exact_links(values, WordHasher(), similarity)
@@ -295,7 +298,7 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     decided = materialized(document_classes(plain, id_at, text_at, **options).where("class_rows > 1").selectExpr(
         "doc_id as _id", "k as _k", "rows as _rows", "stays as _stays"), "near-decided")
     keyed = plain.withColumn("k", F.expr(f"unhex(md5(coalesce(cast({text_at} as string), '')))"))
-    met = keyed.join(decided, (F.col("k") == F.col("_k")) & F.col(id_at).eqNullSafe(F.col("_id")), "left")
+    met = keyed.join(decided.hint("merge"), (F.col("k") == F.col("_k")) & F.col(id_at).eqNullSafe(F.col("_id")), "left")
     once = met.where("_stays is null or (_stays and _rows = 1)")
     if decided.where("_stays and _rows > 1").limit(1).count():
         # rows that repeat id and text: one of them
