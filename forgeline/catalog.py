@@ -22,17 +22,31 @@ from forgeline.plans import incremental as _inc
 from forgeline.plans import materialize as _mat
 from forgeline.plans import serving, silver
 from forgeline.plans import staging as _staging
-from forgeline.plans.medallion import DEFAULT_AS_OF, Models
+from forgeline.plans.medallion import Models as _Models
 from forgeline.session import work_path
 from forgeline.sources import bronze as _bronze
 from forgeline.sources import fixtures as _fx
 from forgeline.sources import landing
 from forgeline.sources.tables import events as _events
-from forgeline.sources.tables import read_table
+from forgeline.sources.tables import read_table, table_path
 from forgeline.streaming import jobs as _stream
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
+# Fixed value: the date the registered queries report on (the library's default is the current date).
+AS_OF = "2024-01-31"
+
+
+class Models(_Models):
+    """The models as of the fixed date."""
+
+    def __init__(self, bronze, as_of=AS_OF):
+        super().__init__(bronze, as_of)
+
+    @classmethod
+    def from_events(cls, spark: SparkSession, sf_dir: str, as_of=AS_OF) -> Models:
+        return super().from_events(spark, sf_dir, as_of)
+
 QUERIES: dict[str, QueryFn] = {}
 ORACLES: dict[str, str] = {}
 
@@ -92,7 +106,7 @@ def q_target_repo_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_since_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     stg = Models.from_events(spark, sf_dir).stg("stg_issue_or_pr")
     # the collector's default look-back: seven days before the run date
-    since = serving.look_back_start(DEFAULT_AS_OF, days=7)
+    since = serving.look_back_start(AS_OF, days=7)
     return serving.updated_since(stg, since).select(
         "repo_full_name", "number", "state", "is_pull_request", "updated_at", "ingest_seq")
 
@@ -220,6 +234,17 @@ def q_landing_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+@register("landing_page_rejects", oracle.page_rejects_sql())
+def q_landing_page_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged pages are quarantined whole: records, rejected items and rejected pages of each repository."""
+    good, rejected = landing.land(_fx.damaged_pages(_events(spark, sf_dir), "issue_or_pr"), "issue_or_pr")
+    tags = good.selectExpr("repo_full_name", "'record' AS what").unionByName(rejected.selectExpr(
+        "repo_full_name", "CASE WHEN reason LIKE 'page:%' THEN 'page' ELSE 'item' END AS what"))
+    return tags.groupBy("repo_full_name").agg(
+        F.count_if(F.col("what") == "record").alias("records"), F.count_if(F.col("what") == "item").alias("rejected_items"),
+        F.count_if(F.col("what") == "page").alias("rejected_pages"))
+
+
 # ------------------------------------------------------------------ Bronze storage
 
 BRONZE_RUN_ID = "run-0001"
@@ -298,10 +323,19 @@ _STREAM_KIND = ("CASE WHEN event_type = 'view' THEN 'repo_metadata' WHEN event_t
 
 
 def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The driver's ``events`` table read as a file stream (new files = new micro-batches)."""
+    """The driver's ``events`` table read as a file stream. A stream path must be a folder unless it is a
+    pattern; the pattern (of this one name) matches a file and a folder of files alike. All files that
+    are there make one batch: the table's files are in no order of time, and a batch each would make rows late."""
     schema = _events(spark, sf_dir).schema
-    return (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-            .option("maxFilesPerTrigger", 1).parquet(sf_dir))
+    return spark.readStream.schema(schema).parquet(f"{table_path(sf_dir, 'events')[:-1]}[t]")
+
+
+def _shuffled_events_stream(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
+    """The events landed anew as at least three files in no order of time: that many micro-batches, with late records."""
+    ev = _events(spark, sf_dir)
+    for i in range(3):
+        ev.where(f"pmod(xxhash64(event_id), 3) = {i}").write.mode("append").parquet(f"{root}/landing")
+    return spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/landing")
 
 
 @register("stream_parse", _LANDING_SQL["landing_parse_issue"])
@@ -309,7 +343,7 @@ def q_stream_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages landed as files by the collector, parsed by a checkpointed stream."""
     root = work_path(spark, "stream-parse")
     pages = _fx.landed_pages(_events(spark, sf_dir), "issue_or_pr")
-    pages.repartition(4, "repo_full_name").write.parquet(f"{root}/landing")
+    pages.write.parquet(f"{root}/landing")
     stream = spark.readStream.schema(spark.read.parquet(f"{root}/landing").schema) \
         .option("maxFilesPerTrigger", 2).parquet(f"{root}/landing")
     _stream.await_all(_stream.parse_stream(stream, "issue_or_pr", f"{root}/out", f"{root}/checkpoint"))
@@ -318,6 +352,7 @@ def q_stream_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("stream_daily_counts", oracle.stream_counts_sql(STREAM_DELAY))
 def q_stream_daily_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of closed days: append mode emits a window once the watermark has passed it, so the last ones stay open."""
     root = work_path(spark, "stream-counts")
     records = _events_stream(spark, sf_dir).selectExpr(
         "concat('org', CAST(user_id % 3 AS STRING), '/repo', CAST(user_id % 12 AS STRING)) AS repo_full_name",
@@ -331,12 +366,11 @@ def q_stream_daily_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("stream_latest_state", oracle.stream_latest_sql())
 def q_stream_latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = work_path(spark, "stream-latest")
-    stg = _staging.stg_issue_or_pr(_fx.bronze_issue_or_pr(_events_stream(spark, sf_dir))).select(
+    stg = _staging.stg_issue_or_pr(_fx.bronze_issue_or_pr(_shuffled_events_stream(spark, sf_dir, root))).select(
         "repo_full_name", "number", "is_pull_request", "state", "title", "user_login", "created_at",
         "closed_at", "fetched_at", "ingest_seq")
     q = _stream.latest_state_stream(stg, ["repo_full_name", "number", "is_pull_request"],
-                                    ["fetched_at", "ingest_seq"], f"{root}/out", f"{root}/checkpoint",
-                                    redelivery_key=["ingest_seq"])
+                                    ["fetched_at", "ingest_seq"], f"{root}/out", f"{root}/checkpoint")
     _stream.await_all(q)
     return _stream.serving_view(spark, f"{root}/out", ["repo_full_name", "number", "is_pull_request"])
 
@@ -345,7 +379,7 @@ def q_stream_latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_stream_upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events stream upserted into a versioned mart of the latest issue/PR state, batch by batch."""
     root = work_path(spark, "stream-upsert")
-    stg = _staging.stg_issue_or_pr(_fx.bronze_issue_or_pr(_events_stream(spark, sf_dir))).select(
+    stg = _staging.stg_issue_or_pr(_fx.bronze_issue_or_pr(_shuffled_events_stream(spark, sf_dir, root))).select(
         "repo_full_name", "number", "is_pull_request", "state", "title", "user_login", "created_at",
         "closed_at", "fetched_at", "ingest_seq")
     q = _stream.upsert_stream(stg, ["repo_full_name", "number", "is_pull_request"], ["fetched_at", "ingest_seq"],
@@ -364,19 +398,25 @@ def _title_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("anomaly_scores", oracle.anomaly_sql())
 def q_anomaly_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _anomaly.anomaly_scores(Models.from_events(spark, sf_dir).repo_daily_metrics())
+    scores = _anomaly.anomaly_scores(Models.from_events(spark, sf_dir).repo_daily_metrics())
+    return scores.withColumns({c: F.round(c, 6) for c in ("baseline_mean", "baseline_std", "z_score")})
 
 
 @register("title_term_weights", oracle.term_weights_sql())
 def q_title_term_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _text.term_weights(_title_documents(spark, sf_dir))
+    return _text.term_weights(_title_documents(spark, sf_dir)).withColumn("weight", F.round("weight", 6))
 
 
-@register("title_vectors")
+@register("title_vectors", oracle.vectors_sql())
 def q_title_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sparse TF-IDF vectors (pyspark.ml); rows-only check (hashed feature indices)."""
-    vec = _text.text_vectors(_title_documents(spark, sf_dir))
-    return vec.select("doc_kind", "repo_full_name", "doc_key", "features")
+    """Sparse TF-IDF vectors (pyspark.ml): non-zero entries, length and largest entry of each."""
+    from pyspark.ml.functions import vector_to_array
+
+    vec = _text.text_vectors(_title_documents(spark, sf_dir)).withColumn("_a", F.filter(
+        vector_to_array("features"), lambda x: x != 0))
+    return vec.selectExpr("doc_kind", "repo_full_name", "doc_key", "CAST(size(_a) AS BIGINT) AS n_terms",
+                          "round(sqrt(aggregate(_a, 0D, (s, x) -> s + x * x)), 6) AS norm",
+                          "round(coalesce(array_max(_a), 0D), 6) AS largest")
 
 
 # ------------------------------------------------------------------ materialised build + serving read
@@ -388,3 +428,14 @@ def q_materialized_health_by_stars(spark: SparkSession, sf_dir: str) -> DataFram
     root = work_path(spark, "build")
     _mat.build(spark, Models.from_events(spark, sf_dir), root)
     return serving.health_by_stars(_mat.read_model(spark, root, "repo_health_snapshot"))
+
+
+@register("rebuild_same_folder", oracle.rebuilt_sql(MART_PREVIOUS_CUT, MART_PREVIOUS_AS_OF))
+def q_rebuild_same_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A full build, then a rebuild into the same folder from earlier records only: nothing of the first may stay."""
+    root = work_path(spark, "rebuild")
+    _mat.build(spark, Models.from_events(spark, sf_dir), root)
+    before = f"CAST(fetched_at AS TIMESTAMP_NTZ) < TIMESTAMP_NTZ '{MART_PREVIOUS_CUT}'"
+    fewer = {k: f.where(before) for k, f in _fx.bronze_from_events(_events(spark, sf_dir)).items()}
+    _mat.build(spark, Models(fewer, as_of=MART_PREVIOUS_AS_OF), root)
+    return _mat.read_model(spark, root, "repo_daily_metrics")

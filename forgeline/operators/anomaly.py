@@ -30,8 +30,7 @@ def fill_idle_days(daily: DataFrame, metrics: Sequence[str], key: str = "repo_fu
 
 
 def anomaly_scores(daily: DataFrame, metrics: Sequence[str] = SCORED_METRICS, window: int = 28,
-                   min_history: int = 7, threshold: float = 3.0, key: str = "repo_full_name",
-                   digits: int = 6) -> DataFrame:
+                   min_history: int = 7, threshold: float = 3.0, key: str = "repo_full_name") -> DataFrame:
     filled = fill_idle_days(daily, metrics, key)
     long = filled.unpivot([key, "day"], list(metrics), "metric", "value")
     w = Window.partitionBy(key, "metric").orderBy("day").rowsBetween(-window, -1)
@@ -45,8 +44,8 @@ def anomaly_scores(daily: DataFrame, metrics: Sequence[str] = SCORED_METRICS, wi
     z = F.when(usable, (F.col("value") - F.col("_mean")) / F.col("_std"))
     return stats.select(
         key, "day", "metric", "value", F.col("history_days").cast("bigint").alias("history_days"),
-        F.round("_mean", digits).alias("baseline_mean"),
-        F.round("_std", digits).alias("baseline_std"),
-        F.round(z, digits).alias("z_score"),
+        F.col("_mean").alias("baseline_mean"),
+        F.col("_std").alias("baseline_std"),
+        z.alias("z_score"),
         F.coalesce(F.abs(z) >= F.lit(threshold), F.lit(False)).alias("is_anomaly"),
     )

@@ -155,7 +155,7 @@ def _table_pass(df: DataFrame, checks: list[Check]) -> DataFrame:
         elif ch.kind == "fresh_within":
             as_of, max_age_hours = ch.params
             limit = ntz_literal(as_of) - F.make_dt_interval(
-                F.lit(0), F.lit(int(max_age_hours)), F.lit(0), F.lit(0))
+                F.lit(0), F.lit(0), F.lit(0), F.lit(f"{max_age_hours * 3600:.6f}").cast("decimal(18, 6)"))
             failures = F.when(F.col(f"_c{i}").isNotNull() & (F.col(f"_c{i}") >= limit), 0).otherwise(1)
         else:
             failures = F.col(f"_c{i}")
@@ -186,6 +186,9 @@ def quality_report(tables: dict[str, DataFrame], checks: Sequence[Check]) -> Dat
     return out
 
 
+REPORT_SCHEMA = "check_name string, table_name string, column_name string, failures bigint"
+
+
 class QualityGateError(RuntimeError):
     pass
 
@@ -193,15 +196,20 @@ class QualityGateError(RuntimeError):
 def enforce(report: DataFrame) -> list[tuple]:
     """Gate: raise when any check failed. The report has one row per check,
     so collecting it is bounded by the number of checks, not the data."""
-    failed = [tuple(r) for r in report.filter("failures > 0").collect()]
+    return enforce_rows(report.collect())
+
+
+def enforce_rows(rows: Sequence) -> list[tuple]:
+    """The gate on an evaluated report; the error names every failed check."""
+    failed = [tuple(r) for r in rows if r["failures"] > 0]
     if failed:
-        raise QualityGateError(f"{len(failed)} checks failed: {failed[:10]}")
+        raise QualityGateError(f"{len(failed)} checks failed: {failed}")
     return failed
 
 
 # ------------------------------------------------------------------ declared checks
 def declared_checks() -> list[Check]:
-    """The reference's 29 declared tests (sources and models)."""
+    """The 29 declared checks of sources and models."""
     return [
         # Bronze sources
         not_null("repo_metadata", "full_name"),

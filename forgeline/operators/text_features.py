@@ -24,8 +24,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Token pattern (split on anything but lower-case letters and digits).
-TOKEN_SPLIT = "[^a-z0-9]+"
+# Terms are runs of letters (with their marks) and digits of any script, lower-cased.
+TOKEN_SPLIT = r"[^\p{L}\p{M}\p{N}]+"
 
 
 def documents(fct_issues: DataFrame, fct_prs: DataFrame, fct_commits: DataFrame) -> DataFrame:
@@ -53,7 +53,7 @@ def tokens(docs: DataFrame, doc_cols: Sequence[str], text_col: str = "text") ->
 
 
 def term_weights(docs: DataFrame, doc_cols: Sequence[str] = ("doc_kind", "repo_full_name", "doc_key"),
-                 text_col: str = "text", digits: int = 6) -> DataFrame:
+                 text_col: str = "text") -> DataFrame:
     doc_cols = list(doc_cols)
     tf = tokens(docs, doc_cols, text_col).groupBy(*doc_cols, "term").agg(F.count(F.lit(1)).alias("tf"))
     df_ = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
@@ -63,12 +63,17 @@ def term_weights(docs: DataFrame, doc_cols: Sequence[str] = ("doc_kind", "repo_f
     norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(*doc_cols)))
     return weighted.select(
         *doc_cols, "term", F.col("tf").cast("bigint").alias("tf"), F.col("df").cast("bigint").alias("df"),
-        F.round(F.when(norm > 0, F.col("_w") / norm).otherwise(F.lit(0.0)), digits).alias("weight"),
+        F.when(norm > 0, F.col("_w") / norm).otherwise(F.lit(0.0)).alias("weight"),
     )
 
 
 def text_vectors(docs: DataFrame, text_col: str = "text", num_features: int = 1 << 18) -> DataFrame:
-    """Sparse TF-IDF vectors (L2) via ``pyspark.ml``; IDF is fitted with one distributed pass."""
+    """Sparse TF-IDF vectors (L2) via ``pyspark.ml``; IDF is fitted with one distributed pass.
+
+    Terms are hashed: two terms of one bucket become one feature. With ``v`` distinct terms
+    about ``v * v / (2 * num_features)`` pairs meet, so choose ``num_features`` well above the vocabulary
+    (262,144 suits some hundred terms without a meeting, some thousand with a few).
+    """
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
 

@@ -1,7 +1,7 @@
 """Full-refresh materialisation of silver and gold (the build step), and serving reads.
 
-Each build writes every model to ``{root}/{name}`` with overwrite (the
-reference rebuilds all tables on every run). Silver facts are written first
+Each build writes every model to ``{root}/{name}`` with overwrite (static
+overwrite, so a rebuild leaves nothing of the one before). Silver facts are written first
 and gold is computed from the *written* silver tables, so the expensive
 dedup windows run once per build and gold's lineage starts at Parquet.
 ``fmt`` is the table-format parameter (``parquet`` by default; a lakehouse
@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 
 from forgeline.operators import quality as dq
 from forgeline.plans import gold
@@ -31,7 +31,8 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: li
         # partition columns lead: the partitioned writer needs that order and would
         # otherwise add its own sort, dropping the clustering
         df = df.sortWithinPartitions(*(partition_by or []), *cluster_by)
-    w = df.write.mode("overwrite").format(fmt).option("compression", "zstd")
+    # a full refresh replaces the whole table: partitions that the new rows lack must go too
+    w = df.write.mode("overwrite").format(fmt).option("compression", "zstd").option("partitionOverwriteMode", "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)
@@ -90,16 +91,17 @@ def build_and_check(spark: SparkSession, models: Models, root: str, checks: Sequ
         ("silver", SILVER_MODELS),
         ("gold", ("repo_daily_metrics", "repo_health_snapshot")),
     ]
-    reports: list[DataFrame] = []
+    reports: list[Row] = []
 
     def run(layer_tables: dict[str, DataFrame], names) -> None:
         chosen = [c for c in checks if c.table in names]
         if not chosen:
             return
-        rep = dq.quality_report(layer_tables, chosen)
+        # one row per check: evaluated once, then kept as rows
+        rows = dq.quality_report(layer_tables, chosen).collect()
         if fail_fast:
-            dq.enforce(rep)
-        reports.append(rep)
+            dq.enforce_rows(rows)
+        reports.extend(rows)
 
     inputs = {k: models.bronze(k) for k in ("repo_metadata", "issue_or_pr", "commit")}
     inputs.update({n: models.stg(n) for n in STAGING_MODELS})
@@ -108,7 +110,4 @@ def build_and_check(spark: SparkSession, models: Models, root: str, checks: Sequ
     run({n: read_model(spark, root, n, fmt) for n in silver_paths}, layers[1][1])
     gold_paths = build_gold(spark, root, as_of or models.as_of, fmt)
     run({n: read_model(spark, root, n, fmt) for n in gold_paths}, layers[2][1])
-    out = reports[0]
-    for r in reports[1:]:
-        out = out.unionByName(r)
-    return out
+    return spark.createDataFrame(reports, dq.REPORT_SCHEMA)

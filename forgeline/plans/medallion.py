@@ -15,8 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from forgeline.plans import gold, silver, staging
 from forgeline.sources import fixtures, tables
 
-DEFAULT_AS_OF = "2024-01-31"
-
 STAGING_MODELS = ("stg_repo_metadata", "stg_issue_or_pr", "stg_commit")
 SILVER_MODELS = ("dim_repos", "fct_issues", "fct_pull_requests", "fct_commits")
 GOLD_MODELS = ("repo_daily_metrics", "repo_daily_metrics_joined", "activity_spine", "repo_health_snapshot")
@@ -31,15 +29,18 @@ _SILVER_FN = {"dim_repos": ("stg_repo_metadata", silver.dim_repos),
 
 
 class Models:
-    """Lazily built model frames over one Bronze input (three record kinds)."""
+    """Lazily built model frames over one Bronze input (three record kinds).
+
+    ``as_of`` ends the trailing window of the health table; None is the current date.
+    """
 
-    def __init__(self, bronze: dict[str, DataFrame] | Callable[[str], DataFrame], as_of=DEFAULT_AS_OF):
+    def __init__(self, bronze: dict[str, DataFrame] | Callable[[str], DataFrame], as_of=None):
         self._bronze_src = bronze
         self.as_of = as_of
         self._cache: dict[str, DataFrame] = {}
 
     @classmethod
-    def from_events(cls, spark: SparkSession, sf_dir: str, as_of=DEFAULT_AS_OF) -> Models:
+    def from_events(cls, spark: SparkSession, sf_dir: str, as_of=None) -> Models:
         events: list[DataFrame] = []
 
         def bronze(kind: str) -> DataFrame:
@@ -76,11 +77,11 @@ class Models:
         return gold.daily_metrics_from_activity(self.activity())
 
     def repo_daily_metrics_joined(self) -> DataFrame:
-        return gold.repo_daily_metrics_joined(*self.facts())
+        """The daily metrics from the three fact tables, as a build from written silver computes them."""
+        return gold.repo_daily_metrics(*self.facts())
 
     def activity_spine(self) -> DataFrame:
-        """Distinct (repo, day) keys of the one-pass activity rows (same set as
-        :func:`gold.activity_spine` over the three facts, one scan less)."""
+        """Distinct (repo, day) keys of the one-pass activity rows."""
         return self.activity().select("repo_full_name", "day").distinct()
 
     def repo_health_snapshot(self, as_of=None) -> DataFrame:

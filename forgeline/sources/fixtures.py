@@ -85,7 +85,7 @@ _ISSUE_COLUMNS = [
     "repo AS repo_full_name",
     "CAST(k AS BIGINT) AS number",
     "CASE WHEN value >= 100 THEN 'closed' ELSE 'open' END AS state",
-    "concat('Item ', CAST(k AS STRING), ' of ', repo) AS title",
+    "concat('Item ', CAST(k AS STRING), ' of ', repo, CASE WHEN k % 4 = 1 THEN ' révisé 修正' ELSE '' END) AS title",
     "CASE WHEN user_id % 10 = 0 THEN CAST(NULL AS STRING) ELSE concat('user', CAST(user_id AS STRING)) END "
     "AS user_login",
     f"event_type IN {_in(PR_EVENT_TYPES)} AS is_pull_request",
@@ -243,3 +243,15 @@ def landed_pages(events: DataFrame, kind: str) -> DataFrame:
     return (items.groupBy("repo_full_name", (items.event_id / PAGE_SIZE).cast("bigint").alias("page_no"))
             .agg(F.expr("'[' || array_join(collect_list(payload), ',') || ']'").alias("page"),
                  F.max("ts").alias("fetched_at")))
+
+
+# Pages that arrive damaged (cut short, an error object, no JSON), by page number.
+DAMAGED_PAGES = (("page_no % 7 = 0", "substring(page, 1, length(page) - 1)"),
+                 ("page_no % 11 = 1", "'{\"message\":\"Server Error\"}'"),
+                 ("page_no % 13 = 2", "'Bad gateway'"))
+
+
+def damaged_pages(events: DataFrame, kind: str) -> DataFrame:
+    """The landed pages, some of them damaged."""
+    whens = " ".join(f"WHEN {cond} THEN {text}" for cond, text in DAMAGED_PAGES)
+    return landed_pages(events, kind).withColumn("page", F.expr(f"CASE {whens} ELSE page END"))

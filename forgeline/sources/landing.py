@@ -13,9 +13,13 @@ Rules (the contract of the reference's mappers):
 * optional keys may be absent or null; nested reads are null-safe;
 * ``is_pull_request`` is key presence, true even for a null value;
 * list items must carry their projected key (``lbl["name"]`` ...);
-* a present, non-null value that does not fit the declared type is rejected.
+* a present, non-null value that does not fit the declared type is rejected: texts
+  must be JSON strings (numbers and booleans are not turned into text), numbers JSON numbers (a
+  numeric string is not read as a number), nested records JSON objects, times ISO date-times;
+* a page that is not an array (truncated, an error object, no JSON, null) is rejected as a whole.
 
-Rejected rows keep the payload and a ``;``-joined list of reasons.
+Rejected rows keep the payload (or page) and a ``;``-joined list of reasons, so
+every landed item or page is either a record or a reject.
 """
 
 from __future__ import annotations
@@ -29,17 +33,22 @@ from forgeline import schemas
 from forgeline.functions.columns import ISO_UTC_PATTERN, utc_wall_clock
 
 PAYLOAD = "payload"
+PAGE = "_page"
 
 
 def flatten_pages(pages: DataFrame, page_col: str = "page") -> DataFrame:
     """One row per item of each landed page (a JSON array of objects).
 
     Parsing the array as ``array<string>`` hands back every element as its own
-    compact JSON text, so the item text is kept without re-serialising fields.
+    compact JSON text (white space between tokens is not kept). A page that is not an array is one
+    row: its text as payload and the reason in ``_page``, which the parsers reject.
     """
-    items = F.explode(F.from_json(F.col(page_col), "array<string>"))
+    items = F.from_json(F.col(page_col), "array<string>")
+    no_reason = F.lit(None).cast("string").alias(PAGE)
+    whole = F.array(F.struct(F.col(page_col).alias(PAYLOAD), F.lit("page:not an array").alias(PAGE)))
+    rows = F.coalesce(F.transform(items, lambda x: F.struct(x.alias(PAYLOAD), no_reason)), whole)
     keep = [c for c in pages.columns if c != page_col]
-    return pages.select(*keep, items.alias(PAYLOAD))
+    return pages.select(*keep, F.inline(rows))
 
 
 # ------------------------------------------------------------------ rule helpers
@@ -55,12 +64,24 @@ def flatten_pages(pages: DataFrame, page_col: str = "page") -> DataFrame:
 _MAP = "_m"
 _KEYS = "_k"
 _BAD = "_maybe_bad"
+_TYPES = "_types"
 
 
-def _stage1(landed: DataFrame, ddl: str) -> DataFrame:
+def _wrong_kind(path: str, kind: str) -> Column:
+    """Reason if the value at ``path`` is there, not null and not of the JSON kind (STRING, OBJECT)."""
+    found = F.schema_of_variant(F.try_variant_get(F.col("_v"), f"$.{path}", "variant"))
+    return F.when(found.isNotNull() & (found != "VOID") & ~found.startswith(kind), F.lit(f"type:{path}"))
+
+
+def _stage1(landed: DataFrame, ddl: str, texts: Sequence[str], objects: Sequence[str]) -> DataFrame:
+    """The typed parse, the keys, and the fields that are not of their JSON kind (the typed parse
+    would turn any value into text)."""
     parsed = F.struct(F.from_json(F.col(PAYLOAD), ddl).alias("_j"),
-                      F.json_object_keys(F.col(PAYLOAD)).alias(_KEYS))
-    return landed.select("*", F.inline(F.array(parsed)))
+                      F.json_object_keys(F.col(PAYLOAD)).alias(_KEYS),
+                      F.try_parse_json(F.col(PAYLOAD)).alias("_v"))
+    kinds = [_wrong_kind(p, "STRING") for p in texts] + [_wrong_kind(p, "OBJECT") for p in objects]
+    checked = F.struct(F.array_compact(F.array(*kinds)).alias(_TYPES))
+    return landed.select("*", F.inline(F.array(parsed))).select("*", F.inline(F.array(checked))).drop("_v")
 
 
 def _stage2(parsed: DataFrame, coarse: Column) -> DataFrame:
@@ -87,7 +108,8 @@ def _any(conds: Sequence[Column]) -> Column:
 
 def _reasons(*conds: tuple[Column, str]) -> Column:
     parts = [F.when(c, F.lit(r)) for c, r in conds]
-    return F.when(F.col(_BAD), F.array_compact(F.array(*parts))).otherwise(F.array().cast("array<string>"))
+    named = F.array_distinct(F.concat(F.array_compact(F.array(*parts)), F.coalesce(F.col(_TYPES), F.array().cast("array<string>"))))
+    return F.when(F.col(_BAD), named).otherwise(F.array().cast("array<string>"))
 
 
 def _required(keys: Sequence[str]) -> list[tuple[Column, str]]:
@@ -104,7 +126,7 @@ def _typed(j: str, keys: Sequence[str]) -> list[tuple[Column, str]]:
 
 
 def _bad_timestamp(c: Column) -> Column:
-    return c.isNotNull() & F.try_to_timestamp(c).isNull()
+    return c.isNotNull() & (F.try_to_timestamp(c).isNull() | ~c.rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}"))
 
 
 def _timestamps(j: str, keys: Sequence[str]) -> list[tuple[Column, str]]:
@@ -124,14 +146,21 @@ def _coarse(j: str, required: Sequence[str], defaulted: Sequence[str], extra: Se
     """Superset of the reject rules over stage-1 columns only: not an object, a
     required field NULL after parsing (absent, JSON null or wrong type), a
     present defaulted field NULL after parsing (JSON null or wrong type)."""
-    return _any([F.col(_KEYS).isNull(),
+    return _any([F.col(_KEYS).isNull(), F.size(_TYPES) > 0,
                  *[F.col(f"{j}.{k}").isNull() for k in required],
                  *[_present(k) & F.col(f"{j}.{k}").isNull() for k in defaulted],
                  *extra])
 
 
+def _tagged(parsed: DataFrame, reasons: Column) -> DataFrame:
+    """Items with their reasons; a page that is not an array has that reason alone."""
+    if PAGE in parsed.columns:
+        reasons = F.when(F.col(PAGE).isNotNull(), F.array(F.col(PAGE))).otherwise(reasons)
+    return parsed.withColumn("_reasons", reasons)
+
+
 def _split(parsed: DataFrame, reasons: Column, good_cols: list[Column], keep: list[str]) -> tuple[DataFrame, DataFrame]:
-    return split_tagged(parsed.withColumn("_reasons", reasons), good_cols, keep)
+    return split_tagged(_tagged(parsed, reasons), good_cols, keep)
 
 
 def split_tagged(tagged: DataFrame, good_cols: list[Column], keep: list[str]) -> tuple[DataFrame, DataFrame]:
@@ -163,7 +192,9 @@ def parse_repo_metadata(landed: DataFrame, fetched_col: str = "fetched_at", piec
     stamps = ["created_at", "updated_at", "pushed_at"]
     coarse = _coarse(j, ["full_name", "name", "owner.login"], defaulted,
                      [_bad_timestamp(F.col(f"{j}.{k}")) for k in stamps])
-    parsed = _stage2(_stage1(landed, schemas.RAW_REPO_DDL), coarse)
+    parsed = _stage2(_stage1(
+        landed, schemas.RAW_REPO_DDL, ["full_name", "name", "description", "default_branch", "language", *stamps,
+                                       "owner.login", "license.spdx_id"], ["owner", "license"]), coarse)
     reasons = _reasons(
         _is_object(),
         *_required(["full_name", "name", "owner"]),
@@ -188,9 +219,9 @@ def parse_repo_metadata(landed: DataFrame, fetched_col: str = "fetched_at", piec
         F.col(f"{j}.pushed_at").alias("pushed_at"),
         *_landing_cols(fetched_col),
     ]
-    keep = [c for c in landed.columns if c != PAYLOAD]
+    keep = [c for c in landed.columns if c not in (PAYLOAD, PAGE)]
     if pieces:
-        return parsed.withColumn("_reasons", reasons), good_cols, keep
+        return _tagged(parsed, reasons), good_cols, keep
     return _split(parsed, reasons, good_cols, keep)
 
 
@@ -204,7 +235,7 @@ def parse_issue_or_pr(landed: DataFrame, repo_col: str = "repo_full_name",
     lists = [_list_items(j, "labels", "name"), _list_items(j, "assignees", "login")]
     coarse = _coarse(j, required, defaulted,
                      [c for c, _ in lists] + [_bad_timestamp(F.col(f"{j}.{k}")) for k in stamps])
-    parsed = _stage2(_stage1(landed, schemas.RAW_ISSUE_DDL), coarse)
+    parsed = _stage2(_stage1(landed, schemas.RAW_ISSUE_DDL, ["state", "title", *stamps, "user.login"], ["user"]), coarse)
     reasons = _reasons(
         _is_object(),
         *_required(required),
@@ -230,9 +261,9 @@ def parse_issue_or_pr(landed: DataFrame, repo_col: str = "repo_full_name",
         F.col(f"{j}.closed_at").alias("closed_at"),
         *_landing_cols(fetched_col),
     ]
-    keep = [c for c in landed.columns if c != PAYLOAD]
+    keep = [c for c in landed.columns if c not in (PAYLOAD, PAGE)]
     if pieces:
-        return parsed.withColumn("_reasons", reasons), good_cols, keep
+        return _tagged(parsed, reasons), good_cols, keep
     return _split(parsed, reasons, good_cols, keep)
 
 
@@ -245,7 +276,11 @@ def parse_commit(landed: DataFrame, repo_col: str = "repo_full_name",
     msg_maybe_null = F.col(f"{j}.commit").isNotNull() & F.col(f"{j}.commit.message").isNull()
     coarse = _coarse(j, ["sha"], ["parents"],
                      [msg_maybe_null, _list_items(j, "parents", "sha")[0], *[_bad_timestamp(c) for c in dates]])
-    parsed = _stage2(_stage1(landed, schemas.RAW_COMMIT_DDL), coarse)
+    parsed = _stage2(_stage1(
+        landed, schemas.RAW_COMMIT_DDL,
+        ["sha", "commit.message", "author.login", "committer.login",
+         *[f"commit.{who}.{k}" for who in ("author", "committer") for k in ("email", "date")]],
+        ["commit", "author", "committer", "commit.author", "commit.committer"]), coarse)
     # "commit" may be absent or null (then {}), but a present "message" must not be null
     commit_present_null_msg = (_raw("commit").isNotNull()
                                & F.coalesce(F.array_contains(
@@ -275,9 +310,9 @@ def parse_commit(landed: DataFrame, repo_col: str = "repo_full_name",
                    F.array().cast("array<string>")).alias("parents"),
         *_landing_cols(fetched_col),
     ]
-    keep = [c for c in landed.columns if c != PAYLOAD]
+    keep = [c for c in landed.columns if c not in (PAYLOAD, PAGE)]
     if pieces:
-        return parsed.withColumn("_reasons", reasons), good_cols, keep
+        return _tagged(parsed, reasons), good_cols, keep
     return _split(parsed, reasons, good_cols, keep)
 
 

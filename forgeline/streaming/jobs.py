@@ -12,8 +12,8 @@ column), write through checkpointed sinks, and run either continuously or as
   with a watermark, append mode: a window is emitted once, when it closes.
 * :func:`latest_state_stream` -- latest version per key; ``row_number`` is not
   supported on streams, so ``max_by(struct, (fetched_at, ingest_seq))`` in
-  update mode; redelivered copies are dropped within the watermark first. The
-  updated keys of each batch are upserted into the serving table.
+  update mode, without a lateness bound. The updated keys of each batch are
+  upserted into the serving table.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from forgeline.functions.columns import utc_instant, utc_wall_clock
 from forgeline.sources import landing
@@ -30,22 +30,38 @@ from forgeline.sources import landing
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+_STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
+    # commit a small changelog per batch instead of uploading a snapshot each time
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+def _explicit(spark: SparkSession, key: str, other: str) -> bool:
+    """Whether the session sets ``key`` (a value equal to ``other`` needs no change either)."""
+    return spark.conf.get(key, other) != other
+
+
 def _start(df: DataFrame, checkpoint: str, trigger_once: bool, **kw) -> StreamingQuery:
     # Keyed state (latest version per key) grows with the number of keys: keep it
-    # in RocksDB off the JVM heap unless the cluster already chose a provider.
+    # in RocksDB off the JVM heap unless the session chose a provider. The query keeps the settings
+    # it starts with, so the session's own are put back at once.
     spark = df.sparkSession
-    if not spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) or \
-            "HDFSBackedStateStoreProvider" in spark.conf.get("spark.sql.streaming.stateStore.providerClass"):
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
-        # commit a small changelog per batch instead of uploading a snapshot each time
-        if spark.conf.get("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", None) is None:
-            spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    chosen = _explicit(spark, "spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     w = df.writeStream.option("checkpointLocation", checkpoint)
     for k, v in kw.items():
         w = getattr(w, k)(*v) if isinstance(v, tuple) else getattr(w, k)(v)
     if trigger_once:
         w = w.trigger(availableNow=True)
-    return w.start()
+    if chosen:
+        return w.start()
+    for k, v in _STATE_CONF.items():
+        spark.conf.set(k, v)
+    try:
+        return w.start()
+    finally:
+        for k in _STATE_CONF:
+            spark.conf.unset(k)
 
 
 # ------------------------------------------------------------------ B1: parse
@@ -92,22 +108,22 @@ def daily_counts_stream(events: DataFrame, time_col: str, keys: list[str], out:
 
 
 # ------------------------------------------------------------------ B3: latest state
-def latest_state(records: DataFrame, keys: list[str], order: list[str], delay: str = "1 day",
-                 redelivery_key: list[str] | None = None, time_col: str = "fetched_at") -> DataFrame:
-    """Latest row per key as a streaming aggregation (update mode)."""
-    r = records.withColumn("_event_time", utc_instant(time_col, records.sparkSession)).withWatermark(
-        "_event_time", delay)
-    if redelivery_key:
-        r = r.dropDuplicatesWithinWatermark(redelivery_key)
+def latest_state(records: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Latest row per key as a streaming aggregation (update mode).
+
+    ``max_by`` gives the same row in whatever order and however often records arrive, so
+    there is no watermark: a late record of a new key counts, a redelivered one changes nothing. The state holds one
+    row per key.
+    """
     value_cols = [c for c in records.columns if c not in keys]
-    latest = r.groupBy(*keys).agg(
+    latest = records.groupBy(*keys).agg(
         F.max_by(F.struct(*value_cols), F.struct(*order)).alias("_latest"))
     return latest.select(*keys, "_latest.*")
 
 
 def latest_state_stream(records: DataFrame, keys: list[str], order: list[str], out: str, checkpoint: str,
-                        redelivery_key: list[str] | None = None, trigger_once: bool = True) -> StreamingQuery:
-    state = latest_state(records, keys, order, redelivery_key=redelivery_key)
+                        trigger_once: bool = True) -> StreamingQuery:
+    state = latest_state(records, keys, order)
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(
@@ -131,11 +147,32 @@ def await_all(*queries: StreamingQuery) -> None:
             raise RuntimeError(str(q.exception()))
 
 
+class LateRows(StreamingQueryListener):
+    """Counts late rows of all batches: input rows that a stateful operator dropped because they were older than the watermark.
+
+    Register before the query starts (``spark.streams.addListener``). Spark compares incoming rows with the watermark of the
+    *previous* micro-batch, so a row arriving in the very batch where the watermark passes its window is still counted in that window.
+    """
+
+    def __init__(self):
+        self.rows: dict[str, int] = {}
+
+    def onQueryStarted(self, event) -> None:
+        self.rows.setdefault(str(event.id), 0)
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        self.rows[str(p.id)] = self.rows.get(str(p.id), 0) + sum(int(o.numRowsDroppedByWatermark) for o in p.stateOperators)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
 def rows_dropped_by_watermark(query: StreamingQuery) -> int:
-    """Late rows: input rows dropped by a stateful operator because they were older
-    than the watermark (summed over recent progress). Spark compares incoming rows
-    with the watermark of the *previous* micro-batch, so a row arriving in the very
-    batch where the watermark passes its window is still counted in that window."""
+    """Late rows of the *recent* batches (``recentProgress`` is a bounded list); :class:`LateRows` counts all."""
     total = 0
     for p in query.recentProgress:
         for op in p.get("stateOperators", []) if isinstance(p, dict) else p.stateOperators:

@@ -164,3 +164,25 @@ def test_date_partitioned_bronze_is_clustered_by_repo(spark, tmp_dir):
     for path in glob.glob(os.path.join(tmp_dir, "issue_or_pr", "year=*", "month=*", "day=*", "*.parquet"))[:5]:
         repos = pq.read_table(path, columns=["repo_full_name"]).column(0).to_pylist()
         assert repos == sorted(repos)
+
+
+def test_ill_typed_fields_are_rejected(spark):
+    bad = {"type:title": _issue(title=5), "type:state": _issue(state=True), "type:user": _issue(user="bob"),
+           "type:user.login": _issue(user={"login": 7}), "type:created_at": _issue(created_at="2024")}
+    objects = _issue(title={"a": 1})
+    good, rejected = landing.parse_issue_or_pr(_landed(spark, [*bad.values(), objects, _issue(user={"login": "x"})]))
+    assert good.count() == 1
+    reasons = {r["raw_payload"]: r["reason"] for r in rejected.collect()}
+    assert all(reason in reasons[p].split(";") for reason, p in bad.items())
+    assert "type:title" in reasons[objects]
+
+
+def test_damaged_pages_are_quarantined_whole(spark):
+    one, two = _issue(), _issue(number=2)
+    texts = [f"[{one},{two}]", f"[{one},{two}"[:-5], '{"message": "error"}', "oops", None, "[]", f"[{one}, 5, null]"]
+    pages = spark.createDataFrame([("o/r", TS, t) for t in texts], "repo_full_name string, fetched_at timestamp_ntz, page string")
+    good, rejected = landing.land(pages, "issue_or_pr")
+    assert good.count() == 3
+    reasons = sorted((r["reason"], r["raw_payload"] or "") for r in rejected.collect())
+    assert [x for x in reasons if x[0].startswith("page:")] == sorted(("page:not an array", t or "") for t in texts[1:5])
+    assert len(reasons) == 6  # and the two items that are no objects

@@ -5,11 +5,12 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as E
+from forgeline import catalog
 from tests.conftest import SF_SMALL
 from tests.helpers import canon, duck
 
-QUERIES = E.queries()
-ORACLES = E.oracle_sql()
+QUERIES = catalog.QUERIES
+ORACLES = catalog.ORACLES
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
