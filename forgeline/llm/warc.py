@@ -1,5 +1,7 @@
 """WARC archives of pages, with segmented records, revisits and chunked payloads.
 
+Files are gzip-compressed unless told otherwise.
+
 Writing: each page is a record. Of records with equal payloads of at least `least_bytes` bytes the one with the smallest
 page id is a response and the others revisit it; smaller ones are all responses. A response's block is an
 HTTP response whose body is in chunked transfer framing; a block longer than `segment_bytes` is cut into a first
@@ -22,6 +24,7 @@ from __future__ import annotations
 import hashlib
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 from urllib.parse import quote
 
@@ -29,13 +32,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forgeline.llm.common import arrow_map
+from forgeline.llm.common import arrow_map, materialized
 from forgeline.session import work_path
 
 LEAST_BYTES = 100
 SEGMENT_BYTES = 16_384
 CHUNK_BYTES = 4_096
-RECORDS_PER_FILE = 4_000
+RECORDS_PER_FILE = 2_000
 WARC_DATE = "2024-01-31T00:00:00Z"
 _END = "\r\n\r\n"
 _SPACE = uuid.UUID("6f0c5a5e-53c5-4b5c-9d0e-3b1f8f0d7a11")
@@ -43,7 +46,7 @@ _HTTP = (b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 PARSED = ("record_id string, record_type string, page_id long, refers_to long, digest string, origin_id string, "
-          "segment_number int, total_length long, block binary")
+          "segment_number int, total_length long, block binary, payload binary")
 
 
 # ------------------------------------------------------------------ one record
@@ -110,6 +113,16 @@ def page_records(page_id: int | None, url: str | None, payload: bytes, digest: s
     return out
 
 
+def inflated(archive: bytes) -> bytes:
+    """The archive as plain bytes; gzip files may have any number of members."""
+    out = []
+    while archive[:2] == b"\x1f\x8b":
+        member = zlib.decompressobj(31)
+        out.append(member.decompress(archive))
+        archive = member.unused_data
+    return b"".join([*out, archive])
+
+
 def parse(archive: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """(header fields by lower-case name, block) of each record of an archive."""
     at = 0
@@ -130,7 +143,7 @@ def parse(archive: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
 
 def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
                    least_bytes: int = LEAST_BYTES, segment_bytes: int = SEGMENT_BYTES, chunk_bytes: int = CHUNK_BYTES,
-                   records_per_file: int = RECORDS_PER_FILE) -> None:
+                   records_per_file: int = RECORDS_PER_FILE, compression: str = "gzip") -> None:
     """Write a record per page, and continuation records, as WARC files below `path`."""
     rows = pages.selectExpr(f"cast(`{id_col}` as bigint) as page_id", f"cast(`{url_col}` as string) as url",
                             f"coalesce(cast(`{html_col}` as string), '') as html"
@@ -155,39 +168,57 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
 
     # a cut may fall within a character; the writer passes bytes through as they are
     arrow_map(typed, records, "record binary").selectExpr("cast(record as string) as value").write.option(
-        "lineSep", _END).option("maxRecordsPerFile", records_per_file).text(path)
+        "lineSep", _END).option("maxRecordsPerFile", records_per_file).option("compression", compression).text(path)
+
+
+def _payload(name: str | None, digest: str | None, block: bytes) -> bytes:
+    """The decoded payload of a whole response, checked against the record's digest."""
+    try:
+        payload = decoded(block)
+    except ValueError as e:
+        raise ValueError(f"{name}: {e}") from e
+    if digest is not None and hashlib.sha256(payload).hexdigest() != digest:
+        raise ValueError(f"{name}: payload differs from its digest")
+    return payload
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """Every record of the archives below `path`."""
+    """Every record of the archives below `path`; whole responses have their payload, others their block."""
     files = spark.read.format("binaryFile").load(path).select("content")
+    schema = pa.schema([("record_id", pa.string()), ("record_type", pa.string()), ("page_id", pa.int64()),
+                        ("refers_to", pa.int64()), ("digest", pa.string()), ("origin_id", pa.string()),
+                        ("segment_number", pa.int32()), ("total_length", pa.int64()), ("block", pa.binary()), ("payload", pa.binary())])
+
+    def number(value: str | None) -> int | None:
+        return None if value is None else int(value)
+
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = lambda v: None if v is None else int(v)
-        schema = pa.schema([("record_id", pa.string()), ("record_type", pa.string()), ("page_id", pa.int64()),
-                            ("refers_to", pa.int64()), ("digest", pa.string()), ("origin_id", pa.string()),
-                            ("segment_number", pa.int32()), ("total_length", pa.int64()), ("block", pa.binary())])
+    def parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 out, size = [], 0
-                for f, block in parse(batch.column(0)[i].as_py()):
-                    out.append((f.get("warc-record-id"), f.get("warc-type"), number(f.get("x-page-id")),
-                                number(f.get("x-refers-to-page-id")), f.get("warc-payload-digest", "").partition(":")[2] or None,
-                                f.get("warc-segment-origin-id"), number(f.get("warc-segment-number")),
-                                number(f.get("warc-segment-total-length")), block))
+                for f, block in parse(inflated(batch.column(0)[i].as_py())):
+                    name, kind = f.get("warc-record-id"), f.get("warc-type")
+                    digest = f.get("warc-payload-digest", "").partition(":")[2] or None
+                    segment = number(f.get("warc-segment-number"))
+                    whole = kind == "response" and segment is None
+                    out.append((name, kind, number(f.get("x-page-id")), number(f.get("x-refers-to-page-id")), digest,
+                                f.get("warc-segment-origin-id"), segment, number(f.get("warc-segment-total-length")),
+                                None if whole else block, _payload(name, digest, block) if whole else None))
                     size += len(block)
-                    if size > 4_000_000:
-                        yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*out), schema)], schema=schema)
+                    if size > 2_000_000:
+                        yield batch_of(out)
                         out, size = [], 0
                 if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*out), schema)], schema=schema)
+                    yield batch_of(out)
 
-    return arrow_map(files, rows, PARSED)
+    return arrow_map(files, parsed, PARSED)
 
 
 def reassembled(records: DataFrame) -> DataFrame:
-    """Responses with whole blocks: page_id, digest, block. Segments are joined by origin id; the sizes of pages bound a group."""
-    whole = records.where("record_type = 'response' and segment_number is null").selectExpr("record_id", "page_id", "digest", "block")
+    """Segmented responses put together: record_id, page_id, digest, block. The size of a page bounds a group."""
     segments = records.where("segment_number is not null").selectExpr(
         "coalesce(origin_id, record_id) as record_id", "segment_number", "page_id", "digest", "total_length", "block")
     joined = segments.groupBy("record_id").agg(
@@ -195,30 +226,23 @@ def reassembled(records: DataFrame) -> DataFrame:
         F.expr("array_sort(collect_list(struct(segment_number, block))) as parts")).selectExpr(
         "record_id", "page_id", "digest", "total", "transform(parts, x -> x.segment_number) as numbers",
         "aggregate(slice(parts, 2, greatest(size(parts) - 1, 0)), parts[0].block, (a, x) -> concat(a, x.block)) as block")
-    checked = joined.selectExpr(
+    return joined.selectExpr(
         "record_id", "page_id", "digest",
         "if(numbers = sequence(1, size(numbers)) and octet_length(block) <=> total, block,"
         " cast(raise_error(concat(record_id, ': segments missing or not of the stated total length')) as binary)) as block")
-    return whole.unionByName(checked)
 
 
-def payloads(responses: DataFrame) -> DataFrame:
-    """Decoded: page_id, payload (bytes), with each payload's digest verified against the record."""
+def payloads(records: DataFrame) -> DataFrame:
+    """(page_id, payload) of every response, whole or segmented."""
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for name, digest, block in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                try:
-                    payload = decoded(block)
-                except ValueError as e:
-                    raise ValueError(f"{name}: {e}") from e
-                if digest is not None and hashlib.sha256(payload).hexdigest() != digest:
-                    raise ValueError(f"{name}: payload differs from its digest")
-                out.append(payload)
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(out, pa.binary())], names=["page_id", "payload"])
+            rows = zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array([_payload(*r) for r in rows], pa.binary())],
+                                             names=["page_id", "payload"])
 
-    return arrow_map(responses.select("record_id", "page_id", "digest", "block"), decode, "page_id long, payload binary")
+    whole = records.where("record_type = 'response' and segment_number is null").select("page_id", "payload")
+    return whole.unionByName(arrow_map(reassembled(records), decode, "page_id long, payload binary"))
 
 
 def page_index(pages: DataFrame, path: str | None = None, **options) -> DataFrame:
@@ -227,8 +251,8 @@ def page_index(pages: DataFrame, path: str | None = None, **options) -> DataFram
     path = path or work_path(spark, "llm-warc")
     write_archives(pages, path, **options)
     records = read_records(spark, path)
-    responses = payloads(reassembled(records)).selectExpr(
-        "page_id", "cast(octet_length(payload) as bigint) as payload_bytes", "sha2(payload, 256) as payload_digest")
+    responses = materialized(payloads(records).selectExpr(
+        "page_id", "cast(octet_length(payload) as bigint) as payload_bytes", "sha2(payload, 256) as payload_digest"), "warc-responses")
     revisits = records.where("record_type = 'revisit'").selectExpr("page_id", "refers_to", "digest")
     # one row per (page, digest) on the right, so a page that many revisit is only large on the left
     known = responses.selectExpr("page_id as r", "payload_bytes", "payload_digest").dropDuplicates(["r", "payload_digest"])
