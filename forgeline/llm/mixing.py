@@ -75,11 +75,16 @@ def copies_frame(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         f"pmod(cast(conv(substr(md5(coalesce(cast(`{id_col}` as string), '')), 1, 8), 16, 10) as bigint), {buckets}) as _bucket",
     )
     counts = sized.groupBy("_src", "_size", "_bucket").count()
-    first = counts.selectExpr(
+    # numbers before a size (windows hold one row per size of a source), then before a bucket of it
+    sizes = counts.groupBy("_src", "_size").agg({"count": "sum"}).toDF("s_src", "s_size", "n").selectExpr(
+        "s_src", "s_size", "coalesce(sum(n) over (partition by s_src order by s_size"
+                           " rows between unbounded preceding and 1 preceding), 0) as s_before")
+    inside = counts.selectExpr(
         "_src as f_src", "_size as f_size", "_bucket as f_bucket",
-        "coalesce(sum(count) over (partition by _src order by _size, _bucket"
-        " rows between unbounded preceding and 1 preceding), 0) as _before",
-    )
+        "coalesce(sum(count) over (partition by _src, _size order by _bucket"
+        " rows between unbounded preceding and 1 preceding), 0) as b_before")
+    first = inside.join(sizes, inside.f_src.eqNullSafe(sizes.s_src) & (inside.f_size == sizes.s_size)).selectExpr(
+        "f_src", "f_size", "f_bucket", "s_before + b_before as _before")
     per_source = counts.selectExpr("_src", "_size * count as words").groupBy("_src").sum("words")
     goals = targets(per_source.toDF("source", "source_size"), **target_options)
     goals = goals.selectExpr("source as g_src", "source_size as _source_size", "target as _target", "rate as _rate", "u as _u")
