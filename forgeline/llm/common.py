@@ -6,6 +6,7 @@ copies of those columns, so other columns of the input never clash with its own.
 
 from __future__ import annotations
 
+import ctypes
 import os
 import shutil
 import tempfile
@@ -52,9 +53,26 @@ def ship(spark: SparkSession) -> None:
 
 
 def arrow_map(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
-    """`mapInArrow` with this package at hand in the workers."""
+    """`mapInArrow` with this package at hand in the workers.
+
+    Workers outlive tasks, so each task hands the memory it no longer needs back to the system.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from function(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim_memory()
+
     ship(df.sparkSession)
-    return df.mapInArrow(function, schema)
+    return df.mapInArrow(run, schema)
+
+
+def trim_memory() -> None:
+    """Free heap pages go back to the system where the C library can do it (glibc)."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def binary_column(batch: pa.RecordBatch, name: str) -> list[bytes | None]:

@@ -32,7 +32,7 @@ from forgeline.llm.common import arrow_map, id_text
 from forgeline.session import work_path
 
 END_ID = 2
-REMEMBERED = 1_200_000
+REMEMBERED = 500_000
 #: A run of these after letters, before a space or the end, is a pre-token of its own.
 _MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 #: The byte-level alphabet: bytes that print stand for themselves, the others for code points from 256 on.
@@ -166,8 +166,8 @@ def write_ids(docs: DataFrame, path: str, tokenizer_path: str | None = None, end
         encoder = encoder_of(vocabulary.value, end_id)
         written = 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                some = batch.slice(at, 1000)
+            for at in range(0, batch.num_rows, 500):
+                some = batch.slice(at, 500)
                 ids = encoder.encode(some.column(2).to_pylist())
                 ends = np.cumsum([0] + [len(x) // 4 for x in ids])
                 flat = pa.array(np.frombuffer(b"".join(ids), "<i4"))
