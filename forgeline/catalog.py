@@ -303,16 +303,30 @@ MART_PREVIOUS_CUT = "2024-01-15 00:00:00"
 MART_PREVIOUS_AS_OF = "2024-01-15"
 
 
-@register("upsert_repo_health", oracle.upsert_sql(MART_PREVIOUS_CUT, MART_PREVIOUS_AS_OF))
-def q_upsert_repo_health(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Previous mart version on disk, fresh health snapshot, merged with change flags."""
+def _merged_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Previous mart version on disk, fresh health snapshot, merged with change flags.
+
+    So that all four outcomes occur, the mart lacks the repositories ending in 3, has those ending in 7 as they are now, and the fresh
+    rows lack those ending in 4."""
     before = f"CAST(fetched_at AS TIMESTAMP_NTZ) < TIMESTAMP_NTZ '{MART_PREVIOUS_CUT}'"
     previous_bronze = {k: f.where(before) for k, f in _fx.bronze_from_events(_events(spark, sf_dir)).items()}
     previous = Models(previous_bronze, as_of=MART_PREVIOUS_AS_OF).repo_health_snapshot()
+    today = Models.from_events(spark, sf_dir).repo_health_snapshot()
     root = work_path(spark, "mart")
-    previous.write.mode("overwrite").parquet(f"{root}/v0")
-    fresh = Models.from_events(spark, sf_dir).repo_health_snapshot()
-    return _upsert.upsert_frame(spark.read.parquet(f"{root}/v0"), fresh, ["repo_full_name"])
+    previous.where("NOT repo_full_name RLIKE '[37]$'").unionByName(today.where("repo_full_name LIKE '%7'")).write.mode(
+        "overwrite").parquet(f"{root}/v0")
+    return _upsert.upsert_frame(spark.read.parquet(f"{root}/v0"), today.where("repo_full_name NOT LIKE '%4'"), ["repo_full_name"])
+
+
+@register("upsert_repo_health", oracle.upsert_sql(MART_PREVIOUS_CUT, MART_PREVIOUS_AS_OF))
+def q_upsert_repo_health(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _merged_mart(spark, sf_dir)
+
+
+@register("upsert_changes", oracle.upsert_sql(MART_PREVIOUS_CUT, MART_PREVIOUS_AS_OF, ("insert", "update")))
+def q_upsert_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The change feed of the merge: what a change-based sink must receive."""
+    return _upsert.changes(_merged_mart(spark, sf_dir))
 
 
 # ------------------------------------------------------------------ streaming
@@ -355,7 +369,7 @@ def q_stream_daily_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of closed days: append mode emits a window once the watermark has passed it, so the last ones stay open."""
     root = work_path(spark, "stream-counts")
     records = _events_stream(spark, sf_dir).selectExpr(
-        "concat('org', CAST(user_id % 3 AS STRING), '/repo', CAST(user_id % 12 AS STRING)) AS repo_full_name",
+        f"{_fx.REPO_NAME} AS repo_full_name",
         _STREAM_KIND, "ts")
     q = _stream.daily_counts_stream(records, "ts", ["repo_full_name", "kind"], f"{root}/out",
                                     f"{root}/checkpoint", delay=STREAM_DELAY)
@@ -410,13 +424,12 @@ def q_title_term_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("title_vectors", oracle.vectors_sql())
 def q_title_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sparse TF-IDF vectors (pyspark.ml): non-zero entries, length and largest entry of each."""
-    from pyspark.ml.functions import vector_to_array
-
-    vec = _text.text_vectors(_title_documents(spark, sf_dir)).withColumn("_a", F.filter(
-        vector_to_array("features"), lambda x: x != 0))
-    return vec.selectExpr("doc_kind", "repo_full_name", "doc_key", "CAST(size(_a) AS BIGINT) AS n_terms",
-                          "round(sqrt(aggregate(_a, 0D, (s, x) -> s + x * x)), 6) AS norm",
-                          "round(coalesce(array_max(_a), 0D), 6) AS largest")
+    # the entries of a sparse vector are not open to SQL, and as an array it would be dense
+    measured = F.udf(lambda v: (int(v.numNonzeros()), float(v.norm(2)), float(max(v.values, default=0.0))),
+                     "n_terms bigint, norm double, largest double")
+    vec = _text.text_vectors(_title_documents(spark, sf_dir), num_features=1 << 22)
+    return vec.select("doc_kind", "repo_full_name", "doc_key", measured("features").alias("m")).selectExpr(
+        "doc_kind", "repo_full_name", "doc_key", "m.n_terms", "round(m.norm, 6) AS norm", "round(m.largest, 6) AS largest")
 
 
 # ------------------------------------------------------------------ materialised build + serving read

@@ -19,18 +19,19 @@ def _iso(x: str) -> str:
 _BASE = """
 ev_base AS (
     SELECT event_id, ts, user_id, event_type, value,
-           CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
-           'org' || CAST(user_id % 3 AS VARCHAR) || '/repo' || CAST(user_id % 12 AS VARCHAR) AS repo
+           CAST(json_extract_string(props, '$.k') AS INTEGER) + 100 * CAST(event_id // 4000 AS INTEGER) AS k,
+           user_id % 12 + 12 * (event_id // 40000) AS rid,
+           'org' || CAST(user_id % 3 AS VARCHAR) || '/repo' || CAST(rid AS VARCHAR) AS repo
     FROM events
 )"""
 
 _BRONZE_REPO = f"""
 bronze_repo_metadata AS (
     SELECT repo AS full_name,
-           'repo' || CAST(user_id % 12 AS VARCHAR) AS name,
+           'repo' || CAST(rid AS VARCHAR) AS name,
            'org' || CAST(user_id % 3 AS VARCHAR) AS owner_login,
            CASE WHEN k % 10 = 0 THEN NULL
-                ELSE 'Project repo' || CAST(user_id % 12 AS VARCHAR) || ' rev ' || CAST(k AS VARCHAR) END AS description,
+                ELSE 'Project repo' || CAST(rid AS VARCHAR) || ' rev ' || CAST(k AS VARCHAR) END AS description,
            CAST(k * 10 AS BIGINT) AS stargazers_count,
            CAST(k AS BIGINT) AS forks_count,
            CAST(k % 17 AS BIGINT) AS open_issues_count,
@@ -345,10 +346,10 @@ SELECT repo AS repo_full_name, md5(CAST(k AS VARCHAR)) AS sha,
        page_fetched_at AS fetched_at, item AS raw_payload
 FROM items WHERE NOT (event_id % 37 = 0 OR event_id % 31 = 0)"""
     repo = _landing_ctes("repo_metadata") + """
-SELECT repo AS full_name, 'repo' || CAST(user_id % 12 AS VARCHAR) AS name,
+SELECT repo AS full_name, 'repo' || CAST(rid AS VARCHAR) AS name,
        'org' || CAST(user_id % 3 AS VARCHAR) AS owner_login,
        CASE WHEN k % 6 = 0 OR k % 10 = 0 THEN NULL
-            ELSE 'Dépôt repo' || CAST(user_id % 12 AS VARCHAR) || ' rév ' || CAST(k AS VARCHAR) END AS description,
+            ELSE 'Dépôt repo' || CAST(rid AS VARCHAR) || ' rév ' || CAST(k AS VARCHAR) END AS description,
        CAST(CASE WHEN k % 6 = 0 THEN 0 ELSE k * 10 END AS BIGINT) AS stargazers_count,
        CAST(CASE WHEN k % 6 = 0 THEN 0 ELSE k END AS BIGINT) AS forks_count,
        CAST(CASE WHEN k % 6 = 0 THEN 0 ELSE k % 17 END AS BIGINT) AS open_issues_count,
@@ -407,22 +408,28 @@ FROM bronze_issue_or_pr"""
 
 
 # --------------------------------------------------------------------------- upsert
-def upsert_sql(cut: str, as_of: str) -> str:
-    """Previous mart = health over records landed before ``cut`` as of ``as_of``."""
+def upsert_sql(cut: str, as_of: str, ops: tuple[str, ...] = ()) -> str:
+    """Previous mart = health over records landed before ``cut`` as of ``as_of``, without repositories ending in 3
+    (new), those ending in 7 as they are now (unchanged); those ending in 4 are not in the fresh rows (retained)."""
     cols = ["repo_name", "owner_login", "description", "language", "license_spdx", "stargazers_count",
             "forks_count", "open_issues_count", "watchers_count", "last_pushed_at", "recent_commits_28d",
             "recent_prs_28d", "recent_issues_28d", "recent_authors_28d", "snapshot_at"]
     picked = ",\n       ".join(f"CASE WHEN n.repo_full_name IS NOT NULL THEN n.{c} ELSE o.{c} END AS {c}"
                                for c in cols)
     same = " AND ".join(f"n.{c} IS NOT DISTINCT FROM o.{c}" for c in cols)
-    return with_models(f"""
+    select = f"""
 SELECT coalesce(n.repo_full_name, o.repo_full_name) AS repo_full_name,
        {picked},
        CASE WHEN o.repo_full_name IS NULL THEN 'insert'
             WHEN n.repo_full_name IS NULL THEN 'retained'
             WHEN {same} THEN 'unchanged' ELSE 'update' END AS change_op
-FROM repo_health_snapshot n FULL OUTER JOIN p_repo_health_snapshot o ON n.repo_full_name = o.repo_full_name""",
-                       _earlier(cut, as_of))
+FROM fresh n FULL OUTER JOIN mart o ON n.repo_full_name = o.repo_full_name"""
+    if ops:
+        select = f"SELECT * FROM ({select}) m WHERE change_op IN ({', '.join(repr(x) for x in ops)})"
+    return with_models(select, _earlier(cut, as_of) + """,
+fresh AS (SELECT * FROM repo_health_snapshot WHERE repo_full_name NOT LIKE '%4'),
+mart AS (SELECT * FROM p_repo_health_snapshot WHERE NOT regexp_matches(repo_full_name, '[37]$')
+         UNION ALL BY NAME SELECT * FROM repo_health_snapshot WHERE repo_full_name LIKE '%7')""")
 
 
 # --------------------------------------------------------------------------- streaming

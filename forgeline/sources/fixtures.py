@@ -9,8 +9,9 @@ the JVM per frame instead of one per column function), so the same projection
 can be written for the DuckDB oracle (see ``forgeline.oracle``).
 
 Projection (fixed values):
-  k                = props.k (0..99)
-  repo_full_name   = 'org' || user_id % 3 || '/repo' || user_id % 12
+  k                = props.k (0..99) + 100 for every 4,000 events: item numbers and commits grow with the table
+  rid              = user_id % 12 + 12 for every 40,000 events: so do repositories
+  repo_full_name   = 'org' || user_id % 3 || '/repo' || rid
   repo_metadata    <- event_type = 'view'
   issue_or_pr      <- event_type in ('click', 'signup', 'purchase'); PR for signup, purchase
   commit           <- event_type = 'error'
@@ -43,10 +44,14 @@ def _hours(n: str) -> str:
     return f"make_dt_interval(0, {n}, 0, 0)"
 
 
+#: The repository number, also needed where a stream has no other fixture column.
+REPO_ID = "(user_id % 12 + 12 * (event_id div 40000))"
+REPO_NAME = f"concat('org', CAST(user_id % 3 AS STRING), '/repo', CAST({REPO_ID} AS STRING))"
+
 _BASE = [
     "event_id", "ts", "user_id", "event_type", "value",
-    "CAST(get_json_object(props, '$.k') AS INT) AS k",
-    "concat('org', CAST(user_id % 3 AS STRING), '/repo', CAST(user_id % 12 AS STRING)) AS repo",
+    "CAST(get_json_object(props, '$.k') AS INT) + 100 * CAST(event_id div 4000 AS INT) AS k",
+    f"{REPO_ID} AS rid", f"{REPO_NAME} AS repo",
 ]
 
 
@@ -56,10 +61,10 @@ def _base(events: DataFrame, types: tuple[str, ...]) -> DataFrame:
 
 _REPO_COLUMNS = [
     "repo AS full_name",
-    "concat('repo', CAST(user_id % 12 AS STRING)) AS name",
+    "concat('repo', CAST(rid AS STRING)) AS name",
     "concat('org', CAST(user_id % 3 AS STRING)) AS owner_login",
     "CASE WHEN k % 10 = 0 THEN CAST(NULL AS STRING) "
-    "ELSE concat('Project repo', CAST(user_id % 12 AS STRING), ' rev ', CAST(k AS STRING)) END AS description",
+    "ELSE concat('Project repo', CAST(rid AS STRING), ' rev ', CAST(k AS STRING)) END AS description",
     "CAST(k * 10 AS BIGINT) AS stargazers_count",
     "CAST(k AS BIGINT) AS forks_count",
     "CAST(k % 17 AS BIGINT) AS open_issues_count",
@@ -186,11 +191,11 @@ ITEM_SQL = {
                            WHEN k % 10 = 5 THEN '[]'
                            ELSE '[{"sha":"' || md5(CAST(k + 100 AS STRING)) || '","url":"u"}]' END)
  || '}'""",
-    "repo_metadata": """'{"full_name":"' || repo || '","name":"repo' || CAST(user_id % 12 AS STRING) || '"'
+    "repo_metadata": """'{"full_name":"' || repo || '","name":"repo' || CAST(rid AS STRING) || '"'
  || ',"owner":' || (CASE WHEN event_id % 43 = 0 THEN 'null' ELSE '{"login":"org' || CAST(user_id % 3 AS STRING) || '"}' END)
  || (CASE WHEN k % 6 = 0 THEN '' ELSE
         ',"description":' || (CASE WHEN k % 10 = 0 THEN 'null'
-                                   ELSE '"Dépôt repo' || CAST(user_id % 12 AS STRING) || ' rév ' || CAST(k AS STRING) || '"' END)
+                                   ELSE '"Dépôt repo' || CAST(rid AS STRING) || ' rév ' || CAST(k AS STRING) || '"' END)
      || ',"stargazers_count":' || (CASE WHEN event_id % 47 = 0 THEN 'null' ELSE CAST(k * 10 AS STRING) END)
      || ',"forks_count":' || CAST(k AS STRING) || ',"open_issues_count":' || CAST(k % 17 AS STRING)
      || ',"watchers_count":' || CAST(k * 10 AS STRING) || ',"subscribers_count":' || CAST(user_id % 50 AS STRING)
