@@ -45,6 +45,12 @@ def parse_target_list(text: str | None) -> list[str]:
     return [part.strip() for part in text.split(",") if part.strip()]
 
 
+def chosen_targets(text: str | None, single: str | None = None) -> list[str]:
+    """The repositories of a run: ``single`` alone if it is given, else the configured list."""
+    one = (single or "").strip()
+    return [one] if one else parse_target_list(text)
+
+
 def parse_target_list_col(text: str | Column) -> Column:
     """Same parse as :func:`parse_target_list`, as a column expression."""
     raw = F.lit(text) if isinstance(text, str) else text
