@@ -31,8 +31,8 @@ from forgeline.llm.common import HELD_OUT, arrow_map, binary_column, id_text, sl
 from forgeline.llm.hashing import WordHasher, joined, mix
 from forgeline.llm.labelled import sample_by_label
 
-TOXIC_ROWS = 1_200
-CLEAN_ROWS = 2_000
+TOXIC_ROWS = 1_000
+CLEAN_ROWS = 1_600
 BITS = 20
 PREFIXES, SUFFIXES = (3, 4, 5), (4,)
 CHUNK = 64
@@ -149,7 +149,7 @@ def _tokens(texts: list[bytes], hasher: WordHasher) -> tuple[np.ndarray, np.ndar
     buffer, text_ends = joined(texts)
     starts, ends, hashed = hasher.parts(buffer, PREFIXES, SUFFIXES)
     doc = np.searchsorted(text_ends, starts, side="right")
-    features = np.stack([(h & np.uint64((1 << BITS) - 1)).astype(np.int64) for h in hashed])
+    features = np.stack([(h & np.uint64((1 << BITS) - 1)).astype(np.int32) for h in hashed])
     return starts, ends, doc, features, np.bincount(doc, minlength=len(texts))
 
 
@@ -173,7 +173,7 @@ def _marked(doc: np.ndarray, features: np.ndarray, toxic: np.ndarray, family: np
     Families are counted, not documents: copies of one toxic document say no more than one.
     """
     n_toxic, n_clean = len(np.unique(family[toxic])), len(np.unique(family[~toxic]))
-    count = lambda of: np.bincount(np.unique((features[:, of] << 24) + family[doc[of]]) >> 24, minlength=1 << BITS)
+    count = lambda of: np.bincount(np.unique((features[:, of].astype(np.int64) << 24) + family[doc[of]]) >> 24, minlength=1 << BITS)
     found, other = count(toxic[doc]), count(~toxic[doc])
     # as a binomial tail bound over all features: a rare word that chance put into toxic documents only is not marked
     total = found + other
@@ -216,7 +216,7 @@ def fit(rows: list[tuple[bytes, int]], totals: dict[int, int], steps: int = STEP
     observed = np.bincount(2 * prior + tag, minlength=4).reshape(2, 2)
     squares, squares_t, square_b = np.full(1 << BITS, 1e-6), np.full((2, 2), 1e-6), 1e-6
     for _ in range(steps):
-        p, pairs = chains.expected(bias + weights[features].sum(axis=0), np.exp(scores))
+        p, pairs = chains.expected(bias + sum(weights[f] for f in features), np.exp(scores))
         wrong = tag - p
         gradient = sum(np.bincount(f, wrong, 1 << BITS) for f in features) - 1e-3 * weights
         squares += gradient**2
@@ -226,7 +226,7 @@ def fit(rows: list[tuple[bytes, int]], totals: dict[int, int], steps: int = STEP
         scores += 0.2 * change / np.sqrt(squares_t)
         square_b += wrong.sum() ** 2
         bias += 0.2 * wrong.sum() / np.sqrt(square_b)
-    p = chains.marginals(bias + weights[features].sum(axis=0), np.exp(scores))
+    p = chains.marginals(bias + sum(weights[f] for f in features), np.exp(scores))
     evidence = np.bincount(doc, p, len(rows))
     share = np.where(toxic, totals.get(1, 1) / toxic.sum(), totals.get(0, 1) / (~toxic).sum())
     slope, intercept = _logistic(np.log(evidence + _FLOOR), toxic.astype(float), share / share.mean())
