@@ -32,7 +32,7 @@ from forgeline.llm.common import arrow_map, id_text
 from forgeline.session import work_path
 
 END_ID = 2
-REMEMBERED = 500_000
+REMEMBERED = 800_000
 #: A run of these after letters, before a space or the end, is a pre-token of its own.
 _MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 #: The byte-level alphabet: bytes that print stand for themselves, the others for code points from 256 on.
