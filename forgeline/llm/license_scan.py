@@ -1,12 +1,13 @@
 """License scan: winnowed template fingerprints, an inverted index, and banded alignment.
 
-Templates are word sequences (A-Z lower-cased runs of `[0-9a-z]` and non-ASCII bytes). Of the hashes of
-their `GRAM`-word windows every run of `WINDOW` keeps its least (winnowing), which an inverted index maps to
-(template, place). Every window of a document is looked up, so any stretch of `GRAM + WINDOW - 1` words that a document shares with a
-template meets the index. Meetings near one diagonal are one candidate; template and document are
-aligned in a band of `BAND` words around it (document ends free). A candidate counts when `LEAST` of
-the template's words are matched and matches are `LEAST` of the alignment. Of overlapping matches the one with more
-words, then the purer, stays.
+Templates are word sequences (A-Z lower-cased runs of `[0-9a-z]` and non-ASCII bytes). A candidate counts when `LEAST` of
+the template's words are matched and matches are `LEAST` of the alignment. With m matches and the errors this allows, some
+matches are a run of `shared_run` words (2 for a template of 4 or 5 words, 3 up to 15, 4 above). Of the hashes of a template's
+windows of `GRAM` words (2 if the run is that short) every run of `shared_run - GRAM + 1` keeps its least (winnowing), which an
+inverted index maps to (template, place). Every window of a document is looked up, so every text that the rule accepts meets the
+index. Each diagonal with a meeting is a candidate; template and document are aligned in a band around it, as wide as the
+errors allow and of `BAND` words at most (document ends free). Of overlapping matches the one with more words, then the
+purer, stays.
 
 The index is built from the templates alone (a few thousand entries; their words are checked against `MOST_TEMPLATE_WORDS`) and is sent to
 every task; documents are scanned where they are read, without a shuffle.
@@ -28,7 +29,6 @@ from forgeline.llm.common import arrow_map, binary_column, id_text, slices
 from forgeline.llm.hashing import WordHasher, joined, mix
 
 GRAM = 3
-WINDOW = 4
 BAND = 6
 LEAST = 0.8
 MOST_TEMPLATE_WORDS = 500_000
@@ -76,37 +76,57 @@ def _grams(words: np.ndarray, doc: np.ndarray, n: int) -> tuple[np.ndarray, np.n
     return code[at], at
 
 
+def _errors(matched: int, least: float) -> int:
+    """The most errors beside `matched` matches that leave them `least` of the alignment."""
+    n = 0
+    while matched >= least * (matched + n + 1):
+        n += 1
+    return n
+
+
+def shared_run(size: int, least: float = LEAST) -> int:
+    """Words in a row that every accepted text shares with a template of `size` words."""
+    return min(-(-m // (_errors(m, least) + 1)) for m in range(1, size + 1) if m >= least * size)
+
+
 @dataclass
 class Index:
     """Sorted fingerprints with the (template, place) each stands for."""
 
     names: list[str]
     words: list[np.ndarray]
+    bands: list[int]
+    grams: list[int]  # the window lengths in use
     hashes: np.ndarray
     template: np.ndarray
     place: np.ndarray
     seen: np.ndarray  # by the top 16 bits of a hash: whether any fingerprint has them
 
 
-def build_index(templates: tuple[tuple[str, str], ...] = TEMPLATES, gram: int = GRAM, window: int = WINDOW) -> Index:
+def build_index(templates: tuple[tuple[str, str], ...] = TEMPLATES, gram: int = GRAM, least: float = LEAST, band: int = BAND) -> Index:
     hasher = WordHasher()
-    names, sequences, entries = [], [], []
+    names, sequences, bands, grams, entries = [], [], [], set(), []
     for number, (name, text) in enumerate(sorted(templates)):
         _, words = hasher.hashes(text.encode() + b"\0")
         if len(words) < gram:
             raise ValueError(f"{name}: a template needs {gram} words or more")
-        code, _ = _grams(words, np.zeros(len(words), np.int64), gram)
-        places = {i + int(code[i:i + window].argmin()) for i in range(max(1, len(code) - window + 1))}
+        run = shared_run(len(words), least)
+        n = min(gram, run)
+        window = run - n + 1
+        code, _ = _grams(words, np.zeros(len(words), np.int64), n)
+        places = {i + int(code[i:i + window].argmin()) for i in range(len(code) - window + 1)}
         entries += [(int(code[p]), number, p) for p in sorted(places)]
         names.append(name)
         sequences.append(words)
+        bands.append(min(band, _errors(len(words), least)))
+        grams.add(n)
     if sum(map(len, sequences)) > MOST_TEMPLATE_WORDS:
         raise ValueError(f"templates of more than {MOST_TEMPLATE_WORDS} words are too large to send to every task")
     entries.sort()
     hashes = np.array([e[0] for e in entries], np.uint64)
     seen = np.zeros(1 << 16, bool)
     seen[(hashes >> np.uint64(48)).astype(np.int64)] = True
-    return Index(names, sequences, hashes, np.array([e[1] for e in entries], np.int64), np.array([e[2] for e in entries], np.int64), seen)
+    return Index(names, sequences, bands, sorted(grams), hashes, np.array([e[1] for e in entries], np.int64), np.array([e[2] for e in entries], np.int64), seen)
 
 
 def align(template: np.ndarray, words: np.ndarray, diagonal: int, band: int = BAND) -> tuple[int, int, int, int]:
@@ -142,30 +162,19 @@ def align(template: np.ndarray, words: np.ndarray, diagonal: int, band: int = BA
     return matched, length, first, last
 
 
-def candidates(place: np.ndarray, template: np.ndarray, diagonal: np.ndarray, index: Index, band: int = BAND
-               ) -> list[tuple[int, int]]:
-    """(template, diagonal) of each group of meetings on near diagonals and near places."""
-    out = []
-    for t in np.unique(template):
-        mine = np.flatnonzero(template == t)
-        mine = mine[np.lexsort((place[mine], diagonal[mine]))]
-        start = None
-        for d in diagonal[mine].tolist():
-            if start is None or d - start > band:
-                start = d
-                out.append((int(t), d))
-    return out
-
-
-def matches(words: np.ndarray, place: np.ndarray, template: np.ndarray, at: np.ndarray, index: Index, band: int = BAND,
+def matches(words: np.ndarray, place: np.ndarray, template: np.ndarray, at: np.ndarray, index: Index,
             least: float = LEAST) -> list[tuple[str, float, int, int]]:
     """(license, coverage, first word, after last word) of one text, in order, without overlaps."""
-    found = []
-    for t, diagonal in candidates(place, template, place - at, index, band):
-        size = len(index.words[t])
+    found = set()
+    for t, diagonal in sorted(set(zip(template.tolist(), (place - at).tolist()))):
+        size, band = len(index.words[t]), index.bands[t]
+        # words of the template that are nowhere in reach cannot be matched
+        near = np.isin(index.words[t], words[max(0, diagonal - band):diagonal + size + band])
+        if np.count_nonzero(near) < least * size:
+            continue
         matched, length, first, last = align(index.words[t], words, diagonal, band)
         if matched >= least * size and matched >= least * length:
-            found.append((-matched, -matched / length, index.names[t], first, last, matched / size))
+            found.add((-matched, -matched / length, index.names[t], first, last, matched / size))
     taken: list[tuple[str, float, int, int]] = []
     for _, _, name, first, last, coverage in sorted(found):
         if all(last <= a or first >= b for _, _, a, b in taken):
@@ -178,16 +187,19 @@ def scan(texts: list[bytes], index: Index, hasher: WordHasher) -> list[list[dict
     buffer, text_ends = joined(texts)
     starts, ends, (hashed,) = hasher.parts(buffer)
     doc = np.searchsorted(text_ends, starts, side="right")
-    code, first = _grams(hashed, doc, GRAM)
-    maybe = np.flatnonzero(index.seen[(code >> np.uint64(48)).astype(np.int64)])
-    left = np.searchsorted(index.hashes, code[maybe], side="left")
-    right = np.searchsorted(index.hashes, code[maybe], side="right")
     out: list[list[dict]] = [[] for _ in texts]
-    met = np.flatnonzero(right > left)
-    if not len(met):
+    places, entries = [], []
+    for n in index.grams:
+        code, first = _grams(hashed, doc, n)
+        maybe = np.flatnonzero(index.seen[(code >> np.uint64(48)).astype(np.int64)])
+        left = np.searchsorted(index.hashes, code[maybe], side="left")
+        right = np.searchsorted(index.hashes, code[maybe], side="right")
+        met = np.flatnonzero(right > left)
+        places.append(np.repeat(first[maybe[met]], right[met] - left[met]))
+        entries += [np.arange(left[m], right[m]) for m in met]
+    if not entries:
         return out
-    place = np.repeat(first[maybe[met]], right[met] - left[met])
-    entry = np.concatenate([np.arange(left[m], right[m]) for m in met])
+    place, entry = np.concatenate(places), np.concatenate(entries)
     of = doc[place]
     base = np.concatenate([[0], text_ends])
     word_base = np.searchsorted(doc, np.arange(len(texts) + 1))
