@@ -6,8 +6,8 @@ matches are a run of `shared_run` words (2 for a template of 4 or 5 words, 3 up
 windows of `GRAM` words (2 if the run is that short) every run of `shared_run - GRAM + 1` keeps its least (winnowing), which an
 inverted index maps to (template, place). Every window of a document is looked up, so every text that the rule accepts meets the
 index. Each diagonal with a meeting is a candidate; template and document are aligned in a band around it, as wide as the
-errors allow and of `BAND` words at most (document ends free). Of overlapping matches the one with more words, then the
-purer, stays.
+errors allow and of `BAND` words at most, then, if the rule refuses that, in all bands of `BAND` words that hold the diagonal
+(document ends free). Of overlapping matches the one with more words, then the purer, stays.
 
 The index is built from the templates alone (a few thousand entries; their words are checked against `MOST_TEMPLATE_WORDS`) and is sent to
 every task; documents are scanned where they are read, without a shuffle.
@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 
 from forgeline.llm.common import arrow_map, binary_column, id_text, slices
 from forgeline.llm.hashing import WordHasher, joined, mix
+from forgeline.llm.license_texts import TEMPLATES
 
 GRAM = 3
 BAND = 6
@@ -34,35 +35,6 @@ LEAST = 0.8
 MOST_TEMPLATE_WORDS = 500_000
 SLICE_BYTES = 1_000_000
 
-# The wording of well-known license notices.
-TEMPLATES: tuple[tuple[str, str], ...] = (
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in '
-                   "compliance with the License. You may obtain a copy of the License at "
-                   "http://www.apache.org/licenses/LICENSE-2.0"),
-    ("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
-            "that the following conditions are met"),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
-    ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring "
-                "rights to this work."),
-    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
-            "General Public License as published by the Free Software Foundation"),
-    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
-            "hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
-    ("MIT", "Released under the MIT License."),
-    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
-            'documentation files (the "Software"), to deal in the Software without restriction, including without '
-            "limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of "
-            "the Software"),
-    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
-    ("Proprietary", "All rights reserved."),
-    ("Unlicense", "This is free and unencumbered software released into the public domain."),
-)
-
 
 def _grams(words: np.ndarray, doc: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all n-word windows within a text, and the number of their first word."""
@@ -95,7 +67,8 @@ class Index:
 
     names: list[str]
     words: list[np.ndarray]
-    bands: list[int]
+    band: int
+    bands: list[int]  # of each template: the errors it allows, `band` at most
     grams: list[int]  # the window lengths in use
     hashes: np.ndarray
     template: np.ndarray
@@ -126,7 +99,7 @@ def build_index(templates: tuple[tuple[str, str], ...] = TEMPLATES, gram: int =
     hashes = np.array([e[0] for e in entries], np.uint64)
     seen = np.zeros(1 << 16, bool)
     seen[(hashes >> np.uint64(48)).astype(np.int64)] = True
-    return Index(names, sequences, bands, sorted(grams), hashes, np.array([e[1] for e in entries], np.int64), np.array([e[2] for e in entries], np.int64), seen)
+    return Index(names, sequences, band, bands, sorted(grams), hashes, np.array([e[1] for e in entries], np.int64), np.array([e[2] for e in entries], np.int64), seen)
 
 
 def align(template: np.ndarray, words: np.ndarray, diagonal: int, band: int = BAND) -> tuple[int, int, int, int]:
@@ -168,13 +141,18 @@ def matches(words: np.ndarray, place: np.ndarray, template: np.ndarray, at: np.n
     found = set()
     for t, diagonal in sorted(set(zip(template.tolist(), (place - at).tolist()))):
         size, band = len(index.words[t]), index.bands[t]
-        # words of the template that are nowhere in reach cannot be matched
-        near = np.isin(index.words[t], words[max(0, diagonal - band):diagonal + size + band])
-        if np.count_nonzero(near) < least * size:
-            continue
-        matched, length, first, last = align(index.words[t], words, diagonal, band)
-        if matched >= least * size and matched >= least * length:
-            found.add((-matched, -matched / length, index.names[t], first, last, matched / size))
+        reach = np.arange(diagonal - 2 * index.band, diagonal + 2 * index.band + 1)[:, None] + np.arange(size)
+        equal = (words[reach.clip(0, len(words) - 1)] == index.words[t]) & (reach >= 0) & (reach < len(words))
+        # the best score in one band may break the rule where another band's keeps it
+        wide = sorted(range(diagonal - index.band, diagonal + index.band + 1), key=lambda d: abs(d - diagonal))
+        for middle, width in [(diagonal, band), *((d, index.band) for d in wide)]:
+            at_row = middle - diagonal + 2 * index.band
+            if np.count_nonzero(equal[at_row - width:at_row + width + 1].any(axis=0)) < least * size:
+                continue  # too few of the template's words are anywhere in the band
+            matched, length, first, last = align(index.words[t], words, middle, width)
+            if matched >= least * size and matched >= least * length:
+                found.add((-matched, -matched / length, index.names[t], first, last, matched / size))
+                break
     taken: list[tuple[str, float, int, int]] = []
     for _, _, name, first, last, coverage in sorted(found):
         if all(last <= a or first >= b for _, _, a, b in taken):
