@@ -20,7 +20,7 @@ is earlier than what the register has. A shingle stops as soon as its time passe
 Buckets and components larger than a block are dealt to tasks by pairs of blocks, so no pair is lost and no task holds more than two
 blocks. Nothing of the size of the corpus is collected or broadcast; lineage is cut by tables in the shared folder.
 
-Defined cases: null, empty and word-less texts are groups of their own. Rows that repeat an id and a text are one
+Defined cases: null, empty and white-space texts are groups of their own; other texts without a word are grouped by digest, as exact copies. Rows that repeat an id and a text are one
 document to `groups` (all have `kept`), and one of them stays in `deduplicated`. A null id is the largest; a group of null ids only has a null
 class. An empty table gives no row. Columns of the input pass through `deduplicated` whatever they are called.
 """
@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forgeline.llm.common import arrow_map, binary_column, id_text, materialized, slices
+from forgeline.llm.common import SPACED_WORD, arrow_map, binary_column, id_text, materialized, slices
 from forgeline.llm.components import components
 from forgeline.llm.hashing import U64, WordHasher, joined, mix
 
@@ -185,18 +185,19 @@ def exact_links(texts: list[bytes], words: WordHasher, least: float = SIMILARITY
 # ------------------------------------------------------------------ whole tables
 
 def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: doc_id, k (128-bit digest of the text), sketch (null without words)."""
-    rows = id_text(docs, id_col, text_col).selectExpr("doc_id", "unhex(md5(coalesce(text, ''))) as k", "text")
+    """Per row: doc_id, k (128-bit digest of the text), filled (not null or white space), sketch (null without words)."""
+    rows = id_text(docs, id_col, text_col).selectExpr(
+        "doc_id", "unhex(md5(coalesce(text, ''))) as k", f"coalesce(text rlike '{SPACED_WORD}', false) as filled", "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHasher()
         for batch in batches:
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:2], pa.array(sketch(binary_column(batch, "text"), words), pa.binary())],
-                names=["doc_id", "k", "sketch"])
+                [*batch.columns[:3], pa.array(sketch(binary_column(batch, "text"), words), pa.binary())],
+                names=["doc_id", "k", "filled", "sketch"])
 
-    return arrow_map(rows, take, f"doc_id {kind}, k binary, sketch binary")
+    return arrow_map(rows, take, f"doc_id {kind}, k binary, filled boolean, sketch binary")
 
 
 def _in_blocks(members: DataFrame, group: str, sizes: DataFrame, block: int) -> DataFrame:
@@ -266,18 +267,18 @@ def key_groups(docs: DataFrame, sketched: DataFrame, text_col: str = "text", sim
 
 
 def document_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """Per distinct (doc_id, k): class_id (least id of the group), class_rows, rows (that repeat id and text), has_words, stays."""
+    """Per distinct (doc_id, k): class_id (least id of the group), class_rows, rows (that repeat id and text), stays."""
     sketched = materialized(sketches(docs, id_col, text_col), "near-sketches")
     grouped = key_groups(docs, sketched, text_col, **options)
-    each = sketched.groupBy("doc_id", "k").agg(F.count("*").alias("rows"), F.expr("max(sketch is not null) as has_words"))
-    # texts without words are groups of their own
-    rooted = each.where("has_words").join(grouped, each.k == grouped.node, "left").selectExpr(
+    each = sketched.groupBy("doc_id", "k").agg(F.count("*").alias("rows"), F.expr("max(filled) as filled"))
+    # null, empty and white-space texts are groups of their own
+    rooted = each.where("filled").join(grouped, each.k == grouped.node, "left").selectExpr(
         "doc_id", "k", "rows", "coalesce(root, k) as root")
     per_class = rooted.groupBy("root").agg(
         F.expr("min(struct(doc_id is null as last, doc_id, k)) as first"), F.sum("rows").alias("class_rows")).withColumnRenamed("root", "r")
     classed = rooted.join(per_class, rooted.root == per_class.r).selectExpr(
         "doc_id", "k", "rows", "first.doc_id as class_id", "class_rows", "doc_id <=> first.doc_id and k = first.k as stays")
-    alone = each.where("not has_words").selectExpr("doc_id", "k", "rows", "doc_id as class_id", "1L as class_rows", "true as stays")
+    alone = each.where("not filled").selectExpr("doc_id", "k", "rows", "doc_id as class_id", "1L as class_rows", "true as stays")
     return classed.unionByName(alone)
 
 

@@ -121,6 +121,14 @@ def test_edge_rows(spark, edge_docs, clashing_docs, empty_docs):
     assert P.groups(empty_docs).count() == 0 and P.deduplicated(empty_docs).count() == 0
 
 
+def test_copies_of_texts_without_words_are_grouped(spark):
+    rows = [(1, "... --- ..."), (2, "... --- ..."), (3, "--- ..."), (2, "... --- ..."), (4, " \t"), (5, " \t"), (6, ""), (7, None), (8, "")]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], DOCS)
+    got = {(r.doc_id, r.class_id, r.class_rows) for r in P.groups(docs).collect()}
+    assert got == {(1, 1, 3), (2, 1, 3), (3, 3, 1), *((i, i, 1) for i in (4, 5, 6, 7, 8))}
+    assert sorted(r.doc_id for r in P.deduplicated(docs).collect()) == [1, 3, 4, 5, 6, 7, 8]
+
+
 def test_components_equal_union_find(spark):
     r = random.Random(2)
     edges = [(i, i + 1) for i in range(0, 60)] + [(r.randrange(100, 400), r.randrange(100, 400)) for _ in range(150)] + [(7, 7)]
