@@ -244,6 +244,21 @@ def _per_task(members: DataFrame, value: str, link: Callable[[list[bytes]], list
     return arrow_map(dealt, edges, "a binary, b binary")
 
 
+def once_per_task(rows: DataFrame) -> DataFrame:
+    """(k, text) rows without the repeats of a k within a task; a task remembers the digests of its own rows."""
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
+        for batch in batches:
+            new = []
+            for k in batch.column(0).to_pylist():
+                new.append(k not in seen)
+                seen.add(k)
+            yield batch.filter(pa.array(new, pa.bool_()))
+
+    return arrow_map(rows, first, rows.schema)
+
+
 def key_groups(docs: DataFrame, sketched: DataFrame, text_col: str = "text", similarity: float = SIMILARITY,
                bucket_block: int = BUCKET_BLOCK, component_block: int = COMPONENT_BLOCK) -> DataFrame:
     """(node, root) for every text (by k) that is linked to a different text."""
@@ -256,9 +271,9 @@ def key_groups(docs: DataFrame, sketched: DataFrame, text_col: str = "text", sim
     loose = components(_per_task(dealt.join(texts, "k"), "sketch", loose_links), "near-loose")
     sizes = loose.groupBy("root").count().selectExpr("root", "count as n")
     named = loose.selectExpr("node as k", "root")
-    wanted = docs.selectExpr(f"cast(`{text_col}` as string) as text").selectExpr("unhex(md5(text)) as k", "text")
-    # shuffled at any size: the number of linked texts grows with the corpus
-    content = wanted.join(named.hint("merge"), "k").dropDuplicates(["k"])
+    wanted = docs.selectExpr(f"cast(`{text_col}` as string) as text").where("text is not null").selectExpr("unhex(md5(text)) as k", "text")
+    # shuffled at any size: the number of linked texts grows with the corpus; copies go before, so no digest has more rows than there are tasks
+    content = once_per_task(wanted).join(named.hint("merge"), "k").dropDuplicates(["k"])
 
     def link(values: list[bytes]) -> list[tuple[int, int]]:
         return exact_links(values, WordHasher(), similarity)

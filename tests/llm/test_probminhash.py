@@ -129,6 +129,12 @@ def test_copies_of_texts_without_words_are_grouped(spark):
     assert sorted(r.doc_id for r in P.deduplicated(docs).collect()) == [1, 3, 4, 5, 6, 7, 8]
 
 
+def test_copies_are_dropped_before_the_text_shuffle(spark):
+    rows = spark.range(0, 4000, 1, 4).selectExpr("unhex(md5(cast(id % 3 as string))) as k", "cast(id % 3 as string) as text")
+    got = P.once_per_task(rows).collect()
+    assert len(got) == 4 * 3 and {(bytes(r.k), r.text) for r in got} == {(bytes(r.k), r.text) for r in rows.distinct().collect()}
+
+
 def test_components_equal_union_find(spark):
     r = random.Random(2)
     edges = [(i, i + 1) for i in range(0, 60)] + [(r.randrange(100, 400), r.randrange(100, 400)) for _ in range(150)] + [(7, 7)]
