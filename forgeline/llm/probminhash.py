@@ -18,7 +18,7 @@ is earlier than what the register has. A shingle stops as soon as its time passe
    of these links are the groups.
 
 Buckets and components larger than a block are dealt to tasks by pairs of blocks, so no pair is lost and no task holds more than two
-blocks. Nothing of the size of the corpus is collected or broadcast; lineage is cut by tables in the shared folder.
+blocks. Blocks of texts are bounded by their number and by their bytes (on average, as texts are dealt by hash; one text at least). Nothing of the size of the corpus is collected or broadcast; lineage is cut by tables in the shared folder.
 
 Defined cases: null, empty and white-space texts are groups of their own; other texts without a word are grouped by digest, as exact copies. Rows that repeat an id and a text are one
 document to `groups` (all have `kept`), and one of them stays in `deduplicated`. A null id is the largest; a group of null ids only has a null
@@ -46,6 +46,7 @@ REGISTERS = BANDS * ROWS
 LOOSE = 0.66
 BUCKET_BLOCK = 4096
 COMPONENT_BLOCK = 512
+COMPONENT_BYTES = 4_000_000
 SLICE_BYTES = 1_000_000
 
 def shingles(texts: list[bytes], words: WordHasher, n: int = SHINGLE_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -185,24 +186,26 @@ def exact_links(texts: list[bytes], words: WordHasher, least: float = SIMILARITY
 # ------------------------------------------------------------------ whole tables
 
 def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: doc_id, k (128-bit digest of the text), filled (not null or white space), sketch (null without words)."""
+    """Per row: doc_id, k (128-bit digest of the text), filled (not null or white space), bytes, sketch (null without words)."""
     rows = id_text(docs, id_col, text_col).selectExpr(
-        "doc_id", "unhex(md5(coalesce(text, ''))) as k", f"coalesce(text rlike '{SPACED_WORD}', false) as filled", "text")
+        "doc_id", "unhex(md5(coalesce(text, ''))) as k", f"coalesce(text rlike '{SPACED_WORD}', false) as filled",
+        "cast(octet_length(coalesce(text, '')) as bigint) as bytes", "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHasher()
         for batch in batches:
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array(sketch(binary_column(batch, "text"), words), pa.binary())],
-                names=["doc_id", "k", "filled", "sketch"])
+                [*batch.columns[:4], pa.array(sketch(binary_column(batch, "text"), words), pa.binary())],
+                names=["doc_id", "k", "filled", "bytes", "sketch"])
 
-    return arrow_map(rows, take, f"doc_id {kind}, k binary, filled boolean, sketch binary")
+    return arrow_map(rows, take, f"doc_id {kind}, k binary, filled boolean, bytes bigint, sketch binary")
 
 
-def _in_blocks(members: DataFrame, group: str, sizes: DataFrame, block: int) -> DataFrame:
-    """Members with the task they go to; groups above `block` members go to every pair of their blocks."""
-    n = sizes.selectExpr(f"{group} as _g", f"cast(ceil(n / {block}) as int) as _blocks")
+def _in_blocks(members: DataFrame, group: str, sizes: DataFrame, block: int, block_bytes: int | None = None) -> DataFrame:
+    """Members with the task they go to; groups above `block` members, or `block_bytes`, go to every pair of their blocks."""
+    blocks = f"ceil(n / {block})" if block_bytes is None else f"greatest(ceil(n / {block}), ceil(bytes / {block_bytes}))"
+    n = sizes.selectExpr(f"{group} as _g", f"cast({blocks} as int) as _blocks")
     dealt = members.join(n, members[group] == n._g).selectExpr("*", "cast(pmod(xxhash64(k, 11), _blocks) as int) as _own")
     return dealt.selectExpr(
         "*", f"explode(transform(sequence(0, _blocks - 1), j -> xxhash64({group}, least(_own, j), greatest(_own, j)))) as task"
@@ -260,16 +263,17 @@ def once_per_task(rows: DataFrame) -> DataFrame:
 
 
 def key_groups(docs: DataFrame, sketched: DataFrame, text_col: str = "text", similarity: float = SIMILARITY,
-               bucket_block: int = BUCKET_BLOCK, component_block: int = COMPONENT_BLOCK) -> DataFrame:
+               bucket_block: int = BUCKET_BLOCK, component_block: int = COMPONENT_BLOCK,
+               component_bytes: int = COMPONENT_BYTES) -> DataFrame:
     """(node, root) for every text (by k) that is linked to a different text."""
-    texts = materialized(sketched.where("sketch is not null").select("k", "sketch").dropDuplicates(["k"]), "near-texts")
+    texts = materialized(sketched.where("sketch is not null").select("k", "bytes", "sketch").dropDuplicates(["k"]), "near-texts")
     bands = texts.selectExpr(
         "k", f"explode(transform(sequence(0, {BANDS - 1}), b -> xxhash64(b, substring(sketch, {2 * ROWS} * b + 1, {2 * ROWS})))) as band")
     full = bands.groupBy("band").count().where("count > 1").selectExpr("band", "count as n")
     members = bands.join(full.select("band").withColumnRenamed("band", "_b"), F.col("band") == F.col("_b")).drop("_b")
     dealt = _in_blocks(members, "band", full, bucket_block)
-    loose = components(_per_task(dealt.join(texts, "k"), "sketch", loose_links), "near-loose")
-    sizes = loose.groupBy("root").count().selectExpr("root", "count as n")
+    loose = components(_per_task(dealt.join(texts.select("k", "sketch"), "k"), "sketch", loose_links), "near-loose")
+    sizes = loose.join(texts.selectExpr("k as node", "bytes"), "node").groupBy("root").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
     named = loose.selectExpr("node as k", "root")
     wanted = docs.selectExpr(f"cast(`{text_col}` as string) as text").where("text is not null").selectExpr("unhex(md5(text)) as k", "text")
     # shuffled at any size: the number of linked texts grows with the corpus; copies go before, so no digest has more rows than there are tasks
@@ -278,7 +282,7 @@ def key_groups(docs: DataFrame, sketched: DataFrame, text_col: str = "text", sim
     def link(values: list[bytes]) -> list[tuple[int, int]]:
         return exact_links(values, WordHasher(), similarity)
 
-    return components(_per_task(_in_blocks(content, "root", sizes, component_block), "text", link), "near-links")
+    return components(_per_task(_in_blocks(content, "root", sizes, component_block, component_bytes), "text", link), "near-links")
 
 
 def document_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

@@ -135,6 +135,20 @@ def test_copies_are_dropped_before_the_text_shuffle(spark):
     assert len(got) == 4 * 3 and {(bytes(r.k), r.text) for r in got} == {(bytes(r.k), r.text) for r in rows.distinct().collect()}
 
 
+def test_blocks_of_texts_follow_their_bytes(spark, monkeypatch):
+    """Texts that go to one comparing task stay near two blocks of bytes, and no link is lost."""
+    texts = variants(40, 6)
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(texts)], DOCS)
+    total, dealt = sum(map(len, texts)), []
+    per_task = P._per_task
+    monkeypatch.setattr(P, "_per_task", lambda members, value, link: (dealt.append((members, value)), per_task(members, value, link))[1])
+    got = {r.doc_id: r.class_id for r in P.groups(docs, component_bytes=total // 10).collect()}
+    assert got == {i: c for (i, _), c in brute_groups(list(enumerate(texts))).items()}
+    (content,) = [m for m, value in dealt if value == "text"]
+    most = content.groupBy("task").agg({"text": "count"}).selectExpr("max(`count(text)`)").first()[0]
+    assert most <= 24
+
+
 def test_components_equal_union_find(spark):
     r = random.Random(2)
     edges = [(i, i + 1) for i in range(0, 60)] + [(r.randrange(100, 400), r.randrange(100, 400)) for _ in range(150)] + [(7, 7)]
