@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from forgeline.llm import (
-    decontaminate, language_mix, license_scan, mixing, ordinal_quality, probminhash, quality_rules, token_orc, toxicity_crf, warc,
+    decontaminate, language_mix, license_scan, mixing, ordinal_quality, probminhash, quality_rules, sentence_pieces,
+    token_orc, toxicity_crf, warc,
 )
 from forgeline.llm.common import documents
 from forgeline.sources.tables import read_table
@@ -60,8 +61,12 @@ def op10_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_orc.token_index(documents(spark, sf_dir))
 
 
+def op13_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_pieces.digest(sentence_pieces.decoded(sentence_pieces.encoded(documents(spark, sf_dir))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_probminhash, op2_license_scan, op3_toxicity_crf, op4_language_mix, op5_quality_rules, op6_mix, op7_warc,
-        op8_decontaminate, op9_ordinal_quality, op10_token_orc)
+        op8_decontaminate, op9_ordinal_quality, op10_token_orc, op13_sentence_pieces)
 }

@@ -5,12 +5,11 @@ ids are integer columns (ORC run-length encodes them), every `row_index_stride`
 index with minima and maxima, and document ids have a Bloom filter, so a reader takes stripes in
 parallel and skips those that cannot hold the ids it asks for. `read_ids` and `find` read the files.
 
-A text is encoded in pieces cut before each space, if every space stands between two other characters.
-The byte-level pre-tokenizer always ends a piece there (a space can only begin one) and merges never leave a piece,
-so the ids equal those of the whole text; pieces repeat, so their ids are remembered (at most
-`REMEMBERED` pieces in a worker). Texts with other white space next to a space, or with the text of a special token, are
-encoded whole. The vocabulary file is read on the driver (a parameter; a few MB, `MOST_VOCABULARY_BYTES` at
-most) and sent along, so executors need no such file.
+Texts are cut before spaces that follow another character, if the vocabulary file says that its tokenizer ends a piece there
+(`chunks.byte_level_cuts`: no normaliser, byte-level pre-tokenizer with its pattern, BPE); other files have their texts encoded whole. Each distinct
+chunk is encoded once: the frequent ones of a bounded sample once for all workers (`chunks.frequent`: 200,000 chunks of 64 bytes at most), the
+others once in their slice of about 8 MB; ids are joined back by position. The vocabulary file is read on the driver (a parameter; a few MB,
+`byte_level.MOST_VOCABULARY_BYTES` at most) and sent along, so executors need no such file.
 
 Defined cases: null and empty texts have the end id alone. Rows that repeat an id stand next to each other, ordered by the
 text's hash; each has its own start. Null ids come first. An empty table gives no row. Other columns are not read.
@@ -18,9 +17,7 @@ text's hash; each has its own start. Null ids come first. An empty table gives n
 
 from __future__ import annotations
 
-import os
 import zlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,17 +25,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from forgeline.llm.byte_level import byte_level, id_rows, vocabulary_text
+from forgeline.llm.chunks import Chunked, Segments, byte_level_cuts, frequent, text_slices
 from forgeline.llm.common import arrow_map, id_text
 from forgeline.session import work_path
 
 END_ID = 2
-REMEMBERED = 800_000
-#: A run of these after letters, before a space or the end, is a pre-token of its own.
-_MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
-#: The byte-level alphabet: bytes that print stand for themselves, the others for code points from 256 on.
-_PRINTING = {*range(33, 127), *range(161, 173), *range(174, 256)}
-_ALPHABET = {b: b if b in _PRINTING else 256 + sum(x not in _PRINTING for x in range(b)) for b in range(256)}
-MOST_VOCABULARY_BYTES = 32_000_000
 ORC_OPTIONS = {
     "orc.stripe.size": str(16 * 2**20),
     "orc.row.index.stride": "1000",
@@ -49,131 +41,35 @@ ORC_OPTIONS = {
 }
 
 
-def vocabulary_path() -> str:
-    """Where the public byte-level vocabulary lies."""
-    import public_tokenizers
-
-    return public_tokenizers.path("byte_bpe_50k.json")
-
-
-class PieceEncoder:
-    """Ids of texts as little-endian 32-bit integers, piece by piece."""
-
-    def __init__(self, vocabulary: str, end_id: int = END_ID, remembered: int = REMEMBERED):
-        from tokenizers import Tokenizer
-
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        self.tokenizer = Tokenizer.from_str(vocabulary)
-        self.end = np.uint32(end_id).astype("<u4").tobytes()
-        # ids of " " + piece: those met of late, and before; what is met again moves on, the rest is dropped
-        self.generation = remembered // 2
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.marks: dict[str, bytes] = {}
-        self.tokenize = self.tokenizer.model.tokenize
-        # special tokens are found in the text before it is cut into pieces, so texts with one are encoded whole
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _letters(self, word: str) -> bytes:
-        """Ids of " " + word for a word of letters: one pre-token, so the model alone is asked."""
-        mapped = "\u0120" + word if word.isascii() else (" " + word).encode().decode("latin-1").translate(_ALPHABET)
-        return array("I", [t.id for t in self.tokenize(mapped)]).tobytes()
-
-    def _learn(self, pieces: set[str]) -> set[str]:
-        """Have the ids of these pieces at hand; returns those that stand by more than a lone space."""
-        if len(self.young) + len(pieces) > self.generation:
-            self.old, self.young = self.young, {}
-        young, old = self.young, self.old
-        need = pieces.difference(young)
-        again = [p for p in need if p in old]
-        young.update(zip(again, map(old.__getitem__, again)))
-        need.difference_update(again)
-        other, odd = [], set()
-        for p in need:
-            if p.isalpha():
-                young[p] = self._letters(p)
-                continue
-            # marks after letters are a pre-token of their own
-            stem = p.rstrip(_MARKS)
-            if stem.isalpha():
-                ids = young.get(stem) or old.get(stem) or self._letters(stem)
-                marks = p[len(stem):]
-                if marks not in self.marks:
-                    self.marks[marks] = self._ids([marks])[0]
-                young[stem] = ids
-                young[p] = ids + self.marks[marks]
-            elif not p or p[0].isspace() or p[-1].isspace():
-                odd.add(p)
-            else:
-                other.append(p)
-        for at in range(0, len(other), 10_000):
-            some = other[at:at + 10_000]
-            young.update(zip(some, self._ids([" " + p for p in some])))
-        if len(self.marks) > 10_000:
-            self.marks.clear()
-        return odd
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        parts = [t.split(" ") if t else [] for t in texts]
-        odd = self._learn({p for words in parts for p in words[1:]})
-        known = self.young.__getitem__
-        heads = self._ids([words[0] if words else "" for words in parts])
-        out = []
-        for text, words, head in zip(texts, parts, heads):
-            if not text:
-                ids = b""
-            elif (not words[0] or words[0][-1].isspace() or (odd and not odd.isdisjoint(words[1:]))
-                  or any(s in text for s in self.special)):
-                ids = self._ids([text])[0]
-            else:
-                ids = head + b"".join(map(known, words[1:]))
-            out.append(ids + self.end)
-        return out
-
-
-_encoders: dict[tuple, PieceEncoder] = {}
-
-
-def encoder_of(vocabulary: str, end_id: int) -> PieceEncoder:
-    """One encoder per worker process, so that tasks go on with the pieces of those before."""
-    key = (hash(vocabulary), len(vocabulary), end_id)
-    if key not in _encoders:
-        _encoders.clear()
-        _encoders[key] = PieceEncoder(vocabulary, end_id)
-    return _encoders[key]
-
-
 def write_ids(docs: DataFrame, path: str, tokenizer_path: str | None = None, end_id: int = END_ID,
               id_col: str = "doc_id", text_col: str = "text") -> None:
     """Encode every text and write (part, doc_id, part_start, part_end, ids) as ORC files in ascending order of id.
 
     part numbers the ranges (one file each), part_start and part_end count the ids of its range before and after the document.
     """
-    tokenizer_path = tokenizer_path or vocabulary_path()
-    size = os.path.getsize(tokenizer_path)
-    if size > MOST_VOCABULARY_BYTES:
-        raise ValueError(f"{tokenizer_path} has {size} bytes; {MOST_VOCABULARY_BYTES} may be sent to every worker")
-    with open(tokenizer_path, encoding="utf-8") as f:
-        vocabulary = docs.sparkSession.sparkContext.broadcast(f.read())
-    ranged = id_text(docs, id_col, text_col).repartitionByRange("doc_id").withColumn("tie", F.expr("xxhash64(text)")
-                                                                ).sortWithinPartitions("doc_id", "tie")
+    file = vocabulary_text(tokenizer_path)
+    cut = byte_level_cuts(file)
+    context = docs.sparkSession.sparkContext
+    vocabulary = context.broadcast(file)
+    texts = id_text(docs, id_col, text_col)
+    known = context.broadcast(frequent(texts, cut, "", lambda: lambda c: id_rows(byte_level(vocabulary.value).ids(c)), "ids array<int>"))
+    ranged = texts.repartitionByRange("doc_id").withColumn("tie", F.expr("xxhash64(text)")).sortWithinPartitions("doc_id", "tie")
     ranged = ranged.selectExpr("spark_partition_id() as part", "doc_id", "text")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = encoder_of(vocabulary.value, end_id)
+        segments = Segments(lambda c: id_rows(byte_level(vocabulary.value).ids(c)), known.value)
         written = 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                some = batch.slice(at, 500)
-                ids = encoder.encode(some.column(2).to_pylist())
-                ends = np.cumsum([0] + [len(x) // 4 for x in ids])
-                flat = pa.array(np.frombuffer(b"".join(ids), "<i4"))
+            for rows, some in text_slices(batch, "text"):
+                chunked = Chunked(some, cut)
+                lists = segments.of(chunked).column(0)
+                values, bounds = chunked.ragged(lists.values.to_numpy(), lists.offsets.to_numpy())
+                # the end id goes behind each text
+                flat = np.insert(values, bounds[1:], np.int32(end_id))
+                ends = bounds + np.arange(len(bounds))
                 yield pa.RecordBatch.from_arrays(
-                    [some.column(0), some.column(1), pa.array(written + ends[:-1], pa.int64()),
-                     pa.array(written + ends[1:], pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)],
+                    [rows.column(0), rows.column(1), pa.array(written + ends[:-1], pa.int64()),
+                     pa.array(written + ends[1:], pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))],
                     names=["part", "doc_id", "part_start", "part_end", "ids"])
                 written += int(ends[-1])
 

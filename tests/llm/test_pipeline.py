@@ -8,6 +8,7 @@ import struct
 import zlib
 
 import corpus_pipeline as C
+from forgeline.llm import byte_level as B
 from forgeline.llm import decontaminate as D
 from forgeline.llm import mixing as M
 from forgeline.llm import quality_rules as Q
@@ -52,7 +53,7 @@ def plain_pipeline(docs: list[tuple], bench: list[tuple]) -> list[tuple]:
         if not over:
             break
         capped |= over
-    tokenizer, out = Tokenizer.from_file(K.vocabulary_path()), []
+    tokenizer, out = Tokenizer.from_file(B.vocabulary_path()), []
     for s in sources:
         rate = (2.0 * total[s] if s in capped else level * weight[s]) / total[s]
         u = int(hashlib.md5((M.SEED + (s or "")).encode()).hexdigest()[:4], 16) / 65536

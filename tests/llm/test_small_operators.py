@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import collections
+import os
 import random
 import struct
 import zlib
@@ -10,6 +11,8 @@ import zlib
 import numpy as np
 import pytest
 
+from forgeline.llm import byte_level as B
+from forgeline.llm import chunks as C
 from forgeline.llm import decontaminate as D
 from forgeline.llm import language_mix as L
 from forgeline.llm import license_scan as S
@@ -411,20 +414,75 @@ TRICKY = ["", " a", "a  b", "a  ", "don't we'll 's x's", "a <|endoftext|> b", "x
           "\n", "a 'tis, ...", "漢字 текст  x", "a　 b", "it's' \"q\" (p) [x] a_b _c c_ d'", "é. é' ß, ¿qué?", "x\ty z"]
 
 
-def test_pieces_equal_whole_texts():
-    with open(K.vocabulary_path(), encoding="utf-8") as f:
-        encoder = K.PieceEncoder(f.read(), remembered=60)
-    texts = TRICKY + [prose(n, n) for n in range(1, 60)] + [None]
-    want = [struct.pack(f"<{len(ids) + 1}I", *ids, K.END_ID)
-            for ids in (encoder.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts)]
-    assert encoder.encode(texts) == want and encoder.encode(texts[::-1]) == want[::-1]
+def test_chunks_equal_whole_texts(spark, monkeypatch):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(B.vocabulary_path())
+    texts = TRICKY + [prose(n, n) for n in range(1, 60)] + ["", "a b" + "\u2003 c \u2581 d\u00a0 e"] * 3
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    for known in (200_000, 20):  # all frequent chunks in the table, or few
+        monkeypatch.setattr("forgeline.llm.chunks.KNOWN", known)
+        got = {r.doc_id: r for r in K.token_index(docs).collect()}
+        for i, t in enumerate(texts):
+            ids = [*tokenizer.encode(t, add_special_tokens=False).ids, K.END_ID]
+            assert (got[i].n_tokens, got[i].ids_crc32) == (len(ids), zlib.crc32(struct.pack(f"<{len(ids)}I", *ids))), t
+
+
+@pytest.mark.parametrize("change", [{"normalizer": {"type": "Lowercase"}}, {"pre_tokenizer": {"type": "Whitespace"}}])
+def test_other_vocabularies_are_encoded_whole(spark, tmp_dir, change):
+    import json
+
+    from tokenizers import Tokenizer
+
+    with open(B.vocabulary_path(), encoding="utf-8") as f:
+        text = json.dumps(json.load(f) | change)
+    path = f"{tmp_dir}/other-{list(change)[0]}.json"
+    with open(path, "w", encoding="utf-8") as f:
+        f.write(text)
+    assert not C.byte_level_cuts(text) and not B.ByteLevel(text).cut and not C.byte_level_cuts("[]")
+    tokenizer = Tokenizer.from_str(text)
+    docs = spark.createDataFrame(list(enumerate(TRICKY)), "doc_id bigint, text string")
+    got = {r.doc_id: r.ids_crc32 for r in K.token_index(docs, tokenizer_path=path).collect()}
+    for i, t in enumerate(TRICKY):
+        ids = [*tokenizer.encode(t, add_special_tokens=False).ids, K.END_ID]
+        assert got[i] == zlib.crc32(struct.pack(f"<{len(ids)}I", *ids))
+
+
+def test_stripes_and_row_groups_are_skipped(spark, tmp_dir, monkeypatch):
+    """Ids that repeat would be run-length coded; a row of one document costs its stripe, not the file."""
+    import glob
+
+    from pyarrow import orc
+
+    monkeypatch.setitem(K.ORC_OPTIONS, "orc.stripe.size", "65536")
+    rows = [(2 * i, prose(150, i)) for i in range(6_000)]
+    path = f"{tmp_dir}/striped"
+    K.write_ids(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3), path)
+    files = [orc.ORCFile(f) for f in glob.glob(f"{path}/*.orc")]
+    assert max(f.nstripes for f in files) > 1
+    listed = K.find(spark, path, [200])
+    assert [r.doc_id for r in listed.collect()] == [200]
+    # rows that the scan hands on: a row group or a batch of the one stripe; none where the Bloom filter and the index rule an id out
+    def scanned(df):
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan()
+        while not plan.nodeName().startswith("Scan"):
+            plan = (plan.executedPlan() if plan.nodeName().startswith("Adaptive") else plan.children().head())
+        return plan.metrics().get("numOutputRows").get().value()
+
+    assert scanned(K.find(spark, path, [200])) < len(rows) / 2
+    assert scanned(K.find(spark, path, [20_000])) == 0
+    run = max(os.path.getsize(f) for f in glob.glob(f"{path}/*.orc"))
+    same = f"{tmp_dir}/same"
+    K.write_ids(spark.createDataFrame([(i, "the " * 150) for i in range(6_000)], "doc_id bigint, text string"), same)
+    assert max(os.path.getsize(f) for f in glob.glob(f"{same}/*.orc")) < run / 10
 
 
 def test_token_files_round_trip(spark, clashing_docs, empty_docs, tmp_dir):
     from pyarrow import orc
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(K.vocabulary_path())
+    tokenizer = Tokenizer.from_file(B.vocabulary_path())
     rows = [(i, t) for i, t, *_ in EDGE_ROWS] + [(100 + i, t) for i, t in enumerate(TRICKY)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
     path = f"{tmp_dir}/ids"
