@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from forgeline.llm import (
     decontaminate, language_mix, license_scan, mixing, ordinal_quality, probminhash, quality_rules, sentence_pieces,
-    token_orc, toxicity_crf, warc,
+    token_alignment, token_orc, toxicity_crf, warc,
 )
 from forgeline.llm.common import documents
 from forgeline.sources.tables import read_table
@@ -61,6 +61,10 @@ def op10_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_orc.token_index(documents(spark, sf_dir))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.link_report(documents(spark, sf_dir))
+
+
 def op13_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_pieces.digest(sentence_pieces.decoded(sentence_pieces.encoded(documents(spark, sf_dir))))
 
@@ -68,5 +72,6 @@ def op13_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_probminhash, op2_license_scan, op3_toxicity_crf, op4_language_mix, op5_quality_rules, op6_mix, op7_warc,
-        op8_decontaminate, op9_ordinal_quality, op10_token_orc, op13_sentence_pieces)
+        op8_decontaminate, op9_ordinal_quality, op10_token_orc, op12_token_alignment,
+        op13_sentence_pieces)
 }

@@ -21,6 +21,7 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -63,7 +64,7 @@ def groups_of(a: list[int], b: list[int]) -> list[tuple[int, int, int, int]]:
 
 
 class Aligner:
-    """Rows of chunks: tokens of A and B, groups, links, the groups as text, distinct pairs and how often each is linked."""
+    """Rows of chunks: tokens of A and B, groups, links, the groups as text, pairs and how often each is linked."""
 
     schema = "fits boolean, n_a int, n_b int, n_groups int, n_links long, groups string, pairs array<long>, times array<long>"
 
@@ -78,26 +79,35 @@ class Aligner:
         self.cut = cut
 
     def _aligned(self, chunk: bytes, a: list[int], b: list[int]):
+        """One row; `pairs` may repeat a pair, each time with its own number of links."""
         parts_a, parts_b = [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in b]
         if b"".join(parts_a) != chunk or b"".join(parts_b) != chunk:
             return False, 0, 0, 0, 0, "", [], []
-        ends_a, ends_b = np.cumsum([len(p) for p in parts_a]).tolist(), np.cumsum([len(p) for p in parts_b]).tolist()
-        if ends_a == ends_b:
-            groups = [(i, i + 1, i, i + 1) for i in range(len(a))]
-        else:
-            groups = groups_of(ends_a, ends_b)
-        links, n = Counter(), 0
+        width = self.width
+        if parts_a == parts_b:
+            text = ";".join([f"{x}|{y}" for x, y in zip(a, b)])
+            return True, len(a), len(a), len(a), len(a), text, [x * width + y for x, y in zip(a, b)], [1] * len(a)
+        groups = groups_of(list(accumulate(map(len, parts_a))), list(accumulate(map(len, parts_b))))
+        texts, pairs, times, links = [], [], [], 0
         for a0, a1, b0, b1 in groups:
-            n += (a1 - a0) * (b1 - b0)
-            if a1 - a0 == b1 - b0 == 1:
-                links[a[a0] * self.width + b[b0]] += 1
+            n = (a1 - a0) * (b1 - b0)
+            links += n
+            if n == 1:
+                pairs.append(a[a0] * width + b[b0])
+                times.append(1)
+                texts.append(f"{a[a0]}|{b[b0]}")
+                continue
+            left, right = a[a0:a1], b[b0:b1]
+            texts.append(",".join(map(str, left)) + "|" + ",".join(map(str, right)))
+            if n < 16:
+                pairs += [x * width + y for x in left for y in right]
+                times += [1] * n
             else:
-                right = Counter(b[b0:b1]).items()
-                for x, m in Counter(a[a0:a1]).items():
-                    for y, k in right:
-                        links[x * self.width + y] += m * k
-        text = ";".join([",".join(map(str, a[a0:a1])) + "|" + ",".join(map(str, b[b0:b1])) for a0, a1, b0, b1 in groups])
-        return True, len(a), len(b), len(groups), n, text, list(links.keys()), list(links.values())
+                right = Counter(right).items()
+                for x, m in Counter(left).items():
+                    pairs += [x * width + y for y, _ in right]
+                    times += [m * k for _, k in right]
+        return True, len(a), len(b), len(groups), links, ";".join(texts), pairs, times
 
     def __call__(self, chunks: list[str]) -> pa.RecordBatch:
         """A chunk has its space in front; whole texts (no cuts) have it too."""
@@ -136,10 +146,11 @@ def _pairs_of(chunked: Chunked, rows: pa.RecordBatch, fits: np.ndarray) -> tuple
     text = np.repeat(np.arange(len(fits)), np.diff(bounds))
     keep = fits[text]
     pairs, times, text = pairs[keep], times[keep], text[keep]
-    order = np.lexsort((pairs, text))
-    pairs, times, text = pairs[order], times[order], text[order]
+    key = text * (pairs.max(initial=0) + 1) + pairs
+    order = np.argsort(key)
+    pairs, times, text, key = pairs[order], times[order], text[order], key[order]
     new = np.ones(len(pairs), bool)
-    new[1:] = (pairs[1:] != pairs[:-1]) | (text[1:] != text[:-1])
+    new[1:] = key[1:] != key[:-1]
     at = np.flatnonzero(new)
     to = pa.array(np.searchsorted(text[at], np.arange(len(fits) + 1)), pa.int32())
     summed = np.add.reduceat(times, at) if len(at) else times

@@ -28,7 +28,7 @@ def test_query_returns_a_row_per_document(spark, name):
 
 def test_one_query_per_operator_and_the_pipeline():
     names = E.queries()
-    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)] == [1] * 13
     assert "pipeline" in names
 
 

@@ -449,12 +449,13 @@ def test_other_vocabularies_are_encoded_whole(spark, tmp_dir, change):
 
 
 def test_stripes_and_row_groups_are_skipped(spark, tmp_dir, monkeypatch):
-    """Ids that repeat would be run-length coded; a row of one document costs its stripe, not the file."""
+    """A lookup reads a part of the rows, or none; repeated runs of ids take next to no room."""
     import glob
 
     from pyarrow import orc
 
     monkeypatch.setitem(K.ORC_OPTIONS, "orc.stripe.size", "65536")
+    monkeypatch.setitem(K.ORC_OPTIONS, "orc.rows.between.memory.checks", "500")
     rows = [(2 * i, prose(150, i)) for i in range(6_000)]
     path = f"{tmp_dir}/striped"
     K.write_ids(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3), path)
