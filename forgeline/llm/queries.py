@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from forgeline.llm import (
-    decontaminate, language_mix, license_scan, mixing, ordinal_quality, probminhash, quality_rules, sentence_pieces,
+    decontaminate, hard_negatives, language_mix, license_scan, mixing, ordinal_quality, probminhash, quality_rules, sentence_pieces,
     token_alignment, token_orc, toxicity_crf, warc,
 )
 from forgeline.llm.common import documents
@@ -61,6 +61,12 @@ def op10_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_orc.token_index(documents(spark, sf_dir))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "embeddings").selectExpr(
+        "vec_id", "embedding", "if(vec_id % 7 = 0, (label + 1) % 10, label) as label")
+    return hard_negatives.mined(rows, "vec_id % 100 = 0")
+
+
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.link_report(documents(spark, sf_dir))
 
@@ -72,6 +78,6 @@ def op13_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_probminhash, op2_license_scan, op3_toxicity_crf, op4_language_mix, op5_quality_rules, op6_mix, op7_warc,
-        op8_decontaminate, op9_ordinal_quality, op10_token_orc, op12_token_alignment,
+        op8_decontaminate, op9_ordinal_quality, op10_token_orc, op11_hard_negatives, op12_token_alignment,
         op13_sentence_pieces)
 }
