@@ -262,24 +262,42 @@ def q_bronze_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------------ incremental, backfill
 
-# Fixed value: the landing cut between the initial build and the incremental batch.
-INCREMENTAL_CUTOFF = "2024-01-20 00:00:00"
+# The landing cuts between three batches, the share of earlier records that land with the last batch only, and the
+# dates on which the health table is taken after each batch.
+INCREMENTAL_CUTS = ("2024-01-12 00:00:00", "2024-01-22 00:00:00")
+LATE_RECORD = "ingest_seq % 50 = 7"
+INCREMENTAL_DATES = ("2024-01-12", "2024-01-22", AS_OF)
+
+
+def _staged_batches(spark: SparkSession, sf_dir: str) -> list[dict[str, DataFrame]]:
+    """All records in three landing batches; some early ones arrive with the last."""
+    ev = _events(spark, sf_dir)
+    staged = {"repo_metadata": _staging.stg_repo_metadata(_fx.bronze_repo_metadata(ev)),
+              "issue_or_pr": _staging.stg_issue_or_pr(_fx.bronze_issue_or_pr(ev)), "commit": _staging.stg_commit(_fx.bronze_commit(ev))}
+    first, second = (f"fetched_at < TIMESTAMP_NTZ '{c}'" for c in INCREMENTAL_CUTS)
+    conditions = (f"{first} AND NOT {LATE_RECORD}", f"NOT {first} AND {second}", f"NOT {second} OR ({first} AND {LATE_RECORD})")
+    return [{kind: df.where(c) for kind, df in staged.items()} for c in conditions]
 
 
 @register("incremental_daily_metrics", _MODEL_SQL["repo_daily_metrics"])
 def q_incremental_daily_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Initial build on the records landed before the cut, then one incremental
-    run with everything landed after it; must equal the full rebuild."""
-    ev = _events(spark, sf_dir)
-    issue = _staging.stg_issue_or_pr(_fx.bronze_issue_or_pr(ev))
-    commit = _staging.stg_commit(_fx.bronze_commit(ev))
-    before = f"fetched_at < TIMESTAMP_NTZ '{INCREMENTAL_CUTOFF}'"
+    """Three landing batches, each applied to the touched buckets and days; must equal the full rebuild."""
     root = work_path(spark, "incremental")
-    _inc.full_build(spark, issue.where(before), commit.where(before), root, version=0)
-    _inc.apply_batch(spark, issue.where(f"NOT ({before})"), commit.where(f"NOT ({before})"), root, version=1)
+    for version, batch in enumerate(_staged_batches(spark, sf_dir)):
+        _inc.apply_batch(spark, {k: batch[k] for k in ("issue_or_pr", "commit")}, root, version)
     return _inc.read_daily(spark, root)
 
 
+@register("incremental_health", _MODEL_SQL["repo_health_snapshot"])
+def q_incremental_health(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The health table from kept days after three batches, its date moving on; written after each, the last must equal the full rebuild."""
+    root = work_path(spark, "incremental-health")
+    for version, (batch, as_of) in enumerate(zip(_staged_batches(spark, sf_dir), INCREMENTAL_DATES)):
+        _inc.apply_batch(spark, batch, root, version)
+        _mat.write_table(_inc.health(spark, root, as_of), f"{root}/repo_health_snapshot")
+    return _mat.read_model(spark, root, "repo_health_snapshot")
+
+
 @register("backfill_daily_metrics", _MODEL_SQL["repo_daily_metrics"])
 def q_backfill_daily_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Backfill all landed records into Bronze (partitioned by landing day) twice:

@@ -1,148 +1,195 @@
-"""Incremental rebuild: apply a new landing batch without recomputing history.
+"""Incremental rebuild: a landing batch costs the key buckets and the days it touches, not the history.
 
-State kept between runs (all Parquet in the shared checkpoint folder):
+Tables below one root (Parquet, in the shared folder):
 
-* ``issue_or_pr_state`` / ``commit_state``: the latest staged version per key,
-  with ``fetched_at`` and ``ingest_seq`` so a later version can be compared
-  exactly (``latest(old_latest, new_versions) == latest(all versions)``);
-* ``repo_daily_metrics`` partitioned by ``day``.
+* ``{kind}_state``, partitioned by ``bucket`` (a hash of the key): the latest staged version of every key. This *is*
+  silver: :func:`facts` are projections of it;
+* ``activity``, partitioned by ``day``: one narrow row per dated fact, with its key;
+* ``repo_daily_metrics`` and ``day_authors`` (distinct commit authors per repository), partitioned by ``day``.
 
-One run:
+One run (:func:`apply_batch`):
 
-1. stage the new batch; its keys are the *touched keys*;
-2. new latest version of each touched key = latest of (its old state row,
-   its new versions) -- a semi join on the touched keys, then the dedup window;
-3. touched (repo, day) = days of the old versions being replaced (their
-   contribution leaves) and of the new latest versions (theirs arrives). A late
-   re-fetch can therefore change an *old* day (e.g. ``prs_closed``);
-4. the new state = old state minus touched keys plus the new latest rows;
-5. gold rows of the touched days are recomputed from the new state and written
-   with dynamic partition overwrite: only those ``day`` partitions change.
+1. the batch's keys give the touched buckets; only those are read (partition pruning);
+2. ``changes/v{n}`` is written first: for each key of the batch the activity row of its old version (``-``) and of its new latest version
+   (``+``). ``latest(old latest, new versions) == latest(all versions)``, so a record that arrives late changes nothing unless it
+   is the newest of its key;
+3. the touched buckets of the states are replaced (dynamic partition overwrite);
+4. the touched days of ``activity`` are replaced: what they held of other keys plus the ``+`` rows. Daily counts and day authors
+   of these days are counted anew from them. A day that lost all activity is dropped.
 
-Steps 2-3 only shuffle the new batch and the state rows of touched keys; the
-state rewrite (4) is one anti join; gold work is bounded by the touched days.
+A run that fails anywhere can be repeated with the same batch and number: written changes are kept (they were computed before any
+table changed), and steps 3 and 4 give the same partitions again.
+
+The 28-day health table is a sum of the daily counts of the kept days plus distinct authors over ``day_authors`` (:func:`health`),
+so it reads neither facts nor days outside the window; only the day list moves with the date.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forgeline.operators.dedup import latest_by_fetch
 from forgeline.operators.joins import anti_join_keys, semi_join_keys
-from forgeline.plans import gold
-
-ISSUE_KEYS = ["repo_full_name", "number", "is_pull_request"]
-COMMIT_KEYS = ["repo_full_name", "sha"]
-
-
-def issue_state(stg_issue_or_pr: DataFrame) -> DataFrame:
-    return latest_by_fetch(stg_issue_or_pr.drop("raw_payload"), ISSUE_KEYS)
-
-
-def commit_state(stg_commit: DataFrame) -> DataFrame:
-    return latest_by_fetch(stg_commit.drop("raw_payload"), COMMIT_KEYS)
-
-
-def activity_from_state(issue_st: DataFrame, commit_st: DataFrame) -> DataFrame:
-    """Gold activity rows straight from the state tables (facts are projections of state)."""
-    commits = commit_st.selectExpr("repo_full_name", "author_login", "committed_date")
-    return gold.activity_combined(issue_st, commits)
-
-
-def _issue_days(df: DataFrame) -> DataFrame:
-    return df.select("repo_full_name", F.to_date("created_at").alias("day"))
+from forgeline.plans import gold, silver
 
+STATE_KEYS = {
+    "repo_metadata": ["repo_full_name"],
+    "issue_or_pr": ["repo_full_name", "number", "is_pull_request"],
+    "commit": ["repo_full_name", "sha"],
+}
+FACT_KEY = ["repo_full_name", "kind", "item"]
+_FACT = ["repo_full_name", "kind", "item", "day", "closed_same_day", "closed", "author"]
+#: Buckets of each state; a run rewrites the touched ones, so more buckets cost more files and less rewriting.
+BUCKETS = 32
 
-def _commit_days(df: DataFrame) -> DataFrame:
-    return df.filter(F.col("committed_date").isNotNull()).select(
-        "repo_full_name", F.to_date("committed_date").alias("day"))
 
+def _activity(issue_or_pr: DataFrame, commit: DataFrame) -> DataFrame:
+    """Activity rows with their key, from latest versions."""
+    items = issue_or_pr.where("is_pull_request IS NOT NULL").selectExpr(
+        "repo_full_name", "CASE WHEN is_pull_request THEN 'pr' ELSE 'issue' END AS kind", "CAST(number AS STRING) AS item",
+        "to_date(created_at) AS day",
+        "(NOT is_pull_request AND closed_at IS NOT NULL AND to_date(closed_at) = to_date(created_at)) AS closed_same_day",
+        "(is_pull_request AND state = 'closed') AS closed", "CAST(NULL AS STRING) AS author")
+    commits = commit.where("committed_date IS NOT NULL").selectExpr(
+        "repo_full_name", "'commit' AS kind", "sha AS item", "to_date(committed_date) AS day", "false AS closed_same_day",
+        "false AS closed", "author_login AS author")
+    return items.unionByName(commits)
 
-@dataclass
-class Delta:
-    issue_state: DataFrame
-    commit_state: DataFrame
-    touched_days: DataFrame        # distinct (repo_full_name, day)
 
+# ------------------------------------------------------------------ tables
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
-def merge_batch(old_issue_st: DataFrame, old_commit_st: DataFrame,
-                new_stg_issue: DataFrame, new_stg_commit: DataFrame) -> Delta:
-    new_issue_versions = new_stg_issue.drop("raw_payload")
-    new_commit_versions = new_stg_commit.drop("raw_payload")
-    issue_keys = new_issue_versions.select(*ISSUE_KEYS).distinct()
-    commit_keys = new_commit_versions.select(*COMMIT_KEYS).distinct()
 
-    old_issue_touched = semi_join_keys(old_issue_st, issue_keys, ISSUE_KEYS)
-    old_commit_touched = semi_join_keys(old_commit_st, commit_keys, COMMIT_KEYS)
+def _read(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    """A table written with the columns of ``like``, which stands for it (without rows) while there is none."""
+    return spark.read.schema(like.schema).parquet(path) if _exists(spark, path) else like.limit(0)
 
-    new_issue_latest = latest_by_fetch(old_issue_touched.unionByName(new_issue_versions), ISSUE_KEYS)
-    new_commit_latest = latest_by_fetch(old_commit_touched.unionByName(new_commit_versions), COMMIT_KEYS)
 
-    touched = (_issue_days(old_issue_touched).unionByName(_issue_days(new_issue_latest))
-               .unionByName(_commit_days(old_commit_touched)).unionByName(_commit_days(new_commit_latest))
-               .distinct())
-    issue_st = anti_join_keys(old_issue_st, issue_keys, ISSUE_KEYS).unionByName(new_issue_latest)
-    commit_st = anti_join_keys(old_commit_st, commit_keys, COMMIT_KEYS).unionByName(new_commit_latest)
-    return Delta(issue_st, commit_st, touched)
+def _replace(df: DataFrame, path: str, partition: str) -> None:
+    """Overwrite the partitions that ``df`` has rows of; each is one file unless it is large."""
+    (df.hint("rebalance", partition).sortWithinPartitions(partition, "repo_full_name").write.mode("overwrite")
+     .option("compression", "zstd").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path))
 
 
-def daily_for_days(issue_st: DataFrame, commit_st: DataFrame, days: DataFrame) -> DataFrame:
-    """Gold rows of every repo on the given days (whole ``day`` partitions)."""
-    act = activity_from_state(issue_st, commit_st)
-    return gold.daily_metrics_from_activity(semi_join_keys(act, days.select("day").distinct(), ["day"]))
-
-
-# ------------------------------------------------------------------ persisted runs
-def _write(df: DataFrame, path: str, partition_by: list[str] | None = None, mode: str = "overwrite") -> None:
-    w = df.write.mode(mode).option("compression", "zstd")
-    if partition_by:
-        w = w.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
-    w.parquet(path)
-
-
-def full_build(spark: SparkSession, stg_issue: DataFrame, stg_commit: DataFrame, root: str, version: int = 0) -> None:
-    """Initial run: state tables and the whole gold table."""
-    _write(issue_state(stg_issue), f"{root}/issue_or_pr_state/v{version}")
-    _write(commit_state(stg_commit), f"{root}/commit_state/v{version}")
-    i_st = spark.read.parquet(f"{root}/issue_or_pr_state/v{version}")
-    c_st = spark.read.parquet(f"{root}/commit_state/v{version}")
-    daily = gold.daily_metrics_from_activity(activity_from_state(i_st, c_st))
-    _write(daily, f"{root}/repo_daily_metrics", ["day"])
+def _drop_days(spark: SparkSession, path: str, days: Iterable) -> None:
+    jvm = spark.sparkContext._jvm
+    for d in days:
+        name = "__HIVE_DEFAULT_PARTITION__" if d is None else d
+        p = jvm.org.apache.hadoop.fs.Path(f"{path}/day={name}")
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def _in_days(days: Iterable) -> str:
+    """A filter on the partition column that prunes at planning: calendar days, so bounded by the time span."""
+    known = ", ".join(f"DATE '{d}'" for d in days if d is not None)
+    tests = ([f"day IN ({known})"] if known else []) + (["day IS NULL"] if None in days else [])
+    return " OR ".join(tests) or "false"
+
+
+def _bucketed(staged: DataFrame, kind: str, buckets: int) -> DataFrame:
+    return staged.drop("raw_payload").withColumn("bucket", F.expr(
+        f"CAST(pmod(xxhash64({', '.join(STATE_KEYS[kind])}), {buckets}) AS INT)"))
+
+
+# ------------------------------------------------------------------ one run
+def apply_batch(spark: SparkSession, staged: Mapping[str, DataFrame], root: str, version: int, buckets: int = BUCKETS) -> None:
+    """Apply the staged records of one landing batch (by record kind; kinds may be left out)."""
+    fresh = {kind: _bucketed(df, kind, buckets) for kind, df in staged.items()}
+    names = None
+    for kind, df in fresh.items():
+        some = df.selectExpr(f"'{kind}' AS kind", "bucket").distinct()
+        names = some if names is None else names.unionByName(some)
+    touched: dict[str, list[int]] = {kind: [] for kind in fresh}
+    for r in names.collect() if names is not None else []:  # at most `buckets` rows a kind
+        touched[r["kind"]].append(r["bucket"])
+    old = {kind: _read(spark, f"{root}/{kind}_state", fresh[kind]).where(F.col("bucket").isin(touched[kind])) for kind in fresh}
+
+    changes_path = f"{root}/changes/v{version}"
+    if not _exists(spark, f"{changes_path}/_SUCCESS"):
+        _changes(fresh, old).write.mode("overwrite").option("compression", "zstd").parquet(changes_path)
+    changes = spark.read.parquet(changes_path)
+
+    for kind, df in fresh.items():
+        if touched[kind]:
+            # the written files replace the read ones when the job commits
+            _replace(latest_by_fetch(old[kind].unionByName(df), STATE_KEYS[kind]), f"{root}/{kind}_state", "bucket")
+    _replace_days(spark, changes, root)
+
+
+def _changes(fresh: Mapping[str, DataFrame], old: Mapping[str, DataFrame]) -> DataFrame:
+    """(sign, fact columns): what the batch's keys had, and what they have now."""
+    before, after = {}, {}
+    for kind in ("issue_or_pr", "commit"):
+        if kind not in fresh:
+            continue
+        keys = STATE_KEYS[kind]
+        before[kind] = semi_join_keys(old[kind], fresh[kind].select(*keys).distinct(), keys)
+        after[kind] = latest_by_fetch(before[kind].unionByName(fresh[kind]), keys)
+    spark = next(iter(fresh.values())).sparkSession
+    none = {
+        "issue_or_pr": "repo_full_name STRING, number BIGINT, is_pull_request BOOLEAN, state STRING, created_at TIMESTAMP_NTZ, closed_at TIMESTAMP_NTZ",
+        "commit": "repo_full_name STRING, sha STRING, committed_date TIMESTAMP_NTZ, author_login STRING",
+    }
+    for kind, ddl in none.items():
+        for side in (before, after):
+            side.setdefault(kind, spark.createDataFrame([], ddl))
+    return _activity(before["issue_or_pr"], before["commit"]).selectExpr("'-' AS sign", *_FACT).unionByName(
+        _activity(after["issue_or_pr"], after["commit"]).selectExpr("'+' AS sign", *_FACT))
+
+
+def _replace_days(spark: SparkSession, changes: DataFrame, root: str) -> None:
+    arrives = {r["day"]: r["arrives"] for r in changes.groupBy("day").agg(F.expr("bool_or(sign = '+') AS arrives")).collect()}
+    if not arrives:
+        return
+    touched = _in_days(arrives)
+    arrived = changes.where("sign = '+'").select(*_FACT)
+    keys = changes.select(*FACT_KEY).distinct()
+    held = _read(spark, f"{root}/activity", arrived).where(touched)
+    _replace(anti_join_keys(held, keys, FACT_KEY).unionByName(arrived), f"{root}/activity", "day")
+    # a day that only lost rows and has no others is in no write: its old partition would stay
+    emptied = {d for d, comes in arrives.items() if not comes}
+    if emptied:
+        others = anti_join_keys(spark.read.schema(arrived.schema).parquet(f"{root}/activity").where(_in_days(emptied)), keys, FACT_KEY)
+        emptied -= {r["day"] for r in others.select("day").distinct().collect()}
+        for table in ("activity", "repo_daily_metrics"):
+            _drop_days(spark, f"{root}/{table}", emptied)
+    now = spark.read.schema(arrived.schema).parquet(f"{root}/activity").where(touched)
+    authors = now.where("author IS NOT NULL").select("repo_full_name", "day", "author").distinct()
+    _replace(gold.daily_metrics_from_activity(now), f"{root}/repo_daily_metrics", "day")
+    _replace(authors, f"{root}/day_authors", "day")
+    with_authors = {r["day"] for r in now.where("author IS NOT NULL").select("day").distinct().collect()}
+    _drop_days(spark, f"{root}/day_authors", set(arrives) - with_authors)
+
+
+# ------------------------------------------------------------------ reads
+def facts(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """Silver tables as projections of the states (each key is there once)."""
+    state = {kind: spark.read.parquet(f"{root}/{kind}_state") for kind in STATE_KEYS if _exists(spark, f"{root}/{kind}_state")}
+    return silver.from_latest(state)
 
 
-def apply_batch(spark: SparkSession, new_stg_issue: DataFrame, new_stg_commit: DataFrame, root: str,
-                version: int) -> None:
-    """One incremental run; state versions are immutable folders (``v{n}``), so a
-    failed run leaves the previous version intact and can simply be re-run."""
-    old_i = spark.read.parquet(f"{root}/issue_or_pr_state/v{version - 1}")
-    old_c = spark.read.parquet(f"{root}/commit_state/v{version - 1}")
-    delta = merge_batch(old_i, old_c, new_stg_issue, new_stg_commit)
-    _write(delta.issue_state, f"{root}/issue_or_pr_state/v{version}")
-    _write(delta.commit_state, f"{root}/commit_state/v{version}")
-    # touched days are recomputed from the *written* new state (lineage is cut)
-    _write(delta.touched_days, f"{root}/touched_days/v{version}")
-    i_st = spark.read.parquet(f"{root}/issue_or_pr_state/v{version}")
-    c_st = spark.read.parquet(f"{root}/commit_state/v{version}")
-    days = spark.read.parquet(f"{root}/touched_days/v{version}")
-    fresh = daily_for_days(i_st, c_st, days)
-    _write(fresh, f"{root}/repo_daily_metrics", ["day"])
-    # A touched day left with no activity at all produces no rows, so dynamic
-    # overwrite would keep its old partition: drop such partitions explicitly.
-    # The list holds calendar days (bounded by the time span), not data rows.
-    stale = days.select("day").distinct().join(fresh.select("day").distinct(), "day", "left_anti")
-    _drop_partitions(spark, f"{root}/repo_daily_metrics", "day", [r["day"] for r in stale.collect()])
+def read_daily(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.parquet(f"{root}/repo_daily_metrics").select(*gold.DAILY_COLUMNS)
 
 
-def _drop_partitions(spark: SparkSession, table_path: str, column: str, values) -> None:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for v in values:
-        path = jvm.org.apache.hadoop.fs.Path(f"{table_path}/{column}={v}")
-        path.getFileSystem(conf).delete(path, True)
+def recent(spark: SparkSession, root: str, as_of=None, days: int = 28) -> DataFrame:
+    """Counts per repository over the kept days of the window (``day >= as_of - days``, no upper bound)."""
+    start = F.date_sub(gold.as_of_col(as_of), days)
+    daily = spark.read.parquet(f"{root}/repo_daily_metrics").where(F.col("day") >= start)
+    sums = daily.groupBy("repo_full_name").agg(*[F.expr(e) for e in (
+        "sum(commits) AS recent_commits_28d", "sum(prs_opened) AS recent_prs_28d", "sum(issues_opened) AS recent_issues_28d")])
+    if not _exists(spark, f"{root}/day_authors"):
+        return sums.withColumn("recent_authors_28d", F.lit(0).cast("bigint"))
+    authors = spark.read.parquet(f"{root}/day_authors").where(F.col("day") >= start).groupBy("repo_full_name").agg(
+        F.expr("count(DISTINCT author) AS recent_authors_28d"))
+    return sums.join(authors, "repo_full_name", "left")
 
 
-def read_daily(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/repo_daily_metrics").select(*gold.DAILY_COLUMNS)
+def health(spark: SparkSession, root: str, as_of=None, days: int = 28) -> DataFrame:
+    """The health table as of a date, from the repository state and the days of its window."""
+    return gold.health_from_recent(facts(spark, root)["dim_repos"], recent(spark, root, as_of, days))

@@ -30,7 +30,10 @@ FCT_COMMITS_COLUMNS = [
 
 
 def dim_repos(stg_repo: DataFrame) -> DataFrame:
-    latest = latest_by_fetch(stg_repo, ["repo_full_name"])
+    return dim_repos_of(latest_by_fetch(stg_repo, ["repo_full_name"]))
+
+
+def dim_repos_of(latest: DataFrame) -> DataFrame:
     return latest.selectExpr(
         "repo_full_name", "repo_name", "owner_login", "description", "stargazers_count", "forks_count",
         "open_issues_count", "watchers_count", "default_branch", "language", "license_spdx", "archived",
@@ -56,21 +59,32 @@ def _issue_like(stg: DataFrame, is_pr: bool) -> DataFrame:
 
 
 def fct_issues(stg_issue_or_pr: DataFrame) -> DataFrame:
-    return _issue_like(stg_issue_or_pr, False).selectExpr(
+    return fct_issues_of(_issue_like(stg_issue_or_pr, False))
+
+
+def fct_issues_of(latest: DataFrame) -> DataFrame:
+    return latest.where("NOT is_pull_request").selectExpr(
         "repo_full_name", "number AS issue_number", "state", "title", "user_login AS author_login", "locked",
         "labels", "assignees", "comments", "created_at", "updated_at", "closed_at", "fetched_at",
     )
 
 
 def fct_pull_requests(stg_issue_or_pr: DataFrame) -> DataFrame:
-    return _issue_like(stg_issue_or_pr, True).selectExpr(
+    return fct_pull_requests_of(_issue_like(stg_issue_or_pr, True))
+
+
+def fct_pull_requests_of(latest: DataFrame) -> DataFrame:
+    return latest.where("is_pull_request").selectExpr(
         "repo_full_name", "number AS pr_number", "state", "title", "user_login AS author_login",
         "labels", "assignees", "comments", "created_at", "updated_at", "closed_at", "fetched_at",
     )
 
 
 def fct_commits(stg_commit: DataFrame) -> DataFrame:
-    latest = latest_by_fetch(stg_commit, ["repo_full_name", "sha"])
+    return fct_commits_of(latest_by_fetch(stg_commit, ["repo_full_name", "sha"]))
+
+
+def fct_commits_of(latest: DataFrame) -> DataFrame:
     return latest.selectExpr(
         "repo_full_name", "sha", "message", "author_login", "author_email", "authored_date",
         "committer_login", "committer_email", "committed_date", "cardinality(parents) AS parent_count",
@@ -85,3 +99,16 @@ def silver(stg: dict[str, DataFrame]) -> dict[str, DataFrame]:
         "fct_pull_requests": fct_pull_requests(stg["stg_issue_or_pr"]),
         "fct_commits": fct_commits(stg["stg_commit"]),
     }
+
+
+def from_latest(latest: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The same tables from the latest versions, by record kind (those kinds that are there)."""
+    out = {}
+    if "repo_metadata" in latest:
+        out["dim_repos"] = dim_repos_of(latest["repo_metadata"])
+    if "issue_or_pr" in latest:
+        out["fct_issues"] = fct_issues_of(latest["issue_or_pr"])
+        out["fct_pull_requests"] = fct_pull_requests_of(latest["issue_or_pr"])
+    if "commit" in latest:
+        out["fct_commits"] = fct_commits_of(latest["commit"])
+    return out
