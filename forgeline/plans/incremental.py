@@ -27,7 +27,9 @@ so it reads neither facts nor days outside the window; only the day list moves w
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -99,13 +101,19 @@ def _bucketed(staged: DataFrame, kind: str, buckets: int) -> DataFrame:
 # ------------------------------------------------------------------ one run
 def apply_batch(spark: SparkSession, staged: Mapping[str, DataFrame], root: str, version: int, buckets: int = BUCKETS) -> None:
     """Apply the staged records of one landing batch (by record kind; kinds may be left out)."""
-    fresh = {kind: _bucketed(df, kind, buckets) for kind, df in staged.items()}
-    names = None
-    for kind, df in fresh.items():
-        some = df.selectExpr(f"'{kind}' AS kind", "bucket").distinct()
-        names = some if names is None else names.unionByName(some)
+    # read by four jobs, so kept (in memory, spilling to disk) until the run is over
+    fresh = {kind: _bucketed(df, kind, buckets).persist(StorageLevel.MEMORY_AND_DISK) for kind, df in staged.items()}
+    try:
+        _apply(spark, fresh, root, version)
+    finally:
+        for df in fresh.values():
+            df.unpersist()
+
+
+def _apply(spark: SparkSession, fresh: Mapping[str, DataFrame], root: str, version: int) -> None:
+    names = reduce(DataFrame.unionByName, (df.selectExpr(f"'{kind}' AS kind", "bucket").distinct() for kind, df in fresh.items()))
     touched: dict[str, list[int]] = {kind: [] for kind in fresh}
-    for r in names.collect() if names is not None else []:  # at most `buckets` rows a kind
+    for r in names.collect():  # at most `buckets` rows a kind
         touched[r["kind"]].append(r["bucket"])
     old = {kind: _read(spark, f"{root}/{kind}_state", fresh[kind]).where(F.col("bucket").isin(touched[kind])) for kind in fresh}
 
@@ -162,8 +170,8 @@ def _replace_days(spark: SparkSession, changes: DataFrame, root: str) -> None:
     authors = now.where("author IS NOT NULL").select("repo_full_name", "day", "author").distinct()
     _replace(gold.daily_metrics_from_activity(now), f"{root}/repo_daily_metrics", "day")
     _replace(authors, f"{root}/day_authors", "day")
-    with_authors = {r["day"] for r in now.where("author IS NOT NULL").select("day").distinct().collect()}
-    _drop_days(spark, f"{root}/day_authors", set(arrives) - with_authors)
+    counted = spark.read.parquet(f"{root}/repo_daily_metrics").where(touched).where("distinct_authors > 0")
+    _drop_days(spark, f"{root}/day_authors", set(arrives) - {r["day"] for r in counted.select("day").distinct().collect()})
 
 
 # ------------------------------------------------------------------ reads
