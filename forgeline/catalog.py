@@ -19,6 +19,7 @@ from forgeline.operators import quality as dq
 from forgeline.operators import text_features as _text
 from forgeline.operators import upsert as _upsert
 from forgeline.plans import incremental as _inc
+from forgeline.plans import ingest as _ingest
 from forgeline.plans import materialize as _mat
 from forgeline.plans import serving, silver
 from forgeline.plans import staging as _staging
@@ -260,6 +261,24 @@ def q_bronze_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _bronze.read_bronze(spark, root, "issue_or_pr")
 
 
+# ------------------------------------------------------------------ landed pages to gold
+
+ITEM_SEQUENCE = "CAST(conv(substring(md5(raw_payload), 1, 15), 16, 10) AS BIGINT)"
+
+
+@register("pages_to_daily_metrics", oracle.pages_to_daily_sql())
+def q_pages_to_daily_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages land in two arrivals; a run after each takes the new files to Bronze, and each run is repeated. Gold from all runs."""
+    root = work_path(spark, "pages")
+    ev = _events(spark, sf_dir)
+    for arrival in (0, 1):
+        for kind in _ingest.KINDS:
+            _fx.landed_pages(ev, kind).where(f"page_no % 2 = {arrival}").write.mode("append").parquet(f"{root}/landed/{kind}")
+        for _ in range(2):
+            _ingest.run(spark, f"{root}/landed", root, f"run-{arrival}", ITEM_SEQUENCE)
+    return _ingest.models(spark, root).repo_daily_metrics()
+
+
 # ------------------------------------------------------------------ incremental, backfill
 
 # The landing cuts between three batches, the share of earlier records that land with the last batch only, and the

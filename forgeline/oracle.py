@@ -384,6 +384,15 @@ FROM items) r{len(rejects)} WHERE reason <> ''""")
             "landing_rejects": "\nUNION ALL\n".join(rejects)}
 
 
+def pages_to_daily_sql() -> str:
+    """Daily metrics over the parsed items of all landed pages; ties at one instant go by the item's MD5."""
+    parsed = landing_sql()
+    seq = "CAST('0x' || substr(md5(raw_payload), 1, 15) AS BIGINT) AS ingest_seq"
+    bronze = ",\n".join(f"bronze_{kind} AS (SELECT *, {seq} FROM ({parsed[name]}) x)" for kind, name in (
+        ("repo_metadata", "landing_parse_repo"), ("issue_or_pr", "landing_parse_issue"), ("commit", "landing_parse_commit")))
+    return f"WITH {bronze},{_staging()},{_current()},{_measured()}\nSELECT * FROM repo_daily_metrics"
+
+
 def page_rejects_sql() -> str:
     """Per repository: records, rejected items and rejected pages, when some pages arrive damaged."""
     from forgeline.sources.fixtures import DAMAGED_PAGES, PAGE_SIZE

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -65,28 +66,32 @@ def write_bronze(df: DataFrame, root: str, kind: str, partition_date: Column | _
     """
     cols = [f.name for f in schemas.BRONZE_SCHEMAS[kind].fields]
     framed = with_partition_columns(df.select(*cols), kind, partition_date, run_id)
-    obs = Observation(f"bronze_{kind}_{uuid.uuid4().hex[:8]}")
-    counted = framed.observe(obs, F.count(F.lit(1)).alias("rows"))
     parts = partition_by or PARTITION_COLUMNS
-    out = counted.hint("rebalance", *parts)
-    if "repo" not in parts:
-        # date-only layout: cluster rows by repository inside each file, so Parquet
-        # row-group statistics let a repository filter skip most of a day's data.
-        # The partition columns lead the sort, which is the order the partitioned
-        # writer needs anyway (it would otherwise add its own sort and drop ours).
-        out = out.sortWithinPartitions(*parts, schemas.REPO_KEY[kind])
-    (out
-     .write.mode(mode)
-     .format(fmt)
-     .option("compression", "zstd")
-     .option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*parts)
-     .save(f"{root.rstrip('/')}/{kind}"))
-    try:
-        rows = obs.get.get("rows")
-    except Exception:  # noqa: BLE001 - an input Catalyst proves empty is pruned with its metrics
-        rows = None
-    return int(rows or 0)
+
+    def write(counted: DataFrame) -> None:
+        out = counted.hint("rebalance", *parts)
+        if "repo" not in parts:
+            # date-only layout: cluster rows by repository inside each file, so Parquet
+            # row-group statistics let a repository filter skip most of a day's data.
+            # The partition columns lead the sort, which is the order the partitioned
+            # writer needs anyway (it would otherwise add its own sort and drop ours).
+            out = out.sortWithinPartitions(*parts, schemas.REPO_KEY[kind])
+        (out.write.mode(mode).format(fmt).option("compression", "zstd")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(*parts).save(f"{root.rstrip('/')}/{kind}"))
+
+    return counted_write(framed, write)
+
+
+def counted_write(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
+    """Write a frame and return its number of rows, observed during the write.
+
+    Where Spark proves an input empty it prunes the plan with its metrics, so the observation ends without values; only that counts as no rows.
+    """
+    obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
+    write(df.observe(obs, F.count(F.lit(1)).alias("rows")))
+    # Observation.get cannot turn a row without values into Python, so the row itself is asked
+    row = obs._jo.getRow()
+    return int(row.getLong(0)) if row.length() else 0
 
 
 def read_bronze(spark: SparkSession, root: str, kind: str, fmt: str = "parquet",
@@ -98,7 +103,7 @@ def read_bronze(spark: SparkSession, root: str, kind: str, fmt: str = "parquet",
              "month": T.IntegerType(), "day": T.IntegerType()}
     parts = partition_by or PARTITION_COLUMNS
     data_cols = [c for c in PARTITION_COLUMNS if c not in parts]
-    for name in ["run_id", *data_cols, *parts]:
+    for name in [*(["run_id"] if "run_id" not in parts else []), *data_cols, *parts]:
         schema = schema.add(name, types.get(name, T.StringType()), True)
     return spark.read.schema(schema).option("basePath", path).format(fmt).load(path)
 
@@ -171,11 +176,6 @@ def normalize_foreign_bronze(spark: SparkSession, src_root: str, kind: str, dst_
             "_landing_date", F.make_date(F.col("year"), F.col("month"), F.col("day")))
         framed = with_partition_columns(foreign.select(*cols, "run_id", "_landing_date"), kind,
                                         F.col("_landing_date")).drop("_landing_date")
-        obs = Observation(f"normalize_{kind}_{uuid.uuid4().hex[:8]}")
-        (framed.observe(obs, F.count(F.lit(1)).alias("rows")).hint("rebalance", *parts)
-         .write.mode("append").option("compression", "zstd").partitionBy(*parts)
-         .parquet(f"{dst_root.rstrip('/')}/{kind}"))
-        try:
-            return int(obs.get.get("rows") or 0)
-        except Exception:  # noqa: BLE001 - an input proven empty is pruned with its metrics
-            return 0
+        # a second conversion replaces the partitions of the first
+        return counted_write(framed, lambda df: df.hint("rebalance", *parts).write.mode("overwrite").option("compression", "zstd").option(
+            "partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(f"{dst_root.rstrip('/')}/{kind}"))
