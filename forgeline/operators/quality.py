@@ -22,7 +22,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from forgeline.functions.columns import ntz_literal
@@ -154,8 +154,7 @@ def _table_pass(df: DataFrame, checks: list[Check]) -> DataFrame:
             failures = F.when(share <= F.lit(ch.params[0]), 0).otherwise(F.col(f"_c{i}"))
         elif ch.kind == "fresh_within":
             as_of, max_age_hours = ch.params
-            limit = ntz_literal(as_of) - F.make_dt_interval(
-                F.lit(0), F.lit(0), F.lit(0), F.lit(f"{max_age_hours * 3600:.6f}").cast("decimal(18, 6)"))
+            limit = _age_limit(as_of, max_age_hours)
             failures = F.when(F.col(f"_c{i}").isNotNull() & (F.col(f"_c{i}") >= limit), 0).otherwise(1)
         else:
             failures = F.col(f"_c{i}")
@@ -186,6 +185,81 @@ def quality_report(tables: dict[str, DataFrame], checks: Sequence[Check]) -> Dat
     return out
 
 
+# ------------------------------------------------------------------ checks taken during a write
+def observed_values(obs: Observation) -> dict:
+    """Metrics of a finished observation; empty where Spark proved the input empty and pruned the plan with its metrics."""
+    # Observation.get cannot turn a row without values into Python, so the row itself is asked
+    return dict(obs.get) if obs._jo.getRow().length() else {}
+
+
+class Watch:
+    """Row-level checks as metrics of the jobs that write: :meth:`on` marks a frame, :meth:`rows` gives the report once those jobs are done.
+
+    A metric counts rows as they pass, so a check that is met is met; after a lost executor a repeated map task can count failing rows twice.
+    Uniqueness needs all rows of a key together and is not a metric (:func:`is_row_level`).
+    """
+
+    def __init__(self, checks: Sequence[Check]):
+        self.checks = [c for c in checks if is_row_level(c)]
+        self.watched: dict[str, tuple[Observation, list[Check], DataFrame]] = {}
+
+    def on(self, table: str, df: DataFrame) -> DataFrame:
+        own = [c for c in self.checks if c.table == table]
+        if not own or table in self.watched:
+            return df
+        obs = Observation(f"checks_{table}")
+        self.watched[table] = obs, own, df
+        return df.observe(obs, F.count(F.lit(1)).alias("n"), *[_metric(c).alias(f"c{i}") for i, c in enumerate(own)])
+
+    def rows(self) -> list[tuple]:
+        """Report rows of what was written since the last call."""
+        out = []
+        for obs, checks, df in self.watched.values():
+            got = observed_values(obs)
+            for i, c in enumerate(checks):
+                value = got.get(f"c{i}")
+                if c.kind == "accepted_values" and value:
+                    # the metric counts rows; only a failing check is counted again, by distinct value
+                    value = failing_rows(df, c).select(*c.columns).distinct().count()
+                out.append((c.kind, c.table, c.column_label, _failures(c, got.get("n") or 0, value)))
+        self.watched.clear()
+        return out
+
+
+def is_row_level(check: Check) -> bool:
+    return check.kind not in ("unique", "unique_combination")
+
+
+def _metric(check: Check) -> Column:
+    if check.kind in ("not_null", "value_between", "matches_pattern"):
+        return F.count_if(_row_violation(check))
+    c = F.col(check.columns[0]) if check.columns else None
+    if check.kind == "accepted_values":
+        return F.count_if(c.isNotNull() & ~c.isin(*check.values))
+    if check.kind == "missing_share_at_most":
+        return F.count_if(c.isNull())
+    if check.kind == "fresh_within":
+        as_of, hours = check.params
+        return F.coalesce(F.max(c >= _age_limit(as_of, hours)), F.lit(False)).cast("bigint")
+    return F.count(F.lit(1))  # row_count_between
+
+
+def _failures(check: Check, n: int, value: int | None) -> int:
+    if check.kind == "row_count_between":
+        lo, hi = check.params
+        return int(not (n >= lo and (hi is None or n <= hi)))
+    if check.kind == "missing_share_at_most":
+        return 0 if n == 0 or (value or 0) / n <= check.params[0] else value
+    if check.kind == "fresh_within":
+        return int(not value)
+    return int(value or 0)
+
+
+def _age_limit(as_of, max_age_hours: float) -> Column:
+    return ntz_literal(as_of) - F.make_dt_interval(
+        F.lit(0), F.lit(0), F.lit(0), F.lit(f"{max_age_hours * 3600:.6f}").cast("decimal(18, 6)"))
+
+
 REPORT_SCHEMA = "check_name string, table_name string, column_name string, failures bigint"
 
 

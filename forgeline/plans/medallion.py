@@ -19,8 +19,8 @@ STAGING_MODELS = ("stg_repo_metadata", "stg_issue_or_pr", "stg_commit")
 SILVER_MODELS = ("dim_repos", "fct_issues", "fct_pull_requests", "fct_commits")
 GOLD_MODELS = ("repo_daily_metrics", "repo_daily_metrics_joined", "activity_spine", "repo_health_snapshot")
 
-_BRONZE_OF = {"stg_repo_metadata": "repo_metadata", "stg_issue_or_pr": "issue_or_pr", "stg_commit": "commit"}
-_STAGING_FN = {"stg_repo_metadata": staging.stg_repo_metadata, "stg_issue_or_pr": staging.stg_issue_or_pr,
+BRONZE_OF = {"stg_repo_metadata": "repo_metadata", "stg_issue_or_pr": "issue_or_pr", "stg_commit": "commit"}
+STAGING_FN = {"stg_repo_metadata": staging.stg_repo_metadata, "stg_issue_or_pr": staging.stg_issue_or_pr,
                "stg_commit": staging.stg_commit}
 _SILVER_FN = {"dim_repos": ("stg_repo_metadata", silver.dim_repos),
               "fct_issues": ("stg_issue_or_pr", silver.fct_issues),
@@ -59,7 +59,7 @@ class Models:
         return self._memo("bronze:" + kind, lambda: src[kind] if isinstance(src, dict) else src(kind))
 
     def stg(self, name: str) -> DataFrame:
-        return self._memo(name, lambda: _STAGING_FN[name](self.bronze(_BRONZE_OF[name])))
+        return self._memo(name, lambda: STAGING_FN[name](self.bronze(BRONZE_OF[name])))
 
     def silver(self, name: str) -> DataFrame:
         stg_name, fn = _SILVER_FN[name]
@@ -89,7 +89,7 @@ class Models:
         return gold.health_from_recent(self.silver("dim_repos"), recent)
 
     def table(self, name: str) -> DataFrame:
-        if name in _STAGING_FN:
+        if name in STAGING_FN:
             return self.stg(name)
         if name in _SILVER_FN:
             return self.silver(name)

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from forgeline import schemas
+from forgeline.operators.quality import observed_values
 
 PARTITION_COLUMNS = ["owner", "repo", "year", "month", "day"]
 # Bulk loads: landing date only (owner/repo levels multiply small files at scale).
@@ -89,9 +90,7 @@ def counted_write(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
     """
     obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
     write(df.observe(obs, F.count(F.lit(1)).alias("rows")))
-    # Observation.get cannot turn a row without values into Python, so the row itself is asked
-    row = obs._jo.getRow()
-    return int(row.getLong(0)) if row.length() else 0
+    return int(observed_values(obs).get("rows", 0))
 
 
 def read_bronze(spark: SparkSession, root: str, kind: str, fmt: str = "parquet",
