@@ -5,7 +5,7 @@ where tokens of both end are shared cuts; between two neighbouring cuts lies a g
 every B token of it. `groups_of` finds them by divide and conquer: it looks for a common end near the middle by bisection, goes
 on with both halves, and an interval without a cut is a leaf, which is a group. The spaces before which both tokenizers always end a token
 (`chunks`) are shared cuts known beforehand, so the first divisions fall there, and each distinct chunk between them is
-encoded and divided once: the frequent ones once for all workers, the others once in their slice of about 8 MB.
+encoded and divided once: the frequent ones once for all workers, the others once in their slice of about 4 MB.
 
 Corpus-wide counts: each document gives its distinct (A id, B id) pairs with their number of links; the pairs are counted over
 documents with map-side combining. Counts come back to the documents by a join on the pair: the most frequent ones (`SENT_PAIRS` rows at
@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from forgeline.llm.byte_level import byte_level, vocabulary_text
-from forgeline.llm.chunks import Chunked, Segments, byte_level_cuts, frequent, front_mark_cuts, stacked, text_slices
+from forgeline.llm.chunks import SLICE_BYTES, Chunked, Segments, byte_level_cuts, frequent, front_mark_cuts, stacked, text_slices
 from forgeline.llm.common import arrow_map, id_text, materialized
 from forgeline.llm.sentence_pieces import chunk_ids, model_bytes, processor_of
 
@@ -178,7 +178,7 @@ def aligned(docs: DataFrame, vocabulary: str | None = None, model: str | None =
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         segments = Segments(make(), known.value)
         for batch in batches:
-            for rows, some in text_slices(batch, "text"):
+            for rows, some in text_slices(batch, "text", SLICE_BYTES // 2):
                 marked = pc.if_else(pc.equal(some, ""), "", pc.binary_join_element_wise(" ", some, ""))
                 chunked = Chunked(marked, cut)
                 found = segments.of(chunked)
