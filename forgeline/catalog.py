@@ -373,20 +373,32 @@ _STREAM_KIND = ("CASE WHEN event_type = 'view' THEN 'repo_metadata' WHEN event_t
                 "ELSE 'issue_or_pr' END AS kind")
 
 
-def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The driver's ``events`` table read as a file stream. A stream path must be a folder unless it is a
-    pattern; the pattern (of this one name) matches a file and a folder of files alike. All files that
-    are there make one batch: the table's files are in no order of time, and a batch each would make rows late."""
-    schema = _events(spark, sf_dir).schema
-    return spark.readStream.schema(schema).parquet(f"{table_path(sf_dir, 'events')[:-1]}[t]")
+def _landed_stream(spark: SparkSession, root: str, parts: list[DataFrame]) -> DataFrame:
+    """A stream of one micro-batch for each part, in their order (each lands as one file)."""
+    for part in parts:
+        part.coalesce(1).write.mode("append").parquet(f"{root}/landing")
+    return spark.readStream.schema(parts[0].schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/landing")
 
 
-def _shuffled_events_stream(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
-    """The events landed anew as at least three files in no order of time: that many micro-batches, with late records."""
+# Where the stream of events in order of time is cut, and which events come with the last batch only.
+STREAM_CUTS = ("2024-01-11 00:00:00", "2024-01-21 00:00:00")
+STREAM_LATE = "event_id % 40 = 3"
+
+
+def _timed_parts(ev: DataFrame) -> list[DataFrame]:
+    """The events as three parts in order of time."""
+    first, second = (f"ts < TIMESTAMP_NTZ '{c}'" for c in STREAM_CUTS)
+    return [ev.where(first), ev.where(f"NOT {first} AND {second}"), ev.where(f"NOT {second}")]
+
+
+def _shuffled_events_stream(spark: SparkSession, sf_dir: str, root: str, n: int = 6) -> DataFrame:
+    """The events as micro-batches in no order of time, with late records."""
     ev = _events(spark, sf_dir)
-    for i in range(3):
-        ev.where(f"pmod(xxhash64(event_id), 3) = {i}").write.mode("append").parquet(f"{root}/landing")
-    return spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/landing")
+    return _landed_stream(spark, root, [ev.where(f"pmod(xxhash64(event_id), {n}) = {i}") for i in range(n)])
+
+
+def _named_records(events: DataFrame) -> DataFrame:
+    return events.selectExpr("event_id", f"{_fx.REPO_NAME} AS repo_full_name", _STREAM_KIND, "ts")
 
 
 @register("stream_parse", _LANDING_SQL["landing_parse_issue"])
@@ -405,9 +417,7 @@ def q_stream_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_stream_daily_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of closed days: append mode emits a window once the watermark has passed it, so the last ones stay open."""
     root = work_path(spark, "stream-counts")
-    records = _events_stream(spark, sf_dir).selectExpr(
-        f"{_fx.REPO_NAME} AS repo_full_name",
-        _STREAM_KIND, "ts")
+    records = _named_records(_landed_stream(spark, root, _timed_parts(_events(spark, sf_dir))))
     q = _stream.daily_counts_stream(records, "ts", ["repo_full_name", "kind"], f"{root}/out",
                                     f"{root}/checkpoint", delay=STREAM_DELAY)
     _stream.await_all(q)
@@ -421,7 +431,7 @@ def q_stream_latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
         "repo_full_name", "number", "is_pull_request", "state", "title", "user_login", "created_at",
         "closed_at", "fetched_at", "ingest_seq")
     q = _stream.latest_state_stream(stg, ["repo_full_name", "number", "is_pull_request"],
-                                    ["fetched_at", "ingest_seq"], f"{root}/out", f"{root}/checkpoint")
+                                    ["fetched_at", "ingest_seq"], f"{root}/out", f"{root}/checkpoint", compact_after=4)
     _stream.await_all(q)
     return _stream.serving_view(spark, f"{root}/out", ["repo_full_name", "number", "is_pull_request"])
 
@@ -434,9 +444,42 @@ def q_stream_upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
         "repo_full_name", "number", "is_pull_request", "state", "title", "user_login", "created_at",
         "closed_at", "fetched_at", "ingest_seq")
     q = _stream.upsert_stream(stg, ["repo_full_name", "number", "is_pull_request"], ["fetched_at", "ingest_seq"],
-                              f"{root}/mart", f"{root}/checkpoint")
+                              f"{root}/mart", f"{root}/checkpoint", compact_after=4)
     _stream.await_all(q)
-    return _stream.read_mart(spark, f"{root}/mart")
+    return _stream.read_mart(spark, f"{root}/mart", ["repo_full_name", "number", "is_pull_request"], ["fetched_at", "ingest_seq"])
+
+
+@register("stream_late_rows", oracle.stream_late_sql(STREAM_DELAY, STREAM_CUTS, STREAM_LATE))
+def q_stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches in order of time, some events only with the last: rows counted in each window and rows that came too late for it."""
+    root = work_path(spark, "stream-late")
+    ev, keys = _events(spark, sf_dir), ["repo_full_name", "kind"]
+    first, second, third = _timed_parts(ev.where(f"NOT {STREAM_LATE}"))
+    stream = _named_records(_landed_stream(spark, root, [first, second, third.unionByName(ev.where(STREAM_LATE))]))
+    _stream.await_all(_stream.counts_with_late_rows(stream, "ts", keys, f"{root}/out", f"{root}/checkpoint", STREAM_DELAY))
+    window = [*keys, "window_start", "window_end"]
+    late = _stream.read_late(spark, f"{root}/out").groupBy(*window).agg(F.count(F.lit(1)).alias("late_records"))
+    return _stream.read_counts(spark, f"{root}/out", keys, STREAM_DELAY).join(late, window, "full_outer").selectExpr(
+        *window, "coalesce(records, CAST(0 AS BIGINT)) AS records", "coalesce(late_records, CAST(0 AS BIGINT)) AS late_records",
+        "coalesce(closed, true) AS closed")
+
+
+# A redelivery comes up to three days of event time later; every tenth event again with its own batch, every tenth with the next.
+REDELIVERY_DELAY = "3 days"
+
+
+@register("stream_dedup_counts", oracle.stream_dedup_sql(REDELIVERY_DELAY))
+def q_stream_dedup_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of closed days when some events are delivered twice, within a batch and across batches: each counts once."""
+    root = work_path(spark, "stream-dedup")
+    parts = _timed_parts(_events(spark, sf_dir))
+    again = [p.unionByName(p.where("event_id % 10 = 0")) for p in parts]
+    for i in (1, 2):
+        again[i] = again[i].unionByName(parts[i - 1].where("event_id % 10 = 1"))
+    records = _named_records(_landed_stream(spark, root, again))
+    _stream.await_all(_stream.deduplicated_counts_stream(
+        records, "ts", "event_id", ["repo_full_name", "kind"], f"{root}/out", f"{root}/checkpoint", REDELIVERY_DELAY))
+    return spark.read.parquet(f"{root}/out")
 
 
 # ------------------------------------------------------------------ features

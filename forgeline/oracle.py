@@ -460,6 +460,29 @@ WHERE CAST(CAST(ts AS DATE) AS TIMESTAMP) + INTERVAL 1 DAY <= (SELECT watermark
 GROUP BY ALL"""
 
 
+def stream_dedup_sql(delay: str) -> str:
+    return f"SELECT * EXCLUDE (day) FROM ({stream_counts_sql(delay)}) c"
+
+
+def stream_late_sql(delay: str, cuts: tuple[str, str], late: str) -> str:
+    """Events come in three batches by time, the late ones with the last; a row is late if its day ended by the watermark of the batches before."""
+    n, unit = delay.split()
+    return f"""WITH {_BASE.strip()},
+r AS (SELECT repo AS repo_full_name,
+             CASE WHEN event_type = 'view' THEN 'repo_metadata' WHEN event_type = 'error' THEN 'commit'
+                  ELSE 'issue_or_pr' END AS kind,
+             CASE WHEN {late} THEN 2 WHEN ts < TIMESTAMP '{cuts[0]}' THEN 0 WHEN ts < TIMESTAMP '{cuts[1]}' THEN 1 ELSE 2 END AS batch,
+             ts, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS window_start
+      FROM ev_base),
+before AS (SELECT b AS batch, (SELECT max(ts) FROM r WHERE r.batch < b) - INTERVAL {n} {unit} AS watermark FROM range(4) t(b)),
+placed AS (SELECT *, window_start + INTERVAL 1 DAY AS window_end, coalesce(window_start + INTERVAL 1 DAY <= watermark, false) AS is_late
+           FROM r JOIN before USING (batch))
+SELECT repo_full_name, kind, window_start, window_end, count(*) FILTER (WHERE NOT is_late)::BIGINT AS records,
+       count(*) FILTER (WHERE is_late)::BIGINT AS late_records,
+       window_end <= (SELECT watermark FROM before WHERE batch = 3) AS closed
+FROM placed GROUP BY ALL"""
+
+
 def stream_latest_sql() -> str:
     cols = ", ".join(f"v.{c}" for c in ("state", "title", "user_login", "created_at", "closed_at", "fetched_at", "ingest_seq"))
     return with_models(f"SELECT repo_full_name, number, is_pull_request, {cols} FROM item_now")

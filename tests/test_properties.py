@@ -135,9 +135,9 @@ def test_stream_upsert_keeps_newest_across_batches(spark, tmp_dir):
               .option("recursiveFileLookup", "true").parquet(src))
     mart = os.path.join(tmp_dir, "mart")
     jobs.await_all(jobs.upsert_stream(stream, ["k"], ["fetched_at", "seq"], mart, os.path.join(tmp_dir, "ck")))
-    got = {r["k"]: r["v"] for r in jobs.read_mart(spark, mart).collect()}
+    got = {r["k"]: r["v"] for r in jobs.read_mart(spark, mart, ["k"], ["fetched_at", "seq"]).collect()}
     assert got == {"a": "a2", "b": "b1", "c": "c1"}
-    assert jobs._versions(spark, mart) == [0, 1, 2]
+    assert jobs._deltas(spark, mart) == [0, 1, 2]
 
 
 def test_sliding_windows_count_each_row_per_window(spark):
