@@ -1,42 +1,61 @@
 """Connected components of a distributed edge list (alternating large and small star).
 
-Each round replaces every edge by edges to the least neighbour; hot nodes are met by aggregation before the
-shuffle and by joins with one row per node on the other side. Each round is written to the shared folder and read back.
+Nodes are 64-bit numbers. Each round replaces every edge by edges to the least neighbour. The least neighbour of a node is an aggregation with
+map-side combining; it comes back to the node's edges by a join, in which a root of a large component would bring all its edges into one task. So
+nodes of more than `2 * edges / HOT_NODES` neighbours (there are at most `HOT_NODES` of them, as degrees sum up to twice the edges) get theirs
+by broadcast and their edges are not shuffled; all other nodes are joined by shuffle. Each round is written to the shared folder and read back.
+The distance to the root halves each round, so their number follows the logarithm of the longest path.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from forgeline.llm.common import materialized
 
-MOST_ROUNDS = 60
+HOT_NODES = 10_000
+HOT_DEGREE = 1_000
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _with_least(edges: DataFrame, least: DataFrame, hot_from: int) -> DataFrame:
+    """`edges` (u, v) with the least neighbour m of u; `least` has a row (n, m, degree) for each u."""
+    hot = F.broadcast(least.where(f"degree > {hot_from}"))
+    cold = edges.join(hot.select("n"), edges.u == hot.n, "left_anti").join(
+        least.where(f"degree <= {hot_from}").hint("merge"), F.expr("u = n"))
+    return edges.join(hot, F.expr("u = n")).select("u", "v", "m").union(cold.select("u", "v", "m"))
+
+
+def _least(edges: DataFrame) -> DataFrame:
+    return edges.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("degree")).withColumnRenamed("u", "n")
+
+
+def _large_star(edges: DataFrame, hot_from: int) -> DataFrame:
     """Every larger neighbour of a node goes to the node's least neighbour (or itself)."""
     both = edges.select("a", "b").union(edges.select("b", "a")).toDF("u", "v")
-    least = both.groupBy("u").agg({"v": "min"}).toDF("n", "lv").selectExpr("n", "least(n, lv) as m")
-    return both.where("v > u").join(least, both.u == least.n).selectExpr("v as a", "m as b")
+    least = _least(both).selectExpr("n", "least(n, m) as m", "degree")
+    return _with_least(both.where("v > u"), least, hot_from).selectExpr("v as a", "m as b")
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, hot_from: int) -> DataFrame:
     """Every smaller neighbour of a node, and the node, go to the least of them."""
     down = edges.selectExpr("greatest(a, b) as u", "least(a, b) as v").where("u <> v")
-    least = down.groupBy("u").agg({"v": "min"}).toDF("n", "m")
-    linked = down.join(least, down.u == least.n).selectExpr("v as a", "m as b")
+    least = _least(down)
+    linked = _with_least(down, least, hot_from).selectExpr("v as a", "m as b")
     return linked.union(least.selectExpr("n as a", "m as b")).where("a <> b").distinct()
 
 
 def components(edges: DataFrame, name: str) -> DataFrame:
-    """(node, root) for every node of `edges` (a, b of one orderable type): root is the least node of its component."""
+    """(node, root) for every node of `edges` (a, b of 64-bit numbers): root is the least node of its component."""
     now = materialized(edges.selectExpr("greatest(a, b) as a", "least(a, b) as b").where("a <> b").distinct(), name)
     before = None
-    for _ in range(MOST_ROUNDS):
+    while True:
         state = now.selectExpr("count(*)", "sum(cast(xxhash64(a, b) as decimal(38, 0)))").first()
         if state == before or state[0] == 0:
             # stable: every node points straight at its root
             return now.selectExpr("a as node", "b as root").union(now.selectExpr("b", "b").distinct())
         before = state
-        now = materialized(_small_star(_large_star(now)), name)
-    raise RuntimeError(f"{name}: components not stable after {MOST_ROUNDS} rounds")
+        hot_from = max(HOT_DEGREE, -(-2 * state[0] // HOT_NODES))
+        now = materialized(_large_star(now, hot_from), name)
+        # a star step gives an edge for each it took at most (and one for each node), so the bound holds for the second too
+        now = materialized(_small_star(now, hot_from), name)

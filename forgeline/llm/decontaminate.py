@@ -7,10 +7,10 @@ some item contains. A run of `window` words or more marks its words as hit and n
 items of its last window; an item shorter than the window is matched as a whole through the
 suffix links. A word that no item has sends the stream back to the root.
 
-The items reach the executors in blocks of at most `block_words` words (one broadcast automaton each, the
-documents pass the blocks one after the other in the same task), so neither the
-driver nor a worker holds more than that at a time from the benchmark table on its way there, and a worker holds
-`blocks` automata: size executors for the benchmark, not for the documents.
+Items are dealt by hash to blocks of about `block_words` words; tasks build one automaton a block. The documents pass
+`pass_blocks` blocks at a time: these automata are sent to every worker (so a worker and the driver hold that many, about
+`block_words * pass_blocks` words and one item beyond, and an item has `MOST_ITEM_WORDS` words at most), and with more blocks the
+marked documents are written to the shared folder between two passes. The benchmark's size is measured before, by one count in Spark.
 
 Words: A-Z lower-cased, then `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` of the whole text.
 
@@ -22,6 +22,7 @@ the input pass through whatever they are called; a null text stays null.
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections.abc import Iterator
 
@@ -31,10 +32,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from forgeline.llm.common import arrow_map, binary_column
+from forgeline.llm.common import arrow_map, binary_column, materialized
 
 WINDOW = 13
 BLOCK_WORDS = 200_000
+#: Blocks that documents pass at a time, and words of the longest item.
+PASS_BLOCKS = 4
+MOST_ITEM_WORDS = 1_000_000
 #: A document is contaminated when 1 of this many of its words is hit.
 COVERAGE_ONE_IN = 20
 
@@ -177,65 +181,86 @@ def _merged(a: list[tuple[int, int]], b: list[tuple[int, int]]) -> list[tuple[in
     return out
 
 
-def automata(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", window: int = WINDOW,
-             block_words: int = BLOCK_WORDS) -> list[Broadcast]:
-    """The benchmark as broadcast automata of at most `block_words` words each (or one item, if that is longer)."""
-    spark = benchmark.sparkSession
-    items = benchmark.select(F.col(f"`{id_col}`").cast("string").alias("item"),
-                             F.col(f"`{text_col}`").cast("string").cast("binary").alias("text"))
-    blocks, block, size = [], [], 0
-
-    def close():
-        blocks.append(spark.sparkContext.broadcast(ItemAutomaton(block, window)))
-
-    for item, text in items.toLocalIterator():
-        words = words_of(bytes(text) if text is not None else None)
-        if block and size + len(words) > block_words:
-            close()
-            block, size = [], 0
-        if words:
-            block.append((item, words))
-            size += len(words)
-    if block:
-        close()
-    return blocks
-
-
-def _scan(text: bytes | None, blocks: list[Broadcast]) -> tuple[int, list[tuple[int, int]], set]:
-    words = words_of(text)
-    spans, found = [], set()
-    for b in blocks:
-        more, names = b.value.matches(words)
-        spans = _merged(spans, more) if spans and more else spans or more
-        found |= names
-    found.discard(None)
-    return len(words), spans, found
+def _dealt(benchmark: DataFrame, id_col: str, text_col: str, block_words: int) -> tuple[DataFrame, int]:
+    """Items (block, item, text) and the number of blocks; the size is counted before anything is sent."""
+    items = benchmark.select(F.col(f"`{id_col}`").cast("string").alias("item"), F.col(f"`{text_col}`").cast("string").alias("text"))
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = [len(words_of(t)) for t in binary_column(batch, "text")]
+            yield pa.RecordBatch.from_arrays([pa.array(n, pa.int64())], names=["n"])
 
-def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  **options) -> DataFrame:
-    """Per row: the id, n_words, n_hit, items (ids as strings, sorted) and spans ([start, end) in words)."""
-    blocks = automata(benchmark, **options)
-    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    schema = T.StructType([rows.schema["doc_id"]] + T.StructType.fromDDL(
-        "n_words long, n_hit long, items array<string>, spans array<struct<start: long, end: long>>").fields)
+    sizes = arrow_map(items.select("text"), count, "n long").selectExpr("sum(n) as words", "max(n) as longest").first()
+    if (sizes["longest"] or 0) > MOST_ITEM_WORDS:
+        raise ValueError(f"a benchmark item has {sizes['longest']} words; one automaton of {MOST_ITEM_WORDS} may be sent to every worker")
+    n = max(1, -(-(sizes["words"] or 0) // block_words))
+    return items.where("text is not null").selectExpr(f"cast(pmod(xxhash64(item, text), {n}) as int) as block", "item", "text"), n
+
+
+def automata(items: DataFrame, low: int, high: int, window: int = WINDOW) -> Broadcast:
+    """The automata of the blocks from `low` to below `high`, built in tasks, sent to every worker."""
+    own = items.where(f"block >= {low} and block < {high}").repartition(high - low, "block").sortWithinPartitions("block")
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list] = {}
+        for batch in batches:
+            for block, item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), binary_column(batch, "text")):
+                if words := words_of(text):
+                    held.setdefault(block, []).append((item, words))
+        for block, found in held.items():
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(ItemAutomaton(found, window))], pa.binary())], names=["automaton"])
+
+    rows = arrow_map(own, build, "automaton binary").collect()  # at most `pass_blocks` rows
+    return items.sparkSession.sparkContext.broadcast([pickle.loads(bytes(r["automaton"])) for r in rows])
+
+
+_MARKS = "n_words long, items array<string>, spans array<struct<start: long, end: long>>"
+_SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+
+
+def marked(docs: DataFrame, benchmark: DataFrame, text_col: str, item_id_col: str = "item_id", item_text_col: str = "text",
+           window: int = WINDOW, block_words: int = BLOCK_WORDS, pass_blocks: int = PASS_BLOCKS) -> DataFrame:
+    """`docs` with n_words, items (ids as strings, sorted) and spans ([start, end) in words) of the hits as last columns."""
+    items, n = _dealt(benchmark, item_id_col, item_text_col, block_words)
+    out = docs
+    for low in range(0, n, pass_blocks):
+        sent = automata(items, low, min(n, low + pass_blocks), window)
+        out = _pass(out if low == 0 else materialized(out, "decontaminate-pass"), text_col, sent, first=low == 0)
+    return out
+
+
+def _pass(docs: DataFrame, text_col: str, sent: Broadcast, first: bool) -> DataFrame:
+    schema = T.StructType(docs.schema.fields + T.StructType.fromDDL(_MARKS).fields) if first else docs.schema
+    width = len(docs.columns) - (0 if first else 3)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks = sent.value
         for batch in batches:
-            n_words, n_hit, items, spans = [], [], [], []
-            for text in binary_column(batch, "text"):
-                n, hits, found = _scan(text, blocks)
-                n_words.append(n)
-                n_hit.append(sum(e - s for s, e in hits))
-                items.append(sorted(found))
+            before = [(set(), [])] * batch.num_rows if first else [
+                (set(i), [(s["start"], s["end"]) for s in p]) for i, p in zip(batch.column(width + 1).to_pylist(), batch.column(width + 2).to_pylist())]
+            n_words, items, spans = [], [], []
+            for text, (found, hits) in zip(binary_column(batch, text_col), before):
+                words = words_of(text)
+                for automaton in blocks:
+                    more, names = automaton.matches(words)
+                    hits = _merged(hits, more) if hits and more else hits or more
+                    found = found | names
+                n_words.append(len(words))
+                items.append(sorted(found - {None}))
                 spans.append([{"start": s, "end": e} for s, e in hits])
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()),
-                pa.array(items, pa.list_(pa.string())),
-                pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-            ], names=["doc_id", "n_words", "n_hit", "items", "spans"])
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:width], pa.array(n_words, pa.int64()), pa.array(items, pa.list_(pa.string())), pa.array(spans, _SPANS)],
+                names=[*batch.schema.names[:width], "n_words", "items", "spans"])
+
+    return arrow_map(docs, scan, schema)
 
-    return arrow_map(rows, scan, schema)
+
+def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                  **options) -> DataFrame:
+    """Per row: the id, n_words, n_hit, items (ids as strings, sorted) and spans ([start, end) in words)."""
+    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    return marked(rows, benchmark, "text", **options).selectExpr(
+        "doc_id", "n_words", "aggregate(spans, 0L, (n, s) -> n + s.end - s.start) as n_hit", "items", "spans")
 
 
 def _without(text: bytes, spans: list[tuple[int, int]]) -> bytes:
@@ -255,32 +280,30 @@ def removed(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", chars
     A row is contaminated if it has hits and `coverage_one_in` * hit words >= its words. `chars_col` names a
     column that holds the text's length in code points, to be kept true.
     """
-    blocks = automata(benchmark, **options)
     names = list(docs.columns)
     text_at = names.index(text_col)
     chars_at = names.index(chars_col) if chars_col else None
     plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    found = marked(plain, benchmark, f"c{text_at}", **options)
+    hit = "aggregate(spans, 0L, (n, s) -> n + s.end - s.start)"
+    kept = found.where(f"not (size(spans) > 0 and {coverage_one_in} * {hit} >= n_words)").drop("n_words", "items")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep, texts, changed = [], [], {}
-            for i, text in enumerate(binary_column(batch, f"c{text_at}")):
-                n, spans, _ = _scan(text, blocks)
-                hit = sum(e - s for s, e in spans)
-                keep.append(not (hit and coverage_one_in * hit >= n))
-                if hit and keep[-1]:
-                    text = _without(text, spans)
-                    changed[i] = len(text.decode())
-                texts.append(text)
-            columns = list(batch.columns)
-            if changed:
+            columns, spans = list(batch.columns[:-1]), batch.column(len(names)).to_pylist()
+            hit = [i for i, s in enumerate(spans) if s]
+            if hit:
+                texts, changed = binary_column(batch, f"c{text_at}"), {}
+                for i in hit:
+                    texts[i] = _without(texts[i], [(s["start"], s["end"]) for s in spans[i]])
+                    changed[i] = len(texts[i].decode())
                 columns[text_at] = pa.array(texts, pa.binary()).cast(columns[text_at].type)
                 if chars_at is not None:
                     old = columns[chars_at]
                     columns[chars_at] = pa.array([changed.get(i, v) for i, v in enumerate(old.to_pylist())], old.type)
-            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema).filter(pa.array(keep, pa.bool_()))
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
 
-    return arrow_map(plain, cut, plain.schema).toDF(*names)
+    return arrow_map(kept, cut, plain.schema).toDF(*names)
 
 
 def digest(result: DataFrame, coverage_one_in: int = COVERAGE_ONE_IN) -> DataFrame:

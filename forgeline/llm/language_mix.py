@@ -2,12 +2,13 @@
 
 Each language has a distribution over character trigrams, counted on a bounded
 sample of documents of known language (`PER_LANGUAGE` per language, by hash of the id; the whole text of each).
-A document's trigrams are taken as draws from a mixture of languages; expectation-maximisation finds its proportions. The language set
+A document's trigrams are taken as draws from a mixture of languages; expectation-maximisation, run for each text until a round
+gains next to nothing (`TOLERANCE`), finds its proportions. The language set
 is the one of the best penalised likelihood: starting with all languages, the one
 with the least share is left out while the log-likelihood loses less than `PENALTY` * log(trigrams). The
 largest share gives the predicted language, its share the score.
 
-Trigrams are over bytes of lower-cased text in 64 classes (26 letters, one for everything between words,
+Trigrams are over bytes of the text, A-Z as a-z, in 64 classes (26 letters, one for everything between words,
 37 shared by the bytes of non-ASCII letters), with a letter in the middle: 262,144 kinds, 1 MB per language.
 
 Defined cases: null and empty texts and texts without a letter give `und` and score 0, as does every text if no document has a known
@@ -33,7 +34,8 @@ MOST_LANGUAGES = 256
 KINDS = 1 << 18
 UNSEEN = 0.02
 PENALTY = 3.0
-ROUNDS = 6
+#: Log-likelihood that a round must gain for a text to go on (a penalty is some 20).
+TOLERANCE = 1e-6
 SLICE_BYTES = 1_000_000
 
 _CLASS = np.zeros(256, np.uint8)
@@ -74,26 +76,39 @@ def _sums(values: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def _fit(likelihood: np.ndarray, counts: np.ndarray, doc: np.ndarray, share: np.ndarray, rounds: int
+def _fit(likelihood: np.ndarray, counts: np.ndarray, doc: np.ndarray, share: np.ndarray, tolerance: float = TOLERANCE
          ) -> tuple[np.ndarray, np.ndarray]:
-    """Shares after `rounds` of expectation-maximisation, and the log-likelihood with them."""
-    n = len(share)
-    for _ in range(rounds):
-        part = likelihood * share[doc]
-        part *= (counts / part.sum(axis=1))[:, None]
-        share = _sums(part, doc, n)
-        share /= np.maximum(share.sum(axis=1, keepdims=True), 1e-300)
-    total = np.einsum("ij,ij->i", likelihood, share[doc])
-    return share, _sums(counts * np.log(total), doc, n)
-
-
-def mixtures(texts: list[bytes], model: np.ndarray, penalty: float = PENALTY, rounds: int = ROUNDS) -> np.ndarray:
+    """Shares at the end of expectation-maximisation, and the log-likelihood with them.
+
+    A text is done when a round gains `tolerance` or less; the arrays are cut down to the texts that go on.
+    """
+    share, gained = share.copy(), np.full(len(share), -np.inf)
+    on = np.arange(len(share))  # texts that go on; `doc` counts within them
+    now = share
+    while len(on):
+        part = likelihood * now[doc]
+        total = part.sum(axis=1)
+        likely = _sums(counts * np.log(total), doc, len(on))
+        done = likely - gained[on] <= tolerance
+        share[on], gained[on] = now, likely
+        if done.any():
+            left = ~done[doc]
+            on, now = on[~done], now[~done]
+            doc = (np.cumsum(~done) - 1)[doc[left]]
+            likelihood, counts, part, total = likelihood[left], counts[left], part[left], total[left]
+        part *= (counts / total)[:, None]
+        now = _sums(part, doc, len(on))
+        now /= np.maximum(now.sum(axis=1, keepdims=True), 1e-300)
+    return share, gained
+
+
+def mixtures(texts: list[bytes], model: np.ndarray, penalty: float = PENALTY, tolerance: float = TOLERANCE) -> np.ndarray:
     """Shares, (texts, languages); left-out languages have 0. `model` is (kinds, languages) of probabilities."""
     doc, kind, counts = trigrams(texts)
     n, languages = len(texts), model.shape[1]
     likelihood = model[kind]
     size = _sums(counts, doc, n)
-    share, gained = _fit(likelihood, counts, doc, np.full((n, languages), 1.0 / languages), rounds)
+    share, gained = _fit(likelihood, counts, doc, np.full((n, languages), 1.0 / languages), tolerance)
     live = np.flatnonzero(size > 0)
     left = languages
     while len(live) and left > 1:
@@ -107,7 +122,7 @@ def mixtures(texts: list[bytes], model: np.ndarray, penalty: float = PENALTY, ro
         reduced[np.arange(len(live)), out] = 0
         single = np.count_nonzero(reduced, axis=1) == 1
         reduced /= np.maximum(reduced.sum(axis=1, keepdims=True), 1e-300)
-        reduced, likely = _fit(likelihood[mine], counts[mine], of[mine], reduced, 0 if single.all() else rounds // 2)
+        reduced, likely = _fit(likelihood[mine], counts[mine], of[mine], reduced, tolerance)
         better = gained[live] - likely <= penalty * np.log(size[live] + 1)
         share[live[better]] = reduced[better]
         gained[live[better]] = likely[better]

@@ -206,7 +206,7 @@ def _in_blocks(members: DataFrame, group: str, sizes: DataFrame, block: int, blo
     """Members with the task they go to; groups above `block` members, or `block_bytes`, go to every pair of their blocks."""
     blocks = f"ceil(n / {block})" if block_bytes is None else f"greatest(ceil(n / {block}), ceil(bytes / {block_bytes}))"
     n = sizes.selectExpr(f"{group} as _g", f"cast({blocks} as int) as _blocks")
-    dealt = members.join(n, members[group] == n._g).selectExpr("*", "cast(pmod(xxhash64(k, 11), _blocks) as int) as _own")
+    dealt = members.join(n, members[group] == n._g).selectExpr("*", "cast(pmod(xxhash64(t, 11), _blocks) as int) as _own")
     return dealt.selectExpr(
         "*", f"explode(transform(sequence(0, _blocks - 1), j -> xxhash64({group}, least(_own, j), greatest(_own, j)))) as task"
     ).drop("_g", "_blocks", "_own")
@@ -215,13 +215,13 @@ def _in_blocks(members: DataFrame, group: str, sizes: DataFrame, block: int, blo
 def _per_task(members: DataFrame, value: str, link: Callable[[list[bytes]], list[tuple[int, int]]]) -> DataFrame:
     """Edges (a, b) that `link` finds among the values of each task."""
 
-    def found(parts: list[pa.RecordBatch]) -> list[tuple[bytes, bytes]]:
-        k = [x for p in parts for x in p.column(1).to_pylist()]
+    def found(parts: list[pa.RecordBatch]) -> list[tuple[int, int]]:
+        t = [x for p in parts for x in p.column(1).to_pylist()]
         values = [v for p in parts for v in p.column(2).to_pylist()]
-        return [(k[i], k[j]) for i, j in link(values)] if len(values) > 1 else []
+        return [(t[i], t[j]) for i, j in link(values)] if len(values) > 1 else []
 
-    def batch_of(edges: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([e[i] for e in edges], pa.binary()) for i in (0, 1)], names=["a", "b"])
+    def batch_of(edges: list[tuple[int, int]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([e[i] for e in edges], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
     def edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, task, parts = [], None, []
@@ -243,8 +243,8 @@ def _per_task(members: DataFrame, value: str, link: Callable[[list[bytes]], list
 
     # a fixed number of partitions: comparing costs far more than the few bytes that partitions are merged by
     parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = members.select("task", "k", F.col(value).cast("binary")).repartition(parts, "task").sortWithinPartitions("task")
-    return arrow_map(dealt, edges, "a binary, b binary")
+    dealt = members.select("task", "t", F.col(value).cast("binary")).repartition(parts, "task").sortWithinPartitions("task")
+    return arrow_map(dealt, edges, "a bigint, b bigint")
 
 
 def once_per_task(rows: DataFrame) -> DataFrame:
@@ -265,16 +265,18 @@ def once_per_task(rows: DataFrame) -> DataFrame:
 def key_groups(docs: DataFrame, sketched: DataFrame, text_col: str = "text", similarity: float = SIMILARITY,
                bucket_block: int = BUCKET_BLOCK, component_block: int = COMPONENT_BLOCK,
                component_bytes: int = COMPONENT_BYTES) -> DataFrame:
-    """(node, root) for every text (by k) that is linked to a different text."""
-    texts = materialized(sketched.where("sketch is not null").select("k", "bytes", "sketch").dropDuplicates(["k"]), "near-texts")
+    """(k, root) for every text that is linked to a different text; texts get numbers here, as the written table fixes them."""
+    distinct = sketched.where("sketch is not null").select("k", "bytes", "sketch").dropDuplicates(["k"])
+    texts = materialized(distinct.selectExpr("monotonically_increasing_id() as t", "*"), "near-texts")
     bands = texts.selectExpr(
-        "k", f"explode(transform(sequence(0, {BANDS - 1}), b -> xxhash64(b, substring(sketch, {2 * ROWS} * b + 1, {2 * ROWS})))) as band")
+        "t", f"explode(transform(sequence(0, {BANDS - 1}), b -> xxhash64(b, substring(sketch, {2 * ROWS} * b + 1, {2 * ROWS})))) as band")
     full = bands.groupBy("band").count().where("count > 1").selectExpr("band", "count as n")
     members = bands.join(full.select("band").withColumnRenamed("band", "_b"), F.col("band") == F.col("_b")).drop("_b")
     dealt = _in_blocks(members, "band", full, bucket_block)
-    loose = components(_per_task(dealt.join(texts.select("k", "sketch"), "k"), "sketch", loose_links), "near-loose")
-    sizes = loose.join(texts.selectExpr("k as node", "bytes"), "node").groupBy("root").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
-    named = loose.selectExpr("node as k", "root")
+    loose = components(_per_task(dealt.join(texts.select("t", "sketch"), "t"), "sketch", loose_links), "near-loose")
+    numbered = loose.join(texts.selectExpr("t as node", "k", "bytes"), "node")
+    sizes = numbered.groupBy("root").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
+    named = numbered.selectExpr("k", "node as t", "root")
     wanted = docs.selectExpr(f"cast(`{text_col}` as string) as text").where("text is not null").selectExpr("unhex(md5(text)) as k", "text")
     # shuffled at any size: the number of linked texts grows with the corpus; copies go before, so no digest has more rows than there are tasks
     content = once_per_task(wanted).join(named.hint("merge"), "k").dropDuplicates(["k"])
@@ -282,7 +284,8 @@ def key_groups(docs: DataFrame, sketched: DataFrame, text_col: str = "text", sim
     def link(values: list[bytes]) -> list[tuple[int, int]]:
         return exact_links(values, WordHasher(), similarity)
 
-    return components(_per_task(_in_blocks(content, "root", sizes, component_block, component_bytes), "text", link), "near-links")
+    linked = components(_per_task(_in_blocks(content, "root", sizes, component_block, component_bytes), "text", link), "near-links")
+    return linked.join(texts.selectExpr("t as node", "k"), "node").select("k", "root")
 
 
 def document_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -291,8 +294,9 @@ def document_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     grouped = key_groups(docs, sketched, text_col, **options)
     each = sketched.groupBy("doc_id", "k").agg(F.count("*").alias("rows"), F.expr("max(filled) as filled"))
     # null, empty and white-space texts are groups of their own
-    rooted = each.where("filled").join(grouped, each.k == grouped.node, "left").selectExpr(
-        "doc_id", "k", "rows", "coalesce(root, k) as root")
+    # a linked text's group goes by its root's number, any other by its digest
+    rooted = each.where("filled").join(grouped, "k", "left").selectExpr(
+        "doc_id", "k", "rows", "coalesce(cast(root as string), hex(k)) as root")
     per_class = rooted.groupBy("root").agg(
         F.expr("min(struct(doc_id is null as last, doc_id, k)) as first"), F.sum("rows").alias("class_rows")).withColumnRenamed("root", "r")
     classed = rooted.join(per_class, rooted.root == per_class.r).selectExpr(

@@ -209,13 +209,54 @@ def test_mixture_recovers_proportions():
     share = L.mixtures([texts[0], texts[1], texts[0] * 3 + texts[1], b"", b"qqq"], model)
     assert share[0].tolist() == [1, 0] and share[1].tolist() == [0, 1]
     assert abs(share[2][0] - 0.75) < 0.03 and share[2][1] > 0
-    # plain expectation-maximisation on single draws gives the same shares
+    # plain expectation-maximisation run to its end gives the same shares
     _, kind, n = L.trigrams([texts[0] * 3 + texts[1]])
-    pi = np.array([0.5, 0.5])
-    for _ in range(L.ROUNDS):
-        part = model[kind] * pi
+    assert np.allclose(plain_em(model[kind], n, np.array([0.5, 0.5]))[0], share[2], atol=2e-3)
+
+
+def plain_em(likelihood, n, pi):
+    """Shares after 3,000 rounds and the log-likelihood."""
+    for _ in range(3_000):
+        part = likelihood * pi
         pi = (part / part.sum(axis=1, keepdims=True) * n[:, None]).sum(axis=0) / n.sum()
-    assert np.allclose(pi, share[2], atol=1e-6)
+    return pi, float(n @ np.log(likelihood @ pi))
+
+
+def test_language_set_has_the_best_penalised_likelihood_on_its_path():
+    """Mixed texts of languages that share trigrams: sets and shares equal those of plain EM at convergence, step by step."""
+    r = np.random.default_rng(4)
+    languages = 4
+    table = r.dirichlet(np.full(60, 0.4), languages)
+    table[1] = 0.7 * table[0] + 0.3 * table[1]  # close relatives
+    kinds = np.array([L.trigrams([f"{chr(97 + i % 26)}{chr(97 + i // 26)}q".encode()])[1][0] for i in range(60)])
+    model = np.full((L.KINDS, languages), 1e-7)
+    model[kinds] = table.T
+    seen = set()
+    for trial in range(12):
+        mix = r.dirichlet(np.full(languages, 0.5))
+        mix = np.where(mix < 0.1, 0, mix)
+        draws = r.multinomial(300 if trial % 2 else 40, (mix @ table) / mix.sum())
+        text = " ".join(f"{chr(97 + i % 26)}{chr(97 + i // 26)}q" for i in np.repeat(np.arange(60), draws)).encode()
+        share = L.mixtures([text], model, penalty=1.0)[0]
+        _, kind, n = L.trigrams([text])
+        pi, likely = plain_em(model[kind], n, np.full(languages, 1 / languages))
+        while np.count_nonzero(pi) > 1:
+            fewer = np.where(np.arange(languages) == np.where(pi > 0, pi, np.inf).argmin(), 0, pi)
+            fewer, less = plain_em(model[kind], n, fewer / fewer.sum())
+            if likely - less > np.log(n.sum() + 1):
+                break
+            pi, likely = fewer, less
+        assert ((share > 0) == (pi > 0)).all() and np.allclose(share, pi, atol=0.02)
+        seen.add(int(np.count_nonzero(pi)))
+    assert len(seen) > 1
+
+
+def test_shares_do_not_depend_on_other_texts_of_the_slice():
+    r = np.random.default_rng(2)
+    model = r.dirichlet(np.full(L.KINDS, 0.01), 3).T + 1e-9
+    texts = [prose(n, n).encode() for n in (3, 50, 400, 7)]
+    together = L.mixtures(texts, model)
+    assert np.allclose(together, [L.mixtures([t], model)[0] for t in texts], atol=1e-12)
 
 
 def test_language_edge_rows(spark, clashing_docs, empty_docs):
@@ -339,8 +380,9 @@ def test_automaton_equals_brute_force(seed):
         assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
 
 
-@pytest.mark.parametrize("block_words", [10, 10**6])
+@pytest.mark.parametrize("block_words", [25, 10**6])
 def test_contamination_in_blocks_and_removal(spark, block_words):
+    """One pass, or several over blocks of the benchmark with the marked documents written between."""
     items = [(i, prose(20 + i, 50 + i)) for i in range(6)] + [(6, "three small words"), (7, None), (None, prose(15, 90))]
     bench = spark.createDataFrame(items, "item_id bigint, text string")
     rows = [(1, prose(200)), (2, prose(200) + " " + items[0][1]), (3, items[1][1].upper()), (4, None), (5, ""),
@@ -357,6 +399,20 @@ def test_contamination_in_blocks_and_removal(spark, block_words):
     assert D.removed(docs, bench.limit(0)).count() == len(rows)
 
 
+def test_a_benchmark_beyond_the_bounds(spark, monkeypatch):
+    bench = spark.createDataFrame([(1, prose(30, 2)), (2, prose(500, 3))], "item_id bigint, text string")
+    docs = spark.createDataFrame([(1, prose(40, 9) + " " + prose(30, 2))], "doc_id bigint, text string")
+    monkeypatch.setattr(D, "MOST_ITEM_WORDS", 400)
+    with pytest.raises(ValueError, match="500 words"):
+        D.contamination(docs, bench)
+    monkeypatch.setattr(D, "MOST_ITEM_WORDS", 1_000)
+    sent = []
+    build = D.automata
+    monkeypatch.setattr(D, "automata", lambda items, low, high, window: sent.append((low, high)) or build(items, low, high, window))
+    assert D.contamination(docs, bench, block_words=60, pass_blocks=3).first().n_hit == 30
+    assert sent == [(0, 3), (3, 6), (6, 9)]
+
+
 def test_decontamination_edge_rows(spark, clashing_docs, empty_docs):
     bench = read_table(spark, SF_SMALL, "benchmark")
     assert D.removed(clashing_docs, bench).columns == clashing_docs.columns
