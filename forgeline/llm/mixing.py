@@ -19,7 +19,8 @@ taken by hash of the id, so neither a hot source nor a hot size lands in one tas
 Defined cases: null or word-less texts have size 0 and words taken 0 (they are still sampled at their
 source's rate; a source of size 0 has rate 0). A null source is a source of its own. Rows that repeat id, source
 and size are interchangeable; each is numbered. An empty table gives no row. Columns of the
-input that are named like outputs are replaced in `copies_frame` and kept in `emit`.
+input that are named like outputs are replaced in `copies_frame` and kept in `emit`; any other name passes through. An id that stands for many rows of one size and source has
+them numbered in one task (rows of different sizes are apart). `targets` numbers the sources in one task: a row a source, far below the rows.
 """
 
 from __future__ import annotations
@@ -67,37 +68,40 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
 def copies_frame(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                  buckets: int = BUCKETS, **target_options) -> DataFrame:
     """`docs` with size, source_size, target, copies and taken for each row; reruns agree."""
+    # columns of the input go by position, so no name of theirs meets an own one
     own = ("size", "source_size", "target", "copies", "taken")
-    kept = [f"`{c}`" for c in docs.columns if c.lower() not in own]
-    sized = docs.selectExpr(
-        *kept, f"cast(`{source_col}` as string) as _src",
-        f"cast(coalesce(regexp_count(`{text_col}`, '{SPACED_WORD}'), 0) as bigint) as _size",
-        f"pmod(cast(conv(substr(md5(coalesce(cast(`{id_col}` as string), '')), 1, 8), 16, 10) as bigint), {buckets}) as _bucket",
+    names = list(docs.columns)
+    at = {n.lower(): f"c{i}" for i, n in enumerate(names)}
+    id_at, text_at, source_at = (at[c.lower()] for c in (id_col, text_col, source_col))
+    kept = [f"c{i}" for i, n in enumerate(names) if n.lower() not in own]
+    sized = docs.toDF(*[f"c{i}" for i in range(len(names))]).selectExpr(
+        "*", f"cast({source_at} as string) as src",
+        f"cast(coalesce(regexp_count({text_at}, '{SPACED_WORD}'), 0) as bigint) as size",
+        f"pmod(cast(conv(substr(md5(coalesce(cast({id_at} as string), '')), 1, 8), 16, 10) as bigint), {buckets}) as bucket",
     )
-    counts = sized.groupBy("_src", "_size", "_bucket").count()
+    counts = sized.groupBy("src", "size", "bucket").count()
     # numbers before a size (windows hold one row per size of a source), then before a bucket of it
-    sizes = counts.groupBy("_src", "_size").agg({"count": "sum"}).toDF("s_src", "s_size", "n").selectExpr(
+    sizes = counts.groupBy("src", "size").agg({"count": "sum"}).toDF("s_src", "s_size", "n").selectExpr(
         "s_src", "s_size", "coalesce(sum(n) over (partition by s_src order by s_size"
                            " rows between unbounded preceding and 1 preceding), 0) as s_before")
     inside = counts.selectExpr(
-        "_src as f_src", "_size as f_size", "_bucket as f_bucket",
-        "coalesce(sum(count) over (partition by _src, _size order by _bucket"
+        "src as f_src", "size as f_size", "bucket as f_bucket",
+        "coalesce(sum(count) over (partition by src, size order by bucket"
         " rows between unbounded preceding and 1 preceding), 0) as b_before")
     first = inside.join(sizes, inside.f_src.eqNullSafe(sizes.s_src) & (inside.f_size == sizes.s_size)).selectExpr(
-        "f_src", "f_size", "f_bucket", "s_before + b_before as _before")
-    per_source = counts.selectExpr("_src", "_size * count as words").groupBy("_src").sum("words")
+        "f_src", "f_size", "f_bucket", "s_before + b_before as before")
+    per_source = counts.selectExpr("src", "size * count as words").groupBy("src").sum("words")
     goals = targets(per_source.toDF("source", "source_size"), **target_options)
-    goals = goals.selectExpr("source as g_src", "source_size as _source_size", "target as _target", "rate as _rate", "u as _u")
+    goals = goals.selectExpr("source as g_src", "source_size", "target", "rate", "u")
     plan = first.join(goals, first.f_src.eqNullSafe(goals.g_src)).drop("g_src")
     numbered = sized.selectExpr(
-        "*", "row_number() over (partition by _src, _size, _bucket order by "
-             f"`{id_col}`, xxhash64(`{text_col}`)) as _number")
-    on = (numbered._src.eqNullSafe(plan.f_src) & (numbered._size == plan.f_size) & (numbered._bucket == plan.f_bucket))
+        "*", f"row_number() over (partition by src, size, bucket order by {id_at}, xxhash64({text_at})) as number")
+    on = (numbered.src.eqNullSafe(plan.f_src) & (numbered["size"] == plan.f_size) & (numbered.bucket == plan.f_bucket))
     return numbered.join(plan, on).selectExpr(
-        *kept, "_size as size", "_source_size as source_size", "_target as target",
-        "cast(least(floor(_u + _rate * (_before + _number)) - floor(_u + _rate * (_before + _number - 1)), ceil(_rate))"
+        *kept, "size", "source_size", "target",
+        "cast(least(floor(u + rate * (before + number)) - floor(u + rate * (before + number - 1)), ceil(rate))"
         " as int) as copies",
-    ).selectExpr("*", "copies * size as taken")
+    ).selectExpr("*", "copies * size as taken").toDF(*[names[int(c[1:])] for c in kept], *own)
 
 
 def emit(docs: DataFrame, **options) -> DataFrame:

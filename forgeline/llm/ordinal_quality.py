@@ -9,8 +9,8 @@ expected grade and the tail probabilities P(grade >= k) serve ranking and select
 Grades here come from two binary labels: 0 low quality, 1 good but toxic, 2 good and not toxic. The fit takes at most `ROWS_PER_GRADE`
 distinct texts per grade outside the held-out fold, chosen by hash of the id, weighted back to the labels' true shares.
 
-Defined cases: null and empty texts and texts without words have z = 0. A grade without labels gets no probability of its own (its
-threshold falls on the one before); without any labels the expected grade is 0. Null labels are not learnt from; a null toxic label counts as not toxic. Repeated
+Defined cases: null and empty texts and texts without words have z = 0. A grade without labels gets next to no probability (its
+bounds start 1e-3 apart); without any labels the expected grade is 0. Null labels are not learnt from; a null toxic label counts as not toxic. Repeated
 rows are judged one by one. An empty table gives no row. Other columns are not read.
 """
 
@@ -72,6 +72,51 @@ def scores(texts: list[bytes], weights: np.ndarray, hasher: WordHasher) -> np.nd
     return np.bincount(doc, weights[features].sum(axis=0), len(texts)) / words
 
 
+@dataclass
+class Problem:
+    """The weighted likelihood of a sample: features by text, grades and the importance of each text."""
+
+    features: np.ndarray
+    doc: np.ndarray
+    words: np.ndarray
+    grade: np.ndarray
+    importance: np.ndarray
+    grades: int
+
+    @classmethod
+    def of(cls, rows: list[tuple[bytes, int]], importance: np.ndarray, grades: int) -> Problem:
+        return cls(*_features([t for t, _ in rows], WordHasher(SPACED)), np.array([g for _, g in rows]), importance, grades)
+
+    def _below(self, weights: np.ndarray, first: float, gaps: np.ndarray) -> np.ndarray:
+        """P(grade < g) for g = 0 to `grades`; F(b_g - z) with b_0 = -inf and the last bound inf."""
+        bounds = np.concatenate([[-np.inf], _thresholds(first, gaps), [np.inf]]).clip(-1e9, 1e9)
+        z = np.bincount(self.doc, weights[self.features].sum(axis=0), len(self.grade)) / self.words
+        return _sigmoid(bounds[None, :] - z[:, None])
+
+    def likelihood(self, weights: np.ndarray, first: float, gaps: np.ndarray) -> float:
+        below, at = self._below(weights, first, gaps), np.arange(len(self.grade))
+        return float(self.importance @ np.log(np.maximum(below[at, self.grade + 1] - below[at, self.grade], 1e-12)))
+
+    def gradient(self, weights: np.ndarray, first: float, gaps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """By weight (less a small penalty), and by the first bound and the logs of the gaps between bounds."""
+        below = self._below(weights, first, gaps)
+        slope = below * (1 - below)
+        at, grade = np.arange(len(self.grade)), self.grade
+        p = np.maximum(below[at, grade + 1] - below[at, grade], 1e-12)
+        pull = self.importance * (slope[at, grade] - slope[at, grade + 1]) / p  # d log-likelihood / d z
+        by_word = (pull / self.words)[self.doc]
+        by_weight = sum(np.bincount(f, by_word, 1 << BITS) for f in self.features) - 1e-4 * weights
+        by_bound = np.zeros(self.grades + 1)
+        np.add.at(by_bound, grade + 1, self.importance * slope[at, grade + 1] / p)
+        np.add.at(by_bound, grade, -self.importance * slope[at, grade] / p)
+        later = np.cumsum(by_bound[2:self.grades][::-1])[::-1] * np.exp(gaps)
+        return by_weight, np.concatenate([[by_bound[1:self.grades].sum()], later])
+
+
+def _thresholds(first: float, gaps: np.ndarray) -> np.ndarray:
+    return first + np.concatenate([[0.0], np.cumsum(np.exp(gaps))])
+
+
 def fit(rows: list[tuple[bytes, int]], totals: dict[int, int], grades: int = GRADES, steps: int = STEPS) -> Model:
     """Weights and thresholds from a sample of (text, grade) and the numbers of labels it was drawn from."""
     weights = np.zeros(1 << BITS)
@@ -80,36 +125,22 @@ def fit(rows: list[tuple[bytes, int]], totals: dict[int, int], grades: int = GRA
     grade = np.array([g for _, g in rows])
     drawn = np.bincount(grade, minlength=grades)
     true = np.array([totals.get(g, 0) for g in range(grades)], float)
-    # a grade that was not drawn leaves its threshold where the one before is
+    # a grade that was not drawn starts with a gap of 1e-3 between its bounds, so next to no probability
     tail = np.cumsum(true[::-1])[::-1][1:] / true.sum()
     start = -np.log(np.clip(tail, 1e-6, 1 - 1e-6) / (1 - np.clip(tail, 1e-6, 1 - 1e-6)))
     importance = (np.where(drawn, true / np.maximum(drawn, 1), 0))[grade]
     importance /= importance.mean()
     first, gaps = start[0], np.log(np.maximum(np.diff(start), 1e-3))
-    features, doc, words = _features([t for t, _ in rows], WordHasher(SPACED))
-    share = 1.0 / words[doc]
+    problem = Problem.of(rows, importance, grades)
     squares, squares_t = np.full(1 << BITS, 1e-8), np.full(grades - 1, 1e-6)
     for _ in range(steps):
-        thresholds = first + np.concatenate([[0.0], np.cumsum(np.exp(gaps))])
-        z = np.bincount(doc, weights[features].sum(axis=0), len(rows)) / words
-        # P(grade = g) = F(b_(g+1) - z) - F(b_g - z) with b_0 = -inf, b_grades = inf
-        below = _sigmoid(np.concatenate([[-np.inf], thresholds, [np.inf]])[None, :].clip(-1e9, 1e9) - z[:, None])
-        slope = below * (1 - below)
-        at = np.arange(len(rows))
-        p = np.maximum(below[at, grade + 1] - below[at, grade], 1e-12)
-        pull = importance * (slope[at, grade] - slope[at, grade + 1]) / p  # d log-likelihood / d z
-        by_word = pull[doc] * share
-        gradient = sum(np.bincount(f, by_word, 1 << BITS) for f in features) - 1e-4 * weights
+        gradient, change = problem.gradient(weights, first, gaps)
         squares += gradient**2
         weights += 2.0 * gradient / np.sqrt(squares)
-        by_bound = np.zeros(grades + 1)
-        np.add.at(by_bound, grade + 1, importance * slope[at, grade + 1] / p)
-        np.add.at(by_bound, grade, -importance * slope[at, grade] / p)
-        change = np.concatenate([[by_bound[1:grades].sum()], np.cumsum(by_bound[2:grades][::-1])[::-1] * np.exp(gaps)])
         squares_t += change**2
         step = 0.2 * change / np.sqrt(squares_t)
         first, gaps = first + step[0], gaps + step[1:]
-    return Model(weights.astype(np.float32), first + np.concatenate([[0.0], np.cumsum(np.exp(gaps))]))
+    return Model(weights.astype(np.float32), _thresholds(first, gaps))
 
 
 def graded(docs: DataFrame, labels: DataFrame, grade: str = GRADE, grades: int = GRADES, rows_per_grade: int = ROWS_PER_GRADE,

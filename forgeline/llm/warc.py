@@ -225,7 +225,8 @@ def reassembled(records: DataFrame) -> DataFrame:
         F.expr("max(page_id) as page_id"), F.expr("max(digest) as digest"), F.expr("max(total_length) as total"),
         F.expr("array_sort(collect_list(struct(segment_number, block))) as parts")).selectExpr(
         "record_id", "page_id", "digest", "total", "transform(parts, x -> x.segment_number) as numbers",
-        "aggregate(slice(parts, 2, greatest(size(parts) - 1, 0)), parts[0].block, (a, x) -> concat(a, x.block)) as block")
+        # all parts at once: adding one after the other would copy the page once a segment
+        "unhex(array_join(transform(parts, x -> hex(x.block)), '')) as block")
     return joined.selectExpr(
         "record_id", "page_id", "digest",
         "if(numbers = sequence(1, size(numbers)) and octet_length(block) <=> total, block,"
@@ -253,9 +254,14 @@ def page_index(pages: DataFrame, path: str | None = None, **options) -> DataFram
     records = read_records(spark, path)
     responses = materialized(payloads(records).selectExpr(
         "page_id", "cast(octet_length(payload) as bigint) as payload_bytes", "sha2(payload, 256) as payload_digest"), "warc-responses")
+    return responses.selectExpr("*", "'response' as record_type", "cast(null as bigint) as refers_to").unionByName(resolved(records, responses))
+
+
+def resolved(records: DataFrame, responses: DataFrame) -> DataFrame:
+    """Revisits with the length of the response they name; one whose response is missing is an error."""
     revisits = records.where("record_type = 'revisit'").selectExpr("page_id", "refers_to", "digest")
     # one row per (page, digest) on the right, so a page that many revisit is only large on the left
     known = responses.selectExpr("page_id as r", "payload_bytes", "payload_digest").dropDuplicates(["r", "payload_digest"])
-    resolved = revisits.join(known, (revisits.refers_to == known.r) & (revisits.digest == known.payload_digest), "left").selectExpr(
-        "page_id", "payload_bytes", "digest as payload_digest", "'revisit' as record_type", "refers_to")
-    return responses.selectExpr("*", "'response' as record_type", "cast(null as bigint) as refers_to").unionByName(resolved)
+    return revisits.join(known, (revisits.refers_to == known.r) & (revisits.digest == known.payload_digest), "left").selectExpr(
+        "page_id", "if(r is null, cast(raise_error(concat('page ', page_id, ': the response it revisits is missing')) as bigint), payload_bytes) as payload_bytes",
+        "digest as payload_digest", "'revisit' as record_type", "refers_to")

@@ -313,6 +313,29 @@ def test_rule_order_puts_cheap_rejections_first_and_keeps_the_verdict(spark):
     assert Q.kept_rows(docs, rules).count() == Q.kept_rows(docs, rules[::-1]).count()
 
 
+def test_order_is_the_cheapest_on_the_sample():
+    """Against all orders, with made-up costs: a shared measure is paid once, a rejection counts among the documents still there."""
+    import itertools
+
+    # rule 0 asks for a dear measure that rule 2 shares; rule 1 is cheap and rejects half of what 0 rejects
+    def sample(rejected):
+        return Q.Trial({"dear": 10.0, "cheap": 1.0, "other": 4.0}, rejected, [0.1, 0.1, 0.1], [{"dear"}, {"cheap"}, {"dear", "other"}])
+
+    trials = [sample([i % 4 == 0, i % 8 < 3, i % 5 == 0]) for i in range(40)]
+    order = Q.best_order(trials, 3)
+    assert Q.spent(trials, order) == min(Q.spent(trials, list(o)) for o in itertools.permutations(range(3)))
+    assert order[0] == 1
+
+
+def test_timed_measures_count_shared_work_once():
+    m = Q.TimedMeasures(b"a b c " * 20_000)
+    assert m.n_words == 60_000 and m.n_repeat_words == 60_000
+    assert set(m.seconds) == {"n_words", "words", "n_repeat_words"} and m.seconds["words"] > m.seconds["n_words"]
+    trial = Q.trial_of(b"a b c " * 2_000, Q.DEFAULT_RULES)
+    assert trial.rejected == [r.rejects(Q.Measures(b"a b c " * 2_000)) for r in Q.DEFAULT_RULES]
+    assert "words" in trial.asked[0] and "words" in trial.asked[1]
+
+
 # ------------------------------------------------------------------ 6 mixing
 
 def test_mix_follows_its_targets(spark):
@@ -364,6 +387,18 @@ def brute_hits(text: str | None, items: list[tuple[str, str]]) -> tuple[set[int]
     return hit, found
 
 
+def test_mix_with_columns_of_any_name(spark, edge_docs):
+    """Names of inner columns, of outputs, and names that need quoting."""
+    names = ("_size", "_src", "_bucket", "_number", "_before", "_target", "f_src", "src", "bucket", "before", "number", "rate", "u", "g_src", "c0", "c1",
+             "Copies", "a b", "x.y")
+    wide = edge_docs.selectExpr("*", *[f"{i} as `{n}`" for i, n in enumerate(names)])
+    got = M.copies_frame(wide)
+    assert got.columns == [c for c in wide.columns if c != "Copies"] + ["size", "source_size", "target", "copies", "taken"]
+    pick = ["doc_id", "size", "source_size", "target", "taken"]
+    assert sorted(map(str, got.select(*pick).collect())) == sorted(map(str, M.copies_frame(edge_docs).select(*pick).collect()))
+    assert M.emit(wide).columns == wide.columns
+
+
 @pytest.mark.parametrize("seed", range(8))
 def test_automaton_equals_brute_force(seed):
     """A three-letter alphabet, so that states are cloned and windows repeat; items shorter than the window too."""
@@ -455,6 +490,43 @@ def test_ordinal_gradient_raises_the_likelihood():
     assert likelihood(many) > likelihood(few) and likelihood(many) > -0.2 and np.all(np.diff(many.thresholds) > 0)
 
 
+def test_ordinal_scores_equal_a_plain_cumulative_link():
+    """Expected grade and tails of each text from its own features, one by one."""
+    rows = [(prose(30, i).encode() + b" ###" * (i % 3), i % 3) for i in range(60)]
+    m = O.fit(rows, {0: 20, 1: 20, 2: 20})
+    texts = [t for t, _ in rows] + [b"", b"  ", b"one", prose(2_000, 9).encode()]
+    tails = m.tails(O.scores(texts, m.weights, WordHasher(O.SPACED)))
+    for text, tail in zip(texts, tails):
+        features, doc, _ = O._features([text], WordHasher(O.SPACED))
+        words = max(len(text.split()), 1)
+        z = sum(float(m.weights[f[j]]) for j in range(len(doc)) for f in features) / words
+        want = [1 - 1 / (1 + np.exp(-(b - z))) for b in m.thresholds]
+        assert np.allclose(tail, want, atol=1e-5)
+
+
+def test_ordinal_gradient_equals_differences():
+    """The gradient of weights and bounds against numeric differences of the penalised log-likelihood."""
+    r = np.random.default_rng(3)
+    rows = [(prose(12, i).encode(), i % 3) for i in range(9)]
+    problem = O.Problem.of(rows, r.uniform(0.5, 2, 9), 3)
+    used = np.unique(problem.features)
+    weights = np.zeros(1 << O.BITS)
+    weights[used] = r.normal(0, 0.5, len(used))
+    first, gaps = -0.3, np.array([0.2])
+    by_weight, by_bound = problem.gradient(weights, first, gaps)
+
+    def value(w, f, g):
+        return problem.likelihood(w, f, g) - 0.5e-4 * float((w**2).sum())
+
+    for at in r.choice(used, 12, replace=False):
+        step = np.zeros_like(weights)
+        step[at] = 1e-5
+        assert abs((value(weights + step, first, gaps) - value(weights - step, first, gaps)) / 2e-5 - by_weight[at]) < 1e-5
+    e = 1e-5
+    assert abs((value(weights, first + e, gaps) - value(weights, first - e, gaps)) / (2 * e) - by_bound[0]) < 1e-5
+    assert abs((value(weights, first, gaps + e) - value(weights, first, gaps - e)) / (2 * e) - by_bound[1]) < 1e-5
+
+
 def test_quality_on_the_given_tables(spark):
     from tests.helpers import duck
 

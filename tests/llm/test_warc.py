@@ -71,5 +71,26 @@ def test_missing_segment_is_refused(spark, tmp_dir):
             W.reassembled(records.where(damage)).collect()
 
 
+def test_a_large_page_of_many_segments(spark, tmp_dir):
+    """300,000 characters in parts of 200 bytes come back whole."""
+    r = random.Random(8)
+    text = "".join(chr(r.choice([65, 0xE9, 0x6F22, 10])) for _ in range(300_000))
+    pages = spark.createDataFrame([(1, None, text), (2, None, text), (3, None, "short")], PAGES)
+    got = {x.page_id: tuple(x) for x in W.page_index(pages, f"{tmp_dir}/large", segment_bytes=200).collect()}
+    size, digest = len(text.encode()), hashlib.sha256(text.encode()).hexdigest()
+    assert got[1] == (1, size, digest, "response", None) and got[2] == (2, size, digest, "revisit", 1)
+
+
+def test_a_revisit_without_its_response_is_refused(spark, tmp_dir):
+    pages = spark.createDataFrame([(1, None, "z" * 300), (2, None, "z" * 300)], PAGES)
+    path = f"{tmp_dir}/lost"
+    W.write_archives(pages, path)
+    records = W.read_records(spark, path)
+    with pytest.raises(Exception, match="revisits is missing"):
+        W.resolved(records.where("record_type = 'revisit'"), spark.createDataFrame([], "page_id bigint, payload_bytes bigint, payload_digest string")).collect()
+    assert W.resolved(records.where("record_type = 'revisit'"), spark.createDataFrame(
+        [(1, 300, hashlib.sha256(b"z" * 300).hexdigest())], "page_id bigint, payload_bytes bigint, payload_digest string")).count() == 1
+
+
 def test_empty_table(spark):
     assert W.page_index(spark.createDataFrame([], PAGES)).count() == 0
