@@ -21,7 +21,7 @@ from forgeline.operators import upsert as _upsert
 from forgeline.plans import incremental as _inc
 from forgeline.plans import ingest as _ingest
 from forgeline.plans import materialize as _mat
-from forgeline.plans import serving, silver
+from forgeline.plans import gold, serving, silver
 from forgeline.plans import staging as _staging
 from forgeline.plans.medallion import Models as _Models
 from forgeline.session import work_path
@@ -81,26 +81,65 @@ for _name in ("stg_repo_metadata", "stg_issue_or_pr", "stg_commit",
 _SERVING_SQL = oracle.serving_sql()
 
 
+_built: dict[tuple, str] = {}
+
+
+def _gold(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A written gold table. The tables are built once per application and state of the events (their files), as a nightly build would; serving reads them."""
+    key = (spark.sparkContext.applicationId, tuple(sorted(tuple(r) for r in _events(spark, sf_dir).select(
+        "_metadata.file_path", "_metadata.file_size", F.col("_metadata.file_modification_time").cast("string")).distinct().collect())))
+    if key not in _built:
+        root = work_path(spark, "serving")
+        _mat.build(spark, Models.from_events(spark, sf_dir), root)
+        _built[key] = root
+    return _mat.read_model(spark, _built[key], name)
+
+
 @register("dashboard_kpis", _SERVING_SQL["dashboard_kpis"])
 def q_dashboard_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return serving.dashboard_kpis(Models.from_events(spark, sf_dir).repo_health_snapshot())
+    return serving.dashboard_kpis(_gold(spark, sf_dir, "repo_health_snapshot"))
 
 
 @register("top_repos", _SERVING_SQL["top_repos"])
 def q_top_repos(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return serving.top_repos(Models.from_events(spark, sf_dir).repo_health_snapshot(), 5)
+    return serving.top_repos(_gold(spark, sf_dir, "repo_health_snapshot"), 5)
 
 
 @register("activity_series", _SERVING_SQL["activity_series"])
 def q_activity_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = Models.from_events(spark, sf_dir)
-    return serving.default_activity_series(m.repo_daily_metrics(), m.repo_health_snapshot(), 5)
+    return serving.default_activity_series(_gold(spark, sf_dir, "repo_daily_metrics"), _gold(spark, sf_dir, "repo_health_snapshot"), 5)
 
 
 @register("target_repo_filter", _SERVING_SQL["target_repo_filter"])
 def q_target_repo_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = Models.from_events(spark, sf_dir)
-    return serving.activity_series(m.repo_daily_metrics(), oracle.TARGET_REPOS_TEXT)
+    return serving.activity_series(_gold(spark, sf_dir, "repo_daily_metrics"), oracle.TARGET_REPOS_TEXT)
+
+
+@register("recent_authors_sketch", oracle.sketch_sql())
+def q_recent_authors_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct authors of 28 days from written daily sketches, beside the exact number and whether the stated error holds."""
+    act = Models.from_events(spark, sf_dir).activity()
+    path = work_path(spark, "author-sketches")
+    _mat.write_table(gold.author_sketches(act), path, partition_by=["day"])
+    estimate = gold.recent_authors_from_sketches(spark.read.parquet(path), AS_OF).withColumnRenamed("recent_authors_28d", "estimate")
+    exact = gold.recent_from_activity(act, AS_OF).where("recent_authors_28d > 0").select("repo_full_name", "recent_authors_28d")
+    return exact.join(estimate, "repo_full_name", "full_outer").selectExpr(
+        "repo_full_name", "recent_authors_28d",
+        f"coalesce(abs(estimate - recent_authors_28d) <= {gold.SKETCH_ERROR} * recent_authors_28d, false) AS within_error")
+
+
+@register("target_items_pruned", oracle.targets_pruned_sql())
+def q_target_items_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items of the enabled targets of a target table, read from Bronze that is partitioned by owner and repository."""
+    root = work_path(spark, "targets")
+    items = _fx.bronze_issue_or_pr(_events(spark, sf_dir))
+    _bronze.write_bronze(items, f"{root}/bronze", "issue_or_pr", partition_date=F.lit(AS_OF).cast("date"))
+    Models.from_events(spark, sf_dir).silver("dim_repos").selectExpr(
+        "split(repo_full_name, '/')[0] AS owner", "split(repo_full_name, '/')[1] AS repo",
+        f"IF({oracle.TARGET_ENABLED}, 'tracked', 'paused') AS status").write.parquet(f"{root}/targets")
+    records = _bronze.read_bronze(spark, f"{root}/bronze", "issue_or_pr")
+    return serving.of_targets(records, spark.read.parquet(f"{root}/targets"), "status = 'tracked'").groupBy("repo_full_name", "state").agg(
+        F.count(F.lit(1)).alias("records"))
 
 
 @register("since_filter", _SERVING_SQL["since_filter"])
@@ -504,12 +543,12 @@ def q_title_term_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("title_vectors", oracle.vectors_sql())
 def q_title_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sparse TF-IDF vectors (pyspark.ml): non-zero entries, length and largest entry of each."""
-    # the entries of a sparse vector are not open to SQL, and as an array it would be dense
-    measured = F.udf(lambda v: (int(v.numNonzeros()), float(v.norm(2)), float(max(v.values, default=0.0))),
-                     "n_terms bigint, norm double, largest double")
     vec = _text.text_vectors(_title_documents(spark, sf_dir), num_features=1 << 22)
-    return vec.select("doc_kind", "repo_full_name", "doc_key", measured("features").alias("m")).selectExpr(
-        "doc_kind", "repo_full_name", "doc_key", "m.n_terms", "round(m.norm, 6) AS norm", "round(m.largest, 6) AS largest")
+    # the entries of the sparse vector by built-ins: it never becomes dense and no Python runs on the rows
+    entries = vec.select("doc_kind", "repo_full_name", "doc_key", F.unwrap_udt("features").alias("v"))
+    return entries.selectExpr(
+        "doc_kind", "repo_full_name", "doc_key", "CAST(size(filter(v.values, x -> x <> 0)) AS BIGINT) AS n_terms",
+        "round(sqrt(aggregate(v.values, 0D, (s, x) -> s + x * x)), 6) AS norm", "round(coalesce(array_max(v.values), 0D), 6) AS largest")
 
 
 # ------------------------------------------------------------------ materialised build + serving read

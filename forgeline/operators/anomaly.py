@@ -1,15 +1,14 @@
 """Anomaly scores on daily metrics: trailing-window z-score per repo and metric.
 
-The daily table has no row for idle days, so each repo's series is completed
-first: one row per day between the repo's first and last active day
-(``explode(sequence(min_day, max_day))`` -- rows per repo are bounded by the
-time span, not by activity), left-joined to the metrics with zero fill.
+The daily table has no row for idle days. Each active day is followed by the idle days up to the next one (``lead`` within the repository,
+then one ``explode``): no join, no second pass for the span, and one shuffle by repository for the whole computation, as the statistics of
+all metrics are windows over the same partition and order. Rows per repo are bounded by the time span, not by activity. Only the end
+turns the metrics into rows.
 
 Score of day *d*: ``(x_d - mean) / stddev_samp`` over the previous ``window``
 days (``rowsBetween(-window, -1)``: today is not part of its own baseline).
 No score while fewer than ``min_history`` previous days exist or the baseline
-is flat. The window is partitioned by (repo, metric): a partition holds one
-repo's days, however busy the repo is.
+is flat. A partition holds one repo's days, however busy the repo is.
 """
 
 from __future__ import annotations
@@ -23,23 +22,24 @@ SCORED_METRICS = ("commits", "prs_opened", "issues_opened")
 
 
 def fill_idle_days(daily: DataFrame, metrics: Sequence[str], key: str = "repo_full_name") -> DataFrame:
-    span = daily.groupBy(key).agg(F.min("day").alias("_lo"), F.max("day").alias("_hi"))
-    days = span.select(key, F.explode(F.sequence("_lo", "_hi", F.expr("INTERVAL 1 DAY"))).alias("day"))
-    joined = days.join(daily.select(key, "day", *metrics), [key, "day"], "left")
-    return joined.select(key, "day", *[F.coalesce(F.col(m), F.lit(0)).cast("bigint").alias(m) for m in metrics])
+    """One row per day from a key's first to its last active day, zeros on idle ones."""
+    following = F.lead("day").over(Window.partitionBy(key).orderBy("day"))
+    until = F.greatest(F.coalesce(F.date_sub(following, 1), F.col("day")), F.col("day"))
+    spans = daily.where("day IS NOT NULL").select(key, F.col("day").alias("_active"), *metrics, F.sequence(
+        F.col("day"), until, F.expr("INTERVAL 1 DAY")).alias("_days"))
+    each = spans.select(key, "_active", *metrics, F.explode("_days").alias("day"))
+    active = F.col("day") == F.col("_active")
+    return each.select(key, "day", *[F.when(active, F.col(m)).otherwise(0).cast("bigint").alias(m) for m in metrics])
 
 
 def anomaly_scores(daily: DataFrame, metrics: Sequence[str] = SCORED_METRICS, window: int = 28,
                    min_history: int = 7, threshold: float = 3.0, key: str = "repo_full_name") -> DataFrame:
     filled = fill_idle_days(daily, metrics, key)
-    long = filled.unpivot([key, "day"], list(metrics), "metric", "value")
-    w = Window.partitionBy(key, "metric").orderBy("day").rowsBetween(-window, -1)
-    stats = long.select(
-        key, "day", "metric", "value",
-        F.count("value").over(w).alias("history_days"),
-        F.avg("value").over(w).alias("_mean"),
-        F.stddev_samp("value").over(w).alias("_std"),
-    )
+    w = Window.partitionBy(key).orderBy("day").rowsBetween(-window, -1)
+    measured = [F.struct(F.lit(m).alias("metric"), F.col(m).alias("value"), F.avg(m).over(w).alias("_mean"), F.stddev_samp(m).over(w).alias("_std")).alias(f"_{m}")
+                for m in metrics]
+    wide = filled.select(key, "day", F.count(F.lit(1)).over(w).alias("history_days"), *measured)
+    stats = wide.select(key, "day", "history_days", F.inline(F.array(*[f"_{m}" for m in metrics])))
     usable = (F.col("history_days") >= min_history) & (F.col("_std") > 0)
     z = F.when(usable, (F.col("value") - F.col("_mean")) / F.col("_std"))
     return stats.select(

@@ -77,8 +77,8 @@ class Models:
         return gold.daily_metrics_from_activity(self.activity())
 
     def repo_daily_metrics_joined(self) -> DataFrame:
-        """The daily metrics from the three fact tables, as a build from written silver computes them."""
-        return gold.repo_daily_metrics(*self.facts())
+        """The daily metrics as three aggregates joined to the keys of all activity."""
+        return gold.daily_metrics_joined(*self.facts())
 
     def activity_spine(self) -> DataFrame:
         """Distinct (repo, day) keys of the one-pass activity rows."""

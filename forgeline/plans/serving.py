@@ -80,3 +80,13 @@ def look_back_start(as_of, days: int = 7) -> _dt.datetime:
     if isinstance(as_of, str):
         as_of = _dt.date.fromisoformat(as_of)
     return _dt.datetime.combine(as_of - _dt.timedelta(days=days), _dt.time())
+
+
+def of_targets(records: DataFrame, targets: DataFrame, condition: str = "true") -> DataFrame:
+    """Records of the repositories in a target table (owner, repo), over Bronze partitioned by owner and repo.
+
+    ``condition`` picks targets: a comparison over columns of the target table (Spark prunes for those, not for a bare boolean column). The join is on the partition columns, so Spark evaluates the small side first and reads only
+    the folders of its repositories (dynamic partition pruning); a target table too large to broadcast is joined by shuffle.
+    """
+    wanted = targets.where(condition).select("owner", "repo")
+    return records.join(wanted, ["owner", "repo"], "left_semi")

@@ -22,7 +22,7 @@ RAW_REPO_DDL = (
 RAW_ISSUE_DDL = (
     "number bigint, state string, title string, user struct<login: string>, "
     "locked boolean, labels array<struct<name: string>>, assignees array<struct<login: string>>, "
-    "comments bigint, created_at string, updated_at string, closed_at string"
+    "comments bigint, created_at string, updated_at string, closed_at string, pull_request variant"
 )
 
 RAW_COMMIT_DDL = (

@@ -11,7 +11,7 @@ Rules (the contract of the reference's mappers):
 * defaulted keys (``payload.get(k, d)``) take the default only when *absent*;
   an explicit null in a non-optional field is rejected, not defaulted;
 * optional keys may be absent or null; nested reads are null-safe;
-* ``is_pull_request`` is key presence, true even for a null value;
+* ``is_pull_request`` is key presence, true even for a null value (the field is a VARIANT in the parse);
 * list items must carry their projected key (``lbl["name"]`` ...);
 * a present, non-null value that does not fit the declared type is rejected: texts
   must be JSON strings (numbers and booleans are not turned into text), numbers JSON numbers (a
@@ -56,9 +56,11 @@ def flatten_pages(pages: DataFrame, page_col: str = "page") -> DataFrame:
 # the optimizer can neither push the reject filter beneath a parse nor inline a
 # parse into each of the ~30 rule expressions:
 #
-# 1. every item: one typed parse ``_j`` and its top-level keys ``_k``
-#    (``json_object_keys`` skips nested values). A cheap *coarse* test over
-#    them, a superset of every reject rule, flags the items that may be bad;
+# 1. every item: one typed parse ``_j``. A field that must only be there is a VARIANT in it (absent is NULL, a JSON null is
+#    not). Only where that parse leaves something open, the item is looked at again: its top-level keys ``_k`` if a field that may be
+#    absent came out NULL, and the JSON kinds of texts and objects (the typed parse would turn any value into text) if one pattern over
+#    the raw text finds a value that begins otherwise than it should. A cheap *coarse* test over these, a superset of every reject
+#    rule, flags the items that may be bad;
 # 2. flagged items only: ``_m``, a map of top-level keys to raw JSON text, from
 #    which the exact reasons are named. Rejects are rare, so this parse is too.
 _MAP = "_m"
@@ -73,15 +75,31 @@ def _wrong_kind(path: str, kind: str) -> Column:
     return F.when(found.isNotNull() & (found != "VOID") & ~found.startswith(kind), F.lit(f"type:{path}"))
 
 
-def _stage1(landed: DataFrame, ddl: str, texts: Sequence[str], objects: Sequence[str]) -> DataFrame:
-    """The typed parse, the keys, and the fields that are not of their JSON kind (the typed parse
-    would turn any value into text)."""
-    parsed = F.struct(F.from_json(F.col(PAYLOAD), ddl).alias("_j"),
-                      F.json_object_keys(F.col(PAYLOAD)).alias(_KEYS),
-                      F.try_parse_json(F.col(PAYLOAD)).alias("_v"))
+def _suspect(texts: Sequence[str], objects: Sequence[str]) -> str:
+    """A pattern found in every item with a text or object field of another kind (and in some without): the key, then a value that
+    begins with neither the mark of its kind nor ``null``; or an escape that could hide a letter of a key."""
+    def of(paths: Sequence[str], mark: str) -> str:
+        names = "|".join(sorted({p.rpartition(".")[2] for p in paths}))
+        return rf'"(?:{names})"\s*:\s*[^{mark}n\s]'
+    # a name that is an object at one place and a text at another is open to both
+    both = {p.rpartition(".")[2] for p in texts} & {p.rpartition(".")[2] for p in objects}
+    parts = [of([p for p in texts if p.rpartition(".")[2] not in both], '"'), of([p for p in objects if p.rpartition(".")[2] not in both], "{")]
+    if both:
+        parts.append(rf'"(?:{"|".join(sorted(both))})"\s*:')
+    return "|".join([*parts, r"\\u00[0-7]"])
+
+
+def _stage1(landed: DataFrame, ddl: str, texts: Sequence[str], objects: Sequence[str], may_lack: Sequence[str]) -> DataFrame:
+    """The typed parse; the keys of items that lack one of ``may_lack`` or have none of it; the fields that are not of their JSON kind."""
+    parsed = F.struct(F.from_json(F.col(PAYLOAD), ddl).alias("_j"), F.col(PAYLOAD).rlike(_suspect(texts, objects)).alias("_s"))
+    lacks = _any([F.col(f"_j.{k}").isNull() for k in may_lack])
+    again = F.struct(F.when(lacks, F.json_object_keys(F.col(PAYLOAD))).alias(_KEYS),
+                     F.when(F.col("_s"), F.try_parse_json(F.col(PAYLOAD))).alias("_v"))
     kinds = [_wrong_kind(p, "STRING") for p in texts] + [_wrong_kind(p, "OBJECT") for p in objects]
-    checked = F.struct(F.array_compact(F.array(*kinds)).alias(_TYPES))
-    return landed.select("*", F.inline(F.array(parsed))).select("*", F.inline(F.array(checked))).drop("_v")
+    none = F.array().cast("array<string>")
+    checked = F.struct(F.when(F.col("_s"), F.array_compact(F.array(*kinds))).otherwise(none).alias(_TYPES))
+    return landed.select("*", F.inline(F.array(parsed))).select("*", F.inline(F.array(again))).select(
+        "*", F.inline(F.array(checked))).drop("_v", "_s")
 
 
 def _stage2(parsed: DataFrame, coarse: Column) -> DataFrame:
@@ -146,7 +164,7 @@ def _coarse(j: str, required: Sequence[str], defaulted: Sequence[str], extra: Se
     """Superset of the reject rules over stage-1 columns only: not an object, a
     required field NULL after parsing (absent, JSON null or wrong type), a
     present defaulted field NULL after parsing (JSON null or wrong type)."""
-    return _any([F.col(_KEYS).isNull(), F.size(_TYPES) > 0,
+    return _any([F.col(j).isNull(), F.size(_TYPES) > 0,
                  *[F.col(f"{j}.{k}").isNull() for k in required],
                  *[_present(k) & F.col(f"{j}.{k}").isNull() for k in defaulted],
                  *extra])
@@ -194,7 +212,7 @@ def parse_repo_metadata(landed: DataFrame, fetched_col: str = "fetched_at", piec
                      [_bad_timestamp(F.col(f"{j}.{k}")) for k in stamps])
     parsed = _stage2(_stage1(
         landed, schemas.RAW_REPO_DDL, ["full_name", "name", "description", "default_branch", "language", *stamps,
-                                       "owner.login", "license.spdx_id"], ["owner", "license"]), coarse)
+                                       "owner.login", "license.spdx_id"], ["owner", "license"], ["full_name", *defaulted]), coarse)
     reasons = _reasons(
         _is_object(),
         *_required(["full_name", "name", "owner"]),
@@ -235,7 +253,8 @@ def parse_issue_or_pr(landed: DataFrame, repo_col: str = "repo_full_name",
     lists = [_list_items(j, "labels", "name"), _list_items(j, "assignees", "login")]
     coarse = _coarse(j, required, defaulted,
                      [c for c, _ in lists] + [_bad_timestamp(F.col(f"{j}.{k}")) for k in stamps])
-    parsed = _stage2(_stage1(landed, schemas.RAW_ISSUE_DDL, ["state", "title", *stamps, "user.login"], ["user"]), coarse)
+    parsed = _stage2(_stage1(landed, schemas.RAW_ISSUE_DDL, ["state", "title", *stamps, "user.login"], ["user"],
+                              ["number", *defaulted]), coarse)
     reasons = _reasons(
         _is_object(),
         *_required(required),
@@ -251,7 +270,7 @@ def parse_issue_or_pr(landed: DataFrame, repo_col: str = "repo_full_name",
         F.col(f"{j}.state").alias("state"),
         F.col(f"{j}.title").alias("title"),
         F.col(f"{j}.user.login").alias("user_login"),
-        _present("pull_request").alias("is_pull_request"),
+        F.col(f"{j}.pull_request").isNotNull().alias("is_pull_request"),
         _default(F.col(f"{j}.locked"), False).alias("locked"),
         F.coalesce(F.transform(F.col(f"{j}.labels"), lambda x: x["name"]), empty).alias("labels"),
         F.coalesce(F.transform(F.col(f"{j}.assignees"), lambda x: x["login"]), empty).alias("assignees"),
@@ -280,7 +299,7 @@ def parse_commit(landed: DataFrame, repo_col: str = "repo_full_name",
         landed, schemas.RAW_COMMIT_DDL,
         ["sha", "commit.message", "author.login", "committer.login",
          *[f"commit.{who}.{k}" for who in ("author", "committer") for k in ("email", "date")]],
-        ["commit", "author", "committer", "commit.author", "commit.committer"]), coarse)
+        ["commit", "author", "committer", "commit.author", "commit.committer"], ["sha", "parents"]), coarse)
     # "commit" may be absent or null (then {}), but a present "message" must not be null
     commit_present_null_msg = (_raw("commit").isNotNull()
                                & F.coalesce(F.array_contains(

@@ -186,3 +186,36 @@ def test_damaged_pages_are_quarantined_whole(spark):
     reasons = sorted((r["reason"], r["raw_payload"] or "") for r in rejected.collect())
     assert [x for x in reasons if x[0].startswith("page:")] == sorted(("page:not an array", t or "") for t in texts[1:5])
     assert len(reasons) == 6  # and the two items that are no objects
+
+
+def test_kinds_are_checked_whatever_the_spelling(spark):
+    """Values of the wrong kind are found by a pattern first: spaces, line ends, escaped keys, nested and repeated names."""
+    from forgeline.sources import landing
+
+    whole = '"number":1,"created_at":"2024-01-01T00:00:00Z","updated_at":"2024-01-01T00:00:00Z"'
+    cases = {
+        '{%s,"state":"open","title":"t"}': "", '{%s,"state":"open","title":5}': "type:title", '{%s,"state" :\n true,"title":"t"}': "type:state",
+        '{%s,"state":"open","t\\u0069tle":7}': "type:title", '{%s,"state":"open","title":["x"]}': "type:title",
+        '{%s,"state":"open","title":"a \\"title\\": 5","milestone":{"title":3}}': "", '{%s,"state":"open","title":"t","user":"x"}': "type:user",
+        '{%s,"state":"open","title":"t","user" : null}': "", '{%s,"state":"open","title":"t","user":{"login": 4}}': "type:user.login",
+        '{%s,"state":"open","title":"t","closed_at":12}': "type:closed_at", '{%s,"state":"open","title":"t","locked":null}': "null:locked",
+        '{%s,"state":"open","title":"t","pull_request":null}': "",
+    }
+    rows = [(i, t % whole) for i, t in enumerate(cases)]
+    landed = spark.createDataFrame(rows, "i int, payload string").selectExpr("i", "'o/r' AS repo_full_name", "TIMESTAMP_NTZ '2024-01-02 00:00:00' AS fetched_at", "payload")
+    good, rejected = landing.parse_issue_or_pr(landed)
+    reasons = {r["i"]: r["reason"] for r in rejected.select("i", "reason").collect()}
+    want = {i: reason for i, reason in enumerate(cases.values()) if reason}
+    assert reasons.keys() == want.keys() and all(want[i] in reasons[i] for i in want)
+    flags = [r["is_pull_request"] for r in good.collect()]
+    assert len(flags) == len(cases) - len(want) and sum(flags) == 1
+
+
+def test_an_item_is_parsed_once_unless_something_is_open(spark):
+    """The second look at an item stands behind a condition in the plan."""
+    from forgeline.sources import landing
+
+    landed = spark.createDataFrame([("o/r", "{}")], "repo_full_name string, payload string").selectExpr("*", "TIMESTAMP_NTZ '2024-01-02 00:00:00' AS fetched_at")
+    for parse in landing.PARSERS.values():
+        plan = parse(landed)[0]._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json(StructField") == 1 and "CASE WHEN _s" in plan
