@@ -45,17 +45,23 @@ def _small_star(edges: DataFrame, hot_from: int) -> DataFrame:
     return linked.union(least.selectExpr("n as a", "m as b")).where("a <> b").distinct()
 
 
+def _edges_and_open(edges: DataFrame) -> tuple[int, int]:
+    """The number of edges, and of nodes that keep them from being stars: a node with two parents, or with a parent and children."""
+    ends = edges.selectExpr("a as n", "1 as up", "0 as down").union(edges.selectExpr("b", "0", "1"))
+    nodes = ends.groupBy("n").agg(F.sum("up").alias("ups"), F.max("down").alias("down"))
+    row = nodes.selectExpr("coalesce(sum(ups), 0) as edges", "count_if(ups > 1 or (ups = 1 and down = 1)) as open").first()
+    return row["edges"], row["open"]
+
+
 def components(edges: DataFrame, name: str) -> DataFrame:
     """(node, root) for every node of `edges` (a, b of 64-bit numbers): root is the least node of its component."""
     now = materialized(edges.selectExpr("greatest(a, b) as a", "least(a, b) as b").where("a <> b").distinct(), name)
-    before = None
     while True:
-        state = now.selectExpr("count(*)", "sum(cast(xxhash64(a, b) as decimal(38, 0)))").first()
-        if state == before or state[0] == 0:
-            # stable: every node points straight at its root
+        n, open_ = _edges_and_open(now)
+        if not open_:
+            # stars whose edges all go down: every node points straight at the least of its component
             return now.selectExpr("a as node", "b as root").union(now.selectExpr("b", "b").distinct())
-        before = state
-        hot_from = max(HOT_DEGREE, -(-2 * state[0] // HOT_NODES))
+        hot_from = max(HOT_DEGREE, -(-2 * n // HOT_NODES))
         now = materialized(_large_star(now, hot_from), name)
         # a star step gives an edge for each it took at most (and one for each node), so the bound holds for the second too
         now = materialized(_small_star(now, hot_from), name)

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from forgeline.llm.common import SPACED_WORD, arrow_map, binary_column, id_text, materialized, slices
-from forgeline.llm.components import components
+from forgeline.llm.components import HOT_DEGREE, HOT_NODES, components
 from forgeline.llm.hashing import U64, WordHasher, joined, mix
 
 SHINGLE_WORDS = 5
@@ -297,9 +297,15 @@ def document_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     # a linked text's group goes by its root's number, any other by its digest
     rooted = each.where("filled").join(grouped, "k", "left").selectExpr(
         "doc_id", "k", "rows", "coalesce(cast(root as string), hex(k)) as root")
+    rooted = materialized(rooted, "near-rooted")
     per_class = rooted.groupBy("root").agg(
-        F.expr("min(struct(doc_id is null as last, doc_id, k)) as first"), F.sum("rows").alias("class_rows")).withColumnRenamed("root", "r")
-    classed = rooted.join(per_class, rooted.root == per_class.r).selectExpr(
+        F.expr("min(struct(doc_id is null as last, doc_id, k)) as first"), F.sum("rows").alias("class_rows"), F.count("*").alias("n")
+    ).withColumnRenamed("root", "r")
+    # the rows of a large class would meet in one task; of `HOT_NODES` classes at most (sizes sum up to the rows) the class goes to the rows instead
+    hot_from = max(HOT_DEGREE, -(-sketched.count() // HOT_NODES))
+    hot = F.broadcast(per_class.where(f"n > {hot_from}"))
+    cold = rooted.join(hot.select("r"), F.expr("root = r"), "left_anti").join(per_class.where(f"n <= {hot_from}").hint("merge"), F.expr("root = r"))
+    classed = rooted.join(hot, F.expr("root = r")).unionByName(cold).selectExpr(
         "doc_id", "k", "rows", "first.doc_id as class_id", "class_rows", "doc_id <=> first.doc_id and k = first.k as stays")
     alone = each.where("not filled").selectExpr("doc_id", "k", "rows", "doc_id as class_id", "1L as class_rows", "true as stays")
     return classed.unionByName(alone)

@@ -164,3 +164,20 @@ def test_components_equal_union_find(spark):
         root[hi] = lo
     got = {x.node: x.root for x in components(spark.createDataFrame(edges, "a bigint, b bigint"), "test").collect()}
     assert got == {x: find(x) for a, b in edges if a != b for x in (a, b)}
+
+
+def test_hot_nodes_and_classes_give_the_same(spark, monkeypatch):
+    """Stars and classes above the bound go by broadcast; a path, a star and pairs."""
+    import forgeline.llm.components as K
+
+    edges = [(i, i + 1) for i in range(60)] + [(1000, 1000 - i) for i in range(1, 80)] + [(2000 + i, 2001 + i) for i in range(0, 40, 2)]
+    want = {n: 0 for n in range(61)} | {1000 - i: 921 for i in range(80)} | {2000 + i: 2000 + i - i % 2 for i in range(40)}
+    df = spark.createDataFrame(edges, "a bigint, b bigint")
+    for degree, nodes in ((1000, 10_000), (5, 10_000), (1, 10_000), (5, 20)):
+        monkeypatch.setattr(K, "HOT_DEGREE", degree)
+        monkeypatch.setattr(K, "HOT_NODES", nodes)
+        assert {r.node: r.root for r in components(df, "hot").collect()} == want
+    monkeypatch.setattr(P, "HOT_DEGREE", 3)
+    texts = variants(30, 4) + [prose(100, 77)] * 12 + [prose(60, i) for i in range(100, 110)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert {(r.doc_id, texts[r.doc_id]): r.class_id for r in P.groups(docs).collect()} == brute_groups(list(enumerate(texts)))
