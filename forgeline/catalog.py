@@ -285,6 +285,17 @@ def q_landing_page_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count_if(F.col("what") == "page").alias("rejected_pages"))
 
 
+@register("landed_lines", oracle.landed_lines_sql())
+def q_landed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items landed one to a line, with white space between their tokens: the kept payload is the line byte for byte."""
+    root = work_path(spark, "lines")
+    _fx.landed_items(_events(spark, sf_dir), "issue_or_pr").selectExpr(
+        f"{oracle.SPACED_ITEM.format('payload')} AS value", "split(repo_full_name, '/')[0] AS owner", "split(repo_full_name, '/')[1] AS repo"
+    ).write.partitionBy("owner", "repo").text(f"{root}/landed")
+    good, _ = landing.parse_issue_or_pr(landing.read_landed_jsonl(spark, f"{root}/landed"))
+    return good.select("repo_full_name", "number", "title", "raw_payload")
+
+
 # ------------------------------------------------------------------ Bronze storage
 
 BRONZE_RUN_ID = "run-0001"
@@ -300,6 +311,15 @@ def q_bronze_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _bronze.read_bronze(spark, root, "issue_or_pr")
 
 
+@register("bronze_roundtrip_orc", oracle.bronze_roundtrip_sql(BRONZE_RUN_ID))
+def q_bronze_roundtrip_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same round trip with another file format."""
+    root = work_path(spark, "bronze-orc")
+    _bronze.write_bronze(_fx.bronze_issue_or_pr(_events(spark, sf_dir)), root, "issue_or_pr", partition_date=F.to_date(F.col("fetched_at")),
+                         run_id=BRONZE_RUN_ID, fmt="orc")
+    return _bronze.read_bronze(spark, root, "issue_or_pr", fmt="orc")
+
+
 # ------------------------------------------------------------------ landed pages to gold
 
 ITEM_SEQUENCE = "CAST(conv(substring(md5(raw_payload), 1, 15), 16, 10) AS BIGINT)"

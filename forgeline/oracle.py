@@ -398,6 +398,16 @@ FROM items) r{len(rejects)} WHERE reason <> ''""")
             "landing_rejects": "\nUNION ALL\n".join(rejects)}
 
 
+#: An item's text with white space between tokens, in both engines' SQL.
+SPACED_ITEM = "'{{  ' || substring({0}, 2, length({0}) - 2) || ' }}'"
+
+
+def landed_lines_sql() -> str:
+    """Items as they landed, line by line."""
+    return f"""SELECT repo_full_name, number, title, {SPACED_ITEM.format('raw_payload')} AS raw_payload
+FROM ({landing_sql()['landing_parse_issue']}) x"""
+
+
 def pages_to_daily_sql() -> str:
     """Daily metrics over the parsed items of all landed pages; ties at one instant go by the item's MD5."""
     parsed = landing_sql()

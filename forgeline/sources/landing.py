@@ -18,12 +18,19 @@ Rules (the contract of the reference's mappers):
   numeric string is not read as a number), nested records JSON objects, times ISO date-times;
 * a page that is not an array (truncated, an error object, no JSON, null) is rejected as a whole.
 
+With ``lax=True`` whole numbers may also come as texts, as numbers without a fraction (``5.0``) and as booleans, as in a model that coerces; what
+cannot be read as a whole number is still rejected.
+
+``raw_payload`` of items that land one to a line (:func:`read_landed_jsonl`) is the line byte for byte; an item of a page is handed back by
+the array's parse, so white space between its tokens is not kept.
+
 Rejected rows keep the payload (or page) and a ``;``-joined list of reasons, so
 every landed item or page is either a record or a reject.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -89,17 +96,29 @@ def _suspect(texts: Sequence[str], objects: Sequence[str]) -> str:
     return "|".join([*parts, r"\\u00[0-7]"])
 
 
-def _stage1(landed: DataFrame, ddl: str, texts: Sequence[str], objects: Sequence[str], may_lack: Sequence[str]) -> DataFrame:
+def _coerced(parsed: Column, ddl: str) -> Column:
+    """The whole-number fields of a parse that took them as texts."""
+    for name in re.findall(r"(\w+) bigint", ddl):
+        text = F.trim(parsed[name])
+        number = F.regexp_replace(F.when(text == "true", "1").when(text == "false", "0").otherwise(text), r"\.0*$", "")
+        parsed = parsed.withField(name, F.when(number.rlike(r"^[+-]?\d+$"), number.try_cast("bigint")))
+    return parsed
+
+
+def _stage1(landed: DataFrame, ddl: str, texts: Sequence[str], objects: Sequence[str], may_lack: Sequence[str], lax: bool = False) -> DataFrame:
     """The typed parse; the keys of items that lack one of ``may_lack`` or have none of it; the fields that are not of their JSON kind."""
-    parsed = F.struct(F.from_json(F.col(PAYLOAD), ddl).alias("_j"), F.col(PAYLOAD).rlike(_suspect(texts, objects)).alias("_s"))
+    typed = F.from_json(F.col(PAYLOAD), ddl.replace(" bigint", " string") if lax else ddl).alias("_j")
+    parsed = F.struct(typed, F.col(PAYLOAD).rlike(_suspect(texts, objects)).alias("_s"))
     lacks = _any([F.col(f"_j.{k}").isNull() for k in may_lack])
     again = F.struct(F.when(lacks, F.json_object_keys(F.col(PAYLOAD))).alias(_KEYS),
                      F.when(F.col("_s"), F.try_parse_json(F.col(PAYLOAD))).alias("_v"))
     kinds = [_wrong_kind(p, "STRING") for p in texts] + [_wrong_kind(p, "OBJECT") for p in objects]
     none = F.array().cast("array<string>")
     checked = F.struct(F.when(F.col("_s"), F.array_compact(F.array(*kinds))).otherwise(none).alias(_TYPES))
-    return landed.select("*", F.inline(F.array(parsed))).select("*", F.inline(F.array(again))).select(
-        "*", F.inline(F.array(checked))).drop("_v", "_s")
+    out = landed.select("*", F.inline(F.array(parsed)))
+    if lax:
+        out = out.select(*landed.columns, F.inline(F.array(F.struct(_coerced(F.col("_j"), ddl).alias("_j"), "_s"))))
+    return out.select("*", F.inline(F.array(again))).select("*", F.inline(F.array(checked))).drop("_v", "_s")
 
 
 def _stage2(parsed: DataFrame, coarse: Column) -> DataFrame:
@@ -202,7 +221,7 @@ def _default(c: Column, value) -> Column:
 
 
 # ------------------------------------------------------------------ mappers
-def parse_repo_metadata(landed: DataFrame, fetched_col: str = "fetched_at", pieces: bool = False):
+def parse_repo_metadata(landed: DataFrame, fetched_col: str = "fetched_at", pieces: bool = False, lax: bool = False):
     """Repository payloads -> ``REPO_METADATA`` records and rejects."""
     j = "_j"
     d = schemas.REPO_DEFAULTS
@@ -212,7 +231,7 @@ def parse_repo_metadata(landed: DataFrame, fetched_col: str = "fetched_at", piec
                      [_bad_timestamp(F.col(f"{j}.{k}")) for k in stamps])
     parsed = _stage2(_stage1(
         landed, schemas.RAW_REPO_DDL, ["full_name", "name", "description", "default_branch", "language", *stamps,
-                                       "owner.login", "license.spdx_id"], ["owner", "license"], ["full_name", *defaulted]), coarse)
+                                       "owner.login", "license.spdx_id"], ["owner", "license"], ["full_name", *defaulted], lax), coarse)
     reasons = _reasons(
         _is_object(),
         *_required(["full_name", "name", "owner"]),
@@ -244,7 +263,7 @@ def parse_repo_metadata(landed: DataFrame, fetched_col: str = "fetched_at", piec
 
 
 def parse_issue_or_pr(landed: DataFrame, repo_col: str = "repo_full_name",
-                      fetched_col: str = "fetched_at", pieces: bool = False):
+                      fetched_col: str = "fetched_at", pieces: bool = False, lax: bool = False):
     """Issue / pull request payloads of one repo -> ``ISSUE_OR_PR`` records and rejects."""
     j = "_j"
     required = ["number", "state", "title", "created_at", "updated_at"]
@@ -254,7 +273,7 @@ def parse_issue_or_pr(landed: DataFrame, repo_col: str = "repo_full_name",
     coarse = _coarse(j, required, defaulted,
                      [c for c, _ in lists] + [_bad_timestamp(F.col(f"{j}.{k}")) for k in stamps])
     parsed = _stage2(_stage1(landed, schemas.RAW_ISSUE_DDL, ["state", "title", *stamps, "user.login"], ["user"],
-                              ["number", *defaulted]), coarse)
+                              ["number", *defaulted], lax), coarse)
     reasons = _reasons(
         _is_object(),
         *_required(required),
@@ -287,7 +306,7 @@ def parse_issue_or_pr(landed: DataFrame, repo_col: str = "repo_full_name",
 
 
 def parse_commit(landed: DataFrame, repo_col: str = "repo_full_name",
-                 fetched_col: str = "fetched_at", pieces: bool = False):
+                 fetched_col: str = "fetched_at", pieces: bool = False, lax: bool = False):
     """Commit payloads of one repo -> ``COMMIT`` records and rejects."""
     j = "_j"
     dates = [F.col(f"{j}.commit.author.date"), F.col(f"{j}.commit.committer.date")]
@@ -299,7 +318,7 @@ def parse_commit(landed: DataFrame, repo_col: str = "repo_full_name",
         landed, schemas.RAW_COMMIT_DDL,
         ["sha", "commit.message", "author.login", "committer.login",
          *[f"commit.{who}.{k}" for who in ("author", "committer") for k in ("email", "date")]],
-        ["commit", "author", "committer", "commit.author", "commit.committer"], ["sha", "parents"]), coarse)
+        ["commit", "author", "committer", "commit.author", "commit.committer"], ["sha", "parents"], lax), coarse)
     # "commit" may be absent or null (then {}), but a present "message" must not be null
     commit_present_null_msg = (_raw("commit").isNotNull()
                                & F.coalesce(F.array_contains(
@@ -342,19 +361,19 @@ PARSERS = {
 }
 
 
-def land(pages: DataFrame, kind: str) -> tuple[DataFrame, DataFrame]:
+def land(pages: DataFrame, kind: str, lax: bool = False) -> tuple[DataFrame, DataFrame]:
     """Pages of one record kind -> (typed records, rejects).
 
     Each output is its own plan over the pages: writing both re-parses the
     input. To write both from one parse, use :func:`land_tagged`, persist the
     tagged frame and split it with :func:`split_tagged`.
     """
-    return PARSERS[kind](flatten_pages(pages))
+    return PARSERS[kind](flatten_pages(pages), lax=lax)
 
 
-def land_tagged(pages: DataFrame, kind: str) -> tuple[DataFrame, list[Column], list[str]]:
+def land_tagged(pages: DataFrame, kind: str, lax: bool = False) -> tuple[DataFrame, list[Column], list[str]]:
     """Parsed items with their reject reasons, plus what :func:`split_tagged` needs."""
-    return PARSERS[kind](flatten_pages(pages), pieces=True)
+    return PARSERS[kind](flatten_pages(pages), pieces=True, lax=lax)
 
 
 _REPO_FROM_PATH = r"owner=([^/]+)/repo=([^/]+)/"

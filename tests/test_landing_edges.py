@@ -8,6 +8,7 @@ import os
 
 import pyarrow as pa
 import pyarrow.parquet as pq
+from pyspark.sql import functions as F
 
 from forgeline.sources import bronze, landing
 
@@ -219,3 +220,20 @@ def test_an_item_is_parsed_once_unless_something_is_open(spark):
     for parse in landing.PARSERS.values():
         plan = parse(landed)[0]._jdf.queryExecution().optimizedPlan().toString()
         assert plan.count("from_json(StructField") == 1 and "CASE WHEN _s" in plan
+
+
+def test_lax_numbers_are_a_switch(spark):
+    """Numbers as texts, with a zero fraction and as booleans: read with the switch, rejected without."""
+    from forgeline.sources import landing
+
+    rest = '"state":"open","title":"t","created_at":"2024-01-01T00:00:00Z","updated_at":"2024-01-01T00:00:00Z"'
+    numbers = {'7': 7, '"8"': 8, '" 9 "': 9, '10.0': 10, 'true': 1, '"x"': None, '5.5': None, '"1e3"': None, 'null': None, '[1]': None}
+    landed = spark.createDataFrame([(i, f'{{{rest},"number":{n},"comments":"3"}}') for i, n in enumerate(numbers)], "i int, payload string").selectExpr(
+        "i", "'o/r' AS repo_full_name", "TIMESTAMP_NTZ '2024-01-02 00:00:00' AS fetched_at", "payload")
+    good, rejected = landing.parse_issue_or_pr(landed, lax=True)
+    assert sorted((r["number"], r["comments"]) for r in good.collect()) == sorted((n, 3) for n in numbers.values() if n)
+    assert {r["i"] for r in rejected.collect()} == {i for i, n in enumerate(numbers.values()) if n is None}
+    strict, refused = landing.parse_issue_or_pr(landed)
+    assert strict.count() == 0 and refused.count() == len(numbers)
+    plain = landed.withColumn("payload", F.regexp_replace("payload", '"comments":"3"', '"comments":3'))
+    assert [r["number"] for r in landing.parse_issue_or_pr(plain)[0].collect()] == [7]
