@@ -362,7 +362,7 @@ def q_incremental_daily_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three landing batches, each applied to the touched buckets and days; must equal the full rebuild."""
     root = work_path(spark, "incremental")
     for version, batch in enumerate(_staged_batches(spark, sf_dir)):
-        _inc.apply_batch(spark, {k: batch[k] for k in ("issue_or_pr", "commit")}, root, version)
+        _inc.apply_batch(spark, {k: batch[k] for k in ("issue_or_pr", "commit")}, root, version, buckets=8)
     return _inc.read_daily(spark, root)
 
 
@@ -371,7 +371,7 @@ def q_incremental_health(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The health table from kept days after three batches, its date moving on; written after each, the last must equal the full rebuild."""
     root = work_path(spark, "incremental-health")
     for version, (batch, as_of) in enumerate(zip(_staged_batches(spark, sf_dir), INCREMENTAL_DATES)):
-        _inc.apply_batch(spark, batch, root, version)
+        _inc.apply_batch(spark, batch, root, version, buckets=8)
         _mat.write_table(_inc.health(spark, root, as_of), f"{root}/repo_health_snapshot")
     return _mat.read_model(spark, root, "repo_health_snapshot")
 
