@@ -69,18 +69,26 @@ class Chunked:
         """Per text the sum over its chunks of a number that each distinct chunk has."""
         return np.diff(np.concatenate([[0], np.cumsum(values[self.codes])])[self.bounds])
 
-    def ragged(self, values: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Values of all chunks in order, and the bounds of each text in them; chunk c has values[ends[c]:ends[c + 1]]."""
-        lengths = np.diff(ends)[self.codes]
+    def ragged(self, values: np.ndarray, ends: np.ndarray, first: int = 0, last: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Values of all chunks of the texts from `first` to before `last` (all) in order, and the bounds of each text in them; chunk c has
+        values[ends[c]:ends[c + 1]]."""
+        bounds = self.bounds[first:None if last is None else last + 1]
+        codes = self.codes[bounds[0]:bounds[-1]]
+        lengths = np.diff(ends)[codes]
         to = np.concatenate([[0], np.cumsum(lengths)])
-        at = np.repeat(ends[:-1][self.codes] - to[:-1], lengths) + np.arange(to[-1])
-        return values[at], to[self.bounds]
+        at = np.repeat(ends[:-1][codes] - to[:-1], lengths) + np.arange(to[-1])
+        return values[at], to[bounds - bounds[0]]
+
+
+def text_bytes(texts: pa.Array) -> np.ndarray:
+    """The number of bytes of each text."""
+    return np.diff(np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1])
 
 
 def text_slices(batch: pa.RecordBatch, name: str, most: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
     """Parts of a batch of about `most` bytes of text, with the text column (null: empty)."""
     texts = batch.column(batch.schema.get_field_index(name)).cast(pa.string()).fill_null("")
-    for a, b in slices(np.diff(np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1]), most):
+    for a, b in slices(text_bytes(texts), most):
         yield batch.slice(a, b - a), texts.slice(a, b - a)
 
 

@@ -8,7 +8,7 @@ parallel and skips those that cannot hold the ids it asks for. `read_ids` and `f
 Texts are cut before spaces that follow another character, if the vocabulary file says that its tokenizer ends a piece there
 (`chunks.byte_level_cuts`: no normaliser, byte-level pre-tokenizer with its pattern, BPE); other files have their texts encoded whole. Each distinct
 chunk is encoded once: the frequent ones of a bounded sample once for all workers (`chunks.frequent`: 200,000 chunks of 64 bytes at most), the
-others once in their slice of about 8 MB; ids are joined back by position. The vocabulary file is read on the driver (a parameter; a few MB,
+others once in their slice of about 4 MB; ids are joined back by position, about 1 MB of text at a time. The vocabulary file is read on the driver (a parameter; a few MB,
 `byte_level.MOST_VOCABULARY_BYTES` at most) and sent along, so executors need no such file.
 
 Defined cases: null and empty texts have the end id alone. Rows that repeat an id stand next to each other, ordered by the
@@ -26,11 +26,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forgeline.llm.byte_level import byte_level, id_rows, vocabulary_text
-from forgeline.llm.chunks import Chunked, Segments, byte_level_cuts, frequent, text_slices
-from forgeline.llm.common import arrow_map, id_text
+from forgeline.llm.chunks import Chunked, Segments, byte_level_cuts, frequent, text_bytes, text_slices
+from forgeline.llm.common import arrow_map, id_text, slices
 from forgeline.session import work_path
+from forgeline.sources.bronze import session_conf
 
 END_ID = 2
+#: Bytes of text that are cut and encoded together and come in one Arrow batch (a longer text comes alone), and those that are written together:
+#: what a worker holds follows them.
+SLICE_BYTES, EXPANDED_BYTES = 4 << 20, 1 << 20
 ORC_OPTIONS = {
     "orc.stripe.size": str(16 * 2**20),
     "orc.row.index.stride": "1000",
@@ -57,26 +61,33 @@ def write_ids(docs: DataFrame, path: str, tokenizer_path: str | None = None, end
     ranged = ranged.selectExpr("spark_partition_id() as part", "doc_id", "text")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        segments = Segments(lambda c: id_rows(byte_level(vocabulary.value).ids(c)), known.value)
-        written = 0
-        for batch in batches:
-            for rows, some in text_slices(batch, "text"):
-                chunked = Chunked(some, cut)
-                lists = segments.of(chunked).column(0)
-                values, bounds = chunked.ragged(lists.values.to_numpy(), lists.offsets.to_numpy())
+        return id_batches(batches, Segments(lambda c: id_rows(byte_level(vocabulary.value).ids(c)), known.value), cut, end_id)
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    encoded = arrow_map(ranged, encode, f"part int, doc_id {kind}, part_start long, part_end long, ids array<int>")
+    with session_conf(docs.sparkSession, {"spark.sql.execution.arrow.maxBytesPerBatch": str(SLICE_BYTES)}):
+        encoded.write.options(**ORC_OPTIONS).orc(path)
+
+
+def id_batches(batches: Iterator[pa.RecordBatch], segments: Segments, cut: bool, end_id: int) -> Iterator[pa.RecordBatch]:
+    """The rows (part, doc_id, part_start, part_end, ids) of one range, from its batches of (part, doc_id, text)."""
+    written = 0
+    for batch in batches:
+        for rows, some in text_slices(batch, "text", SLICE_BYTES):
+            chunked = Chunked(some, cut)
+            lists = segments.of(chunked).column(0)
+            values, chunk_ends = lists.values.to_numpy(), lists.offsets.to_numpy()
+            for first, last in slices(text_bytes(some), EXPANDED_BYTES):
+                flat, bounds = chunked.ragged(values, chunk_ends, first, last)
                 # the end id goes behind each text
-                flat = np.insert(values, bounds[1:], np.int32(end_id))
+                flat = np.insert(flat, bounds[1:], np.int32(end_id))
                 ends = bounds + np.arange(len(bounds))
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column(0), rows.column(1), pa.array(written + ends[:-1], pa.int64()),
+                    [rows.column(0)[first:last], rows.column(1)[first:last], pa.array(written + ends[:-1], pa.int64()),
                      pa.array(written + ends[1:], pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))],
                     names=["part", "doc_id", "part_start", "part_end", "ids"])
                 written += int(ends[-1])
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    encoded = arrow_map(ranged, encode, f"part int, doc_id {kind}, part_start long, part_end long, ids array<int>")
-    encoded.write.options(**ORC_OPTIONS).orc(path)
-
 
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
     """The written rows; columns and filters on doc_id reach the ORC reader."""

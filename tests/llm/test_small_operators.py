@@ -631,3 +631,31 @@ def test_token_files_round_trip(spark, clashing_docs, empty_docs, tmp_dir):
     assert files and all(f.nstripes >= 1 for f in files if f.nrows)
     assert K.token_index(clashing_docs).count() == len(EDGE_ROWS)
     assert K.token_index(empty_docs).count() == 0
+
+
+def test_token_ids_are_made_a_part_of_a_batch_at_a_time():
+    """What a worker holds follows the slice, not the batch it was sent."""
+    import pyarrow as pa
+
+    encoder = B.byte_level(B.vocabulary_text())
+    texts = [*(prose(900, i % 7) for i in range(2_000)), None, "", prose(150_000, 8), "a b"]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([0] * len(texts), pa.int32()), pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["part", "doc_id", "text"])
+    segments = C.Segments(lambda c: B.id_rows(encoder.ids(c)))
+    got, at, rows = [], 0, 0
+    for out in K.id_batches(iter([batch]), segments, encoder.cut, K.END_ID):
+        size = [len((texts[i] or "").encode()) for i in out.column(1).to_pylist()]
+        assert out.num_rows == 1 or sum(size) <= K.EXPANDED_BYTES
+        assert out.column(1).to_pylist() == list(range(rows, rows + out.num_rows)) and out.column(2)[0].as_py() == at
+        got += [ids.values.to_numpy() for ids in out.column(4)]
+        at, rows = out.column(3)[-1].as_py(), rows + out.num_rows
+    assert rows == len(texts) and at == sum(map(len, got))
+    for i in (0, 6, 1_999, 2_000, 2_001, 2_002, 2_003):
+        assert np.array_equal(got[i], [*encoder.tokenizer.encode(texts[i] or "", add_special_tokens=False).ids, K.END_ID])
+    # a part of the texts of a slice equals that part of all
+    chunked = C.Chunked(pa.array(["a b", "", "c a", "b"]), True)
+    values, ends = np.arange(100), np.arange(0, 100, 3)
+    whole, bounds = chunked.ragged(values, ends)
+    for a, b in ((0, 2), (1, 1), (1, 4), (3, 4)):
+        some, inner = chunked.ragged(values, ends, a, b)
+        assert np.array_equal(some, whole[bounds[a]:bounds[b]]) and np.array_equal(inner, bounds[a:b + 1] - bounds[a])
