@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from forgeline import oracle
 from forgeline.functions.json import payload_fields
@@ -432,11 +433,14 @@ _STREAM_KIND = ("CASE WHEN event_type = 'view' THEN 'repo_metadata' WHEN event_t
                 "ELSE 'issue_or_pr' END AS kind")
 
 
-def _landed_stream(spark: SparkSession, root: str, parts: list[DataFrame]) -> DataFrame:
-    """A stream of one micro-batch for each part, in their order (each lands as one file)."""
+def _stream_landed(spark: SparkSession, root: str, parts: list[DataFrame], start: Callable[[DataFrame], StreamingQuery]) -> None:
+    """Run a checkpointed stream over parts that land one after the other, each as one micro-batch of as many files as its tasks write.
+
+    ``start`` catches up with what has landed; the next part lands when it is through, and the stream goes on from its checkpoint.
+    """
     for part in parts:
-        part.coalesce(1).write.mode("append").parquet(f"{root}/landing")
-    return spark.readStream.schema(parts[0].schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/landing")
+        part.write.mode("append").parquet(f"{root}/landing")
+        _stream.await_all(start(spark.readStream.schema(part.schema).parquet(f"{root}/landing")))
 
 
 # Where the stream of events in order of time is cut, and which events come with the last batch only.
@@ -450,10 +454,15 @@ def _timed_parts(ev: DataFrame) -> list[DataFrame]:
     return [ev.where(first), ev.where(f"NOT {first} AND {second}"), ev.where(f"NOT {second}")]
 
 
-def _shuffled_events_stream(spark: SparkSession, sf_dir: str, root: str, n: int = 6) -> DataFrame:
-    """The events as micro-batches in no order of time, with late records."""
-    ev = _events(spark, sf_dir)
-    return _landed_stream(spark, root, [ev.where(f"pmod(xxhash64(event_id), {n}) = {i}") for i in range(n)])
+def _shuffled_parts(ev: DataFrame, n: int = 6) -> list[DataFrame]:
+    """The events as parts in no order of time, with late records."""
+    return [ev.where(f"pmod(xxhash64(event_id), {n}) = {i}") for i in range(n)]
+
+
+def _item_versions(events: DataFrame) -> DataFrame:
+    return _staging.stg_issue_or_pr(_fx.bronze_issue_or_pr(events)).select(
+        "repo_full_name", "number", "is_pull_request", "state", "title", "user_login", "created_at",
+        "closed_at", "fetched_at", "ingest_seq")
 
 
 def _named_records(events: DataFrame) -> DataFrame:
@@ -476,22 +485,17 @@ def q_stream_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_stream_daily_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of closed days: append mode emits a window once the watermark has passed it, so the last ones stay open."""
     root = work_path(spark, "stream-counts")
-    records = _named_records(_landed_stream(spark, root, _timed_parts(_events(spark, sf_dir))))
-    q = _stream.daily_counts_stream(records, "ts", ["repo_full_name", "kind"], f"{root}/out",
-                                    f"{root}/checkpoint", delay=STREAM_DELAY)
-    _stream.await_all(q)
+    _stream_landed(spark, root, _timed_parts(_events(spark, sf_dir)), lambda events: _stream.daily_counts_stream(
+        _named_records(events), "ts", ["repo_full_name", "kind"], f"{root}/out", f"{root}/checkpoint", delay=STREAM_DELAY))
     return spark.read.parquet(f"{root}/out")
 
 
 @register("stream_latest_state", oracle.stream_latest_sql())
 def q_stream_latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = work_path(spark, "stream-latest")
-    stg = _staging.stg_issue_or_pr(_fx.bronze_issue_or_pr(_shuffled_events_stream(spark, sf_dir, root))).select(
-        "repo_full_name", "number", "is_pull_request", "state", "title", "user_login", "created_at",
-        "closed_at", "fetched_at", "ingest_seq")
-    q = _stream.latest_state_stream(stg, ["repo_full_name", "number", "is_pull_request"],
-                                    ["fetched_at", "ingest_seq"], f"{root}/out", f"{root}/checkpoint", compact_after=4)
-    _stream.await_all(q)
+    _stream_landed(spark, root, _shuffled_parts(_events(spark, sf_dir)), lambda events: _stream.latest_state_stream(
+        _item_versions(events), ["repo_full_name", "number", "is_pull_request"], ["fetched_at", "ingest_seq"], f"{root}/out",
+        f"{root}/checkpoint", compact_after=4))
     return _stream.serving_view(spark, f"{root}/out", ["repo_full_name", "number", "is_pull_request"])
 
 
@@ -499,12 +503,9 @@ def q_stream_latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_stream_upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events stream upserted into a versioned mart of the latest issue/PR state, batch by batch."""
     root = work_path(spark, "stream-upsert")
-    stg = _staging.stg_issue_or_pr(_fx.bronze_issue_or_pr(_shuffled_events_stream(spark, sf_dir, root))).select(
-        "repo_full_name", "number", "is_pull_request", "state", "title", "user_login", "created_at",
-        "closed_at", "fetched_at", "ingest_seq")
-    q = _stream.upsert_stream(stg, ["repo_full_name", "number", "is_pull_request"], ["fetched_at", "ingest_seq"],
-                              f"{root}/mart", f"{root}/checkpoint", compact_after=4)
-    _stream.await_all(q)
+    _stream_landed(spark, root, _shuffled_parts(_events(spark, sf_dir)), lambda events: _stream.upsert_stream(
+        _item_versions(events), ["repo_full_name", "number", "is_pull_request"], ["fetched_at", "ingest_seq"], f"{root}/mart",
+        f"{root}/checkpoint", compact_after=4))
     return _stream.read_mart(spark, f"{root}/mart", ["repo_full_name", "number", "is_pull_request"], ["fetched_at", "ingest_seq"])
 
 
@@ -514,8 +515,8 @@ def q_stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = work_path(spark, "stream-late")
     ev, keys = _events(spark, sf_dir), ["repo_full_name", "kind"]
     first, second, third = _timed_parts(ev.where(f"NOT {STREAM_LATE}"))
-    stream = _named_records(_landed_stream(spark, root, [first, second, third.unionByName(ev.where(STREAM_LATE))]))
-    _stream.await_all(_stream.counts_with_late_rows(stream, "ts", keys, f"{root}/out", f"{root}/checkpoint", STREAM_DELAY))
+    _stream_landed(spark, root, [first, second, third.unionByName(ev.where(STREAM_LATE))], lambda events: _stream.counts_with_late_rows(
+        _named_records(events), "ts", keys, f"{root}/out", f"{root}/checkpoint", STREAM_DELAY))
     window = [*keys, "window_start", "window_end"]
     late = _stream.read_late(spark, f"{root}/out").groupBy(*window).agg(F.count(F.lit(1)).alias("late_records"))
     return _stream.read_counts(spark, f"{root}/out", keys, STREAM_DELAY).join(late, window, "full_outer").selectExpr(
@@ -535,9 +536,8 @@ def q_stream_dedup_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     again = [p.unionByName(p.where("event_id % 10 = 0")) for p in parts]
     for i in (1, 2):
         again[i] = again[i].unionByName(parts[i - 1].where("event_id % 10 = 1"))
-    records = _named_records(_landed_stream(spark, root, again))
-    _stream.await_all(_stream.deduplicated_counts_stream(
-        records, "ts", "event_id", ["repo_full_name", "kind"], f"{root}/out", f"{root}/checkpoint", REDELIVERY_DELAY))
+    _stream_landed(spark, root, again, lambda events: _stream.deduplicated_counts_stream(
+        _named_records(events), "ts", "event_id", ["repo_full_name", "kind"], f"{root}/out", f"{root}/checkpoint", REDELIVERY_DELAY))
     return spark.read.parquet(f"{root}/out")
 
 

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 import glob
+import json
 import os
 
 import pytest
 
 from forgeline.streaming import jobs
+from tests.conftest import SF_SMALL
 
 KEYS, ORDER = ["k"], ["at", "seq"]
 
@@ -142,3 +144,34 @@ def test_redeliveries_count_once(spark, tmp_dir):
     stream = _land(spark, f"{out}-in", [first + first[7:9], second, third])
     jobs.await_all(jobs.deduplicated_counts_stream(stream, "ts", "id", ["k"], out, f"{out}-ck", "2 days"))
     assert {(r["window_start"], r["records"]) for r in spark.read.parquet(out).collect()} == {(_at(1), 40), (_at(2), 30)}
+
+
+@pytest.mark.parametrize("name, parts", [("stream_dedup_counts", 3), ("stream_daily_counts", 3), ("stream_late_rows", 3), ("stream_latest_state", 6),
+                                         ("stream_upsert_latest", 6)])
+def test_parts_land_by_many_tasks_as_one_micro_batch_each(spark, tmp_dir, monkeypatch, name, parts):
+    from forgeline import catalog
+
+    sf_dir, rows = os.path.join(tmp_dir, "sf"), 600
+    columns = spark.read.parquet(f"{SF_SMALL}/events.parquet").schema
+    made = {"event_id": "id", "ts": "TIMESTAMP_NTZ '2024-01-01 00:00:00' + make_dt_interval(0, 0, CAST(id * 72 AS INT))",
+            "user_id": "id % 5", "event_type": "element_at(array('view', 'click', 'error', 'purchase'), CAST(id % 4 AS INT) + 1)"}
+    events = spark.range(0, rows, 1, 3).selectExpr(
+        *[f"CAST({made.get(f.name, 'id' if f.dataType.typeName() != 'string' else repr('{}'))} AS {f.dataType.simpleString()}) AS `{f.name}`" for f in columns])
+    events.write.parquet(f"{sf_dir}/events.parquet")
+    monkeypatch.setattr(catalog, "work_path", lambda session, folder: os.path.join(tmp_dir, folder))
+    got = catalog.QUERIES[name](spark, sf_dir)
+    root = glob.glob(f"{tmp_dir}/stream-*")[0]
+    batches = {}
+    for f in glob.glob(f"{root}/checkpoint/sources/0/*"):
+        with open(f) as lines:
+            for entry in map(json.loads, [x for x in lines if x.startswith("{")]):
+                batches.setdefault(entry["batchId"], set()).add(entry["path"])
+    landed = glob.glob(f"{root}/landing/*.parquet")
+    assert len(batches) == parts and sum(map(len, batches.values())) == len(landed) > parts
+    if name != "stream_latest_state" and name != "stream_upsert_latest":
+        seen, delay = dt.datetime(2024, 1, 1) + dt.timedelta(minutes=72 * (rows - 1)), catalog.REDELIVERY_DELAY if "dedup" in name else catalog.STREAM_DELAY
+        amount, unit = delay.split()
+        closed = (seen - dt.timedelta(**{unit if unit.endswith("s") else f"{unit}s": int(amount)})).date()
+        days = [(dt.datetime(2024, 1, 1) + dt.timedelta(minutes=72 * i)).date() for i in range(rows)]
+        found = got.where("closed").collect() if name == "stream_late_rows" else got.collect()
+        assert sum(r["records"] + (r["late_records"] if name == "stream_late_rows" else 0) for r in found) == sum(d < closed for d in days)
