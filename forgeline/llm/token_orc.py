@@ -8,7 +8,7 @@ parallel and skips those that cannot hold the ids it asks for. `read_ids` and `f
 Texts are cut before spaces that follow another character, if the vocabulary file says that its tokenizer ends a piece there
 (`chunks.byte_level_cuts`: no normaliser, byte-level pre-tokenizer with its pattern, BPE); other files have their texts encoded whole. Each distinct
 chunk is encoded once: the frequent ones of a bounded sample once for all workers (`chunks.frequent`: 200,000 chunks of 64 bytes at most), the
-others once in their slice of about 4 MB; ids are joined back by position, about 1 MB of text at a time. The vocabulary file is read on the driver (a parameter; a few MB,
+others once in their slice of about 6 MB; ids are joined back by position, about 1 MB of text at a time. The vocabulary file is read on the driver (a parameter; a few MB,
 `byte_level.MOST_VOCABULARY_BYTES` at most) and sent along, so executors need no such file.
 
 Defined cases: null and empty texts have the end id alone. Rows that repeat an id stand next to each other, ordered by the
@@ -34,7 +34,7 @@ from forgeline.sources.bronze import session_conf
 END_ID = 2
 #: Bytes of text that are cut and encoded together and come in one Arrow batch (a longer text comes alone), and those that are written together:
 #: what a worker holds follows them.
-SLICE_BYTES, EXPANDED_BYTES = 4 << 20, 1 << 20
+SLICE_BYTES, EXPANDED_BYTES = 6 << 20, 1 << 20
 ORC_OPTIONS = {
     "orc.stripe.size": str(16 * 2**20),
     "orc.row.index.stride": "1000",
